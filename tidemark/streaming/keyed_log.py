@@ -1,0 +1,124 @@
+"""A keyed table kept as the changes of each micro-batch, folded when read."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from tidemark.operators.changes import expand_pairs
+
+
+class KeyedLog:
+    """Parquet folders ``v=<batch>/bucket=<b>`` of rows ``(key, old, new)``.
+
+    A batch writes the keys it changed and nothing else, so it costs as much as its own
+    changes. A state is the last ``new`` per key; every ``compact_every`` batches the
+    state is written out once, and later reads start from there.
+
+    Version N depends on versions before N only and a commit overwrites its folder, so
+    running a batch again gives the same table.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: StructType,
+        pk: Sequence[str],
+        *,
+        bucket_by: Sequence[str] | None = None,
+        buckets: int = 64,
+        compact_every: int = 16,
+    ) -> None:
+        self.spark = spark
+        self.path = path
+        self.pk = list(pk)
+        self.bucket_by = list(bucket_by or pk)
+        self.buckets = buckets
+        self.compact_every = compact_every
+        self.columns = list(schema.names)
+        self.values = [c for c in self.columns if c not in self.pk]
+        row = StructType([f for f in schema.fields if f.name not in self.pk])
+        self._row_type = row
+        self._schema = StructType(
+            [f for f in schema.fields if f.name in self.pk]
+            + [StructField("old", row), StructField("new", row)]
+            + [StructField("v", IntegerType()), StructField("bucket", IntegerType())]
+        )
+        self.schema = schema
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
+
+    def state(self, version: int, keys: DataFrame | None = None) -> DataFrame:
+        """Rows after batch ``version``; only those matching ``keys`` when given.
+
+        ``keys`` holds some of the key columns, the bucketing ones among them. Only the
+        buckets they fall into are read.
+        """
+        if version < 0:
+            return self.spark.createDataFrame([], self.schema)
+        base = self._last_compacted(version)
+        folders = [f"{self.path}/v={v}" for v in range(base + 1, version + 1)]
+        rows = self._read(self.path, folders) if folders else None
+        if base >= 0:
+            root = f"{self.path}/base"
+            compacted = self._read(root, [f"{root}/v={base}"])
+            rows = compacted if rows is None else compacted.unionByName(rows)
+        if keys is not None:
+            names = [c for c in keys.columns if c in self.pk]
+            keys = keys.select(*names).distinct()
+            near = keys.select(self.bucket().alias("bucket")).distinct().collect()
+            rows = rows.filter(F.col("bucket").isin([r["bucket"] for r in near])).join(keys, names, "left_semi")
+        last = rows.groupBy(*self.pk).agg(F.max_by(F.struct("new"), F.col("v")).alias("last"))
+        return last.filter(F.col("last.new").isNotNull()).select(*self.pk, "last.new.*").select(*self.columns)
+
+    def commit(self, version: int, new: DataFrame, old: DataFrame | None = None, gone: DataFrame | None = None) -> None:
+        """Writes the keys of ``new`` that differ from ``old``, and the keys in ``gone`` as removed."""
+        after = new.select(*self.pk, self._row().alias("new"))
+        if gone is not None:
+            after = after.unionByName(gone.select(*self.pk, F.lit(None).cast(self._row_type).alias("new")))
+        if old is not None:
+            before = old.select(*self.pk, self._row().alias("old"))
+            pairs = after.join(before, self.pk, "left").filter(~F.col("old").eqNullSafe(F.col("new")))
+        else:
+            pairs = after.withColumn("old", F.lit(None).cast(self._row_type))
+        self._write(pairs.select(*self.pk, "old", "new"), f"{self.path}/v={version}")
+        if (version + 1) % self.compact_every == 0:
+            self._compact(version)
+
+    def changes(self, version: int, values: Sequence[str] | None = None) -> DataFrame:
+        """The changelog of one batch, on ``values`` only when given."""
+        values = list(values or self.values)
+        pairs = self._read(self.path, [f"{self.path}/v={version}"])
+
+        def image(side: str) -> Column:
+            return F.when(
+                F.col(side).isNotNull(), F.struct(*[F.col(f"{side}.{c}").alias(c) for c in values])
+            )
+
+        rows = pairs.select(*self.pk, image("old").alias("old"), image("new").alias("new"))
+        return expand_pairs(rows, self.pk)
+
+    def _row(self) -> Column:
+        return F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self._row_type.fields])
+
+    def _last_compacted(self, version: int) -> int:
+        """The last compaction before ``version``; that of ``version`` itself may be unfinished."""
+        return version // self.compact_every * self.compact_every - 1
+
+    def _compact(self, version: int) -> None:
+        rows = self.state(version).select(*self.pk, self._row().alias("new"))
+        empty = F.lit(None).cast(self._row_type)
+        self._write(rows.withColumn("old", empty).select(*self.pk, "old", "new"), f"{self.path}/base/v={version}")
+
+    def _read(self, root: str, folders: list[str]) -> DataFrame:
+        return self.spark.read.schema(self._schema).option("basePath", root).parquet(*folders)
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        bucketed = rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
+        writer = bucketed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("bucket").parquet(folder)
