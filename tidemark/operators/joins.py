@@ -45,10 +45,17 @@ def join_changes(
     return diff_states(joined(left, right), joined(left_now, right_now), left_pk)
 
 
-def next_position(changes: DataFrame, pk: Sequence[str], output: str, *, parts: int | None = None) -> DataFrame:
+def next_position(
+    changes: DataFrame,
+    pk: Sequence[str],
+    output: str,
+    *,
+    heavy: Sequence[int] | None = None,
+    parts: int | None = None,
+) -> DataFrame:
     """Adds the ``seq`` of the next change of the same key; the end of time for the last one."""
     walked = last_before(
-        changes.withColumn("_back", -F.col("seq")), pk, "_back", "seq", "_next", parts=parts
+        changes.withColumn("_back", -F.col("seq")), pk, "_back", "seq", "_next", heavy=heavy, parts=parts
     )
     return walked.withColumn(output, F.coalesce("_next", F.lit(_END))).drop("_back", "_next")
 

@@ -8,7 +8,7 @@ that precede the batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rowkind import INSERT, adds, all_fixed_width, order_key, signed
@@ -42,16 +42,25 @@ def fold_latest(changelog: DataFrame, spec: TableSpec, keep: tuple[str, ...] = (
     return last.filter("_alive").select(*spec.pk, "_row.*")
 
 
+def fold_images(changelog: DataFrame, pk: list[str], values: list[str], output: str = "new") -> DataFrame:
+    """Last row per key as one struct; null for keys whose last change is a retraction."""
+    image = F.when(adds(), F.struct(*values))
+    return changelog.groupBy(*pk).agg(F.max_by(image, order_key()).alias(output))
+
+
 def merge_latest(state: DataFrame | None, batch: DataFrame, spec: TableSpec) -> DataFrame:
     return fold_latest(_stack(state, batch.select("op", "seq", *spec.columns)), spec)
 
 
-def fold_partial_update(changelog: DataFrame, spec: TableSpec, keep_order: bool = False) -> DataFrame:
+def fold_partial_update(
+    changelog: DataFrame, spec: TableSpec, keep_order: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Per key and column, the last value that is not null.
 
     Columns in ``spec.null_overwrites`` take nulls too. With ``keep_order`` the
     position of each value is returned as well, so that a later merge places changes
-    that arrive out of order correctly.
+    that arrive out of order correctly. Columns in ``carry`` are set in at most one row
+    of a key, and pass through.
     """
     if spec.ignore_delete:
         rows = without_retractions(changelog)
@@ -79,7 +88,7 @@ def fold_partial_update(changelog: DataFrame, spec: TableSpec, keep_order: bool
             order = F.max(F.when(present, F.col(pos)))
         if keep_order:
             aggs.append(order.alias(pos))
-    return rows.groupBy(*spec.pk).agg(*aggs)
+    return rows.groupBy(*spec.pk).agg(*aggs, *_carried(carry))
 
 
 def merge_partial_update(state: DataFrame | None, batch: DataFrame, spec: TableSpec) -> DataFrame:
@@ -89,7 +98,7 @@ def merge_partial_update(state: DataFrame | None, batch: DataFrame, spec: TableS
     return fold_partial_update(stacked, spec, keep_order=carries)
 
 
-def fold_aggregation(changelog: DataFrame, spec: TableSpec) -> DataFrame:
+def fold_aggregation(changelog: DataFrame, spec: TableSpec, carry: tuple[str, ...] = ()) -> DataFrame:
     """Sums where retractions subtract; nulls add nothing.
 
     ``live_rows`` counts the rows behind a key: a sum of 0 may be real, so keys that
@@ -103,7 +112,7 @@ def fold_aggregation(changelog: DataFrame, spec: TableSpec) -> DataFrame:
         F.sum(signed(F.col(c).cast("bigint") if _is_integral(rows, c) else F.col(c))).alias(c)
         for c in spec.aggregates
     ]
-    return rows.groupBy(*spec.pk).agg(*sums, F.sum(weight).alias(LIVE))
+    return rows.groupBy(*spec.pk).agg(*sums, F.sum(weight).alias(LIVE), *_carried(carry))
 
 
 def merge_aggregation(state: DataFrame | None, batch: DataFrame, spec: TableSpec) -> DataFrame:
@@ -117,6 +126,10 @@ def without_retractions(changelog: DataFrame) -> DataFrame:
     return changelog.filter(adds())
 
 
+def _carried(columns: tuple[str, ...]) -> list[Column]:
+    return [F.first(c, ignorenulls=True).alias(c) for c in columns]
+
+
 def _stack(state: DataFrame | None, batch: DataFrame) -> DataFrame:
     if state is None:
         return batch

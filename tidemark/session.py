@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -21,6 +24,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -42,3 +46,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def run_together(spark: SparkSession, *jobs: Callable[[], object]) -> None:
+    """Runs independent Spark actions at the same time, so that small ones share the cluster."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            done.result()

@@ -10,6 +10,9 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.operators.changes import expand_pairs
 
+# With fewer buckets a batch touches most of them, and asking which costs a job.
+PRUNE_FROM = 32
+
 
 class KeyedLog:
     """Parquet folders ``v=<batch>/bucket=<b>`` of rows ``(key, old, new)``.
@@ -56,8 +59,8 @@ class KeyedLog:
     def state(self, version: int, keys: DataFrame | None = None) -> DataFrame:
         """Rows after batch ``version``; only those matching ``keys`` when given.
 
-        ``keys`` holds some of the key columns, the bucketing ones among them. Only the
-        buckets they fall into are read.
+        ``keys`` holds some of the key columns, the bucketing ones among them. Where there
+        are many buckets, only those the keys fall into are read.
         """
         if version < 0:
             return self.spark.createDataFrame([], self.schema)
@@ -71,22 +74,28 @@ class KeyedLog:
         if keys is not None:
             names = [c for c in keys.columns if c in self.pk]
             keys = keys.select(*names).distinct()
-            near = keys.select(self.bucket().alias("bucket")).distinct().collect()
-            rows = rows.filter(F.col("bucket").isin([r["bucket"] for r in near])).join(keys, names, "left_semi")
+            if self.buckets >= PRUNE_FROM:
+                near = keys.select(self.bucket().alias("bucket")).distinct().collect()
+                rows = rows.filter(F.col("bucket").isin([r["bucket"] for r in near]))
+            rows = rows.join(keys, names, "left_semi")
         last = rows.groupBy(*self.pk).agg(F.max_by(F.struct("new"), F.col("v")).alias("last"))
         return last.filter(F.col("last.new").isNotNull()).select(*self.pk, "last.new.*").select(*self.columns)
 
-    def commit(self, version: int, new: DataFrame, old: DataFrame | None = None, gone: DataFrame | None = None) -> None:
-        """Writes the keys of ``new`` that differ from ``old``, and the keys in ``gone`` as removed."""
-        after = new.select(*self.pk, self._row().alias("new"))
-        if gone is not None:
-            after = after.unionByName(gone.select(*self.pk, F.lit(None).cast(self._row_type).alias("new")))
-        if old is not None:
-            before = old.select(*self.pk, self._row().alias("old"))
-            pairs = after.join(before, self.pk, "left").filter(~F.col("old").eqNullSafe(F.col("new")))
+    def image(self, df: DataFrame) -> Column:
+        """The value columns of ``df`` as one row image."""
+        return F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self._row_type.fields])
+
+    def commit(self, version: int, pairs: DataFrame) -> None:
+        """Writes ``(key, new)`` or ``(key, old, new)``; a null ``new`` removes the key.
+
+        Keys whose two images are equal are not written.
+        """
+        if "old" in pairs.columns:
+            pairs = pairs.filter(~F.col("old").eqNullSafe(F.col("new")))
         else:
-            pairs = after.withColumn("old", F.lit(None).cast(self._row_type))
-        self._write(pairs.select(*self.pk, "old", "new"), f"{self.path}/v={version}")
+            pairs = pairs.withColumn("old", F.lit(None).cast(self._row_type))
+        pairs = pairs.select(*self.pk, "old", F.col("new").cast(self._row_type).alias("new"))
+        self._write(pairs, f"{self.path}/v={version}")
         if (version + 1) % self.compact_every == 0:
             self._compact(version)
 
@@ -95,25 +104,22 @@ class KeyedLog:
         values = list(values or self.values)
         pairs = self._read(self.path, [f"{self.path}/v={version}"])
 
-        def image(side: str) -> Column:
-            return F.when(
-                F.col(side).isNotNull(), F.struct(*[F.col(f"{side}.{c}").alias(c) for c in values])
-            )
+        def side(name: str) -> Column:
+            part = F.struct(*[F.col(f"{name}.{c}").alias(c) for c in values])
+            return F.when(F.col(name).isNotNull(), part).alias(name)
 
-        rows = pairs.select(*self.pk, image("old").alias("old"), image("new").alias("new"))
+        rows = pairs.select(*self.pk, side("old"), side("new"))
         return expand_pairs(rows, self.pk)
 
-    def _row(self) -> Column:
-        return F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self._row_type.fields])
-
     def _last_compacted(self, version: int) -> int:
         """The last compaction before ``version``; that of ``version`` itself may be unfinished."""
         return version // self.compact_every * self.compact_every - 1
 
     def _compact(self, version: int) -> None:
-        rows = self.state(version).select(*self.pk, self._row().alias("new"))
         empty = F.lit(None).cast(self._row_type)
-        self._write(rows.withColumn("old", empty).select(*self.pk, "old", "new"), f"{self.path}/base/v={version}")
+        state = self.state(version)
+        rows = state.select(*self.pk, empty.alias("old"), self.image(state).alias("new"))
+        self._write(rows, f"{self.path}/base/v={version}")
 
     def _read(self, root: str, folders: list[str]) -> DataFrame:
         return self.spark.read.schema(self._schema).option("basePath", root).parquet(*folders)

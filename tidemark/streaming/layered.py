@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
@@ -10,13 +13,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tidemark.functions.rowkind import INSERT, adds
 from tidemark.functions.temporal import from_epoch_millis, interval_micros, micros
 from tidemark.operators.joins import meet, next_position
-from tidemark.operators.merge import (
-    ORDER_PREFIX,
-    fold_aggregation,
-    fold_latest,
-    fold_partial_update,
-    merge_aggregation,
-)
+from tidemark.operators.merge import ORDER_PREFIX, fold_aggregation, fold_images, fold_partial_update
+from tidemark.operators.skew import MIN_HEAVY_ROWS
 from tidemark.plans.retail import (
     COMMIT_INTERVAL,
     MAX_RETRIES,
@@ -29,6 +27,7 @@ from tidemark.plans.retail import (
     sales_changes,
     with_hour_partition,
 )
+from tidemark.session import run_together
 from tidemark.sources.envelope import quarantine, route_changes
 from tidemark.sources.files import changelog_schema
 from tidemark.specs import TableSpec, table_schema
@@ -82,6 +81,9 @@ class RetailLayers:
         )
         ids = {f.name: f for f in specs.orders.schema.fields}
         held = StructType([ids["customer_id"], ids["order_id"], StructField("seq", LongType())])
+        self._name_schema = StructType(
+            [*table_schema("op string, seq bigint").fields, ids["order_id"], specs.customers.schema["customer_name"]]
+        )
         counted = StructType([*specs.sales.schema.fields, StructField("live_rows", LongType())])
 
         self.base_products = log("base_products", versions, specs.products.pk)
@@ -97,95 +99,112 @@ class RetailLayers:
         events = events.select("value").persist()
         try:
             last_ms = F.max(F.get_json_object("value", "$.source.ts_ms").cast("bigint"))
-            now_ms = events.agg(last_ms.alias("ms")).first()["ms"]
+            seen = events.agg(last_ms.alias("ms"), F.count(F.lit(1)).alias("n")).first()
             self._ingest(events, version)
         finally:
             events.unpersist()
-        now_ms = -(2**62) if now_ms is None else now_ms
-        self._look_up(version, now_ms)
+        if seen["ms"] is None:
+            now, small = F.lit(None).cast("timestamp"), True
+        else:
+            now, small = from_epoch_millis(seen["ms"]), seen["n"] < MIN_HEAVY_ROWS
+        run_together(self.spark, *self._look_up(version, now, small), *self._meet_customers(version, small))
         self._enrich(version)
         self._sum(version)
 
     def _ingest(self, events: DataFrame, version: int) -> None:
-        routed = route_changes(events, self.specs.sources)
-        routed["orders"] = with_hour_partition(routed["orders"])
-        for table, changes in routed.items():
-            changes.write.mode("overwrite").parquet(self._raw_folder(table, version))
+        tables = route_changes(events, self.specs.sources)
+        tables["orders"] = with_hour_partition(tables["orders"])
+        writes = [partial(_replace, rows, self._raw_folder(name, version)) for name, rows in tables.items()]
         bad = quarantine(events, self.specs.sources)
-        bad.write.mode("overwrite").parquet(f"{self.path}/quarantine/v={version}")
+        run_together(self.spark, *writes, partial(_replace, bad, f"{self.path}/quarantine/v={version}"))
 
-    def _look_up(self, version: int, now_ms: int) -> None:
-        orders = self.raw("orders", version).filter(adds()).select("op", "commit_ts", "seq", *ORDER_COLUMNS)
-        facts = orders
+    def _look_up(self, version: int, now: Column, small: bool) -> list[Callable[[], None]]:
+        facts = self.raw("orders", version).filter(adds()).select("op", "commit_ts", "seq", *ORDER_COLUMNS)
         recent = self.raw("products", version)
         if version > 0:
             waiting = self._read_lookup(version - 1, resolved=False)
-            facts = orders.unionByName(waiting.select(*orders.columns))
+            facts = facts.unionByName(waiting.select(*facts.columns))
             recent = recent.unionByName(self._read_recent(version - 1))
         base = self.base_products.state(version - 1, facts.filter("product_id is not null").select("product_id"))
         versions = recent.unionByName(base.withColumn("op", F.lit(INSERT)))
-        now = from_epoch_millis(now_ms) if now_ms > -(2**62) else F.lit(None).cast("timestamp")
-        found = product_half(
-            facts, versions, retry_delay=self.delay, max_retries=self.retries, now=now, attempt="attempt"
-        )
         spent = F.coalesce(micros("commit_ts") + self.horizon <= micros(now), F.lit(False))
-        done = found.withColumn("resolved", F.col("attempt").isNotNull() | spent)
-        done.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("resolved").parquet(
-            f"{self.path}/lookup/v={version}"
-        )
-
         settled = F.coalesce(micros("commit_ts") <= micros(now) - self.horizon, F.lit(False))
-        recent.filter(~settled).write.mode("overwrite").parquet(f"{self.path}/recent_products/v={version}")
-        fallen = recent.filter(settled)
-        kept = fold_latest(fallen, self.specs.products, keep=("seq", "commit_ts"))
-        gone = fallen.select("product_id").distinct().join(kept, ["product_id"], "left_anti")
-        self.base_products.commit(version, kept, gone=gone)
 
-    def _enrich(self, version: int) -> None:
-        spec = self.specs.enriched
-        first = as_enriched_changes(self._read_lookup(version, resolved=True), spec)
-        changes = first.unionByName(as_enriched_changes(self._customer_half(version), spec))
-        old = self.enriched.state(version - 1, changes.select("order_id"))
-        earlier = old.withColumn("op", F.lit(INSERT)).withColumn("seq", F.lit(-1).cast("bigint"))
-        new = fold_partial_update(
-            earlier.unionByName(changes, allowMissingColumns=True), spec, keep_order=True
-        )
-        self.enriched.commit(version, new, old)
+        def look_up() -> None:
+            found = product_half(
+                facts,
+                versions,
+                retry_delay=self.delay,
+                max_retries=self.retries,
+                now=now,
+                attempt="attempt",
+                plan="walk" if small else "auto",
+            )
+            done = found.withColumn("resolved", F.col("attempt").isNotNull() | spent)
+            _replace(done, f"{self.path}/lookup/v={version}", "resolved")
+
+        def fold_settled() -> None:
+            base = self.base_products
+            base.commit(version, fold_images(recent.filter(settled), base.pk, base.values))
 
-    def _customer_half(self, version: int) -> DataFrame:
+        def keep_recent() -> None:
+            _replace(recent.filter(~settled), f"{self.path}/recent_products/v={version}")
+
+        return [look_up, fold_settled, keep_recent]
+
+    def _meet_customers(self, version: int, small: bool) -> list[Callable[[], None]]:
         """Names met by the orders that changed, and by all orders of customers that changed."""
         orders = self.raw("orders", version).select("op", "seq", "order_id", "customer_id")
         customers = self.raw("customers", version).select("op", "seq", "customer_id", "customer_name")
-
-        # Updates that keep the customer retract and add the same pair under one seq.
-        pair = TableSpec("orders_of", self.orders_of.schema, pk=("customer_id", "order_id"))
         owned = orders.filter(F.col("customer_id").isNotNull())
-        kept = fold_latest(owned, pair)
-        gone = owned.select(*pair.pk).distinct().join(kept, list(pair.pk), "left_anti")
+        light = () if small else None
 
-        held = self.orders_of.state(version - 1, customers.select("customer_id"))
-        self.orders_of.commit(version, kept, gone=gone)
-        moves = held.withColumn("op", F.lit(INSERT)).unionByName(orders.filter("op <> '-U'"))
-        spans = next_position(moves, ["order_id"], "_until").filter(adds())
+        def meet_names() -> None:
+            held = self.orders_of.state(version - 1, customers.select("customer_id"))
+            moves = held.withColumn("op", F.lit(INSERT)).unionByName(orders.filter("op <> '-U'"))
+            spans = next_position(moves, ["order_id"], "_until", heavy=light).filter(adds())
+            near = owned.select("customer_id").unionByName(customers.select("customer_id"))
+            known = self.customers.state(version - 1, near).withColumn("op", F.lit(INSERT))
+            named = known.unionByName(customers.filter("op <> '-U'"))
+            lives = next_position(named, ["customer_id"], "_gone", heavy=light).filter(adds())
+            met = meet(spans, lives, ["customer_id"], ["order_id"], ["customer_name"])
+            _replace(met, f"{self.path}/names/v={version}")
 
-        near = owned.select("customer_id").unionByName(customers.select("customer_id"))
-        known = self.customers.state(version - 1, near).withColumn("op", F.lit(INSERT))
-        named = known.unionByName(customers.filter("op <> '-U'"))
-        lives = next_position(named, ["customer_id"], "_gone").filter(adds())
-        met = meet(spans, lives, ["customer_id"], ["order_id"], ["customer_name"])
+        def move_orders() -> None:
+            log = self.orders_of
+            log.commit(version, fold_images(owned, log.pk, log.values))
 
-        current = fold_latest(customers, self.specs.customers, keep=("seq",))
-        removed = customers.select("customer_id").distinct().join(current, ["customer_id"], "left_anti")
-        self.customers.commit(version, current, gone=removed)
-        return met
+        def rename_customers() -> None:
+            log = self.customers
+            log.commit(version, fold_images(customers, log.pk, log.values))
+
+        return [meet_names, move_orders, rename_customers]
+
+    def _enrich(self, version: int) -> None:
+        spec = self.specs.enriched
+        names = self.spark.read.schema(self._name_schema).parquet(f"{self.path}/names/v={version}")
+        first = as_enriched_changes(self._read_lookup(version, resolved=True), spec)
+        changes = first.unionByName(as_enriched_changes(names, spec))
+        earlier = self._as_earlier(self.enriched, version, changes.select("order_id"))
+        merged = fold_partial_update(
+            earlier.unionByName(changes, allowMissingColumns=True), spec, keep_order=True, carry=("old",)
+        )
+        self.enriched.commit(version, merged.withColumn("new", self.enriched.image(merged)))
 
     def _sum(self, version: int) -> None:
         spec = self.specs.sales
         delta = fold_aggregation(self.enriched_changes(version).transform(sales_changes), spec)
-        old = self.sales.state(version - 1, delta.select(*spec.pk))
-        batch = delta.withColumn("op", F.lit(INSERT)).withColumn("seq", F.lit(0).cast("bigint"))
-        new = merge_aggregation(old, batch, spec)
-        self.sales.commit(version, new, old)
+        earlier = self._as_earlier(self.sales, version, delta.select(*spec.pk))
+        batch = delta.withColumn("op", F.lit(INSERT))
+        merged = fold_aggregation(earlier.unionByName(batch, allowMissingColumns=True), spec, carry=("old",))
+        self.sales.commit(version, merged.withColumn("new", self.sales.image(merged)))
+
+    def _as_earlier(self, log: KeyedLog, version: int, keys: DataFrame) -> DataFrame:
+        """The state before the batch as its oldest changes, each carrying its own image."""
+        state = log.state(version - 1, keys)
+        return state.withColumns(
+            {"op": F.lit(INSERT), "seq": F.lit(-1).cast("bigint"), "old": log.image(state)}
+        )
 
     # -- tables --------------------------------------------------------------
 
@@ -221,6 +240,13 @@ class RetailLayers:
         return self.spark.read.schema(schema).parquet(f"{self.path}/recent_products/v={version}")
 
 
+def _replace(rows: DataFrame, folder: str, *partition_by: str) -> None:
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(folder)
+
+
 def start_layers(
     events: DataFrame, layers: RetailLayers, checkpoint: str, name: str = "retail-layers", **trigger
 ) -> StreamingQuery:
