@@ -31,7 +31,7 @@ def join_changes(
     """Changelog of an inner join, from two states and the net changes of a batch.
 
     ``right`` is keyed by ``on``. Only rows of join keys that a change mentions are
-    joined, once before and once after the batch.
+    joined, once before and once after the batch; the rest drops out in the join itself.
     """
     on = list(on)
     touched = left_changes.select(*on).unionByName(right_changes.select(*on)).distinct()
@@ -40,7 +40,7 @@ def join_changes(
 
     def joined(facts: DataFrame, dim: DataFrame) -> DataFrame:
         near = dim.join(touched, on, "left_semi")
-        return spread_join(facts.join(touched, on, "left_semi"), near, on, "inner")
+        return spread_join(facts, near, on, "inner")
 
     return diff_states(joined(left, right), joined(left_now, right_now), left_pk)
 

@@ -253,6 +253,17 @@ WHERE s.total IS DISTINCT FROM f.total OR s.hour_start IS NULL"""
     millis = _with(_ORD, _PRD, _CUS, _LATEST_CUS, _lookup(3, "millisecond"))
     sql["layered_dwd"] = millis + _ENRICHED
     sql["layered_dws"] = millis.rstrip() + ",\n" + _SALES + "\nSELECT * FROM sales"
+    moved = """moved AS (
+  SELECT f.customer_id AS order_id, arg_max(f.product_id, f.order_id) AS product_id, f.customer_id,
+         max(f.ts) AS purchase_timestamp,
+         arg_max(f.product_name, f.order_id) FILTER (WHERE f.attempt IS NOT NULL) AS product_name,
+         arg_max(f.sale_price, f.order_id) FILTER (WHERE f.attempt IS NOT NULL) AS sale_price
+  FROM found f GROUP BY f.customer_id),
+named AS (SELECT m.*, c.customer_name FROM moved m LEFT JOIN latest_cus c ON c.customer_id = m.customer_id)"""
+    sql["layered_reorders_dwd"] = millis.rstrip() + ",\n" + moved + "\nSELECT * FROM named"
+    sql["layered_reorders_dws"] = millis.rstrip() + ",\n" + moved + """
+SELECT product_id, CAST(hour(purchase_timestamp) AS BIGINT) AS hh, CAST(sum(sale_price) AS BIGINT) AS sales,
+       count(*) AS live_rows FROM named GROUP BY ALL"""
     sql["enriched_orders_batch"] = exact + _ENRICHED
     sql["product_sales_by_hour"] = exact.rstrip() + ",\n" + _SALES + "\nSELECT * FROM sales"
     sql["stream_vs_batch_gap"] = exact.rstrip() + ",\n" + ",\n".join((_SALES, _LATEST_PRD, _BATCH_SALES)) + """

@@ -571,10 +571,10 @@ def _closed(spark: SparkSession, totals: DataFrame) -> DataFrame:
     return totals.select(_plain("hour_start"), "event_type", "total", "n")
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> tuple[RetailLayers, int]:
-    """The layers run over the records of the whole month, arriving in shards."""
+def _layers(spark: SparkSession, events: DataFrame) -> tuple[RetailLayers, int]:
+    """The layers run over records that arrive in shards; the last one ends all waiting."""
     folder = scratch_dir(spark, "layers")
-    rows = tables.shard_by_time(tables.wire_events(spark, sf_dir), SHARDS)
+    rows = tables.shard_by_time(events, SHARDS)
     layers = RetailLayers(
         spark, f"{folder}/tables", SPECS, retry_delay=RETRY_DELAY, max_retries=MAX_RETRIES, buckets=8
     )
@@ -592,16 +592,30 @@ def _layers(spark: SparkSession, sf_dir: str) -> tuple[RetailLayers, int]:
 
 @query
 def layered_dwd(spark, sf_dir):
-    layers, last = _layers(spark, sf_dir)
+    layers, last = _layers(spark, tables.wire_events(spark, sf_dir))
     return layers.enriched_table(last)
 
 
 @query
 def layered_dws(spark, sf_dir):
-    layers, last = _layers(spark, sf_dir)
+    layers, last = _layers(spark, tables.wire_events(spark, sf_dir))
     return layers.sales_table(last).select("product_id", "hh", "sales")
 
 
+@query
+def layered_reorders_dwd(spark, sf_dir):
+    """Orders that move between products, hours and prices again and again."""
+    layers, last = _layers(spark, tables.reorder_records(spark, sf_dir))
+    return layers.enriched_table(last)
+
+
+@query
+def layered_reorders_dws(spark, sf_dir):
+    """Their sales, after all retractions; keys no order is left in are not shown."""
+    layers, last = _layers(spark, tables.reorder_records(spark, sf_dir))
+    return layers.sales_table(last).filter(F.col(merge.LIVE) > 0)
+
+
 def _enriched_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched_orders(
         tables.order_changes(spark, sf_dir),

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rowkind import DELETE, INSERT, UPDATE_AFTER
 from tidemark.functions.temporal import micros
-from tidemark.operators.skew import spread_join
+from tidemark.operators.skew import last_before, spread_join
 from tidemark.plans.retail import retail_specs
-from tidemark.sources.envelope import CREATE, HEARTBEAT, REMOVE, TIMESTAMP_TEXT
+from tidemark.sources.envelope import CREATE, HEARTBEAT, REMOVE, TIMESTAMP_TEXT, UPDATE
 from tidemark.specs import TableSpec
 
 SPECS = retail_specs("bigint")
@@ -129,6 +129,21 @@ def _records(changes: DataFrame, table: str, columns: list[str]) -> DataFrame:
     return changes.select(F.col("commit_ts").alias("ts"), "seq", text.alias("value"))
 
 
+def reorder_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``wire_events``, but each user has one order, which every purchase changes."""
+    placed = order_changes(spark, sf_dir).withColumn("order_id", F.col("customer_id"))
+    image = F.struct(*[c for c in SPECS.orders.columns if c in placed.columns])
+    updates = last_before(placed.withColumn("after", image), ["order_id"], "seq", "after", "before")
+    op = F.when(F.col("before").isNull(), CREATE).otherwise(UPDATE)
+    record = F.struct(op.alias("op"), "before", "after", provenance(F.lit("orders")).alias("source"))
+    text = F.to_json(record, {"timestampFormat": TIMESTAMP_TEXT})
+    return (
+        updates.select(F.col("commit_ts").alias("ts"), "seq", text.alias("value"))
+        .unionByName(_records(product_changes(spark, sf_dir), "products", SPECS.products.columns))
+        .unionByName(_records(customer_changes(spark, sf_dir), "customers", SPECS.customers.columns))
+    )
+
+
 def provenance(table: Column) -> Column:
     return F.struct(
         F.lit("shop").alias("db"),

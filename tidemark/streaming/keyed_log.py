@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.operators.changes import expand_pairs
+from tidemark.operators.skew import spread_join
 
 # With fewer buckets a batch touches most of them, and asking which costs a job.
 PRUNE_FROM = 32
@@ -56,11 +57,13 @@ class KeyedLog:
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
-    def state(self, version: int, keys: DataFrame | None = None) -> DataFrame:
+    def state(self, version: int, keys: DataFrame | None = None, few_keys: bool = False) -> DataFrame:
         """Rows after batch ``version``; only those matching ``keys`` when given.
 
         ``keys`` holds some of the key columns, the bucketing ones among them. Where there
-        are many buckets, only those the keys fall into are read.
+        are many buckets, only those the keys fall into are read. Part of a key may match
+        very many rows: ``few_keys`` says that the caller has counted the keys and they
+        may be broadcast; otherwise they are measured, and the frequent ones spread.
         """
         if version < 0:
             return self.spark.createDataFrame([], self.schema)
@@ -77,7 +80,12 @@ class KeyedLog:
             if self.buckets >= PRUNE_FROM:
                 near = keys.select(self.bucket().alias("bucket")).distinct().collect()
                 rows = rows.filter(F.col("bucket").isin([r["bucket"] for r in near]))
-            rows = rows.join(keys, names, "left_semi")
+            if len(names) == len(self.pk):
+                rows = rows.join(keys, names, "left_semi")
+            elif few_keys:
+                rows = rows.join(F.broadcast(keys), names, "left_semi")
+            else:
+                rows = spread_join(rows, keys, names, "inner")
         last = rows.groupBy(*self.pk).agg(F.max_by(F.struct("new"), F.col("v")).alias("last"))
         return last.filter(F.col("last.new").isNotNull()).select(*self.pk, "last.new.*").select(*self.columns)
 

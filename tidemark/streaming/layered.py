@@ -160,7 +160,7 @@ class RetailLayers:
         light = () if small else None
 
         def meet_names() -> None:
-            held = self.orders_of.state(version - 1, customers.select("customer_id"))
+            held = self.orders_of.state(version - 1, customers.select("customer_id"), few_keys=small)
             moves = held.withColumn("op", F.lit(INSERT)).unionByName(orders.filter("op <> '-U'"))
             spans = next_position(moves, ["order_id"], "_until", heavy=light).filter(adds())
             near = owned.select("customer_id").unionByName(customers.select("customer_id"))
