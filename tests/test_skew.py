@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.changes import changelog_of
 from tidemark.operators.lookup import lookup_as_of
-from tidemark.operators.skew import fits_broadcast, heavy_keys, last_before, plan_cells, spread_join
+from tidemark.operators import lookup
+from tidemark.operators.skew import Cells, fits_broadcast, heavy_keys, last_before, profile, spread_join
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -55,10 +56,11 @@ def brute_force(spark, delay, tries):
 
 
 @pytest.mark.parametrize("tries", [0, 3])
-@pytest.mark.parametrize("plan", ["broadcast", "walk", "heavy"])
-def test_lookup_plans_agree_with_brute_force(spark, plan, tries, request):
-    if plan == "heavy":
+@pytest.mark.parametrize("plan", ["broadcast", "walk", "cells", "attempts"])
+def test_lookup_plans_agree_with_brute_force(spark, plan, tries, request, monkeypatch):
+    if plan in ("cells", "attempts"):
         request.getfixturevalue("split_everything")
+        monkeypatch.setattr(lookup, "MAX_REPEATS", 1000 if plan == "cells" else 0)
     found = lookup_as_of(
         facts(spark), versions(spark), ["k"], "at", ["name"],
         retry_delay="200 seconds", max_retries=tries, attempt="attempt",
@@ -102,7 +104,7 @@ def test_small_data_has_no_heavy_keys(spark):
 
 def test_cells_hold_similar_shares(spark):
     df = spark.range(10_000).select(F.lit(1).alias("k"), "id", F.lit(None).cast("int").alias("p"))
-    cells = plan_cells(df, "id", 16)
+    cells = profile(df, ["k"], "id", parts=16).cells()
     sizes = [r["count"] for r in cells.assign(df, "id", F.lit(True), F.lit(True)).groupBy("_cell").count().collect()]
     assert len(sizes) == 16
     assert max(sizes) < 2 * 10_000 / 16
@@ -110,7 +112,7 @@ def test_cells_hold_similar_shares(spark):
 
 def test_one_instant_is_dealt_over_cells(spark):
     df = spark.range(10_000).select(F.lit(1).alias("k"), F.col("id").alias("row"), F.lit(7).cast("bigint").alias("id"))
-    cells = plan_cells(df, "id", 16)
+    cells = profile(df, ["k"], "id", parts=16).cells()
     sizes = [r["count"] for r in cells.assign(df, "id", F.lit(True), F.lit(True)).groupBy("_cell").count().collect()]
     assert max(sizes) < 2 * 10_000 / 15
 
@@ -151,3 +153,11 @@ def test_broadcast_limit_is_measured(spark):
     df = spark.range(1000).withColumn("text", F.repeat(F.lit("x"), 100))
     assert fits_broadcast(df, 1_000_000)
     assert not fits_broadcast(df, 50_000)
+
+
+def test_cells_within_a_distance():
+    cells = Cells.between([10, 20, 20, 20, 30, 90])
+    assert cells.count == 1 + 1 + 4 + 1 + 1 + 1
+    assert cells.most_within(0) == 5
+    assert cells.most_within(1) == 6
+    assert cells.most_within(1000) == cells.count

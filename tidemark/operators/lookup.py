@@ -11,13 +11,15 @@ from tidemark.functions.rowkind import UPDATE_BEFORE, adds, byte_size
 from tidemark.functions.temporal import interval_micros, micros
 from tidemark.operators.skew import (
     BROADCAST_BYTES,
-    fair_parts,
-    heavy_keys,
+    Profile,
+    carry_over,
     is_heavy,
     last_before,
+    profile,
 )
 
 BROADCAST_VERSIONS_PER_KEY = 32
+MAX_REPEATS = 4
 
 
 def lookup_as_of(
@@ -49,8 +51,11 @@ def lookup_as_of(
     * ``walk``: facts and versions share one shuffle and one sort on (key, time).
       All attempts are range frames over that same sort, each ending one retry delay
       later than the one before.
-    * heavy keys of a walk are cut along time (see ``last_before``); their attempts
-      become rows of their own, since a cell does not see what lies after it.
+
+    A walk cuts heavy keys into cells of time. The version in force enters each cell as
+    its first row, and versions that only a retry can see are repeated in the cells
+    before them. Where the retries reach over many cells, the attempts of heavy keys
+    become rows of their own instead.
     """
     if plan not in ("auto", "broadcast", "walk"):
         raise ValueError(f"unknown plan {plan!r}")
@@ -69,10 +74,25 @@ def lookup_as_of(
     probes = facts.withColumn("_t", micros(at))
     limit = micros(now) if now is not None else None
 
-    if plan == "broadcast" or (plan == "auto" and _few_versions(history, on)):
+    seen = None
+    if plan != "broadcast":
+        seen = _measure(probes, history, on, parts)
+        few = seen.largest_group <= BROADCAST_VERSIONS_PER_KEY and seen.extra["bytes"] <= BROADCAST_BYTES
+        if plan == "auto" and few:
+            plan = "broadcast"
+    if plan == "broadcast":
         found = _broadcast_lookup(probes, history, on, delay, tries, limit)
+    elif not seen.heavy:
+        found = _walk_lookup(probes, history, on, delay, tries, limit)
+    elif not tries or seen.cells().most_within(delay * tries) <= MAX_REPEATS:
+        found = _celled_lookup(probes, history, on, delay, tries, limit, seen)
     else:
-        found = _walk_lookup(probes, history, on, row_id, delay, tries, limit, parts)
+        hot = is_heavy(on, seen.heavy)
+        light = _walk_lookup(probes.filter(~hot), history.filter(~hot), on, delay, tries, limit)
+        split = _attempt_lookup(
+            probes.filter(hot), history.filter(hot), on, row_id, delay, tries, limit, seen.heavy, parts
+        )
+        found = light.unionByName(split)
     out = [F.col(f"_hit.version.{v}").alias(v) for v in values]
     if attempt:
         out.append(F.col("_hit.attempt").alias(attempt))
@@ -86,11 +106,14 @@ def _all_present(columns: list[str]) -> Column:
     return cond
 
 
-def _few_versions(history: DataFrame, on: list[str]) -> bool:
+def _measure(probes: DataFrame, history: DataFrame, on: list[str], parts: int | None) -> Profile:
+    """One pass over the keys and times of both sides, and the bytes of the versions."""
     size = byte_size(history.schema, ["_version", *on])
-    per_key = history.groupBy(*on).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b"))
-    row = per_key.agg(F.max("n").alias("n"), F.sum("b").alias("b")).first()
-    return (row["n"] or 0) <= BROADCAST_VERSIONS_PER_KEY and (row["b"] or 0) <= BROADCAST_BYTES
+    both = probes.select(*on, "_t", F.lit(0).alias("_bytes")).unionByName(
+        history.select(*on, F.col("_version.t").alias("_t"), size.alias("_bytes"))
+    )
+    total = F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes")
+    return profile(both, on, "_t", parts=parts, group_filter="_bytes > 0", extra=[total])
 
 
 def _first_hit(seen: list[Column], delay: int, limit: Column | None) -> Column:
@@ -104,7 +127,7 @@ def _first_hit(seen: list[Column], delay: int, limit: Column | None) -> Column:
 
 
 def _broadcast_lookup(probes, history, on, delay, tries, limit) -> DataFrame:
-    # One bounded array per key: _few_versions measured both its length and the total.
+    # One bounded array per key: its length and the total were measured.
     kept = history.groupBy(*on).agg(F.collect_list("_version").alias("_versions"))
     joined = probes.join(F.broadcast(kept), on, "left")
 
@@ -115,29 +138,15 @@ def _broadcast_lookup(probes, history, on, delay, tries, limit) -> DataFrame:
     return joined.withColumn("_hit", _first_hit([seen(k) for k in range(tries + 1)], delay, limit))
 
 
-def _walk_lookup(probes, history, on, row_id, delay, tries, limit, parts) -> DataFrame:
-    parts = parts or fair_parts(probes.sparkSession)
-    heavy = heavy_keys(probes.select(*on).unionByName(history.select(*on)), on, parts)
-    hot = is_heavy(on, heavy)
-    light = _light_walk(
-        probes.filter(~hot) if heavy else probes,
-        history.filter(~hot) if heavy else history,
-        on, delay, tries, limit,
-    )
-    if not heavy:
-        return light
-    split = _heavy_walk(
-        probes.filter(hot), history.filter(hot), on, row_id, delay, tries, limit, heavy, parts
-    )
-    return light.unionByName(split)
-
-
-def _light_walk(probes, history, on, delay, tries, limit) -> DataFrame:
-    columns = probes.columns
+def _walk_lookup(probes, history, on, delay, tries, limit) -> DataFrame:
     rows = probes.withColumn("_fact", F.lit(True)).unionByName(
         history.select(*on, "_version", F.col("_version.t").alias("_t")), allowMissingColumns=True
     )
-    by_time = Window.partitionBy(*on).orderBy("_t")
+    return _walk(rows, probes.columns, on, delay, tries, limit)
+
+
+def _walk(rows, columns, group, delay, tries, limit) -> DataFrame:
+    by_time = Window.partitionBy(*group).orderBy("_t")
     seen = {
         f"_seen{k}": F.max("_version").over(by_time.rangeBetween(Window.unboundedPreceding, k * delay))
         for k in range(tries + 1)
@@ -147,28 +156,50 @@ def _light_walk(probes, history, on, delay, tries, limit) -> DataFrame:
     return walked.select(*columns, hit.alias("_hit"))
 
 
-def _heavy_walk(probes, history, on, row_id, delay, tries, limit, heavy, parts) -> DataFrame:
+def _celled_lookup(probes, history, on, delay, tries, limit, seen) -> DataFrame:
+    cells, hot = seen.cells(), is_heavy(on, seen.heavy)
+    reads = cells.assign(probes, "_t", F.lit(True), hot).withColumn("_fact", F.lit(True))
+    versions = history.withColumn("_t", F.col("_version.t"))
+    own = cells.assign(versions, "_t", F.lit(False), hot)
+    tails = own.filter("_cell >= 0").groupBy(*on, "_cell").agg(F.max("_version").alias("_version"))
+    carried = carry_over(tails, on, "_version", cells)
+    if tries:
+        early = own.withColumn("_early", F.col("_t") - delay * tries)
+        early = cells.assign(early, "_early", F.lit(False), hot, "_first")
+        own = early.withColumn("_cell", F.explode(F.sequence("_first", "_cell"))).drop("_first", "_early")
+    rows = (
+        reads.unionByName(own, allowMissingColumns=True)
+        .unionByName(carried, allowMissingColumns=True)
+        .repartition(*on, "_cell")
+    )
+    return _walk(rows, probes.columns, [*on, "_cell"], delay, tries, limit)
+
+
+def _attempt_lookup(probes, history, on, row_id, delay, tries, limit, heavy, parts) -> DataFrame:
+    """Each attempt as a row of its own; only the first carries the columns of the fact."""
     columns = probes.columns
+    rest = [c for c in columns if c not in row_id]
     writers = history.select(
-        *on, "_version", F.col("_version.t").alias("_t"), F.col("_version.s").alias("_s")
+        *on, "_version", F.col("_version.t").alias("_at"), F.col("_version.s").alias("_s")
+    )
+    reads = probes.withColumn("_attempt", F.explode(F.sequence(F.lit(0), F.lit(tries))))
+    reads = reads.select(
+        *row_id,
+        *[c for c in on if c not in row_id],
+        F.when(F.col("_attempt") == 0, F.struct(*rest)).alias("_row"),
+        "_attempt",
+        (F.col("_t") + F.col("_attempt") * delay).alias("_at"),
     )
-    reads = probes if tries == 0 else probes.select(*on, *[c for c in row_id if c not in on], "_t")
-    reads = reads.withColumn("_attempt", F.explode(F.sequence(F.lit(0), F.lit(tries))))
-    reads = reads.withColumn("_t", F.col("_t") + F.col("_attempt") * F.lit(delay))
     if limit is not None:
-        reads = reads.filter((F.col("_attempt") == 0) | (F.col("_t") <= limit))
+        reads = reads.filter((F.col("_attempt") == 0) | (F.col("_at") <= limit))
     # Readers sort after every writer of the same instant.
     rows = reads.withColumn("_s", F.lit(2**63 - 1)).unionByName(writers, allowMissingColumns=True)
     walked = last_before(
-        rows, on, "_t", "_version", "_seen", ties=["_s"], heavy=heavy, parts=parts
+        rows, on, "_at", "_version", "_seen", ties=["_s"], heavy=heavy, parts=parts
     ).filter(F.col("_attempt").isNotNull())
     hit = F.struct(F.col("_attempt").alias("attempt"), F.col("_seen").alias("version"))
-    hit = F.when(F.col("_seen.alive"), hit)
-    if tries == 0:
-        return walked.select(*columns, hit.alias("_hit"))
-    best = (
-        walked.withColumn("_hit", hit)
-        .groupBy(*row_id)
-        .agg(F.min(F.when(F.col("_seen.alive"), F.col("_hit"))).alias("_hit"))
+    best = walked.groupBy(*row_id).agg(
+        F.first("_row", ignorenulls=True).alias("_row"),
+        F.min(F.when(F.col("_seen.alive"), hit)).alias("_hit"),
     )
-    return probes.join(best, row_id, "left").select(*columns, "_hit")
+    return best.select(*row_id, "_row.*", "_hit").select(*columns, "_hit")

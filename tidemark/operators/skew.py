@@ -9,6 +9,7 @@ size of the data. Light keys take the plain plan.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -32,21 +33,134 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> list[int]:
-    """Hashes of the heavy keys, found in one pass with a mergeable sketch.
+@dataclass(frozen=True)
+class Cells:
+    """Consecutive stretches of an order column holding about equally many rows.
+
+    A value so frequent that it fills several stretches gets ``spread`` extra cells
+    after the one of its writers; rows that only read are dealt over them.
+    """
+
+    splits: list[float]
+    base: list[int]
+    spread: list[int]
+    count: int
+
+    @classmethod
+    def between(cls, marks: Sequence[int]) -> Cells:
+        """Cells cut at ``marks``, the even quantiles of the order column."""
+        splits, spread = [-math.inf], [0]
+        for value, times in sorted(Counter(marks).items()):
+            low = float(value)
+            if low > splits[-1]:
+                splits.append(low)
+                spread.append(times if times > 1 else 0)
+            if times > 1:
+                splits.append(math.nextafter(low, math.inf))
+                spread.append(0)
+        splits.append(math.inf)
+        base, total = [], 0
+        for width in spread:
+            base.append(total)
+            total += 1 + width
+        return cls(splits, base, spread, total)
+
+    def most_within(self, distance: float) -> int:
+        """The most cells from that of ``x - distance`` to that of ``x``, both included."""
+        widest, low = 1, 0
+        for high in range(len(self.base)):
+            while low < high and self.splits[high] - self.splits[low + 1] > distance:
+                low += 1
+            widest = max(widest, self.base[high] - self.base[low] + 1)
+        return widest
+
+    def assign(self, df: DataFrame, order: str, reads: Column, heavy: Column, output: str = "_cell") -> DataFrame:
+        """Adds the cell number, or -1 for light keys."""
+        data = df.columns
+        cut = Bucketizer(splits=self.splits, inputCol="_pos", outputCol="_stretch")
+        df = cut.transform(df.withColumn("_pos", F.col(order).cast("double")))
+        stretch = F.col("_stretch").cast("int")
+        cell = stretch
+        if any(self.spread):
+            width = F.lit(self.spread)[stretch]
+            turn = F.when(
+                reads & (width > 0), 1 + F.pmod(F.xxhash64(*data), width)
+            ).otherwise(F.lit(0))
+            cell = (F.lit(self.base)[stretch] + turn).cast("int")
+        return df.withColumn(output, F.when(heavy, cell).otherwise(F.lit(-1))).drop("_pos", "_stretch")
+
+
+def carry_over(tails: DataFrame, keys: Sequence[str], tail: str, cells: Cells) -> DataFrame:
+    """From the last payload of each cell, what enters every later cell up to the next writing one.
+
+    ``tails`` has one row per heavy key and writing cell, so a key gives at most as many
+    rows as there are cells.
+    """
+    along = Window.partitionBy(*keys).orderBy("_cell")
+    until = F.coalesce(F.lead("_cell").over(along), F.lit(cells.count - 1))
+    return (
+        tails.withColumn("_until", until)
+        .filter(F.col("_cell") < F.col("_until"))
+        .select(*keys, tail, F.explode(F.sequence(F.col("_cell") + 1, F.col("_until"))).alias("_cell"))
+    )
+
+
+@dataclass(frozen=True)
+class Profile:
+    """What one pass over a set of rows tells about its keys and its order column."""
+
+    rows: int
+    heavy: list[int]
+    marks: list[int]
+    largest_group: int
+    extra: dict[str, object]
+
+    def cells(self) -> Cells:
+        return Cells.between(self.marks)
 
-    Keys with few rows (``tidemark.heavy.minRows``) are never heavy. Two keys sharing a
-    hash only means that a light key is split as well.
+
+def profile(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str | None = None,
+    *,
+    parts: int | None = None,
+    group_filter: str = "true",
+    extra: Sequence[Column] = (),
+) -> Profile:
+    """Counts rows, finds heavy keys with a mergeable sketch and cuts ``order`` into even shares.
+
+    Keys with few rows (``tidemark.heavy.minRows``) are never heavy. ``largest_group`` is
+    an upper estimate of the most rows one key has among those of ``group_filter``.
+    Keys are known by their hash: two sharing one only means that a light key is split too.
     """
     parts = parts or fair_parts(df.sparkSession)
     least = int(df.sparkSession.conf.get(MIN_HEAVY_ROWS_CONF, str(MIN_HEAVY_ROWS)))
     tracked = min(_MAX_TRACKED, max(10_000, 16 * parts))
-    row = (
-        df.select(key_hash(keys).alias("h"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {parts}, {tracked})").alias("top"))
-        .first()
+    shares = [i / parts for i in range(1, parts)]
+    aggs = [
+        F.count(F.lit(1)).alias("_n"),
+        F.expr(f"approx_top_k(_h, {parts}, {tracked})").alias("_top"),
+        F.expr(f"approx_top_k(_h, 1, {tracked}) filter (where {group_filter})").alias("_largest"),
+        *extra,
+    ]
+    if order and shares:
+        aggs.append(F.percentile_approx(order, shares, F.lit(max(1_000, 20 * parts))).alias("_marks"))
+    row = df.withColumn("_h", key_hash(keys)).agg(*aggs).first().asDict()
+    heavy = [t["item"] for t in row["_top"] or [] if t["count"] > max(least, row["_n"] / parts)]
+    largest = row["_largest"] or []
+    return Profile(
+        rows=row["_n"],
+        heavy=heavy,
+        marks=row.get("_marks") or [],
+        largest_group=largest[0]["count"] if largest else 0,
+        extra={k: v for k, v in row.items() if not k.startswith("_")},
     )
-    return [t["item"] for t in row["top"] or [] if t["count"] > max(least, row["n"] / parts)]
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> list[int]:
+    """Hashes of the heavy keys."""
+    return profile(df.select(*keys), keys, parts=parts).heavy
 
 
 def is_heavy(keys: Sequence[str], heavy: Sequence[int]) -> Column:
@@ -92,57 +206,6 @@ def spread_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-@dataclass(frozen=True)
-class Cells:
-    """Consecutive stretches of an order column holding about equally many rows.
-
-    A value so frequent that it fills several stretches gets ``spread`` extra cells
-    after the one of its writers; rows that only read are dealt over them.
-    """
-
-    splits: list[float]
-    base: list[int]
-    spread: list[int]
-    count: int
-
-    def assign(self, df: DataFrame, order: str, reads: Column, heavy: Column) -> DataFrame:
-        """Adds ``_cell``: the cell number, or -1 for light keys."""
-        data = df.columns
-        cut = Bucketizer(splits=self.splits, inputCol="_pos", outputCol="_stretch")
-        df = cut.transform(df.withColumn("_pos", F.col(order).cast("double")))
-        stretch = F.col("_stretch").cast("int")
-        cell = stretch
-        if any(self.spread):
-            width = F.lit(self.spread)[stretch]
-            turn = F.when(
-                reads & (width > 0), 1 + F.pmod(F.xxhash64(*data), width)
-            ).otherwise(F.lit(0))
-            cell = (F.lit(self.base)[stretch] + turn).cast("int")
-        return df.withColumn("_cell", F.when(heavy, cell).otherwise(F.lit(-1))).drop("_pos", "_stretch")
-
-
-def plan_cells(df: DataFrame, order: str, parts: int) -> Cells:
-    """Cells from approximate quantiles of ``order`` over the rows of ``df``."""
-    marks = [i / parts for i in range(1, parts)]
-    found = df.agg(F.percentile_approx(order, marks, F.lit(max(10_000, 20 * parts))).alias("q")).first()["q"]
-    splits, spread = [-math.inf], [0]
-    for value in sorted(set(found or [])):
-        times = found.count(value)
-        low = float(value)
-        if low > splits[-1]:
-            splits.append(low)
-            spread.append(times if times > 1 else 0)
-        if times > 1:
-            splits.append(math.nextafter(low, math.inf))
-            spread.append(0)
-    splits.append(math.inf)
-    base, total = [], 0
-    for width in spread:
-        base.append(total)
-        total += 1 + width
-    return Cells(splits, base, spread, total)
-
-
 def last_before(
     df: DataFrame,
     keys: Sequence[str],
@@ -164,9 +227,10 @@ def last_before(
     writing one as an extra first row, so each cell can be walked on its own.
     """
     keys, ties = list(keys), list(ties)
-    parts = parts or fair_parts(df.sparkSession)
+    found = None
     if heavy is None:
-        heavy = heavy_keys(df, keys, parts)
+        found = profile(df.select(*keys, order), keys, order, parts=parts)
+        heavy = found.heavy
     ordering = [F.col(order).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in ties]]
     frame = (Window.unboundedPreceding, -1)
     if not heavy:
@@ -175,21 +239,14 @@ def last_before(
 
     columns = df.columns
     hot = is_heavy(keys, heavy)
-    cells = plan_cells(df.filter(hot), order, parts)
+    cells = (found or profile(df.select(*keys, order), keys, order, parts=parts)).cells()
     rows = cells.assign(df, order, F.col(payload).isNull(), hot)
     tails = (
         rows.filter((F.col("_cell") >= 0) & F.col(payload).isNotNull())
         .groupBy(*keys, "_cell")
-        .agg(F.max_by(payload, F.struct(order, *ties)).alias("_tail"))
-    )
-    along = Window.partitionBy(*keys).orderBy("_cell")
-    until = F.coalesce(F.lead("_cell").over(along), F.lit(cells.count - 1))
-    carried = (
-        tails.withColumn("_until", until)
-        .filter(F.col("_cell") < F.col("_until"))
-        .withColumn("_cell", F.explode(F.sequence(F.col("_cell") + 1, F.col("_until"))))
-        .select(*keys, "_cell", F.col("_tail").alias(payload), F.lit(True).alias("_carried"))
+        .agg(F.max_by(payload, F.struct(order, *ties)).alias(payload))
     )
+    carried = carry_over(tails, keys, payload, cells).withColumn("_carried", F.lit(True))
     walk = Window.partitionBy(*keys, "_cell").orderBy(*ordering).rowsBetween(*frame)
     return (
         rows.withColumn("_carried", F.lit(False))
