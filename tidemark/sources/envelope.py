@@ -34,6 +34,22 @@ def source_table(value: str | Column = "value") -> Column:
     return F.get_json_object(value, "$.source.table")
 
 
+def tag_events(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Records with their source table, time and readability, all from one parse.
+
+    What follows filters on these columns, so records are routed without being parsed
+    again for every table.
+    """
+    layout = f"op string, source struct<table:string,ts_ms:bigint>, {_CORRUPT} string"
+    head = F.from_json(value, layout, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    return raw.select(F.col(value).alias("value"), head.alias("h")).select(
+        "value",
+        F.col("h.source.table").alias("source_table"),
+        F.col("h.source.ts_ms").alias("ts_ms"),
+        (F.col(f"h.{_CORRUPT}").isNull() & F.col("h.op").isNotNull()).alias("readable"),
+    )
+
+
 def parse_envelope(raw: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """Records as typed columns; ``_corrupt`` holds the text of those that do not parse."""
     image = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in schema.fields)
@@ -77,10 +93,13 @@ def decode_changes(raw: DataFrame, spec: TableSpec, value: str = "value") -> Dat
 
 
 def route_changes(raw: DataFrame, specs: Mapping[str, TableSpec], value: str = "value") -> dict[str, DataFrame]:
-    """One changelog per declared source table. Keys of ``specs`` are source table names."""
-    routed = raw.withColumn("_table", source_table(value))
+    """One changelog per declared source table. Keys of ``specs`` are source table names.
+
+    ``raw`` holds records as text, or already tagged ones.
+    """
+    tagged = _tagged(raw, value)
     return {
-        table: decode_changes(routed.filter(F.col("_table") == table), spec, value)
+        table: decode_changes(tagged.filter(F.col("source_table") == table), spec)
         for table, spec in specs.items()
     }
 
@@ -91,32 +110,37 @@ def quarantine(raw: DataFrame, specs: Mapping[str, TableSpec], value: str = "val
     A record without a declared table would otherwise vanish. Heartbeats only move
     time forward and are not reported.
     """
-    table = source_table(value)
-    broken = F.get_json_object(value, "$.op").isNull()
-    unrouted = (
-        raw.select(F.col(value).alias("value"), table.alias("table"), broken.alias("_broken"))
-        .filter(~F.col("table").eqNullSafe(HEARTBEAT))
-        .filter(F.col("_broken") | F.col("table").isNull() | ~F.col("table").isin(*specs))
-        .withColumn("reason", F.when(F.col("_broken") | F.col("table").isNull(), "malformed").otherwise("unknown table"))
-        .select("value", "table", "reason")
-    )
+    tagged = _tagged(raw, value)
+    known = F.coalesce(F.col("source_table").isin(*specs), F.lit(False)) & F.col("readable")
+    lost = F.col("source_table").isNull() | ~F.col("readable")
+    reason = F.when(lost, "malformed").otherwise("unknown table")
+    beats = F.col("source_table").eqNullSafe(HEARTBEAT)
+    bad = tagged.filter(~known & ~beats).select("value", F.col("source_table").alias("table"), reason.alias("reason"))
     for name, spec in specs.items():
-        rows = raw.filter((table == name) & ~broken)
-        parsed = parse_envelope(rows, source_schema(spec), value)
-        image = F.when(F.col("op") == REMOVE, F.col("before")).otherwise(F.col("after"))
-        no_key = F.lit(False)
-        for c in spec.pk:
-            if c in source_schema(spec).names:
-                no_key = no_key | image[c].isNull()
-        reason = (
-            F.when(F.col(_CORRUPT).isNotNull(), "malformed")
-            .when(~F.col("op").isin(CREATE, READ, UPDATE, REMOVE), "unknown operation")
-            .when(image.isNull(), "no row image")
-            .when(no_key, "null key")
-        )
-        bad = parsed.select("value", F.lit(name).alias("table"), reason.alias("reason"))
-        unrouted = unrouted.unionByName(bad.filter(F.col("reason").isNotNull()))
-    return unrouted
+        rows = tagged.filter((F.col("source_table") == name) & F.col("readable"))
+        found = _refused(parse_envelope(rows, source_schema(spec)), spec)
+        bad = bad.unionByName(found.select("value", F.lit(name).alias("table"), "reason"))
+    return bad
+
+
+def _tagged(raw: DataFrame, value: str) -> DataFrame:
+    return raw if "source_table" in raw.columns else tag_events(raw, value)
+
+
+def _refused(parsed: DataFrame, spec: TableSpec) -> DataFrame:
+    """Records of one table that give no usable row, with the ``reason``."""
+    image = F.when(F.col("op") == REMOVE, F.col("before")).otherwise(F.col("after"))
+    no_key = F.lit(False)
+    for c in spec.pk:
+        if c not in spec.partition_by:
+            no_key = no_key | image[c].isNull()
+    reason = (
+        F.when(F.col(_CORRUPT).isNotNull(), "malformed")
+        .when(~F.col("op").isin(CREATE, READ, UPDATE, REMOVE), "unknown operation")
+        .when(image.isNull(), "no row image")
+        .when(no_key, "null key")
+    )
+    return parsed.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def source_schema(spec: TableSpec) -> StructType:

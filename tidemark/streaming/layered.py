@@ -28,7 +28,7 @@ from tidemark.plans.retail import (
     with_hour_partition,
 )
 from tidemark.session import run_together
-from tidemark.sources.envelope import quarantine, route_changes
+from tidemark.sources.envelope import quarantine, route_changes, tag_events
 from tidemark.sources.files import changelog_schema
 from tidemark.specs import TableSpec, table_schema
 from tidemark.streaming.keyed_log import KeyedLog
@@ -96,10 +96,9 @@ class RetailLayers:
 
     def process(self, events: DataFrame, version: int) -> None:
         """Takes the events of one batch (text column ``value``) through all layers."""
-        events = events.select("value").persist()
+        events = tag_events(events).persist()
         try:
-            last_ms = F.max(F.get_json_object("value", "$.source.ts_ms").cast("bigint"))
-            seen = events.agg(last_ms.alias("ms"), F.count(F.lit(1)).alias("n")).first()
+            seen = events.agg(F.max("ts_ms").alias("ms"), F.count(F.lit(1)).alias("n")).first()
             self._ingest(events, version)
         finally:
             events.unpersist()
