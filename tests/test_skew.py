@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.changes import changelog_of
 from tidemark.operators.lookup import lookup_as_of
 from tidemark.operators import lookup
+from tidemark.operators.joins import last_match
 from tidemark.operators.skew import Cells, fits_broadcast, heavy_keys, last_before, profile, spread_join
 
 T0 = dt.datetime(2024, 1, 1)
@@ -161,3 +162,43 @@ def test_cells_within_a_distance():
     assert cells.most_within(0) == 5
     assert cells.most_within(1) == 6
     assert cells.most_within(1000) == cells.count
+
+
+def test_changelog_join_of_a_hot_customer(spark, split_everything):
+    """Against every meeting of every pair of versions, on few rows."""
+    import random
+
+    rng = random.Random(3)
+    seqs = iter(range(1, 10_000))
+    orders, names = [], []
+    for _ in range(300):
+        if rng.random() < 0.7:
+            key = rng.randrange(60)
+            orders.append((rng.choice(["+I", "+U", "+U", "-D"]), next(seqs), key, 1 if rng.random() < 0.4 else rng.randrange(8)))
+        else:
+            key = rng.randrange(8)
+            seq = next(seqs)
+            names.append((rng.choice(["+I", "+U", "+U", "-D"]), seq, key, f"n{seq}"))
+    facts_df = spark.createDataFrame(orders, "op string, seq bigint, o int, c int")
+    dims_df = spark.createDataFrame(names, "op string, seq bigint, c int, name string")
+    got = last_match(facts_df, dims_df, ["c"], ["o"], ["name"]).select("o", "seq", "name")
+
+    def lives(log, key):
+        out = []
+        for i, row in enumerate(log):
+            until = next((r[1] for r in log[i + 1 :] if r[key] == row[key]), 10**9)
+            if row[0] != "-D":
+                out.append((row, row[1], until))
+        return out
+
+    expected = []
+    for order, start, end in lives(orders, 2):
+        met = [
+            (max(start, s), n[3])
+            for n, s, e in lives(names, 2)
+            if n[2] == order[3] and max(start, s) < min(end, e)
+        ]
+        if met:
+            seq, name = max(met)
+            expected.append((order[2], seq, name))
+    assert rows(got) == sorted(expected, key=repr)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rowkind import UPDATE_AFTER, UPDATE_BEFORE, adds
 from tidemark.operators.changes import apply_changes, diff_states
-from tidemark.operators.skew import last_before, spread_join
+from tidemark.operators.skew import heavy_keys, last_before, spread_join
+from tidemark.session import written
 
 _END = 2**63 - 1
 
@@ -83,7 +84,9 @@ def last_match(
     spans = next_position(moves, pk, "_until", parts=parts).filter(adds())
     known = dims.filter(F.col("op") != UPDATE_BEFORE).select("op", "seq", *on, *values)
     lives = next_position(known, on, "_gone", parts=parts).filter(adds())
-    return meet(spans, lives, on, pk, values, parts=parts)
+    # No key has more lives than changes, so the changes tell where the meeting is crowded.
+    heavy = heavy_keys(facts.select(*on).unionByName(dims.select(*on)), on, parts)
+    return meet(spans, lives, on, pk, values, heavy=heavy, parts=parts)
 
 
 def meet(
@@ -93,6 +96,7 @@ def meet(
     pk: Sequence[str],
     values: Sequence[str],
     *,
+    heavy: Sequence[int] | None = None,
     parts: int | None = None,
 ) -> DataFrame:
     """Last overlap of fact lives ``[seq, _until)`` with dimension lives ``[seq, _gone)``."""
@@ -105,9 +109,11 @@ def meet(
     rows = reads.withColumn("_order", F.lit(1)).unionByName(
         writers.withColumn("_order", F.lit(0)), allowMissingColumns=True
     )
-    met = last_before(rows, on, "_pos", "_life", "_met", ties=["_order"], parts=parts).filter(
-        (F.col("_order") == 1) & (F.col("_met.gone") > F.col("_from"))
-    )
+    if heavy:
+        # Cutting heavy keys takes more than one pass over lives that were hard to get.
+        rows = written(rows, "lives")
+    met = last_before(rows, on, "_pos", "_life", "_met", ties=["_order"], heavy=heavy, parts=parts)
+    met = met.filter((F.col("_order") == 1) & (F.col("_met.gone") > F.col("_from")))
     return met.select(
         F.lit(UPDATE_AFTER).alias("op"),
         F.greatest("_from", "_met.from").alias("seq"),

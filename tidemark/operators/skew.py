@@ -77,9 +77,9 @@ class Cells:
     def assign(self, df: DataFrame, order: str, reads: Column, heavy: Column, output: str = "_cell") -> DataFrame:
         """Adds the cell number, or -1 for light keys."""
         data = df.columns
-        cut = Bucketizer(splits=self.splits, inputCol="_pos", outputCol="_stretch")
-        df = cut.transform(df.withColumn("_pos", F.col(order).cast("double")))
-        stretch = F.col("_stretch").cast("int")
+        cut = Bucketizer(splits=self.splits, inputCol="_cell_at", outputCol="_cell_stretch")
+        df = cut.transform(df.withColumn("_cell_at", F.col(order).cast("double")))
+        stretch = F.col("_cell_stretch").cast("int")
         cell = stretch
         if any(self.spread):
             width = F.lit(self.spread)[stretch]
@@ -87,7 +87,7 @@ class Cells:
                 reads & (width > 0), 1 + F.pmod(F.xxhash64(*data), width)
             ).otherwise(F.lit(0))
             cell = (F.lit(self.base)[stretch] + turn).cast("int")
-        return df.withColumn(output, F.when(heavy, cell).otherwise(F.lit(-1))).drop("_pos", "_stretch")
+        return df.withColumn(output, F.when(heavy, cell).otherwise(F.lit(-1))).drop("_cell_at", "_cell_stretch")
 
 
 def carry_over(tails: DataFrame, keys: Sequence[str], tail: str, cells: Cells) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.functions.rowkind import INSERT, adds
 from tidemark.functions.temporal import from_epoch_millis, interval_micros, micros
 from tidemark.operators.joins import meet, next_position
 from tidemark.operators.merge import ORDER_PREFIX, fold_aggregation, fold_images, fold_partial_update
-from tidemark.operators.skew import MIN_HEAVY_ROWS
+from tidemark.operators.skew import MIN_HEAVY_ROWS, heavy_keys
 from tidemark.plans.retail import (
     COMMIT_INTERVAL,
     MAX_RETRIES,
@@ -166,7 +166,9 @@ class RetailLayers:
             known = self.customers.state(version - 1, near).withColumn("op", F.lit(INSERT))
             named = known.unionByName(customers.filter("op <> '-U'"))
             lives = next_position(named, ["customer_id"], "_gone", heavy=light).filter(adds())
-            met = meet(spans, lives, ["customer_id"], ["order_id"], ["customer_name"])
+            crowd = held.select("customer_id").unionByName(owned.select("customer_id"))
+            heavy = heavy_keys(crowd, ["customer_id"])
+            met = meet(spans, lives, ["customer_id"], ["order_id"], ["customer_name"], heavy=heavy)
             _replace(met, f"{self.path}/names/v={version}")
 
         def move_orders() -> None:
