@@ -571,10 +571,11 @@ def _closed(spark: SparkSession, totals: DataFrame) -> DataFrame:
     return totals.select(_plain("hour_start"), "event_type", "total", "n")
 
 
-def _layers(spark: SparkSession, events: DataFrame) -> tuple[RetailLayers, int]:
+def _layers(spark: SparkSession, sf_dir: str, records_of: Query) -> tuple[RetailLayers, int]:
     """The layers run over records that arrive in shards; the last one ends all waiting."""
     folder = scratch_dir(spark, "layers")
-    rows = tables.shard_by_time(events, SHARDS)
+    times = tables.events(spark, sf_dir).select("ts", F.col("event_id").alias("seq"))
+    rows = tables.shard_by_time(records_of(spark, sf_dir), SHARDS, span_of=times)
     layers = RetailLayers(
         spark, f"{folder}/tables", SPECS, retry_delay=RETRY_DELAY, max_retries=MAX_RETRIES, buckets=8
     )
@@ -582,7 +583,7 @@ def _layers(spark: SparkSession, events: DataFrame) -> tuple[RetailLayers, int]:
 
     def run(shard: int) -> None:
         if shard == SHARDS - 1:
-            tables.heartbeat(spark, 30, rows).write.mode("append").text(records)
+            tables.heartbeat(spark, 30, times).write.mode("append").text(records)
         stream = spark.readStream.text(records)
         start_layers(stream, layers, f"{folder}/checkpoint", availableNow=True).awaitTermination()
 
@@ -592,27 +593,27 @@ def _layers(spark: SparkSession, events: DataFrame) -> tuple[RetailLayers, int]:
 
 @query
 def layered_dwd(spark, sf_dir):
-    layers, last = _layers(spark, tables.wire_events(spark, sf_dir))
+    layers, last = _layers(spark, sf_dir, tables.wire_events)
     return layers.enriched_table(last)
 
 
 @query
 def layered_dws(spark, sf_dir):
-    layers, last = _layers(spark, tables.wire_events(spark, sf_dir))
+    layers, last = _layers(spark, sf_dir, tables.wire_events)
     return layers.sales_table(last).select("product_id", "hh", "sales")
 
 
 @query
 def layered_reorders_dwd(spark, sf_dir):
     """Orders that move between products, hours and prices again and again."""
-    layers, last = _layers(spark, tables.reorder_records(spark, sf_dir))
+    layers, last = _layers(spark, sf_dir, tables.reorder_records)
     return layers.enriched_table(last)
 
 
 @query
 def layered_reorders_dws(spark, sf_dir):
     """Their sales, after all retractions; keys no order is left in are not shown."""
-    layers, last = _layers(spark, tables.reorder_records(spark, sf_dir))
+    layers, last = _layers(spark, sf_dir, tables.reorder_records)
     return layers.sales_table(last).filter(F.col(merge.LIVE) > 0)
 
 

@@ -162,10 +162,10 @@ def heartbeat(spark: SparkSession, days_later: int, last: DataFrame) -> DataFram
     return late.select(F.to_json(record).alias("value"))
 
 
-def shard_by_time(rows: DataFrame, shards: int, ts: str = "ts") -> DataFrame:
-    """Adds ``shard``: the equal stretch of the covered time a row falls into."""
-    us = micros(ts)
-    span = rows.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+def shard_by_time(rows: DataFrame, shards: int, span_of: DataFrame | None = None) -> DataFrame:
+    """Adds ``shard``: the equal stretch of the time covered by ``span_of`` a row falls into."""
+    us = micros("ts")
+    span = (rows if span_of is None else span_of).agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
     if span["lo"] is None:
         return rows.withColumn("shard", F.lit(0))
     width = span["hi"] - span["lo"] + 1
@@ -175,8 +175,14 @@ def shard_by_time(rows: DataFrame, shards: int, ts: str = "ts") -> DataFrame:
 
 
 def replay(rows: DataFrame, shards: int, fmt: str, folder: str, run: Callable[[int], None]) -> None:
-    """Lets the shards of a stored table arrive one after the other, running after each."""
+    """Lets the shards of ``rows`` arrive one after the other as files, running after each.
+
+    The rows are computed once, into one partition per shard.
+    """
+    staged = f"{folder}-staged"
+    rows.write.partitionBy("shard").parquet(staged)
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(staged)
     for shard in range(shards):
-        part = rows.filter(F.col("shard") == shard).drop("shard")
+        part = stored.filter(F.col("shard") == shard).drop("shard")
         part.write.mode("append").format(fmt).save(folder)
         run(shard)

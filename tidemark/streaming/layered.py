@@ -100,13 +100,18 @@ class RetailLayers:
         try:
             seen = events.agg(F.max("ts_ms").alias("ms"), F.count(F.lit(1)).alias("n")).first()
             self._ingest(events, version)
+            if seen["ms"] is None:
+                now, small = F.lit(None).cast("timestamp"), True
+            else:
+                now, small = from_epoch_millis(seen["ms"]), seen["n"] < MIN_HEAVY_ROWS
+            run_together(
+                self.spark,
+                *self._look_up(version, now, small),
+                *self._meet_customers(version, small),
+                partial(self._set_aside, events, version),
+            )
         finally:
             events.unpersist()
-        if seen["ms"] is None:
-            now, small = F.lit(None).cast("timestamp"), True
-        else:
-            now, small = from_epoch_millis(seen["ms"]), seen["n"] < MIN_HEAVY_ROWS
-        run_together(self.spark, *self._look_up(version, now, small), *self._meet_customers(version, small))
         self._enrich(version)
         self._sum(version)
 
@@ -114,8 +119,10 @@ class RetailLayers:
         tables = route_changes(events, self.specs.sources)
         tables["orders"] = with_hour_partition(tables["orders"])
         writes = [partial(_replace, rows, self._raw_folder(name, version)) for name, rows in tables.items()]
-        bad = quarantine(events, self.specs.sources)
-        run_together(self.spark, *writes, partial(_replace, bad, f"{self.path}/quarantine/v={version}"))
+        run_together(self.spark, *writes)
+
+    def _set_aside(self, events: DataFrame, version: int) -> None:
+        _replace(quarantine(events, self.specs.sources), f"{self.path}/quarantine/v={version}")
 
     def _look_up(self, version: int, now: Column, small: bool) -> list[Callable[[], None]]:
         facts = self.raw("orders", version).filter(adds()).select("op", "commit_ts", "seq", *ORDER_COLUMNS)
