@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
-from pyspark.sql import functions as F
 
 
 def with_variables(df: DataFrame, variables: DataFrame) -> DataFrame:
-    """Adds the columns of a one-row query to every row, without running it first.
+    """Adds the columns of a one-row query to every row, as scalar subqueries.
 
-    The row is taken by an ungrouped aggregation, which is one row by construction and
-    so is safe to broadcast.
+    The query runs with the rest of the plan, and fails if it gives more than one row.
     """
-    row = variables.agg(*[F.first(c).alias(c) for c in variables.columns])
-    return df.join(F.broadcast(row))
+    return df.withColumns({c: variables.select(c).scalar() for c in variables.columns})
 
 
 def variable_values(variables: DataFrame) -> dict[str, object]:

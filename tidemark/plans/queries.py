@@ -407,8 +407,8 @@ def observe_counts(spark, sf_dir):
         rows, "events", F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"), F.max("event_id").alias("last")
     )
     watched.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).write.parquet(folder)
-    logged = spark.createDataFrame([seen.get], "n bigint, price bigint, last bigint")
-    return spark.read.parquet(folder).withColumnRenamed("n", "type_n").join(F.broadcast(logged))
+    logged = {name: F.lit(value).cast("bigint") for name, value in seen.get.items()}
+    return spark.read.parquet(folder).withColumnRenamed("n", "type_n").withColumns(logged)
 
 
 # -- joins -----------------------------------------------------------------------

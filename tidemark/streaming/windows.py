@@ -34,5 +34,5 @@ def hourly_totals(
 
 def closed_hours(totals: DataFrame, rows: DataFrame, *, event_time: str = "ts", delay: str = WATERMARK_DELAY) -> DataFrame:
     """The windows a stream over ``rows`` has finished."""
-    last = rows.agg((F.date_trunc("millisecond", F.max(event_time)) - F.expr(f"interval {delay}")).alias("_mark"))
-    return totals.join(F.broadcast(last), totals["hour_end"] <= F.col("_mark")).drop("_mark")
+    last = F.date_trunc("millisecond", F.max(event_time)) - F.expr(f"interval {delay}")
+    return totals.filter(F.col("hour_end") <= rows.agg(last.alias("mark")).scalar())
