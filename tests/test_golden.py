@@ -68,11 +68,11 @@ def test_enrichment_in_batch(spark):
 
 
 def test_late_product_is_found_by_the_second_retry(spark):
-    layers, _ = streamed(spark, scenario.enrichment(), (20, 125, 139, 145))
+    layers, _ = streamed(spark, scenario.enrichment(), (125, 139, 145))
     shown = lambda v: enriched_rows(layers.enriched_table(v))
+    assert "4" not in shown(0)
     assert "4" not in shown(1)
-    assert "4" not in shown(2)
-    assert shown(4)["4"] == ("3", "1", "p3", 300, None)
+    assert shown(2)["4"] == ("3", "1", "p3", 300, None)
 
 
 def named(rows, name="ann"):
@@ -155,7 +155,7 @@ def busy_shop():
     return shop
 
 
-@pytest.mark.parametrize("cuts", [(133, 221, 312, 347), (60, 300, 319, 330, 360, 380)])
+@pytest.mark.parametrize("cuts", [(133, 312), (300, 330, 360)])
 def test_any_cut_gives_the_batch_result(spark, cuts):
     shop = busy_shop()
     rows, sales = batch(spark, shop)
@@ -167,10 +167,10 @@ def test_any_cut_gives_the_batch_result(spark, cuts):
 
 def test_stream_shows_the_scenario_and_repeats_safely(spark):
     shop = scenario.enrichment()
-    layers, last = streamed(spark, shop, (125, 185))
+    layers, last = streamed(spark, shop, (125,))
     shown = enriched_rows(layers.enriched_table(last)), sales_rows(layers.sales_table(last))
     assert shown == (BASE, BASE_SALES)
-    for version, (low, high) in enumerate([(-1, 125), (125, 185), (185, 200_000)]):
+    for version, (low, high) in enumerate([(-1, 125), (125, 200_000)]):
         rows = [(v,) for t, v in shop.events if low < t <= high]
         layers.process(spark.createDataFrame(rows, "value string"), version)
     assert shown == (enriched_rows(layers.enriched_table(last)), sales_rows(layers.sales_table(last)))

@@ -57,7 +57,7 @@ def brute_force(spark, delay, tries):
 
 
 @pytest.mark.parametrize("tries", [0, 3])
-@pytest.mark.parametrize("plan", ["broadcast", "walk", "cells", "attempts"])
+@pytest.mark.parametrize("plan", ["broadcast", "plain", "walk", "cells", "attempts"])
 def test_lookup_plans_agree_with_brute_force(spark, plan, tries, request, monkeypatch):
     if plan in ("cells", "attempts"):
         request.getfixturevalue("split_everything")
@@ -65,7 +65,7 @@ def test_lookup_plans_agree_with_brute_force(spark, plan, tries, request, monkey
     found = lookup_as_of(
         facts(spark), versions(spark), ["k"], "at", ["name"],
         retry_delay="200 seconds", max_retries=tries, attempt="attempt",
-        plan="broadcast" if plan == "broadcast" else "walk",
+        plan=plan if plan in ("broadcast", "plain") else "walk",
     )
     assert rows(found) == brute_force(spark, 200, tries)
 

@@ -45,19 +45,22 @@ def lookup_as_of(
     far: attempts after it are not seen. ``attempt`` names a column for the number
     of the attempt that hit. ``row_id`` identifies a fact.
 
-    Plans, chosen from measured sizes unless ``plan`` names one:
+    Plans, chosen from measured sizes unless ``plan`` names one (a named ``broadcast`` is
+    the caller's word that the versions are few):
 
     * ``broadcast``: few versions in total and per key; facts are not shuffled.
     * ``walk``: facts and versions share one shuffle and one sort on (key, time).
       All attempts are range frames over that same sort, each ending one retry delay
       later than the one before.
 
+    * ``plain``: a walk whose caller knows that no key has many rows; nothing is measured.
+
     A walk cuts heavy keys into cells of time. The version in force enters each cell as
     its first row, and versions that only a retry can see are repeated in the cells
     before them. Where the retries reach over many cells, the attempts of heavy keys
     become rows of their own instead.
     """
-    if plan not in ("auto", "broadcast", "walk"):
+    if plan not in ("auto", "broadcast", "walk", "plain"):
         raise ValueError(f"unknown plan {plan!r}")
     on, values, row_id = list(on), list(values), list(row_id)
     delay = interval_micros(retry_delay)
@@ -75,14 +78,14 @@ def lookup_as_of(
     limit = micros(now) if now is not None else None
 
     seen = None
-    if plan != "broadcast":
+    if plan in ("auto", "walk"):
         seen = _measure(probes, history, on, parts)
         few = seen.largest_group <= BROADCAST_VERSIONS_PER_KEY and seen.extra["bytes"] <= BROADCAST_BYTES
         if plan == "auto" and few:
             plan = "broadcast"
     if plan == "broadcast":
         found = _broadcast_lookup(probes, history, on, delay, tries, limit)
-    elif not seen.heavy:
+    elif seen is None or not seen.heavy:
         found = _walk_lookup(probes, history, on, delay, tries, limit)
     elif not tries or seen.cells().most_within(delay * tries) <= MAX_REPEATS:
         found = _celled_lookup(probes, history, on, delay, tries, limit, seen)

@@ -106,7 +106,7 @@ class RetailLayers:
                 now, small = from_epoch_millis(seen["ms"]), seen["n"] < MIN_HEAVY_ROWS
             run_together(
                 self.spark,
-                *self._look_up(version, now, small),
+                *self._look_up(version, now, seen["n"]),
                 *self._meet_customers(version, small),
                 partial(self._set_aside, events, version),
             )
@@ -124,13 +124,16 @@ class RetailLayers:
     def _set_aside(self, events: DataFrame, version: int) -> None:
         _replace(quarantine(events, self.specs.sources), f"{self.path}/quarantine/v={version}")
 
-    def _look_up(self, version: int, now: Column, small: bool) -> list[Callable[[], None]]:
+    def _look_up(self, version: int, now: Column, events: int) -> list[Callable[[], None]]:
         facts = self.raw("orders", version).filter(adds()).select("op", "commit_ts", "seq", *ORDER_COLUMNS)
         recent = self.raw("products", version)
         if version > 0:
-            waiting = self._read_lookup(version - 1, resolved=False)
-            facts = facts.unionByName(waiting.select(*facts.columns))
-            recent = recent.unionByName(self._read_recent(version - 1))
+            waiting = self._read_lookup(version - 1, resolved=False).select(*facts.columns)
+            kept = self._read_recent(version - 1)
+            facts, recent = facts.unionByName(waiting), recent.unionByName(kept)
+            if events < MIN_HEAVY_ROWS:
+                one = F.lit(1).alias("one")
+                events += waiting.select(one).unionByName(kept.select(one)).count()
         base = self.base_products.state(version - 1, facts.filter("product_id is not null").select("product_id"))
         versions = recent.unionByName(base.withColumn("op", F.lit(INSERT)))
         spent = F.coalesce(micros("commit_ts") + self.horizon <= micros(now), F.lit(False))
@@ -144,7 +147,7 @@ class RetailLayers:
                 max_retries=self.retries,
                 now=now,
                 attempt="attempt",
-                plan="walk" if small else "auto",
+                plan="plain" if events < MIN_HEAVY_ROWS else "auto",
             )
             done = found.withColumn("resolved", F.col("attempt").isNotNull() | spent)
             _replace(done, f"{self.path}/lookup/v={version}", "resolved")
