@@ -72,7 +72,7 @@ def test_late_product_is_found_by_the_second_retry(spark):
     shown = lambda v: enriched_rows(layers.enriched_table(v))
     assert "4" not in shown(0)
     assert "4" not in shown(1)
-    assert shown(2)["4"] == ("3", "1", "p3", 300, None)
+    assert shown(3)["4"] == ("3", "1", "p3", 300, None)
 
 
 def named(rows, name="ann"):
