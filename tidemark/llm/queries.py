@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.hnsw import nearest_by_cosine
+from tidemark.llm.impact import top_inner_products
 from tidemark.llm.near_copies import near_copy_groups
 from tidemark.llm.repeats import digests
 from tidemark.llm.ship import ship
@@ -15,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_impact_ordered_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest integer inner products for every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_inner_products(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op3_superminhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents, on 4-word shingles at a similarity of 0.8."""
     groups = near_copy_groups(table(spark, sf_dir, "documents"), width=4, percent=80)
@@ -28,10 +36,18 @@ def op4_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), window=35)
 
 
+def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors by cosine found for every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_by_cosine(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_impact_ordered_topk": op2_impact_ordered_topk,
         "op3_superminhash_groups": op3_superminhash_groups,
         "op4_repeated_windows": op4_repeated_windows,
+        "op5_hnsw_neighbours": op5_hnsw_neighbours,
     }
 
 
