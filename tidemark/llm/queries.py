@@ -10,6 +10,7 @@ from tidemark.llm.hnsw import nearest_by_cosine
 from tidemark.llm.impact import top_inner_products
 from tidemark.llm.near_copies import near_copy_groups
 from tidemark.llm.packing import packed
+from tidemark.llm.quality import judged
 from tidemark.llm.repeats import digests
 from tidemark.llm.ship import ship
 
@@ -43,6 +44,11 @@ def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_by_cosine(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op9_byte_network_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document as a network over bytes sees it."""
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token sequences whose lengths are powers of two, 1024 at most."""
     return packed(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -54,6 +60,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_superminhash_groups": op3_superminhash_groups,
         "op4_repeated_windows": op4_repeated_windows,
         "op5_hnsw_neighbours": op5_hnsw_neighbours,
+        "op9_byte_network_quality": op9_byte_network_quality,
         "op10_power_of_two_packing": op10_power_of_two_packing,
     }
 
