@@ -13,19 +13,24 @@ from tidemark.llm.words import Batch, pack_sorted, unpack_sorted, words_of
 
 #: Bytes of text that a group of documents holds on average, at most.
 GROUP_BYTES = 8 << 20
+#: Bytes of text whose windows a bucket holds on average, at most.
+BUCKET_BYTES = 32 << 20
 
 
 def grouped(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
-    """``docs`` with a column ``__group``, and how many groups there are.
+    """``docs`` with a column ``__group``, and into how many buckets its groups send.
 
     Groups grow in number with the text, not in size, and a row's group follows from its
-    content, so a task that runs again sees the same rows.
+    content, so a task that runs again sees the same rows. Every group sends a row to
+    every bucket, so there are no more of either than the partitions and the text ask for.
     """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    groups = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // GROUP_BYTES))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(2 * partitions, -(-total // GROUP_BYTES))
+    buckets = max(partitions, -(-total // BUCKET_BYTES))
     key = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map"))), F.lit(groups))
-    return docs.withColumn("__group", key.cast("long")), groups
+    return docs.withColumn("__group", key.cast("long")), buckets
 
 
 def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35) -> DataFrame:
@@ -46,15 +51,15 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35) ->
     ``__group`` replace columns with these names. An empty table gives no rows.
     """
     docs = docs.drop("n_words", "spans", "__group")
-    dealt, groups = grouped(docs, text_col)
+    dealt, buckets = grouped(docs, text_col)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    sent = dealt.groupBy("__group").applyInArrow(_send(text_col, window, groups), "bucket long, grp long, keys binary")
+    sent = dealt.groupBy("__group").applyInArrow(_send(text_col, window, buckets), "bucket long, grp long, keys binary")
     answers = sent.groupBy("bucket").applyInArrow(_count, "__group long, bucket long, bits binary")
     return (
         dealt.groupBy("__group")
         .cogroup(answers.groupBy("__group"))
         .applyInArrow(
-            _cover(text_col, window, groups, docs.columns),
+            _cover(text_col, window, buckets, docs.columns),
             f"{kinds}, n_words long, spans array<struct<start: long, stop: long>>",
         )
     )
