@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm import chat
 from tidemark.llm.hnsw import nearest_by_cosine
 from tidemark.llm.impact import top_inner_products
 from tidemark.llm.near_copies import near_copy_groups
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_maximal_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All logged conversations that no longer one begins with, as training texts."""
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
 def op2_impact_ordered_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five highest integer inner products for every fiftieth vector."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -56,6 +62,7 @@ def op10_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_maximal_conversations": op1_maximal_conversations,
         "op2_impact_ordered_topk": op2_impact_ordered_topk,
         "op3_superminhash_groups": op3_superminhash_groups,
         "op4_repeated_windows": op4_repeated_windows,
@@ -66,4 +73,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op1_maximal_conversations": chat.SQL}
