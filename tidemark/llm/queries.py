@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat
+from tidemark.llm import chat, pages as web
 from tidemark.llm.hnsw import nearest_by_cosine
 from tidemark.llm.impact import top_inner_products
 from tidemark.llm.near_copies import near_copy_groups
@@ -50,6 +50,12 @@ def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_by_cosine(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op8_recurrent_block_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return web.main_texts(pages.select("page_id", "url", "html"), web.learned(pages))
+
+
 def op9_byte_network_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document as a network over bytes sees it."""
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -67,6 +73,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_superminhash_groups": op3_superminhash_groups,
         "op4_repeated_windows": op4_repeated_windows,
         "op5_hnsw_neighbours": op5_hnsw_neighbours,
+        "op8_recurrent_block_labels": op8_recurrent_block_labels,
         "op9_byte_network_quality": op9_byte_network_quality,
         "op10_power_of_two_packing": op10_power_of_two_packing,
     }
