@@ -11,6 +11,7 @@ from tidemark.llm.hnsw import nearest_by_cosine
 from tidemark.llm.impact import top_inner_products
 from tidemark.llm.near_copies import near_copy_groups
 from tidemark.llm.packing import packed
+from tidemark.llm.pieces import encoded
 from tidemark.llm.quality import judged
 from tidemark.llm.repeats import digests
 from tidemark.llm.ship import ship
@@ -50,6 +51,12 @@ def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_by_cosine(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op7_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best segmentations of every document into pieces, with a checksum of the ids."""
+    rows = encoded(table(spark, sf_dir, "documents"), n=3)
+    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op8_recurrent_block_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article text of every page."""
     pages = table(spark, sf_dir, "pages")
@@ -73,6 +80,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_superminhash_groups": op3_superminhash_groups,
         "op4_repeated_windows": op4_repeated_windows,
         "op5_hnsw_neighbours": op5_hnsw_neighbours,
+        "op7_nbest_pieces": op7_nbest_pieces,
         "op8_recurrent_block_labels": op8_recurrent_block_labels,
         "op9_byte_network_quality": op9_byte_network_quality,
         "op10_power_of_two_packing": op10_power_of_two_packing,
