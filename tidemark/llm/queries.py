@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import chat, pages as web
+from tidemark.llm.classes import class_bigram_scores
 from tidemark.llm.hnsw import nearest_by_cosine
 from tidemark.llm.impact import top_inner_products
 from tidemark.llm.near_copies import near_copy_groups
@@ -51,6 +52,11 @@ def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_by_cosine(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op6_class_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability under class bigrams learned from six sevenths of them."""
+    return class_bigram_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three best segmentations of every document into pieces, with a checksum of the ids."""
     rows = encoded(table(spark, sf_dir, "documents"), n=3)
@@ -80,6 +86,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_superminhash_groups": op3_superminhash_groups,
         "op4_repeated_windows": op4_repeated_windows,
         "op5_hnsw_neighbours": op5_hnsw_neighbours,
+        "op6_class_bigrams": op6_class_bigrams,
         "op7_nbest_pieces": op7_nbest_pieces,
         "op8_recurrent_block_labels": op8_recurrent_block_labels,
         "op9_byte_network_quality": op9_byte_network_quality,
