@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.vectors import dealt, each_shard_and_block, matrix, ranked, top, usable
+from tidemark.llm.vectors import dealt, each_shard_and_block, matrix, one_per_id, ranked, top, usable
 from tidemark.llm.words import mix
 
 #: Links per node (twice as many in the lowest layer) and beam widths while building and searching.
@@ -148,8 +148,9 @@ def nearest_by_cosine(
     Columns ``query_id``, ``rank`` from 1, ``vec_id``, ``score``: the cosine in double
     precision of the vectors as given; ties go to the smaller id. Vectors that are null,
     empty, zero or hold null or non-finite numbers take no part, nor do null ids; lengths
-    are compared only with the same length. Other columns are ignored. Without queries or
-    vectors there are no rows.
+    are compared only with the same length. Repeated rows are found as often as they occur;
+    a query id is asked once, with its smallest vector. Other columns are ignored. Without
+    queries or vectors there are no rows.
 
     All vectors are indexed: dealt into shards of about ``SHARD``, equal vectors of a
     shard as one node, so copies do not crowd the graph. Every shard is searched by every
@@ -157,7 +158,7 @@ def nearest_by_cosine(
     """
     some = F.exists("vector", lambda x: x != 0)
     rows = usable(vectors, id_col, vector_col).where(some)
-    asked = usable(queries, id_col, vector_col).where(some)
+    asked = one_per_id(usable(queries, id_col, vector_col).where(some))
     rows, shards = dealt(rows, "shard", SHARD, rows.count())
     asked, blocks = dealt(asked, "block", BLOCK, asked.count())
     index = rows.groupBy("dims", "shard").applyInArrow(
@@ -207,7 +208,7 @@ def _search(k: int, beam: int):
                 some = [members[starts[x] : min(starts[x + 1], starts[x] + k + 1)] for x in nodes[nodes >= 0]]
                 some = np.concatenate(some)
                 some = some[ids[some] != query_id]
-                scores = units[some] @ query
+                scores = (units[some] * query).sum(axis=1)  # equal vectors get equal scores
                 best = top(ids[some], scores, k)
                 out += zip([query_id] * len(best), ids[some][best].tolist(), scores[best].tolist())
         columns = list(zip(*out)) or [[], [], []]

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.vectors import dealt, each_shard_and_block, matrix, ranked, top, usable
+from tidemark.llm.vectors import dealt, each_shard_and_block, matrix, one_per_id, ranked, top, usable
 
 #: Quantised impact levels per dimension, vectors per shard, queries per block.
 LEVELS, SHARD, BLOCK = 32, 8192, 256
@@ -95,13 +95,15 @@ def top_inner_products(
     Components become ``floor(scale * x)``. Columns ``query_id``, ``rank`` from 1,
     ``vec_id``, ``score``; ties go to the smaller id. Vectors that are null, empty or hold
     null or non-finite numbers take no part, nor do null ids; lengths are compared only
-    with the same length. Repeated rows are found as often as they occur. Other columns
+    with the same length. Repeated rows are found as often as they occur; a query id is asked
+    once, with its smallest vector. Other columns
     are ignored. Products must fit 63 bits. Without queries or vectors there are no rows.
 
     Vectors are dealt into shards of about ``SHARD``; each is indexed and searched in full
     by blocks of about ``BLOCK`` queries, and the shards' best are merged.
     """
-    rows, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
+    rows = usable(vectors, id_col, vector_col)
+    asked = one_per_id(usable(queries, id_col, vector_col))
     index, shards = dealt(rows, "shard", SHARD, rows.count())
     asked, blocks = dealt(asked, "block", BLOCK, asked.count())
     schema = "query_id long, vec_id long, score long"

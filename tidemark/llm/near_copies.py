@@ -49,7 +49,7 @@ def near_copy_groups(
 
     One row per input row: ``id_col``, ``n_shingles`` (size of its set), ``group_id`` (key
     of its group, null without shingles), ``component_id`` (smallest id of the group, its
-    own without shingles).
+    own without shingles), ``row_hash`` (``xxhash64`` of id and text, to find the row again).
 
     1. Each text becomes its shingle set, a key of the set and the keys of the bands of
        its signature. Texts with one set are one class from here on, however many.
@@ -70,7 +70,7 @@ def near_copy_groups(
         f"id {texts.schema['id'].dataType.simpleString()}, row long, n_shingles long, class binary, bands array<long>",
     )
     described = written(described, "signatures")
-    members = described.select("id", "n_shingles", "class")
+    members = described.select("id", "row", "n_shingles", "class")
 
     classes = described.where("class is not null").groupBy("class").agg(F.first("bands").alias("bands"), F.min("row").alias("row"))
     keys = classes.select("class", F.explode("bands").alias("band"))
@@ -82,12 +82,16 @@ def near_copy_groups(
     links = _confirmed(texts, standing, width, percent)
     roots = components(links)
     grouped = members.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select(
-        "id", "n_shingles", F.coalesce("root", "class").alias("group_id")
+        "id", "row", "n_shingles", F.coalesce("root", "class").alias("group_id")
     )
     grouped = written(grouped, "groups")
     lowest = grouped.where("group_id is not null").groupBy("group_id").agg(F.min("id").alias("low"))
     return grouped.join(lowest, "group_id", "left").select(
-        F.col("id").alias(id_col), "n_shingles", "group_id", F.coalesce("low", "id").alias("component_id")
+        F.col("id").alias(id_col),
+        F.col("row").alias("row_hash"),
+        "n_shingles",
+        "group_id",
+        F.coalesce("low", "id").alias("component_id"),
     )
 
 
@@ -209,6 +213,7 @@ def similar(sets: list[np.ndarray], percent: int, left: int | None = None, width
     union = sizes[rows][:, None] + sizes[others][None, :] - common
     linked = np.zeros((len(sets), len(sets)), bool)
     linked[np.ix_(rows, others)] = 100 * common >= percent * union
+    np.fill_diagonal(linked, False)
     return linked | linked.T
 
 

@@ -342,13 +342,14 @@ def encoded(docs: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str =
 def decoded(rows: DataFrame, ids_col: str = "ids", text_col: str = "text", model: str = MODEL) -> DataFrame:
     """``rows`` with the text of their pieces in ``text_col``; null ids give null."""
     rows = rows.drop(text_col)
+    columns = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = PieceModel.of(model)
         for batch in batches:
             data = batch.column(ids_col).to_pylist()
             texts = [None if d is None else pieces.decode(np.frombuffer(d, "<u4").tolist()) for d in data]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*rows.columns, text_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, text_col])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return rows.mapInArrow(run, f"{kinds}, `{text_col}` string")

@@ -182,14 +182,15 @@ def without_repeats(docs: DataFrame, text_col: str = "text", window: int = 35) -
     Of a text with spans, what lies before, between and after them is kept as it stands,
     white space included, and the pieces are joined by a newline.
     """
-    spans = repeated_spans(docs, text_col, window)
+    columns = docs.columns
+    spans = repeated_spans(docs, text_col, window).select(*columns, "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = zip(batch.column(text_col).to_pylist(), batch.column("spans").to_pylist())
             texts = pa.array([cut(t, s) if s else t for t, s in pairs], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [texts if c == text_col else batch.column(c) for c in docs.columns], names=docs.columns
+                [texts if c == text_col else batch.column(c) for c in columns], names=columns
             )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``(id, vector, dims)`` of the rows whose vector is neither null nor empty nor holds a null or non-finite number."""
     v = F.col(vector_col).cast("array<double>")
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (
         vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("vector"))
         .where(F.col("vector").isNotNull() & F.col("id").isNotNull())
@@ -22,6 +21,11 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     )
 
 
+def one_per_id(rows: DataFrame) -> DataFrame:
+    """One usable vector per id, the smallest: a query is asked once."""
+    return rows.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("dims", F.size("vector"))
+
+
 def dealt(rows: DataFrame, name: str, per_part: int, count: int) -> tuple[DataFrame, int]:
     """``rows`` with a part number in column ``name``: as many parts as hold ``per_part`` of ``count`` rows each."""
     parts = max(1, -(-count // per_part))
