@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.words import Batch, pack_sorted, unpack_sorted
 from tidemark.session import scratch_dir, written
@@ -321,7 +322,7 @@ class Model:
         return np.log10(np.where(known, np.maximum(after[past, here] * emitted, 1e-300), strange[past]))
 
 
-def _score(model: Model):
+def _score(model: Model, id_type: pa.DataType):
     def run(grp: int, group: Group, said: list[dict]) -> pa.Table:
         counts = group.facts(said, "count", unplanes)
         ends = int(model.class_tokens[END])
@@ -334,7 +335,7 @@ def _score(model: Model):
         base = np.log10((count + 1) / (model.tokens + model.words + 1))
         return pa.table(
             {
-                "id": pa.array(group.docs),
+                "id": pa.array(group.docs, id_type),
                 "held_out": pa.array(group.held),
                 "n_tokens": pa.array(group.sizes),
                 "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), begin)),
@@ -424,4 +425,4 @@ def class_bigram_scores(
     model = Model(tokens + ends, words + (ends > 0), discount, counts, **sums)
     said = counted.where("kind = 'count'").union(facts.where("kind = 'class'"))
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return _asked(corpus, said, _score(model), schema).withColumnRenamed("id", id_col)
+    return _asked(corpus, said, _score(model, to_arrow_type(rows.schema["id"].dataType)), schema).withColumnRenamed("id", id_col)

@@ -17,24 +17,24 @@ SAMPLE, LONGEST = 800, 100_000
 
 
 class Laid:
-    """Texts as bytes end to end, each filled with zeros to whole halves and one empty half more.
+    """Texts as bytes end to end, each filled with zeros to whole halves and two empty halves more.
 
-    The empty half keeps filters and comparisons of one text from reaching into the next.
+    A text's last chunk ends with the first empty half; the second keeps its filters from
+    reaching into the next text.
     """
 
     def __init__(self, texts: list[str | None]):
         data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-        self.halves = np.array([max(1, -(-len(d) // HALF)) + 1 for d in data], np.int64)
+        self.halves = np.array([max(1, -(-len(d) // HALF)) + 2 for d in data], np.int64)
         self.first = np.concatenate(([0], np.cumsum(self.halves)))
         out = np.zeros(int(self.first[-1]) * HALF + WIDTH, np.uint8)
         for d, at in zip(data, self.first.tolist()):
             out[at * HALF : at * HALF + len(d)] = np.frombuffer(d, np.uint8)
         self.bytes = out
-        last = self.first[1:] - 1
         inner = np.ones(int(self.first[-1]), bool)
-        inner[last] = False
-        self.chunks = np.flatnonzero(inner)  # a chunk begins at every half but a text's last
-        self.count = self.halves - 1
+        inner[self.first[1:] - 1] = inner[self.first[1:] - 2] = False
+        self.chunks = np.flatnonzero(inner)  # a chunk begins at every half with text
+        self.count = self.halves - 2
         self.begin = np.concatenate(([0], np.cumsum(self.count)[:-1]))
         self.owner = np.repeat(np.arange(len(texts)), self.count)
 
