@@ -11,7 +11,7 @@ from tidemark.operators.repair import enriched_recompute
 from tidemark.operators.travel import changes_until, snapshot_as_of
 from tidemark.plans.retail import enriched_orders, product_sales, retail_specs, with_hour_partition
 from tidemark.sources.envelope import route_changes
-from tidemark.streaming.layered import RetailLayers
+from tidemark.streaming.layered import RetailLayers, start_layers
 
 SPECS = retail_specs()
 
@@ -229,3 +229,71 @@ def test_stream_differs_from_batch_by_the_price_change(spark):
         ~F.col("s.sales").eqNullSafe(F.col("b.sales"))
     )
     assert [(r[0], r[2], r[4]) for r in gap.collect()] == [("1", 300, 400)]
+
+
+def in_batches(spark, *batches, buckets=64):
+    layers = RetailLayers(spark, scratch_dir(spark, "late"), SPECS, buckets=buckets, compact_every=2)
+    for version, events in enumerate(batches):
+        layers.process(spark.createDataFrame([(v,) for _, v in events], "value string"), version)
+    return enriched_rows(layers.enriched_table(len(batches) - 1))
+
+
+def test_an_order_that_comes_after_its_price_changed(spark):
+    """However late, it finds the price of its own time, as a batch does."""
+    shop = scenario.Shop()
+    shop.put(0, "products", "1", "p1", 100, 0.0)
+    shop.put(100, "orders", "1", "1", "1")
+    shop.change(500, "products", "1", sale_price=200)
+    shop.beat(10_000)
+    first, order, second, beat = shop.events
+    assert in_batches(spark, [first], [second], [beat], [order]) == {"1": ("1", "1", "p1", 100, None)}
+    assert batch(spark, shop)[0] == {"1": ("1", "1", "p1", 100, None)}
+
+
+def test_versions_that_come_out_of_order(spark):
+    shop = scenario.Shop()
+    shop.put(0, "products", "1", "p1", 100, 0.0)
+    shop.put(0, "customers", "1", "ann")
+    shop.change(500, "products", "1", sale_price=200)
+    shop.change(500, "customers", "1", customer_name="amy")
+    shop.put(600, "orders", "1", "1", "1")
+    shop.beat(10_000)
+    old, ann, new, amy, order, beat = shop.events
+    got = in_batches(spark, [new, amy], [beat], [old, ann], [order], [])
+    assert got == {"1": ("1", "1", "p1", 200, "amy")}
+
+
+def test_stored_tables_as_of_a_moment(spark):
+    shop = scenario.enrichment()
+    layers, last = streamed(spark, shop, [70, 140])
+    at = lambda t: int((scenario.START.timestamp() + t) * 1000)
+    assert layers.version_at(at(-1)) == -1 and layers.enriched_as_of(at(-1)).isEmpty()
+    assert layers.version_at(at(135)) == 1 and layers.version_at(at(200_000)) == last
+    early = enriched_rows(layers.enriched_as_of(at(135)))
+    assert early["1"] == BASE["1"] and "5" not in early
+    assert enriched_rows(layers.enriched_as_of(at(200_000))) == BASE
+    assert sales_rows(layers.sales_as_of(at(200_000))) == sales_rows(layers.sales_table(last))
+
+
+def test_layers_run_at_a_commit_interval(spark):
+    """The job as it is started by default: a processing-time trigger."""
+    shop = scenario.enrichment()
+    shop.beat(100_000)
+    folder = scratch_dir(spark, "interval")
+    spark.createDataFrame([(v,) for _, v in shop.events], "value string").write.text(f"{folder}/events")
+    layers = RetailLayers(spark, f"{folder}/tables", SPECS, buckets=4)
+    running = start_layers(spark.readStream.text(f"{folder}/events"), layers, f"{folder}/checkpoint")
+    running.processAllAvailable()
+    progress = running.lastProgress
+    running.stop()
+    assert progress["batchId"] >= 0
+    assert enriched_rows(layers.enriched_table(0)) == BASE
+
+
+def test_the_clock_does_not_run_back(spark):
+    shop = scenario.Shop()
+    shop.put(0, "orders", "1", "1", "1")
+    shop.beat(10_000)
+    shop.beat(1)
+    order, late, early = shop.events
+    assert in_batches(spark, [late], [order], [early], buckets=4) == {"1": ("1", "1", None, None, None)}

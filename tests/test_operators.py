@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tidemark import TableSpec, scratch_dir
 from tidemark.functions.temporal import interval_micros
 from tidemark.operators import merge, sinks, steps
+from tidemark.operators.aggregates import customer_total, hourly_sales
 from tidemark.operators.changes import apply_changes, changelog_of, diff_states
+from tidemark.operators.joins import join_changes
 from tidemark.operators.repair import repair, result_gap
 from tidemark.plans.retail import retail_specs
 from tidemark.sources import envelope, files
@@ -49,7 +51,19 @@ def test_merging_batches_equals_one_fold(spark, spec, cuts):
         batch = changes.filter((F.col("seq") > low) & (F.col("seq") <= high))
         state = merge.merge_into(state, batch, spec)
         low = high
-    assert rows(state) == rows(merge.current_state(changes, spec))
+    assert rows(merge.live(state, spec)) == rows(merge.current_state(changes, spec))
+
+
+@pytest.mark.parametrize("spec", [LATEST, PARTIAL], ids=["latest", "partial"])
+def test_batches_in_any_order_equal_one_fold(spark, spec):
+    changes = history(spark).filter("op <> '-U'")
+    bounds = [0, 60, 130, 270, 1000]
+    batches = [changes.filter((F.col("seq") >= a) & (F.col("seq") < b)) for a, b in zip(bounds, bounds[1:])]
+    for order in ((3, 2, 1, 0), (1, 3, 0, 2)):
+        state = None
+        for at in order:
+            state = merge.merge_into(state, batches[at], spec)
+        assert rows(merge.live(state, spec)) == rows(merge.current_state(changes, spec))
 
 
 @pytest.mark.parametrize("cut", [0, 120, 399])
@@ -65,6 +79,20 @@ def test_sums_over_retractions_equal_sums_of_the_state(spark, cut):
     assert rows(kept) == rows(live)
 
 
+def test_smallest_and_largest_values(spark):
+    spec = TableSpec(
+        "m", "name string, low int, high int", pk=("name",), merge="aggregation", aggregates={"low": "min", "high": "max"}
+    )
+    data = [("+I", 1, "a", 5, 5), ("+U", 2, "a", 3, 3), ("+I", 3, "a", None, 9), ("+I", 4, "b", 1, 1)]
+    changes = spark.createDataFrame(data, "op string, seq bigint, name string, low int, high int")
+    whole = merge.current_state(changes, spec).select("name", "low", "high")
+    assert rows(whole) == [("a", 3, 9), ("b", 1, 1)]
+    first = merge.merge_into(None, changes.filter("seq > 1"), spec)
+    assert rows(merge.merge_into(first, changes.filter("seq = 1"), spec).select(*spec.columns)) == rows(whole)
+    with pytest.raises(Exception, match="taken back"):
+        merge.current_state(changes.withColumn("op", F.lit("-U")), spec).collect()
+
+
 def test_partial_update_places_late_values(spark):
     changes = spark.createDataFrame(
         [("+U", 5, 1, "new", None), ("+U", 3, 1, "old", 30), ("+U", 4, 1, None, 40), ("-D", 9, 1, None, None)],
@@ -141,11 +169,10 @@ def test_row_kinds(spark):
         spark,
         record("r", "customers", after=a, ts_ms=0, lsn=1),
         record("u", "customers", a, b, 2000, 2),
-        record("u", "customers", None, b, 3000, 3),
         record("d", "customers", b, None, 4000, 4),
     )
     decoded = envelope.decode_changes(records, SPECS.customers).select("seq", "op", "customer_name")
-    assert rows(decoded) == [(1, "+I", "ann"), (2, "+U", "amy"), (2, "-U", "ann"), (3, "+U", "amy"), (4, "-D", "amy")]
+    assert rows(decoded) == [(1, "+I", "ann"), (2, "+U", "amy"), (2, "-U", "ann"), (4, "-D", "amy")]
     first = envelope.decode_changes(records, SPECS.customers).filter("seq = 1").first()
     assert first["commit_ts"] == dt.datetime(1970, 1, 1)
 
@@ -160,8 +187,16 @@ def test_bad_records_are_kept_with_a_reason(spark):
         record("x", "customers", after=a),
         record("d", "customers"),
         record("c", "customers", after={"customer_name": "nobody"}),
+        record("u", "customers", after=a),
+        record("u", "customers", before={"customer_name": "nobody"}, after=a),
+        record("c", "customers", after=a, lsn=None),
+        record("c", "customers", after=[1]),
         record("c", "heartbeat"),
     )
+    assert envelope.route_changes(records, SPECS.sources)["customers"].count() == 1
+    judged = envelope.judge(records, SPECS.sources)
+    assert judged.count() == records.count() and judged.filter("reason is null").count() == 1
+    assert judged._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
     got = {(r["table"], r["reason"]) for r in envelope.quarantine(records, SPECS.sources).collect()}
     assert got == {
         (None, "malformed"),
@@ -169,6 +204,9 @@ def test_bad_records_are_kept_with_a_reason(spark):
         ("customers", "unknown operation"),
         ("customers", "no row image"),
         ("customers", "null key"),
+        ("customers", "no old image"),
+        ("customers", "no position"),
+        ("customers", "malformed"),
     }
     assert envelope.route_changes(records, SPECS.sources)["orders"].isEmpty()
 
@@ -189,6 +227,13 @@ def test_bootstrap_loads_once(spark, tmp_path):
     assert {"pts", "ts"} <= set(log.columns)
 
 
+def test_bootstrap_refuses_bad_lines(spark, tmp_path):
+    spec = TableSpec("t", "id int, name string", pk=("id",))
+    (tmp_path / "t.csv").write_text("id,name\n1,ann\nx,bob\n")
+    with pytest.raises(Exception, match="(?i)malformed|fail"):
+        files.load_bootstrap(spark, spec, str(tmp_path / "t.csv"), scratch_dir(spark, "boot"))
+
+
 def test_jdbc_options():
     options = files.jdbc_options(
         "jdbc:postgresql://db:5432/shop", "orders", user="u", password="p", partition_column="id", bounds=(0, 100), partitions=8
@@ -237,6 +282,27 @@ def test_spec_checks():
         interval_micros("soon")
 
 
+def test_moved_and_removed_facts_are_retracted(spark):
+    left = spark.createDataFrame([(1, "A"), (2, "A"), (3, "B"), (4, "C")], "id int, k string")
+    right = spark.createDataFrame([("A", "ann"), ("B", "bob"), ("C", "cy")], "k string, name string")
+    moves = spark.createDataFrame([("+U", 1, "B"), ("-D", 3, None), ("+I", 5, "A")], "op string, id int, k string")
+    names = spark.createDataFrame([("+U", "A", "amy"), ("-D", "C", None)], "op string, k string, name string")
+    got = join_changes(left, moves, right, names, ["k"], ["id"], ["k"]).select("op", "id", "k", "name")
+    assert rows(got) == sorted([
+        ("-U", 1, "A", "ann"), ("+U", 1, "B", "bob"), ("-U", 2, "A", "ann"), ("+U", 2, "A", "amy"),
+        ("-D", 3, "B", "bob"), ("-D", 4, "C", "cy"), ("+I", 5, "A", "amy"),
+    ], key=repr)
+
+
+def test_prices_keep_their_cents(spark):
+    enriched = spark.createDataFrame([(1, 1.75), (1, 1.75)], "customer_id int, sale_price double")
+    assert rows(customer_total(enriched)) == [(1, 3.5)]
+    at = dt.datetime(2024, 1, 1, 5)
+    orders = spark.createDataFrame([(1, at), (1, at)], "product_id int, purchase_timestamp timestamp")
+    products = spark.createDataFrame([(1, 1.75)], "product_id int, sale_price double")
+    assert rows(hourly_sales(orders, products)) == [(1, 5, 3.5)]
+
+
 # -- sinks and steps -------------------------------------------------------------
 
 
@@ -268,12 +334,22 @@ def test_repair_rewrites_only_wrong_partitions(spark):
     sinks.write_table(streamed, spec, folder)
     before = glob.glob(f"{folder}/dd=d1/*.parquet")
     full = spark.createDataFrame([(1, 10, "d1"), (2, 7, "d2"), (3, 1, "d2")], "id int, total bigint, dd string")
-    repair(spark, folder, spec, full, "total")
+    repair(spark, folder, spec, full)
     assert rows(spark.read.parquet(folder).select("id", "total", "dd")) == [(1, 10, "d1"), (2, 7, "d2"), (3, 1, "d2")]
     assert before and all(os.path.exists(f) for f in before)
     assert result_gap(spark.read.parquet(folder), full, spec.pk, "total").isEmpty()
 
 
+def test_repair_compares_all_columns_and_removes_partitions(spark):
+    folder = scratch_dir(spark, "repair")
+    spec = TableSpec("t", "id int, total bigint, n bigint, dd string", pk=("id", "dd"), partition_by=("dd",))
+    streamed = [(1, 10, 1, "d1"), (2, 5, 1, "d2"), (3, 7, 1, "d3"), (4, 8, 1, "d 4/x")]
+    full = [(1, 10, 2, "d1"), (2, 5, 1, "d2")]
+    sinks.write_table(spark.createDataFrame(streamed, spec.schema), spec, folder)
+    repair(spark, folder, spec, spark.createDataFrame(full, spec.schema))
+    assert rows(spark.read.schema(spec.schema).parquet(folder)) == full
+
+
 def test_outputs(spark):
     folder = scratch_dir(spark, "out")
     df = spark.range(3)

@@ -9,7 +9,7 @@ from tidemark.operators.changes import changelog_of
 from tidemark.operators.lookup import lookup_as_of
 from tidemark.operators import lookup
 from tidemark.operators.joins import last_match
-from tidemark.operators.skew import Cells, fits_broadcast, heavy_keys, last_before, profile, spread_join
+from tidemark.operators.skew import Cells, even_marks, heavy_keys, last_before, profile
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -142,18 +142,37 @@ def test_changelog_of_a_hot_key(spark, split_everything):
     assert rows(split) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("limit", [0, 2**25])
-def test_spread_join(spark, how, limit, split_everything):
-    dim = spark.range(12).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("d"), "id").alias("d"))
-    got = spread_join(facts(spark), dim, ["k"], how, broadcast_bytes=limit)
-    assert rows(got) == rows(facts(spark).join(dim, ["k"], how).select(*got.columns))
-
-
-def test_broadcast_limit_is_measured(spark):
-    df = spark.range(1000).withColumn("text", F.repeat(F.lit("x"), 100))
-    assert fits_broadcast(df, 1_000_000)
-    assert not fits_broadcast(df, 50_000)
+@pytest.mark.parametrize("plan", ["broadcast", "plain", "walk", "cells", "attempts"])
+def test_every_fact_gives_a_row_whatever_the_plan(spark, plan, request, monkeypatch):
+    """Facts that share their id, have none, or are equal in all columns."""
+    if plan in ("cells", "attempts"):
+        request.getfixturevalue("split_everything")
+        monkeypatch.setattr(lookup, "MAX_REPEATS", 1000 if plan == "cells" else 0)
+    some = facts(spark, 400)
+    several = (
+        some.unionByName(some.filter("seq < 150"))
+        .unionByName(some.withColumn("seq", F.lit(None).cast("bigint")).filter("k < 4"))
+        .withColumn("seq", F.when(F.col("seq") > 300, F.col("seq") % 7).otherwise(F.col("seq")))
+    )
+    named = {}
+    for delay, tries in ((200, 3),):
+        found = lookup_as_of(
+            several, versions(spark), ["k"], "at", ["name"], retry_delay=f"{delay} seconds", max_retries=tries,
+            attempt="attempt", plan=plan if plan in ("broadcast", "plain") else "walk",
+        )
+        plain = lookup_as_of(
+            several, versions(spark), ["k"], "at", ["name"], retry_delay=f"{delay} seconds", max_retries=tries,
+            attempt="attempt", plan="broadcast",
+        )
+        named[delay] = rows(found)
+        assert len(named[delay]) == several.count() and named[delay] == rows(plain)
+
+
+def test_even_marks_of_many_input_partitions(spark):
+    df = spark.range(0, 40_000, 1, 40).select((F.col("id") * 7919 % 40_000).alias("at"))
+    marks = even_marks(df, "at", 20)
+    assert len(marks) == 19 and all(abs(m - 2000 * (i + 1)) < 800 for i, m in enumerate(marks))
+    assert even_marks(df.limit(0), "at", 4) == []
 
 
 def test_cells_within_a_distance():

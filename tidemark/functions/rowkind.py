@@ -7,7 +7,7 @@ both under the same ``seq``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, StringType, StructType
 from pyspark.sql import types as T
@@ -51,6 +51,10 @@ def all_fixed_width(schema: StructType, columns: list[str]) -> bool:
     return all(is_fixed_width(schema[c].dataType) for c in columns)
 
 
+def is_integral(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long")
+
+
 def byte_size(schema: StructType, columns: list[str]) -> Column:
     """Estimated bytes of one row of ``columns``."""
     total: Column = F.lit(16)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.rowkind import is_integral
 from tidemark.functions.temporal import hour_of
 
 
@@ -28,9 +29,7 @@ def hourly_sales(
         F.count(F.lit(1)).alias("_orders")
     )
     priced = counts.join(products.select(product, price), product, "left")
-    return priced.select(
-        product, "hh", (F.col(price).cast("bigint") * F.col("_orders")).alias("sales")
-    )
+    return priced.select(product, "hh", (_summand(priced, price) * F.col("_orders")).alias("sales"))
 
 
 def customer_total(
@@ -38,4 +37,9 @@ def customer_total(
 ) -> DataFrame:
     """``sum(price)`` by customer; of one customer when ``customer`` is given."""
     rows = enriched if customer is None else enriched.filter(F.col(key) == F.lit(customer))
-    return rows.groupBy(key).agg(F.sum(F.col(price).cast("bigint")).alias("sales"))
+    return rows.groupBy(key).agg(F.sum(_summand(rows, price)).alias("sales"))
+
+
+def _summand(df: DataFrame, column: str) -> Column:
+    """Whole numbers as long ones, so that sums do not overflow; decimals and doubles as they are."""
+    return F.col(column).cast("bigint") if is_integral(df, column) else F.col(column)

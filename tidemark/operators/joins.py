@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rowkind import UPDATE_AFTER, UPDATE_BEFORE, adds
 from tidemark.operators.changes import apply_changes, diff_states
-from tidemark.operators.skew import heavy_keys, last_before, spread_join
+from tidemark.operators.skew import heavy_keys, last_before
 from tidemark.session import written
 
 _END = 2**63 - 1
 
 
 def join_current(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join of two current states; ``left`` is the large side."""
-    return spread_join(left, right, on, how)
+    """Join of two current states; adaptive execution broadcasts a small side and splits skewed keys."""
+    return left.join(right, list(on), how)
 
 
 def join_changes(
@@ -31,19 +31,22 @@ def join_changes(
 ) -> DataFrame:
     """Changelog of an inner join, from two states and the net changes of a batch.
 
-    ``right`` is keyed by ``on``. Only rows of join keys that a change mentions are
-    joined, once before and once after the batch; the rest drops out in the join itself.
+    ``right`` is keyed by ``on``; changes hold at most one row that adds per key, and a
+    removal needs no more than its key. Joined again are the rows of ``left`` that changed,
+    under their old and new ``on``, and those whose ``on`` changed in ``right``. Each state is
+    read once, by a semi-join with the changes; what is found is written out, and all
+    else costs what the batch touches.
     """
-    on = list(on)
-    touched = left_changes.select(*on).unionByName(right_changes.select(*on)).distinct()
-    left_now = apply_changes(left, left_changes, left_pk)
-    right_now = apply_changes(right, right_changes, right_pk)
-
-    def joined(facts: DataFrame, dim: DataFrame) -> DataFrame:
-        near = dim.join(touched, on, "left_semi")
-        return spread_join(facts, near, on, "inner")
-
-    return diff_states(joined(left, right), joined(left_now, right_now), left_pk)
+    on, left_pk, right_pk = list(on), list(left_pk), list(right_pk)
+    moved = left_changes.select(*left_pk).distinct().withColumn("_moved", F.lit(True))
+    met = right_changes.select(*on).distinct().withColumn("_met", F.lit(True))
+    before = left.join(moved, left_pk, "left").join(met, on, "left").filter("_moved or _met")
+    before = written(before.select(*left.columns), "near-left")
+    after = apply_changes(before, left_changes, left_pk)
+    needed = before.select(*on).unionByName(after.select(*on)).distinct()
+    known = written(right.join(needed, on, "left_semi"), "near-right")
+    renewed = apply_changes(known, right_changes, right_pk)
+    return diff_states(before.join(known, on), after.join(renewed, on), left_pk)
 
 
 def next_position(

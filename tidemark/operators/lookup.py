@@ -43,9 +43,10 @@ def lookup_as_of(
     looked up again after each ``retry_delay``, up to ``max_retries`` times; the first
     hit counts, later changes of the version do not. ``now`` bounds the attempts made so
     far: attempts after it are not seen. ``attempt`` names a column for the number
-    of the attempt that hit. ``row_id`` identifies a fact.
+    of the attempt that hit. ``row_id`` names columns that tell most facts apart; facts may
+    share them or be equal in all columns, and every fact gives one row.
 
-    Plans, chosen from measured sizes unless ``plan`` names one (a named ``broadcast`` is
+    All plans give the same rows. Plans, chosen from measured sizes unless ``plan`` names one (a named ``broadcast`` is
     the caller's word that the versions are few):
 
     * ``broadcast``: few versions in total and per key; facts are not shuffled.
@@ -80,7 +81,7 @@ def lookup_as_of(
     seen = None
     if plan in ("auto", "walk"):
         seen = _measure(probes, history, on, parts)
-        few = seen.largest_group <= BROADCAST_VERSIONS_PER_KEY and seen.extra["bytes"] <= BROADCAST_BYTES
+        few = seen.largest_group <= BROADCAST_VERSIONS_PER_KEY and seen.extra["_bytes"] <= BROADCAST_BYTES
         if plan == "auto" and few:
             plan = "broadcast"
     if plan == "broadcast":
@@ -115,8 +116,7 @@ def _measure(probes: DataFrame, history: DataFrame, on: list[str], parts: int |
     both = probes.select(*on, "_t", F.lit(0).alias("_bytes")).unionByName(
         history.select(*on, F.col("_version.t").alias("_t"), size.alias("_bytes"))
     )
-    total = F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes")
-    return profile(both, on, "_t", parts=parts, group_filter="_bytes > 0", extra=[total])
+    return profile(both, on, "_t", parts=parts, group_filter="_bytes > 0", extra=["_bytes"])
 
 
 def _first_hit(seen: list[Column], delay: int, limit: Column | None) -> Column:
@@ -179,15 +179,21 @@ def _celled_lookup(probes, history, on, delay, tries, limit, seen) -> DataFrame:
 
 
 def _attempt_lookup(probes, history, on, row_id, delay, tries, limit, heavy, parts) -> DataFrame:
-    """Each attempt as a row of its own; only the first carries the columns of the fact."""
+    """Each attempt as a row of its own; only the first carries the columns of the fact.
+
+    Attempts belong together by ``row_id`` and a hash of all columns. Facts that agree in
+    both are copies: they are looked up once and come out as often as they went in.
+    """
     columns = probes.columns
     rest = [c for c in columns if c not in row_id]
+    ids = [*row_id, "_copy"]
     writers = history.select(
         *on, "_version", F.col("_version.t").alias("_at"), F.col("_version.s").alias("_s")
     )
-    reads = probes.withColumn("_attempt", F.explode(F.sequence(F.lit(0), F.lit(tries))))
+    reads = probes.withColumn("_copy", F.xxhash64(*columns))
+    reads = reads.withColumn("_attempt", F.explode(F.sequence(F.lit(0), F.lit(tries))))
     reads = reads.select(
-        *row_id,
+        *ids,
         *[c for c in on if c not in row_id],
         F.when(F.col("_attempt") == 0, F.struct(*rest)).alias("_row"),
         "_attempt",
@@ -201,8 +207,10 @@ def _attempt_lookup(probes, history, on, row_id, delay, tries, limit, heavy, par
         rows, on, "_at", "_version", "_seen", ties=["_s"], heavy=heavy, parts=parts
     ).filter(F.col("_attempt").isNotNull())
     hit = F.struct(F.col("_attempt").alias("attempt"), F.col("_seen").alias("version"))
-    best = walked.groupBy(*row_id).agg(
+    best = walked.groupBy(*ids).agg(
         F.first("_row", ignorenulls=True).alias("_row"),
         F.min(F.when(F.col("_seen.alive"), hit)).alias("_hit"),
+        F.count_if(F.col("_attempt") == 0).alias("_copies"),
     )
+    best = best.withColumn("_one", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
     return best.select(*row_id, "_row.*", "_hit").select(*columns, "_hit")

@@ -1,9 +1,10 @@
 """Keyed tables: how the changes of one key combine into its row.
 
 Every rule is one aggregation on the key, so changes are combined before they are
-shuffled and a frequently changed key costs one buffer per task. The same function
-folds a whole changelog or merges a batch into a state: a state is read as changes
-that precede the batch.
+shuffled and a frequently changed key costs one buffer per task. The same rule folds a
+whole changelog or merges a batch into a state. A state keeps the log positions of what
+it holds, removed keys included, so that batches may come in any order; ``live`` gives
+its rows.
 """
 
 from __future__ import annotations
@@ -11,7 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.rowkind import INSERT, adds, all_fixed_width, order_key, signed
+from tidemark.functions.rowkind import (
+    DELETE,
+    INSERT,
+    UPDATE_AFTER,
+    adds,
+    all_fixed_width,
+    is_integral,
+    order_key,
+    signed,
+)
 from tidemark.specs import TableSpec
 
 ORDER_PREFIX = "_at_"
@@ -24,10 +34,17 @@ def current_state(changelog: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def merge_into(state: DataFrame | None, batch: DataFrame, spec: TableSpec) -> DataFrame:
-    """The state after a batch of changes."""
+    """The state after a batch of changes, whatever batches came before; ``live`` reads it."""
     return MERGES[spec.merge](state, batch, spec)
 
 
+def live(state: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows of a keyed table from its state."""
+    if spec.merge == "latest":
+        return state.filter(adds()).select(*spec.columns)
+    return state.select(*spec.columns) if spec.merge == "partial-update" else state
+
+
 def fold_latest(changelog: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Last row wins; a key whose last change is a retraction is gone."""
     columns = [*spec.values, *keep]
@@ -43,13 +60,28 @@ def fold_latest(changelog: DataFrame, spec: TableSpec, keep: tuple[str, ...] = (
 
 
 def fold_images(changelog: DataFrame, pk: list[str], values: list[str], output: str = "new") -> DataFrame:
-    """Last row per key as one struct; null for keys whose last change is a retraction."""
+    """Last row per key as one struct, null for keys whose last change is a retraction, and its position ``at``."""
     image = F.when(adds(), F.struct(*values))
-    return changelog.groupBy(*pk).agg(F.max_by(image, order_key()).alias(output))
+    last = F.max_by(F.struct(image.alias(output)), order_key()).alias("_last")
+    return changelog.groupBy(*pk).agg(last, F.max(order_key()).alias("at")).select(*pk, f"_last.{output}", "at")
 
 
 def merge_latest(state: DataFrame | None, batch: DataFrame, spec: TableSpec) -> DataFrame:
-    return fold_latest(_stack(state, batch.select("op", "seq", *spec.columns)), spec)
+    """The last change of every key with its ``op`` and ``seq``; a removal stays as one."""
+    rows = batch.select("op", "seq", *spec.columns)
+    if spec.ignore_delete:
+        rows = without_retractions(rows)
+    if state is not None:
+        rows = state.select(*rows.columns).unionByName(rows)
+    rest = ["op", "seq", *spec.values]
+    if all_fixed_width(rows.schema, [c for c in rest if c != "op"]):
+        # Position and kind in one number keep the buffers fixed in width.
+        rows = rows.withColumn("_at", order_key())
+        aggs = [F.max_by(c, "_at").alias(c) for c in ("seq", *spec.values)]
+        last = rows.groupBy(*spec.pk).agg(F.max_by(adds(), F.col("_at")).alias("_alive"), *aggs)
+        return last.withColumn("op", F.when(F.col("_alive"), UPDATE_AFTER).otherwise(DELETE)).select(*rows.columns[:-1])
+    last = rows.groupBy(*spec.pk).agg(F.max_by(F.struct(*rest), order_key()).alias("_row"))
+    return last.select(*spec.pk, "_row.*").select(*rows.columns)
 
 
 def fold_partial_update(
@@ -92,14 +124,14 @@ def fold_partial_update(
 
 
 def merge_partial_update(state: DataFrame | None, batch: DataFrame, spec: TableSpec) -> DataFrame:
+    """The merged values, each with the position it was set at."""
     ordered = [c for c in batch.columns if c.startswith(ORDER_PREFIX)]
     stacked = _stack(state, batch.select("op", "seq", *spec.columns, *ordered))
-    carries = state is not None and any(c.startswith(ORDER_PREFIX) for c in state.columns)
-    return fold_partial_update(stacked, spec, keep_order=carries)
+    return fold_partial_update(stacked, spec, keep_order=True)
 
 
 def fold_aggregation(changelog: DataFrame, spec: TableSpec, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Sums where retractions subtract; nulls add nothing.
+    """Sums where retractions subtract, smallest and largest values, which cannot take one back; nulls add nothing.
 
     ``live_rows`` counts the rows behind a key: a sum of 0 may be real, so keys that
     lost all their rows are told apart by the count, not by the sum.
@@ -108,11 +140,16 @@ def fold_aggregation(changelog: DataFrame, spec: TableSpec, carry: tuple[str, ..
     weight = F.when(adds(), F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
     if LIVE in rows.columns:
         weight = F.coalesce(F.col(LIVE), weight)
-    sums = [
-        F.sum(signed(F.col(c).cast("bigint") if _is_integral(rows, c) else F.col(c))).alias(c)
-        for c in spec.aggregates
-    ]
-    return rows.groupBy(*spec.pk).agg(*sums, F.sum(weight).alias(LIVE), *_carried(carry))
+    refused = F.raise_error(F.lit(f"{spec.name}: a smallest or largest value cannot be taken back"))
+
+    def merged(c: str, rule: str) -> Column:
+        if rule == "sum":
+            return F.sum(signed(F.col(c).cast("bigint") if is_integral(rows, c) else F.col(c))).alias(c)
+        added = F.when(adds(), F.col(c)).otherwise(refused.cast(rows.schema[c].dataType))
+        return (F.min(added) if rule == "min" else F.max(added)).alias(c)
+
+    values = [merged(c, rule) for c, rule in spec.aggregates.items()]
+    return rows.groupBy(*spec.pk).agg(*values, F.sum(weight).alias(LIVE), *_carried(carry))
 
 
 def merge_aggregation(state: DataFrame | None, batch: DataFrame, spec: TableSpec) -> DataFrame:
@@ -133,13 +170,10 @@ def _carried(columns: tuple[str, ...]) -> list[Column]:
 def _stack(state: DataFrame | None, batch: DataFrame) -> DataFrame:
     if state is None:
         return batch
-    earlier = state.withColumn("op", F.lit(INSERT)).withColumn("seq", F.lit(-1).cast("bigint"))
+    # Sums need no position, and partial updates carry one for each value.
+    earlier = state.withColumn("op", F.lit(INSERT)).withColumn("seq", F.lit(None).cast("bigint"))
     return earlier.unionByName(batch, allowMissingColumns=True)
 
 
-def _is_integral(df: DataFrame, column: str) -> bool:
-    return df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long")
-
-
 FOLDS = {"latest": fold_latest, "partial-update": fold_partial_update, "aggregation": fold_aggregation}
 MERGES = {"latest": merge_latest, "partial-update": merge_partial_update, "aggregation": merge_aggregation}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.sinks import overwrite_table
+from tidemark.session import written
 from tidemark.specs import TableSpec
 
 
@@ -22,19 +23,25 @@ def result_gap(streamed: DataFrame, recomputed: DataFrame, keys: Sequence[str],
     return left.join(right, keys, "full").filter(differs).drop("_in_stream", "_in_batch")
 
 
-def repair(
-    spark: SparkSession, path: str, spec: TableSpec, recomputed: DataFrame, value: str
-) -> None:
-    """Replaces the partitions of a streamed table that disagree with ``recomputed``.
+def repair(spark: SparkSession, path: str, spec: TableSpec, recomputed: DataFrame) -> None:
+    """Replaces the partitions of a streamed table that disagree with ``recomputed`` in any column.
 
-    Partitions that agree are not rewritten. A partition the recomputation no longer
-    has any row for is left alone.
+    Partitions that agree are not rewritten. A partition that the recomputation has no row
+    for is removed.
     """
     parts = list(spec.partition_by)
     streamed = spark.read.schema(spec.schema).parquet(path)
-    wrong = result_gap(streamed, recomputed, spec.pk, value).select(*parts).distinct()
-    fixed = recomputed.join(wrong, parts, "left_semi")
-    overwrite_table(fixed, spec, path, touched_only=True)
+    row = F.struct(*spec.values).alias("row")
+    gap = result_gap(streamed.select(*spec.pk, row), recomputed.select(*spec.pk, row), spec.pk, "row")
+    wrong = written(gap.select(*parts).distinct(), "wrong")
+    stale = wrong.join(recomputed.select(*parts).distinct(), parts, "left_anti")
+    # A list of folders: as many as there are partitions to remove.
+    folder = F.regexp_extract(F.input_file_name(), "^(.*)/[^/]*$", 1)
+    gone = streamed.withColumn("folder", folder).join(stale, parts, "left_semi").select("folder").distinct().collect()
+    overwrite_table(recomputed.join(wrong, parts, "left_semi"), spec, path, touched_only=True)
+    for r in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(r["folder"]))
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def enriched_recompute(orders: DataFrame, products: DataFrame, customers: DataFrame | None = None) -> DataFrame:
@@ -43,9 +50,7 @@ def enriched_recompute(orders: DataFrame, products: DataFrame, customers: DataFr
     Without ``customers`` the customer name is null in every row, as a plain
     recomputation of the product half leaves it.
     """
-    from tidemark.operators.skew import spread_join
-
-    rows = spread_join(orders, products.select("product_id", "product_name", "sale_price"), ["product_id"], "left")
+    rows = orders.join(products.select("product_id", "product_name", "sale_price"), "product_id", "left")
     if customers is None:
         return rows.withColumn("customer_name", F.lit(None).cast("string"))
-    return spread_join(rows, customers.select("customer_id", "customer_name"), ["customer_id"], "left")
+    return rows.join(customers.select("customer_id", "customer_name"), "customer_id", "left")

@@ -82,13 +82,13 @@ def union_inserts(inserts: Iterable[DataFrame]) -> DataFrame:
 
 
 def run_writes(source: DataFrame, writes: Iterable[Callable[[DataFrame], None]]) -> None:
-    """Several sinks fed by one source, which is read once."""
-    source.persist()
-    try:
-        for write in writes:
-            write(source)
-    finally:
-        source.unpersist()
+    """Several sinks fed by one source.
+
+    Each sink reads the source on its own, so that its filter and its columns reach the
+    scan and nothing is held in between; keep ``source`` close to the files.
+    """
+    for write in writes:
+        write(source)
 
 
 def console_sink(df: DataFrame, rows: int = 20, **trigger) -> StreamingQuery | None:

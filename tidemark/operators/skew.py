@@ -1,28 +1,27 @@
-"""Joins and ordered walks over keys that may hold a large share of all rows.
+"""Ordered walks over keys that may hold a large share of all rows.
 
 A key is *heavy* when it holds more than one part in ``parts`` of the rows, where
 ``parts`` is the session's number of shuffle partitions: spread evenly, such a key
 alone would overfill a task. There are at most ``parts`` heavy keys whatever the
-size of the data. Light keys take the plain plan.
+size of the data. Light keys take the plain plan. Equi-joins need none of this: adaptive
+execution broadcasts small sides and splits skewed partitions by what the shuffle measured.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.rowkind import byte_size
-
 BROADCAST_BYTES = 32 * 1024 * 1024
 MIN_HEAVY_ROWS = 100_000
 MIN_HEAVY_ROWS_CONF = "tidemark.heavy.minRows"
-_MAX_TRACKED = 1_000_000
+MARK_GROUPS = 32
 
 
 def fair_parts(spark: SparkSession) -> int:
@@ -107,16 +106,17 @@ def carry_over(tails: DataFrame, keys: Sequence[str], tail: str, cells: Cells) -
 
 @dataclass(frozen=True)
 class Profile:
-    """What one pass over a set of rows tells about its keys and its order column."""
+    """What is known of a set of rows, its keys and its order column."""
 
     rows: int
     heavy: list[int]
-    marks: list[int]
     largest_group: int
     extra: dict[str, object]
+    marks: Callable[[], list[int]]
 
     def cells(self) -> Cells:
-        return Cells.between(self.marks)
+        """Even stretches of the order column; measured when asked for."""
+        return Cells.between(self.marks())
 
 
 def profile(
@@ -126,36 +126,61 @@ def profile(
     *,
     parts: int | None = None,
     group_filter: str = "true",
-    extra: Sequence[Column] = (),
+    extra: Sequence[str] = (),
 ) -> Profile:
-    """Counts rows, finds heavy keys with a mergeable sketch and cuts ``order`` into even shares.
-
-    Keys with few rows (``tidemark.heavy.minRows``) are never heavy. ``largest_group`` is
-    an upper estimate of the most rows one key has among those of ``group_filter``.
-    Keys are known by their hash: two sharing one only means that a light key is split too.
+    """Counts rows by key and finds the heavy keys.
+
+    Counts are combined before the shuffle and no task gathers more than the rows of its
+    keys; the driver gets the ``parts`` largest keys and a few sums. Keys with few rows
+    (``tidemark.heavy.minRows``) are never heavy. ``largest_group`` is the most rows one key
+    has among those of ``group_filter``; columns in ``extra`` are summed. Keys are known by
+    their hash: two sharing one only means that a light key is split too. What is heavy
+    decides how rows are dealt over tasks, never which rows come out.
     """
-    parts = parts or fair_parts(df.sparkSession)
-    least = int(df.sparkSession.conf.get(MIN_HEAVY_ROWS_CONF, str(MIN_HEAVY_ROWS)))
-    tracked = min(_MAX_TRACKED, max(10_000, 16 * parts))
-    shares = [i / parts for i in range(1, parts)]
-    aggs = [
+    spark = df.sparkSession
+    parts = parts or fair_parts(spark)
+    least = int(spark.conf.get(MIN_HEAVY_ROWS_CONF, str(MIN_HEAVY_ROWS)))
+    counts = df.withColumn("_h", key_hash(keys)).groupBy("_h").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.expr(f"approx_top_k(_h, {parts}, {tracked})").alias("_top"),
-        F.expr(f"approx_top_k(_h, 1, {tracked}) filter (where {group_filter})").alias("_largest"),
-        *extra,
-    ]
-    if order and shares:
-        aggs.append(F.percentile_approx(order, shares, F.lit(max(1_000, 20 * parts))).alias("_marks"))
-    row = df.withColumn("_h", key_hash(keys)).agg(*aggs).first().asDict()
-    heavy = [t["item"] for t in row["_top"] or [] if t["count"] > max(least, row["_n"] / parts)]
-    largest = row["_largest"] or []
+        F.count_if(F.expr(group_filter)).alias("_group"),
+        *[F.sum(c).alias(c) for c in extra],
+    )
+    seen = Observation()
+    sums = [F.sum(c).alias(c) for c in ("_n", *extra)]
+    watched = counts.observe(seen, *sums, F.max("_group").alias("_group"))
+    largest = watched.filter(F.col("_n") > least).orderBy(F.desc("_n"), "_h").limit(parts).collect()
+    found = seen.get
+    total = found.get("_n") or 0
     return Profile(
-        rows=row["_n"],
-        heavy=heavy,
-        marks=row.get("_marks") or [],
-        largest_group=largest[0]["count"] if largest else 0,
-        extra={k: v for k, v in row.items() if not k.startswith("_")},
+        rows=total,
+        heavy=[r["_h"] for r in largest if r["_n"] > total / parts],
+        largest_group=found.get("_group") or 0,
+        extra={c: found.get(c) or 0 for c in extra},
+        marks=lambda: even_marks(df, order, parts),
+    )
+
+
+def even_marks(df: DataFrame, order: str, parts: int) -> list[int]:
+    """Values that cut ``order`` into ``parts`` about even shares.
+
+    Quantiles are taken in ``MARK_GROUPS`` groups of input partitions side by side, so that
+    no task merges the digests of all others, and put together by their weights.
+    """
+    if parts < 2:
+        return []
+    shares = [i / parts for i in range(1, parts)]
+    marked = df.select(F.pmod(F.spark_partition_id(), F.lit(MARK_GROUPS)).alias("_part"), F.col(order).alias("_at"))
+    groups = marked.groupBy("_part").agg(
+        F.count("_at").alias("n"), F.percentile_approx("_at", shares, F.lit(max(1_000, 20 * parts))).alias("marks")
     )
+    weighted = sorted((mark, g["n"] / parts) for g in groups.collect() for mark in g["marks"] or [])
+    whole = sum(weight for _, weight in weighted)
+    marks, reached = [], 0.0
+    for mark, weight in weighted:
+        reached += weight
+        while len(marks) < parts - 1 and reached >= whole * (len(marks) + 1) / parts:
+            marks.append(mark)
+    return marks
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> list[int]:
@@ -167,45 +192,6 @@ def is_heavy(keys: Sequence[str], heavy: Sequence[int]) -> Column:
     return key_hash(keys).isin(list(heavy)) if heavy else F.lit(False)
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the measured rows of ``df`` stay under ``limit`` bytes."""
-    size = byte_size(df.schema, df.columns)
-    total = df.agg(F.sum(size).alias("b")).first()["b"] or 0
-    return total <= limit
-
-
-def spread_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    *,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    parts: int | None = None,
-) -> DataFrame:
-    """Equi-join of a large side with a lookup side (``how``: inner or left).
-
-    The lookup side is broadcast when its measured size allows. Otherwise both sides
-    shuffle on the key, and heavy keys of the large side are spread over ``parts``
-    tasks, the lookup rows of those few keys being repeated once per task.
-    """
-    if how not in ("left", "inner"):
-        raise ValueError(f"spread_join is left or inner, not {how}")
-    on = list(on)
-    if fits_broadcast(dim, broadcast_bytes):
-        return facts.join(F.broadcast(dim), on, how)
-    parts = parts or fair_parts(facts.sparkSession)
-    heavy = heavy_keys(facts, on, parts)
-    if not heavy:
-        return facts.join(dim, on, how)
-    heavy_col = is_heavy(on, heavy)
-    salt = F.when(heavy_col, F.pmod(F.xxhash64(*facts.columns), F.lit(parts))).otherwise(F.lit(0))
-    slots = F.when(heavy_col, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    left = facts.withColumn("_salt", salt.cast("int")).repartition(*on, "_salt")
-    right = dim.withColumn("_salt", F.explode(slots))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
-
-
 def last_before(
     df: DataFrame,
     keys: Sequence[str],

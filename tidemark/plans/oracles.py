@@ -62,14 +62,13 @@ _HISTORY = """hist AS (
   SELECT *, lag(product_id) OVER w AS o_product_id, lag(price) OVER w AS o_price, lag(hh) OVER w AS o_hh,
          lag(kind) OVER w AS o_kind
   FROM {source} WINDOW w AS (PARTITION BY user_id ORDER BY seq))"""
-_NO_DELETES = "kept AS (SELECT * FROM ent WHERE kind <> 'd')"
 
 _SIGNED = """signed AS (
-  SELECT product_id, hh, price, 1 AS sign FROM hist WHERE o_kind IS NULL
-      OR (product_id, price, hh) IS DISTINCT FROM (o_product_id, o_price, o_hh)
+  SELECT ts, product_id, hh, price, 1 AS sign FROM hist WHERE kind <> 'd' AND (coalesce(o_kind, 'd') = 'd'
+      OR (product_id, price, hh) IS DISTINCT FROM (o_product_id, o_price, o_hh))
   UNION ALL
-  SELECT o_product_id, o_hh, -o_price, -1 FROM hist WHERE o_kind IS NOT NULL
-      AND (product_id, price, hh) IS DISTINCT FROM (o_product_id, o_price, o_hh))"""
+  SELECT ts, o_product_id, o_hh, -o_price, -1 FROM hist WHERE coalesce(o_kind, 'd') <> 'd' AND (kind = 'd'
+      OR (product_id, price, hh) IS DISTINCT FROM (o_product_id, o_price, o_hh)))"""
 
 _SHARD = """bounds AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM ev),
 arrived AS (
@@ -111,12 +110,23 @@ SELECT CASE WHEN alive THEN '+I' ELSE '-D' END AS op, date_trunc('millisecond',
     sql["cdc_route_counts"] = """
 SELECT CASE event_type WHEN 'purchase' THEN 'orders' WHEN 'click' THEN 'customers' WHEN 'view' THEN 'page_views'
        ELSE 'products' END AS source_table, count(*) AS n FROM events GROUP BY 1"""
+    sql["cdc_quarantine"] = _with("""whole AS (
+  SELECT CASE event_type WHEN 'purchase' THEN 'orders' WHEN 'click' THEN 'customers' WHEN 'view' THEN 'page_views'
+         ELSE 'products' END AS "table", CASE event_type WHEN 'view' THEN 'unknown table' ELSE 'taken' END AS outcome
+  FROM ev
+  UNION ALL
+  SELECT CASE event_id % 10 WHEN 1 THEN 'suppliers' WHEN 5 THEN NULL ELSE 'customers' END,
+         CASE event_id % 10 WHEN 0 THEN 'null key' WHEN 1 THEN 'unknown table' WHEN 2 THEN 'no position'
+              WHEN 3 THEN 'no old image' WHEN 4 THEN 'unknown operation' WHEN 5 THEN 'malformed' ELSE 'taken' END
+  FROM ev WHERE event_type = 'click')""") + """
+SELECT "table", outcome, count(*) AS n FROM whole GROUP BY ALL"""
     sql["cdc_route_orders"] = _with(_ORD) + """
 SELECT '+I' AS op, order_id AS seq, order_id, product_id, customer_id, ts AS purchase_timestamp,
        strftime(ts, '%Y-%m-%d') AS dd, CAST(hour(ts) AS INTEGER) AS hh FROM ord"""
-    sql["cdc_row_kinds"] = _with(_ENT, _NO_DELETES, _HISTORY.format(source="kept")) + """
-SELECT CASE WHEN o_kind IS NULL THEN '+I' ELSE '+U' END AS op, seq, user_id, product_id, price, hh FROM hist
-UNION ALL SELECT '-U', seq, user_id, o_product_id, o_price, o_hh FROM hist WHERE o_kind IS NOT NULL"""
+    sql["cdc_row_kinds"] = _with(_ENT, _HISTORY.format(source="ent"), """
+life AS (SELECT *, kind <> 'd' AS alive, coalesce(o_kind <> 'd', FALSE) AS o_alive FROM hist)""") + """
+SELECT CASE WHEN o_alive THEN '+U' ELSE '+I' END AS op, seq, user_id, product_id, price, hh FROM life WHERE alive
+UNION ALL SELECT CASE WHEN alive THEN '-U' ELSE '-D' END, seq, user_id, o_product_id, o_price, o_hh FROM life WHERE o_alive"""
     sql["state_latest"] = _with(_ENT, _entity_state()) + "SELECT * FROM state"
     sql["changes_passthrough"] = _with(_ORD) + """
 SELECT '+I' AS op, order_id AS seq, order_id, product_id, customer_id, date_trunc('millisecond', ts) AS ts,
@@ -124,20 +134,25 @@ SELECT '+I' AS op, order_id AS seq, order_id, product_id, customer_id, date_trun
     sql["time_travel_latest"] = _with(_ENT, _entity_state(f"ts <= {_PAST}")) + (
         "SELECT user_id, product_id, price, hh FROM state"
     )
-    sql["time_travel_sum"] = _with(_ENT) + f"""
-SELECT product_id, hh, CAST(sum(price) AS BIGINT) AS price FROM ent WHERE ts <= {_PAST} GROUP BY product_id, hh"""
+    signed = _with(_ENT, _HISTORY.format(source="ent"), _SIGNED)
+    totals = """
+SELECT product_id, hh, CAST(sum(price) AS BIGINT) AS price, CAST(sum(sign) AS BIGINT) AS live_rows
+FROM signed {where} GROUP BY product_id, hh"""
+    sql["time_travel_sum"] = signed + totals.format(where=f"WHERE ts <= {_PAST}")
     sql["bootstrap_snapshot"] = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
     sql["inline_rows"] = """
 SELECT label, count(*) AS n FROM events
 JOIN (VALUES ('purchase', 'order'), ('signup', 'product'), ('click', 'customer')) v(event_type, label) USING (event_type)
 GROUP BY label"""
     sql["merge_latest"] = _with(_ENT, _entity_state()) + "SELECT user_id, product_id, price, hh FROM state"
-    sql["merge_latest_partition_move"] = _with(_ENT, _entity_state("kind <> 'd'"), """
-last_ts AS (SELECT user_id, max(ts) AS ts FROM ent WHERE kind <> 'd' GROUP BY user_id)""") + """
+    sql["merge_latest_late"] = sql["merge_latest"]
+    sql["merge_latest_partition_move"] = _with(_ENT, _entity_state(), """
+last_ts AS (SELECT user_id, max(ts) AS ts FROM ent GROUP BY user_id)""") + """
 SELECT user_id, product_id, price, strftime(ts, '%Y-%m-%d') AS dd, hh FROM state JOIN last_ts USING (user_id)"""
     sql["merge_partial_update"] = _with(_ENT) + """
 SELECT user_id, arg_max(price, seq) FILTER (WHERE event_type = 'purchase') AS price,
        arg_max(event_type, seq) AS event_type FROM ent WHERE kind <> 'd' GROUP BY user_id"""
+    sql["merge_partial_late"] = sql["merge_partial_update"]
     sql["merge_ignore_delete"] = _with(_ENT) + """
 SELECT user_id, product_id, price, hh, event_type FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seq DESC) AS rn FROM ent WHERE kind <> 'd') t WHERE rn = 1"""
@@ -145,11 +160,8 @@ SELECT user_id, product_id, price, hh, event_type FROM (
 latest_ord AS (SELECT customer_id, arg_max(product_id, order_id) AS product_id FROM ord GROUP BY customer_id)""") + """
 SELECT coalesce(o.customer_id, c.customer_id) AS customer_id, o.product_id, c.customer_name
 FROM latest_ord o FULL JOIN latest_cus c ON c.customer_id = o.customer_id"""
-    signed = _with(_ENT, _NO_DELETES, _HISTORY.format(source="kept"), _SIGNED)
-    sql["merge_sum_retract"] = signed + """
-SELECT product_id, hh, CAST(sum(price) AS BIGINT) AS price, CAST(sum(sign) AS BIGINT) AS live_rows
-FROM signed GROUP BY product_id, hh"""
-    sql["merge_sum_live"] = _with(_ENT, _entity_state("kind <> 'd'")) + """
+    sql["merge_sum_retract"] = signed + totals.format(where="")
+    sql["merge_sum_live"] = _with(_ENT, _entity_state()) + """
 SELECT product_id, hh, CAST(sum(price) AS BIGINT) AS price, count(*) AS live_rows FROM state GROUP BY product_id, hh"""
     sql["state_diff"] = _with(
         _ENT, _entity_state(f"ts <= {_PAST}", "a"), _entity_state("TRUE", "b"), """
@@ -211,6 +223,8 @@ SELECT t.*, s.* FROM (SELECT event_type, count(*) AS type_n FROM ev GROUP BY eve
     sql["lookup_retry"] = _with(_ORD, _PRD, _lookup(3)) + (
         "SELECT order_id, product_id, product_name, sale_price, attempt FROM found"
     )
+    sql["lookup_duplicates"] = _with(_ORD, _PRD, _lookup(3)) + """
+SELECT product_id, ts AS commit_ts, product_name, sale_price FROM found, range(2)"""
     sql["join_current"] = _with(_ORD, _CUS, _LATEST_CUS) + """
 SELECT order_id, product_id, customer_id, customer_name FROM ord JOIN latest_cus USING (customer_id)"""
     sql["changelog_join"] = _with(_ORD, _CUS, """
@@ -231,10 +245,36 @@ sides AS (
 SELECT CASE WHEN bi IS NULL THEN '-D' ELSE '-U' END AS op, ai AS order_id, ap AS product_id, ac AS customer_id,
        an AS customer_name FROM sides WHERE ai IS NOT NULL
 UNION ALL SELECT CASE WHEN ai IS NULL THEN '+I' ELSE '+U' END, bi, bp, bc, bn FROM sides WHERE bi IS NOT NULL"""
+    state = "SELECT customer_id AS order_id, arg_max(product_id, order_id) AS product_id FROM ord {where} GROUP BY 1"
+    alive = """SELECT product_id, product_name, sale_price FROM (
+    SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY seq DESC) AS rn FROM prd {where}) t
+  WHERE rn = 1 AND alive"""
+    sides = [
+        f"{name} AS (SELECT o.*, p.product_name, p.sale_price FROM ({state.format(where=where)}) o"
+        f" JOIN ({alive.format(where=where)}) p USING (product_id))"
+        for name, where in (("a", f"WHERE ts <= {_PAST}"), ("b", ""))
+    ]
+    sql["join_changes_moves"] = _with(_ORD, _PRD, *sides, """
+sides AS (
+  SELECT a.order_id AS ai, a.product_id AS ap, a.product_name AS an, a.sale_price AS ac,
+         b.order_id AS bi, b.product_id AS bp, b.product_name AS bn, b.sale_price AS bc
+  FROM a FULL JOIN b ON a.order_id = b.order_id
+  WHERE (a.order_id, a.product_id, a.product_name, a.sale_price)
+        IS DISTINCT FROM (b.order_id, b.product_id, b.product_name, b.sale_price))""") + """
+SELECT CASE WHEN bi IS NULL THEN '-D' ELSE '-U' END AS op, ai AS order_id, ap AS product_id, an AS product_name,
+       ac AS sale_price FROM sides WHERE ai IS NOT NULL
+UNION ALL SELECT CASE WHEN ai IS NULL THEN '+I' ELSE '+U' END, bi, bp, bn, bc FROM sides WHERE bi IS NOT NULL"""
     sql["join_left_batch"] = """
 SELECT o_orderkey, o_custkey, l_linenumber, l_partkey, p_name, p_retailprice
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey"""
     sql["hourly_sales_batch"] = _with(_ORD, _PRD, _LATEST_PRD, _BATCH_SALES) + "SELECT * FROM batch_sales"
+    sql["hourly_sales_retail"] = _with(_ORD) + """
+SELECT product_id, CAST(hour(ts) AS BIGINT) AS hh,
+       CAST(sum(CAST(p_retailprice AS DECIMAL(15, 2))) AS DOUBLE) AS sales
+FROM ord LEFT JOIN part ON p_partkey = product_id GROUP BY ALL"""
+    sql["customer_total_of_one"] = _with(_ORD, _PRD, _LATEST_PRD) + """
+SELECT customer_id, CAST(sum(sale_price) AS BIGINT) AS sales FROM ord LEFT JOIN latest_prd USING (product_id)
+WHERE customer_id = (SELECT min(customer_id) FROM ord) GROUP BY customer_id"""
     sql["hourly_sales_as_of"] = _with(_ORD, _PRD, _LATEST_PRD) + f"""
 SELECT o.product_id, CAST(hour(o.ts) AS BIGINT) AS hh, CAST(sum(p.sale_price) AS BIGINT) AS sales
 FROM ord o LEFT JOIN latest_prd p USING (product_id) WHERE o.ts <= {_PAST} GROUP BY ALL"""
@@ -243,6 +283,7 @@ FROM ord o LEFT JOIN latest_prd p USING (product_id) WHERE o.ts <= {_PAST} GROUP
     sql["customer_total_as_of"] = _with(_ORD, past, bounded) + f"""
 SELECT customer_id, CAST(sum(sale_price) AS BIGINT) AS sales FROM found WHERE ts <= {_PAST} GROUP BY customer_id"""
     sql["stream_tumbling"] = _with(_SHARD.format(late="FALSE")) + "SELECT * FROM full_totals"
+    sql["stream_commit_interval"] = sql["stream_tumbling"]
     late = _with(_SHARD.format(late="k % 10 = 3"))
     sql["late_gap"] = late + """
 SELECT f.hour_start, f.event_type, s.total AS streamed, f.total AS recomputed
@@ -252,6 +293,8 @@ WHERE s.total IS DISTINCT FROM f.total OR s.hour_start IS NULL"""
     exact = _with(_ORD, _PRD, _CUS, _LATEST_CUS, _lookup(3))
     millis = _with(_ORD, _PRD, _CUS, _LATEST_CUS, _lookup(3, "millisecond"))
     sql["layered_dwd"] = millis + _ENRICHED
+    sql["layered_late"] = sql["layered_dwd"]
+    sql["enriched_feed"] = sql["layered_dwd"]
     sql["layered_dws"] = millis.rstrip() + ",\n" + _SALES + "\nSELECT * FROM sales"
     moved = """moved AS (
   SELECT f.customer_id AS order_id, arg_max(f.product_id, f.order_id) AS product_id, f.customer_id,

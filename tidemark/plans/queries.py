@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.rowkind import DELETE, INSERT, UPDATE_AFTER, adds
+from tidemark.functions.rowkind import UPDATE_AFTER, adds
 from tidemark.functions.temporal import day_of, hour_of, to_millis
 from tidemark.operators import aggregates, changes, joins, merge, repair, sinks, steps, travel
 from tidemark.operators.lookup import lookup_as_of
-from tidemark.operators.skew import last_before, spread_join
+from tidemark.operators.skew import last_before
 from tidemark.plans import tables
 from tidemark.plans.retail import (
     customer_half,
@@ -90,15 +90,19 @@ def cdc_decode(spark, sf_dir):
 
 @query
 def cdc_route_counts(spark, sf_dir):
-    raw = _wire(spark, sf_dir)
-    routed = envelope.route_changes(raw, SPECS.sources)
-    counts = [
-        rows.agg(F.lit(name).alias("source_table"), F.count(F.lit(1)).alias("n"))
-        for name, rows in routed.items()
-    ]
-    bad = envelope.quarantine(raw, SPECS.sources)
-    counts.append(bad.groupBy(F.col("table").alias("source_table")).agg(F.count(F.lit(1)).alias("n")))
-    return sinks.union_inserts(counts)
+    """Records by the table that takes them or that nobody declares, in one pass over them."""
+    judged = envelope.judge(_wire(spark, sf_dir), SPECS.sources)
+    return judged.groupBy(F.col("table").alias("source_table")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def cdc_quarantine(spark, sf_dir):
+    """What becomes of every record, some of them broken: taken, or refused with a reason."""
+    broken = tables.broken_records(spark, sf_dir).select("value")
+    judged = envelope.judge(_wire(spark, sf_dir).unionByName(broken), SPECS.sources)
+    return judged.groupBy("table", F.coalesce("reason", F.lit("taken")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
 
 @query
@@ -110,10 +114,15 @@ def cdc_route_orders(spark, sf_dir):
 
 @query
 def cdc_row_kinds(spark, sf_dir):
-    rows = tables.entity_changes(spark, sf_dir).filter(F.col("op") != DELETE)
-    rows = rows.withColumn("after", F.struct("user_id", *ENTITY_ROW))
-    rows = last_before(rows, ["user_id"], "seq", "after", "before")
-    records = rows.withColumn("op", F.when(F.col("before").isNull(), "c").otherwise("u"))
+    """Inserts, updates and deletes as records of their kind, and back."""
+    image = F.struct("user_id", *ENTITY_ROW)
+    rows = tables.entity_changes(spark, sf_dir).withColumn("now", F.struct(adds().alias("alive"), image.alias("row")))
+    rows = last_before(rows, ["user_id"], "seq", "now", "prior")
+    rows = rows.withColumns(
+        {"before": F.when(F.col("prior.alive"), F.col("prior.row")), "after": F.when(adds(), F.col("now.row"))}
+    )
+    op = F.when(F.col("before").isNull(), "c").when(F.col("after").isNull(), "d").otherwise("u")
+    records = rows.filter("before is not null or after is not null").withColumn("op", op)
     text = envelope.encode_events(records, "entity", records.columns)
     return envelope.decode_changes(text, ENTITY_SPEC).select("op", "seq", "user_id", *ENTITY_ROW)
 
@@ -144,8 +153,8 @@ def time_travel_latest(spark, sf_dir):
 
 @query
 def time_travel_sum(spark, sf_dir):
-    rows = tables.entity_changes(spark, sf_dir).withColumn("op", F.lit(INSERT))
-    return travel.snapshot_as_of(rows, ENTITY_SUMS, _past()).select("product_id", "hh", "price")
+    """Sums as of a moment, over the changes as they were: updates retract, deletes remove."""
+    return travel.snapshot_as_of(_retracting(spark, sf_dir, "commit_ts"), ENTITY_SUMS, _past())
 
 
 @query
@@ -179,14 +188,27 @@ def _halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 @query
 def merge_latest(spark, sf_dir):
     first, second = _halves(tables.entity_changes(spark, sf_dir))
-    state = merge.merge_into(None, first, ENTITY_SPEC)
-    return merge.merge_into(state, second, ENTITY_SPEC)
+    return _merged(ENTITY_SPEC, first, second)
+
+
+@query
+def merge_latest_late(spark, sf_dir):
+    """The same table when the second half of the changes comes first."""
+    first, second = _halves(tables.entity_changes(spark, sf_dir))
+    return _merged(ENTITY_SPEC, second, first)
+
+
+def _merged(spec: TableSpec, *batches: DataFrame) -> DataFrame:
+    state = None
+    for batch in batches:
+        state = merge.merge_into(state, batch, spec)
+    return merge.live(state, spec)
 
 
 @query
 def merge_latest_partition_move(spark, sf_dir):
     """A row whose hour changes leaves the partition it was in."""
-    rows = tables.entity_changes(spark, sf_dir).filter(F.col("op") != DELETE).withColumn("dd", day_of("commit_ts"))
+    rows = tables.entity_changes(spark, sf_dir).withColumn("dd", day_of("commit_ts"))
     moved = changes.changelog_of(rows, ["user_id"], ["product_id", "price", "dd", "hh"])
     spec = TableSpec(
         "entity_by_hour",
@@ -214,9 +236,13 @@ def _partial_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def merge_partial_update(spark, sf_dir):
-    first, second = _halves(_partial_changes(spark, sf_dir))
-    state = merge.merge_into(None, first, PARTIAL)
-    return merge.merge_into(state, second, PARTIAL)
+    return _merged(PARTIAL, *_halves(_partial_changes(spark, sf_dir)))
+
+
+@query
+def merge_partial_late(spark, sf_dir):
+    """The same table when the second half of the changes comes first."""
+    return _merged(PARTIAL, *reversed(_halves(_partial_changes(spark, sf_dir))))
 
 
 @query
@@ -240,9 +266,11 @@ def merge_partial_two_writers(spark, sf_dir):
     return merge.current_state(orders.unionByName(names, allowMissingColumns=True), spec)
 
 
-def _retracting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tables.entity_changes(spark, sf_dir).filter(F.col("op") != DELETE)
-    return changes.changelog_of(rows, ["user_id"], list(ENTITY_ROW))
+def _retracting(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Full changes with old and new rows; ``extra`` columns are those of the row a change is made by."""
+    rows = tables.entity_changes(spark, sf_dir)
+    full = changes.changelog_of(rows, ["user_id"], list(ENTITY_ROW))
+    return full.join(rows.select("user_id", "seq", *extra), ["user_id", "seq"]) if extra else full
 
 
 @query
@@ -273,9 +301,8 @@ def changelog_lag(spark, sf_dir):
 def partition_counts(spark, sf_dir):
     folder = scratch_dir(spark, "partitions")
     orders = with_hour_partition(tables.order_changes(spark, sf_dir)).select(*SPECS.orders.columns)
-    spec = TableSpec("orders", SPECS.orders.schema, pk=SPECS.orders.pk, partition_by=("dd",))
-    sinks.write_table(orders, spec, folder)
-    stored = spark.read.parquet(folder).withColumn("dd", F.col("dd").cast("string"))
+    sinks.write_table(orders, SPECS.orders, folder)
+    stored = spark.read.schema(SPECS.orders.schema).parquet(folder)
     return stored.groupBy("dd", "hh").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -437,6 +464,22 @@ def lookup_retry(spark, sf_dir):
     return _look_up(spark, sf_dir, MAX_RETRIES)
 
 
+@query
+def lookup_duplicates(spark, sf_dir):
+    """Facts without a position, each of them twice: every one gives a row."""
+    orders = tables.order_changes(spark, sf_dir).select("product_id", "commit_ts")
+    twice = orders.withColumn("seq", F.lit(None).cast("bigint")).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    return lookup_as_of(
+        twice.drop("copy"),
+        tables.product_changes(spark, sf_dir),
+        ["product_id"],
+        "commit_ts",
+        ["product_name", "sale_price"],
+        retry_delay=RETRY_DELAY,
+        max_retries=MAX_RETRIES,
+    ).select("product_id", _plain("commit_ts"), "product_name", "sale_price")
+
+
 @query
 def join_current(spark, sf_dir):
     orders, _, customers = _current(spark, sf_dir)
@@ -469,13 +512,33 @@ def join_changes(spark, sf_dir):
     ).select("op", *ORDER_VIEW, "customer_name")
 
 
+@query
+def join_changes_moves(spark, sf_dir):
+    """The same for orders that move between products as single updates, and products that go."""
+    orders = tables.order_changes(spark, sf_dir).withColumn("order_id", F.col("customer_id"))
+    spec = TableSpec("moves", "order_id bigint, product_id bigint", pk=("order_id",))
+    products = TableSpec("p", "product_id bigint, product_name string, sale_price int", pk=("product_id",))
+    old_orders, new_orders = _halves(orders.select("op", "seq", "commit_ts", *spec.columns))
+    old_versions, new_versions = _halves(tables.product_changes(spark, sf_dir))
+    moves = merge.merge_into(None, new_orders, spec).withColumn("op", F.lit(UPDATE_AFTER))
+    return joins.join_changes(
+        merge.current_state(old_orders, spec),
+        moves.select("op", *spec.columns),
+        merge.current_state(old_versions, products),
+        merge.merge_into(None, new_versions, products).select("op", *products.columns),
+        ["product_id"],
+        ["order_id"],
+        ["product_id"],
+    ).select("op", *spec.columns, "product_name", "sale_price")
+
+
 @query
 def join_left_batch(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey")
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_retailprice")
     lined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
-    priced = spread_join(lined, parts.withColumnRenamed("p_partkey", "l_partkey"), ["l_partkey"], "left")
+    priced = lined.join(parts.withColumnRenamed("p_partkey", "l_partkey"), "l_partkey", "left")
     return priced.select("o_orderkey", "o_custkey", "l_linenumber", "l_partkey", "p_name", "p_retailprice")
 
 
@@ -488,6 +551,16 @@ def hourly_sales_batch(spark, sf_dir):
     return aggregates.hourly_sales(orders, products)
 
 
+@query
+def hourly_sales_retail(spark, sf_dir):
+    """Sales at the list price of each part, exact to the cent."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_retailprice").cast("decimal(15,2)").alias("sale_price")
+    )
+    sales = aggregates.hourly_sales(tables.order_changes(spark, sf_dir), parts)
+    return sales.withColumn("sales", F.col("sales").cast("double"))
+
+
 @query
 def hourly_sales_as_of(spark, sf_dir):
     orders, products, _ = _current(spark, sf_dir)
@@ -506,6 +579,15 @@ def customer_total_as_of(spark, sf_dir):
     return aggregates.customer_total(table)
 
 
+@query
+def customer_total_of_one(spark, sf_dir):
+    """The total of the customer with the smallest id."""
+    orders, products, _ = _current(spark, sf_dir)
+    table = orders.join(products, "product_id", "left")
+    first = table.agg(F.min("customer_id")).first()[0]
+    return aggregates.customer_total(table, customer=first)
+
+
 # -- streams ---------------------------------------------------------------------
 
 
@@ -515,6 +597,13 @@ def stream_tumbling(spark, sf_dir):
     return _closed(spark, _streamed_totals(spark, rows, SHARDS))
 
 
+@query
+def stream_commit_interval(spark, sf_dir):
+    """The same stream run continuously, with a commit at every interval, while files arrive."""
+    rows = tables.shard_by_time(_stream_rows(spark, sf_dir), SHARDS)
+    return _closed(spark, _streamed_totals(spark, rows, SHARDS, interval="1 second"))
+
+
 @query
 def late_gap(spark, sf_dir):
     """Hours whose streamed totals miss late rows."""
@@ -538,7 +627,7 @@ def repair_closed_hours(spark, sf_dir):
     streamed = _closed(spark, _streamed_totals(spark, rows, SHARDS + 1))
     sinks.overwrite_table(streamed.withColumn("dd", day_of("hour_start")), spec, served)
     full = _closed(spark, closed_hours(hourly_totals(rows, ["event_type"], "price"), rows))
-    repair.repair(spark, served, spec, full.withColumn("dd", day_of("hour_start")), "total")
+    repair.repair(spark, served, spec, full.withColumn("dd", day_of("hour_start")))
     return spark.read.schema(spec.schema).parquet(served).select("hour_start", "event_type", "total", "n")
 
 
@@ -553,7 +642,7 @@ def _late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("shard", F.col("shard") + late)
 
 
-def _streamed_totals(spark: SparkSession, rows: DataFrame, shards: int) -> DataFrame:
+def _streamed_totals(spark: SparkSession, rows: DataFrame, shards: int, interval: str | None = None) -> DataFrame:
     folder = scratch_dir(spark, "totals")
     arrivals = f"{folder}/arrivals"
     schema = rows.drop("shard").schema
@@ -561,7 +650,12 @@ def _streamed_totals(spark: SparkSession, rows: DataFrame, shards: int) -> DataF
     def run(shard: int) -> None:
         stream = spark.readStream.schema(schema).parquet(arrivals)
         totals = hourly_totals(stream, ["event_type"], "price")
-        sinks.write_output(totals, f"{folder}/out", checkpoint=f"{folder}/checkpoint").awaitTermination()
+        trigger = {"processingTime": interval} if interval else {}
+        running = sinks.write_output(totals, f"{folder}/out", checkpoint=f"{folder}/checkpoint", **trigger)
+        if interval:
+            running.processAllAvailable()
+            running.stop()
+        running.awaitTermination()
 
     tables.replay(rows, shards, "parquet", arrivals, run)
     return spark.read.parquet(f"{folder}/out")
@@ -571,11 +665,16 @@ def _closed(spark: SparkSession, totals: DataFrame) -> DataFrame:
     return totals.select(_plain("hour_start"), "event_type", "total", "n")
 
 
-def _layers(spark: SparkSession, sf_dir: str, records_of: Query) -> tuple[RetailLayers, int]:
-    """The layers run over records that arrive in shards; the last one ends all waiting."""
+def _layers(spark: SparkSession, sf_dir: str, records_of: Query, late: str = "false") -> tuple[RetailLayers, int]:
+    """The layers run over records that arrive in shards; the last one ends all waiting.
+
+    Records that ``late`` selects arrive one shard after their time.
+    """
     folder = scratch_dir(spark, "layers")
     times = tables.events(spark, sf_dir).select("ts", F.col("event_id").alias("seq"))
     rows = tables.shard_by_time(records_of(spark, sf_dir), SHARDS, span_of=times)
+    after = F.when(F.expr(late.replace("source_table", "get_json_object(value, '$.source.table')")), 1).otherwise(0)
+    rows = rows.withColumn("shard", F.least(F.col("shard") + after, F.lit(SHARDS - 1)))
     layers = RetailLayers(
         spark, f"{folder}/tables", SPECS, retry_delay=RETRY_DELAY, max_retries=MAX_RETRIES, buckets=8
     )
@@ -603,6 +702,24 @@ def layered_dws(spark, sf_dir):
     return layers.sales_table(last).select("product_id", "hh", "sales")
 
 
+@query
+def layered_late(spark, sf_dir):
+    """Orders of which some arrive days after their time, long past the retry budget."""
+    layers, last = _layers(spark, sf_dir, tables.wire_events, late="source_table = 'orders' and seq % 10 = 3")
+    return layers.enriched_table(last)
+
+
+@query
+def enriched_feed(spark, sf_dir):
+    """The enriched table rebuilt from its streamed changes."""
+    layers, _ = _layers(spark, sf_dir, tables.wire_events)
+    folder = scratch_dir(spark, "feed")
+    sinks.write_output(layers.enriched_stream(), f"{folder}/out", checkpoint=f"{folder}/checkpoint").awaitTermination()
+    feed = spark.read.parquet(f"{folder}/out").withColumn("seq", F.col("v").cast("bigint"))
+    spec = TableSpec("feed", SPECS.enriched.schema, pk=SPECS.enriched.pk)
+    return merge.current_state(feed, spec)
+
+
 @query
 def layered_reorders_dwd(spark, sf_dir):
     """Orders that move between products, hours and prices again and again."""

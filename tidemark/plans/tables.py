@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rowkind import DELETE, INSERT, UPDATE_AFTER
 from tidemark.functions.temporal import micros
-from tidemark.operators.skew import last_before, spread_join
+from tidemark.operators.skew import last_before
 from tidemark.plans.retail import retail_specs
 from tidemark.sources.envelope import CREATE, HEARTBEAT, REMOVE, TIMESTAMP_TEXT, UPDATE
 from tidemark.specs import TableSpec
@@ -61,7 +61,7 @@ def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name")
     )
-    return spread_join(versions, names, ["product_id"], "left")
+    return versions.join(names, "product_id", "left")
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("_name")
     )
-    named = spread_join(clicks, names, ["customer_id"], "left")
+    named = clicks.join(names, "customer_id", "left")
     return named.withColumn("customer_name", F.concat("_name", F.lit("#"), F.col("seq").cast("string"))).drop("_name")
 
 
@@ -129,6 +129,28 @@ def _records(changes: DataFrame, table: str, columns: list[str]) -> DataFrame:
     return changes.select(F.col("commit_ts").alias("ts"), "seq", text.alias("value"))
 
 
+def broken_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each click as a record with one fault, by the last digit of its position: kinds 0 to 5, the rest are sound."""
+    clicks = customer_changes(spark, sf_dir).withColumn("kind", F.pmod("seq", F.lit(10)))
+    kind = F.col("kind")
+    image = F.struct(F.when(kind != 0, F.col("customer_id")).alias("customer_id"), "customer_name")
+    source = F.struct(
+        F.lit("shop").alias("db"),
+        F.lit("public").alias("schema"),
+        F.when(kind == 1, "suppliers").otherwise("customers").alias("table"),
+        F.unix_millis("commit_ts").alias("ts_ms"),
+        F.when(kind != 2, F.col("seq")).alias("lsn"),
+    )
+    record = F.struct(
+        F.when(kind == 3, UPDATE).when(kind == 4, "x").otherwise(CREATE).alias("op"),
+        image.alias("after"),
+        source.alias("source"),
+    )
+    text = F.to_json(record)
+    text = F.when(kind == 5, F.substring(text, 1, 40)).otherwise(text)
+    return clicks.select(F.col("commit_ts").alias("ts"), "seq", text.alias("value"))
+
+
 def reorder_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Like ``wire_events``, but each user has one order, which every purchase changes."""
     placed = order_changes(spark, sf_dir).withColumn("order_id", F.col("customer_id"))

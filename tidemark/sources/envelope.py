@@ -35,35 +35,66 @@ def source_table(value: str | Column = "value") -> Column:
 
 
 def tag_events(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Records with their source table, time and readability, all from one parse.
+    """Records taken apart once: table, operation, time, position, and both images as text.
 
-    What follows filters on these columns, so records are routed without being parsed
-    again for every table.
+    Records are routed, decoded and refused by these columns; an image is parsed with the
+    columns of its own table only.
     """
-    layout = f"op string, source struct<table:string,ts_ms:bigint>, {_CORRUPT} string"
+    layout = f"op string, before string, after string, source {SOURCE_TYPE}, {_CORRUPT} string"
     head = F.from_json(value, layout, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     return raw.select(F.col(value).alias("value"), head.alias("h")).select(
         "value",
         F.col("h.source.table").alias("source_table"),
         F.col("h.source.ts_ms").alias("ts_ms"),
         (F.col(f"h.{_CORRUPT}").isNull() & F.col("h.op").isNotNull()).alias("readable"),
+        F.col("h.op").alias("op"),
+        F.col("h.before").alias("before"),
+        F.col("h.after").alias("after"),
+        from_epoch_millis("h.source.ts_ms").alias("commit_ts"),
+        F.col("h.source.lsn").alias("seq"),
     )
 
 
-def parse_envelope(raw: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """Records as typed columns; ``_corrupt`` holds the text of those that do not parse."""
-    image = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in schema.fields)
-    layout = f"op string, before struct<{image}>, after struct<{image}>, source {SOURCE_TYPE}, {_CORRUPT} string"
-    parsed = F.from_json(value, layout, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    return raw.select(F.col(value).alias("value"), parsed.alias("e")).select(
-        "value",
-        "e.op",
-        "e.before",
-        "e.after",
-        "e.source",
-        from_epoch_millis("e.source.ts_ms").alias("commit_ts"),
-        F.col("e.source.lsn").alias("seq"),
-        f"e.{_CORRUPT}",
+def parse_envelope(tagged: DataFrame, spec: TableSpec) -> DataFrame:
+    """Tagged records of one table with typed images, and the ``reason`` to refuse a record, null to keep it.
+
+    Refused are records that do not parse, have an operation nobody knows, no position in
+    the log, no row image or no key, and updates without the old image, which cannot be
+    retracted. What is refused is never decoded too.
+    """
+    schema = source_schema(spec)
+    rows = tagged.withColumns({"before": _image("before", spec), "after": _image("after", spec)})
+    rows = rows.withColumn("reason", _refusal(spec, F.col("before"), F.col("after")))
+
+    def plain(side: str) -> Column:
+        return F.when(F.col(side).isNotNull(), F.struct(*[F.col(f"{side}.{f.name}").alias(f.name) for f in schema.fields]))
+
+    return rows.withColumns({"before": plain("before"), "after": plain("after")})
+
+
+def _image(side: str, spec: TableSpec) -> Column:
+    """An image's text with the columns of its table, and what does not fit them."""
+    fields = source_schema(spec).fields
+    layout = ",".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{_CORRUPT}` string"
+    return F.from_json(side, layout, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _refusal(spec: TableSpec, before: Column, after: Column) -> Column:
+    """Why a record of one table is refused; null if it is not."""
+    op = F.col("op")
+    used = F.when(op == REMOVE, before).otherwise(after)
+    no_key = F.lit(False)
+    for c in spec.pk:
+        if c not in spec.partition_by:
+            no_key = no_key | used[c].isNull() | ((op == UPDATE) & before[c].isNull())
+    corrupt = ~F.col("readable") | before[_CORRUPT].isNotNull() | after[_CORRUPT].isNotNull()
+    return (
+        F.when(F.coalesce(corrupt, F.lit(True)), "malformed")
+        .when(~op.isin(CREATE, READ, UPDATE, REMOVE), "unknown operation")
+        .when(used.isNull(), "no row image")
+        .when((op == UPDATE) & before.isNull(), "no old image")
+        .when(no_key, "null key")
+        .when(F.col("seq").isNull(), "no position")
     )
 
 
@@ -87,9 +118,8 @@ def expand_row_kinds(envelopes: DataFrame) -> DataFrame:
 
 
 def decode_changes(raw: DataFrame, spec: TableSpec, value: str = "value") -> DataFrame:
-    """The changelog of one table from its records."""
-    schema = source_schema(spec)
-    return expand_row_kinds(parse_envelope(raw, schema, value).filter(F.col(_CORRUPT).isNull()))
+    """The changelog of one table from its records; those ``quarantine`` reports are left out."""
+    return expand_row_kinds(parse_envelope(_tagged(raw, value), spec).filter(F.col("reason").isNull()))
 
 
 def route_changes(raw: DataFrame, specs: Mapping[str, TableSpec], value: str = "value") -> dict[str, DataFrame]:
@@ -104,43 +134,31 @@ def route_changes(raw: DataFrame, specs: Mapping[str, TableSpec], value: str = "
     }
 
 
-def quarantine(raw: DataFrame, specs: Mapping[str, TableSpec], value: str = "value") -> DataFrame:
-    """Records that no table takes, with the reason.
+def judge(raw: DataFrame, specs: Mapping[str, TableSpec], value: str = "value") -> DataFrame:
+    """Every record with its ``table`` and the ``reason`` why no table takes it, null for those decoded.
 
-    A record without a declared table would otherwise vanish. Heartbeats only move
-    time forward and are not reported.
+    One pass: a record's images are parsed with the columns of the table it names.
+    Heartbeats, which only move time forward, have the reason ``heartbeat``.
     """
     tagged = _tagged(raw, value)
-    known = F.coalesce(F.col("source_table").isin(*specs), F.lit(False)) & F.col("readable")
-    lost = F.col("source_table").isNull() | ~F.col("readable")
-    reason = F.when(lost, "malformed").otherwise("unknown table")
-    beats = F.col("source_table").eqNullSafe(HEARTBEAT)
-    bad = tagged.filter(~known & ~beats).select("value", F.col("source_table").alias("table"), reason.alias("reason"))
+    table, readable = F.col("source_table"), F.col("readable")
+    reason = (
+        F.when(table.eqNullSafe(HEARTBEAT), HEARTBEAT)
+        .when(table.isNull() | ~readable, "malformed")
+        .when(~table.isin(*specs), "unknown table")
+    )
     for name, spec in specs.items():
-        rows = tagged.filter((F.col("source_table") == name) & F.col("readable"))
-        found = _refused(parse_envelope(rows, source_schema(spec)), spec)
-        bad = bad.unionByName(found.select("value", F.lit(name).alias("table"), "reason"))
-    return bad
+        reason = reason.when(table == name, _refusal(spec, _image("before", spec), _image("after", spec)))
+    return tagged.select("value", table.alias("table"), reason.alias("reason"))
 
 
-def _tagged(raw: DataFrame, value: str) -> DataFrame:
-    return raw if "source_table" in raw.columns else tag_events(raw, value)
+def quarantine(raw: DataFrame, specs: Mapping[str, TableSpec], value: str = "value") -> DataFrame:
+    """Records that no table takes, with the reason; heartbeats are not reported."""
+    return judge(raw, specs, value).filter(F.col("reason").isNotNull() & (F.col("reason") != HEARTBEAT))
 
 
-def _refused(parsed: DataFrame, spec: TableSpec) -> DataFrame:
-    """Records of one table that give no usable row, with the ``reason``."""
-    image = F.when(F.col("op") == REMOVE, F.col("before")).otherwise(F.col("after"))
-    no_key = F.lit(False)
-    for c in spec.pk:
-        if c not in spec.partition_by:
-            no_key = no_key | image[c].isNull()
-    reason = (
-        F.when(F.col(_CORRUPT).isNotNull(), "malformed")
-        .when(~F.col("op").isin(CREATE, READ, UPDATE, REMOVE), "unknown operation")
-        .when(image.isNull(), "no row image")
-        .when(no_key, "null key")
-    )
-    return parsed.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+def _tagged(raw: DataFrame, value: str) -> DataFrame:
+    return raw if "source_table" in raw.columns else tag_events(raw, value)
 
 
 def source_schema(spec: TableSpec) -> StructType:

@@ -33,8 +33,12 @@ def read_changelog(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame
 
 
 def read_bootstrap(spark: SparkSession, spec: TableSpec, path: str, fmt: str = "csv") -> DataFrame:
-    """Initial rows of a table as inserts older than any change."""
-    reader = spark.read.schema(spec.schema)
+    """Initial rows of a table as inserts older than any change.
+
+    A line that does not fit the schema ends the load with an error: half a table is no
+    start to build on.
+    """
+    reader = spark.read.schema(spec.schema).option("mode", "FAILFAST")
     if fmt == "csv":
         reader = reader.option("header", True)
     return reader.format(fmt).load(path).select(
@@ -50,8 +54,9 @@ def load_bootstrap(spark: SparkSession, spec: TableSpec, path: str, target: str,
     try:
         if not spark.read.parquet(target).isEmpty():
             return False
-    except AnalysisException:
-        pass
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
     writer = read_bootstrap(spark, spec, path, fmt).write.mode("append")
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)

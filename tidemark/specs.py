@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 MERGE_RULES = ("latest", "partial-update", "aggregation")
+MERGE_AGGREGATES = ("sum", "min", "max")
 
 _PLAIN_TYPES = {
     "string": T.StringType(),
@@ -64,9 +65,9 @@ class TableSpec:
         missing = [c for c in (*self.pk, *self.partition_by) if c not in self.schema.names]
         if missing:
             raise ValueError(f"{self.name}: columns {missing} are not in the schema")
-        unknown = {c: f for c, f in self.aggregates.items() if f != "sum"}
+        unknown = {c: f for c, f in self.aggregates.items() if f not in MERGE_AGGREGATES}
         if unknown:
-            raise ValueError(f"{self.name}: only sum is a merge aggregate, got {unknown}")
+            raise ValueError(f"{self.name}: merge aggregates are {MERGE_AGGREGATES}, got {unknown}")
 
     @property
     def columns(self) -> list[str]:

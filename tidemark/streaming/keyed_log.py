@@ -6,21 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tidemark.operators.changes import expand_pairs
-from tidemark.operators.skew import spread_join
 
 # With fewer buckets a batch touches most of them, and asking which costs a job.
 PRUNE_FROM = 32
 
 
 class KeyedLog:
-    """Parquet folders ``v=<batch>/bucket=<b>`` of rows ``(key, old, new)``.
+    """Parquet folders ``v=<batch>/bucket=<b>`` of rows ``(key, old, new, at)``.
 
     A batch writes the keys it changed and nothing else, so it costs as much as its own
-    changes. A state is the last ``new`` per key; every ``compact_every`` batches the
-    state is written out once, and later reads start from there.
+    changes. A state is the ``new`` with the largest ``at`` per key: the position in the source
+    log where rows have one, else the batch. Every ``compact_every`` batches the state is
+    written out once, and later reads start from there; a removed key stays with its
+    position, so an older row that comes late does not bring it back.
 
     Version N depends on versions before N only and a commit overwrites its folder, so
     running a batch again gives the same table.
@@ -50,23 +51,26 @@ class KeyedLog:
         self._schema = StructType(
             [f for f in schema.fields if f.name in self.pk]
             + [StructField("old", row), StructField("new", row)]
-            + [StructField("v", IntegerType()), StructField("bucket", IntegerType())]
+            + [StructField("at", LongType()), StructField("v", IntegerType()), StructField("bucket", IntegerType())]
         )
         self.schema = schema
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
-    def state(self, version: int, keys: DataFrame | None = None, few_keys: bool = False) -> DataFrame:
+    def state(self, version: int, keys: DataFrame | None = None) -> DataFrame:
         """Rows after batch ``version``; only those matching ``keys`` when given.
 
         ``keys`` holds some of the key columns, the bucketing ones among them. Where there
-        are many buckets, only those the keys fall into are read. Part of a key may match
-        very many rows: ``few_keys`` says that the caller has counted the keys and they
-        may be broadcast; otherwise they are measured, and the frequent ones spread.
+        are many buckets, only those the keys fall into are read.
         """
         if version < 0:
             return self.spark.createDataFrame([], self.schema)
+        last = self._last(version, keys)
+        return last.filter(F.col("new").isNotNull()).select(*self.pk, "new.*").select(*self.columns)
+
+    def _last(self, version: int, keys: DataFrame | None = None) -> DataFrame:
+        """Per key the last image, null for a removed one, and its position."""
         base = self._last_compacted(version)
         folders = [f"{self.path}/v={v}" for v in range(base + 1, version + 1)]
         rows = self._read(self.path, folders) if folders else None
@@ -80,29 +84,26 @@ class KeyedLog:
             if self.buckets >= PRUNE_FROM:
                 near = keys.select(self.bucket().alias("bucket")).distinct().collect()
                 rows = rows.filter(F.col("bucket").isin([r["bucket"] for r in near]))
-            if len(names) == len(self.pk):
-                rows = rows.join(keys, names, "left_semi")
-            elif few_keys:
-                rows = rows.join(F.broadcast(keys), names, "left_semi")
-            else:
-                rows = spread_join(rows, keys, names, "inner")
-        last = rows.groupBy(*self.pk).agg(F.max_by(F.struct("new"), F.col("v")).alias("last"))
-        return last.filter(F.col("last.new").isNotNull()).select(*self.pk, "last.new.*").select(*self.columns)
+            rows = rows.join(keys, names, "left_semi")
+        last = rows.groupBy(*self.pk).agg(F.max_by(F.struct("new", "at"), F.struct("at", "v")).alias("last"))
+        return last.select(*self.pk, "last.*")
 
     def image(self, df: DataFrame) -> Column:
         """The value columns of ``df`` as one row image."""
         return F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self._row_type.fields])
 
     def commit(self, version: int, pairs: DataFrame) -> None:
-        """Writes ``(key, new)`` or ``(key, old, new)``; a null ``new`` removes the key.
+        """Writes ``(key, new)`` or ``(key, old, new)``, with ``at`` where rows have a position.
 
-        Keys whose two images are equal are not written.
+        A null ``new`` removes the key. Keys whose two images are equal are not written.
         """
+        at = F.col("at") if "at" in pairs.columns else F.lit(version)
+        pairs = pairs.withColumn("at", at.cast("bigint"))
         if "old" in pairs.columns:
             pairs = pairs.filter(~F.col("old").eqNullSafe(F.col("new")))
         else:
             pairs = pairs.withColumn("old", F.lit(None).cast(self._row_type))
-        pairs = pairs.select(*self.pk, "old", F.col("new").cast(self._row_type).alias("new"))
+        pairs = pairs.select(*self.pk, "old", F.col("new").cast(self._row_type).alias("new"), "at")
         self._write(pairs, f"{self.path}/v={version}")
         if (version + 1) % self.compact_every == 0:
             self._compact(version)
@@ -119,14 +120,29 @@ class KeyedLog:
         rows = pairs.select(*self.pk, side("old"), side("new"))
         return expand_pairs(rows, self.pk)
 
+    def stream(self, values: Sequence[str] | None = None) -> DataFrame:
+        """The changelog of all batches as a stream: what was committed so far, then what follows.
+
+        Rows carry the batch in ``v``. A batch that is run again is the same batch: read
+        with ``v`` and the key, its rows do not count twice.
+        """
+        values = list(values or self.values)
+        reader = self.spark.readStream.schema(self._schema).option("basePath", self.path)
+        pairs = reader.parquet(f"{self.path}/v=*")
+
+        def side(name: str) -> Column:
+            part = F.struct(*[F.col(f"{name}.{c}").alias(c) for c in values])
+            return F.when(F.col(name).isNotNull(), part).alias(name)
+
+        return expand_pairs(pairs.select("v", *self.pk, side("old"), side("new")), ["v", *self.pk])
+
     def _last_compacted(self, version: int) -> int:
         """The last compaction before ``version``; that of ``version`` itself may be unfinished."""
         return version // self.compact_every * self.compact_every - 1
 
     def _compact(self, version: int) -> None:
         empty = F.lit(None).cast(self._row_type)
-        state = self.state(version)
-        rows = state.select(*self.pk, empty.alias("old"), self.image(state).alias("new"))
+        rows = self._last(version).select(*self.pk, empty.alias("old"), "new", "at")
         self._write(rows, f"{self.path}/base/v={version}")
 
     def _read(self, root: str, folders: list[str]) -> DataFrame:

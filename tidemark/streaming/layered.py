@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.functions.rowkind import INSERT, adds
+from tidemark.functions.rowkind import INSERT, UPDATE_BEFORE, adds
 from tidemark.functions.temporal import from_epoch_millis, interval_micros, micros
 from tidemark.operators.joins import meet, next_position
 from tidemark.operators.merge import ORDER_PREFIX, fold_aggregation, fold_images, fold_partial_update
@@ -42,10 +42,11 @@ class RetailLayers:
     again after a failure gives the same tables. Results depend on the events and their
     log order, not on where the stream was cut into batches.
 
-    Time is the largest event time seen. An order that misses its product waits in
-    ``lookup/v=N/resolved=false`` until it hits or its retries are spent. Product
-    versions are kept one by one within the retry budget and folded to one row per
-    product before it.
+    Time is the largest event time seen in this batch or an earlier one. An order that
+    misses its product waits in ``lookup/v=N/resolved=false`` until it hits or its retries
+    are spent. All product versions are kept: those within the retry budget together, older
+    ones by product, so an order that arrives however late finds the version of its own
+    time, as a batch over all events would.
     """
 
     def __init__(
@@ -74,7 +75,8 @@ class RetailLayers:
         def positioned(spec: TableSpec) -> StructType:
             return StructType([*spec.schema.fields, StructField("seq", LongType())])
 
-        versions = StructType([*positioned(specs.products).fields, changelog_schema(specs.products)["commit_ts"]])
+        products = changelog_schema(specs.products)
+        versions = StructType([*positioned(specs.products).fields, products["op"], products["commit_ts"]])
         placed = StructType(
             specs.enriched.schema.fields
             + [StructField(ORDER_PREFIX + c, LongType()) for c in specs.enriched.values]
@@ -86,7 +88,8 @@ class RetailLayers:
         )
         counted = StructType([*specs.sales.schema.fields, StructField("live_rows", LongType())])
 
-        self.base_products = log("base_products", versions, specs.products.pk)
+        keys = specs.products.pk
+        self.base_products = log("base_products", versions, [*keys, "seq"], bucket_by=keys)
         self.customers = log("customers", positioned(specs.customers), specs.customers.pk)
         self.orders_of = log("orders_of", held, ["customer_id", "order_id"], bucket_by=["customer_id"])
         self.enriched = log("enriched", placed, specs.enriched.pk)
@@ -100,10 +103,9 @@ class RetailLayers:
         try:
             seen = events.agg(F.max("ts_ms").alias("ms"), F.count(F.lit(1)).alias("n")).first()
             self._ingest(events, version)
-            if seen["ms"] is None:
-                now, small = F.lit(None).cast("timestamp"), True
-            else:
-                now, small = from_epoch_millis(seen["ms"]), seen["n"] < MIN_HEAVY_ROWS
+            latest = self._clock(seen["ms"], version)
+            now = F.lit(None).cast("timestamp") if latest is None else from_epoch_millis(latest)
+            small = seen["n"] < MIN_HEAVY_ROWS
             run_together(
                 self.spark,
                 *self._look_up(version, now, seen["n"]),
@@ -115,6 +117,15 @@ class RetailLayers:
         self._enrich(version)
         self._sum(version)
 
+    def _clock(self, seen: int | None, version: int) -> int | None:
+        """The largest event time so far, which never runs back."""
+        folder = f"{self.path}/clock/v="
+        if version > 0:
+            earlier = self.spark.read.schema("ms bigint").parquet(f"{folder}{version - 1}").first()["ms"]
+            seen = max((ms for ms in (seen, earlier) if ms is not None), default=None)
+        _replace(self.spark.createDataFrame([(seen,)], "ms bigint"), f"{folder}{version}")
+        return seen
+
     def _ingest(self, events: DataFrame, version: int) -> None:
         tables = route_changes(events, self.specs.sources)
         tables["orders"] = with_hour_partition(tables["orders"])
@@ -135,7 +146,7 @@ class RetailLayers:
                 one = F.lit(1).alias("one")
                 events += waiting.select(one).unionByName(kept.select(one)).count()
         base = self.base_products.state(version - 1, facts.filter("product_id is not null").select("product_id"))
-        versions = recent.unionByName(base.withColumn("op", F.lit(INSERT)))
+        versions = recent.unionByName(base)
         spent = F.coalesce(micros("commit_ts") + self.horizon <= micros(now), F.lit(False))
         settled = F.coalesce(micros("commit_ts") <= micros(now) - self.horizon, F.lit(False))
 
@@ -154,7 +165,9 @@ class RetailLayers:
 
         def fold_settled() -> None:
             base = self.base_products
-            base.commit(version, fold_images(recent.filter(settled), base.pk, base.values))
+            rows = recent.filter(settled & (F.col("op") != UPDATE_BEFORE) & F.col("product_id").isNotNull())
+            kept = rows.groupBy(*base.pk).agg(F.max(F.struct(*base.values)).alias("new"))
+            base.commit(version, kept.withColumn("at", F.col("seq")))
 
         def keep_recent() -> None:
             _replace(recent.filter(~settled), f"{self.path}/recent_products/v={version}")
@@ -169,7 +182,7 @@ class RetailLayers:
         light = () if small else None
 
         def meet_names() -> None:
-            held = self.orders_of.state(version - 1, customers.select("customer_id"), few_keys=small)
+            held = self.orders_of.state(version - 1, customers.select("customer_id"))
             moves = held.withColumn("op", F.lit(INSERT)).unionByName(orders.filter("op <> '-U'"))
             spans = next_position(moves, ["order_id"], "_until", heavy=light).filter(adds())
             near = owned.select("customer_id").unionByName(customers.select("customer_id"))
@@ -233,6 +246,29 @@ class RetailLayers:
     def sales_table(self, version: int) -> DataFrame:
         return self.sales.state(version)
 
+    def enriched_stream(self) -> DataFrame:
+        """All changes of the enriched table, old and new rows, as a stream; ``v`` is the batch."""
+        return self.enriched.stream(self.specs.enriched.values)
+
+    def sales_stream(self) -> DataFrame:
+        """All changes of the sales table as a stream; ``v`` is the batch."""
+        return self.sales.stream()
+
+    def version_at(self, moment_ms: int) -> int:
+        """The last batch committed by ``moment_ms``, in event time; -1 before the first."""
+        clocks = self.spark.read.schema("ms bigint, v int").option("basePath", f"{self.path}/clock").parquet(
+            f"{self.path}/clock/v=*"
+        )
+        return clocks.filter(F.col("ms") <= moment_ms).agg(F.coalesce(F.max("v"), F.lit(-1)).alias("v")).first()["v"]
+
+    def enriched_as_of(self, moment_ms: int) -> DataFrame:
+        """The enriched table as it was stored at a moment of event time."""
+        return self.enriched_table(self.version_at(moment_ms))
+
+    def sales_as_of(self, moment_ms: int) -> DataFrame:
+        """The sales table as it was stored at a moment of event time."""
+        return self.sales_table(self.version_at(moment_ms))
+
     def _raw_folder(self, table: str, version: int) -> str:
         return f"{self.path}/raw/{table}/v={version}"
 
