@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import TableSpec, scratch_dir
+from tidemark import TableSpec, scratch_dir, session
 from tidemark.functions.temporal import interval_micros
 from tidemark.operators import merge, sinks, steps
 from tidemark.operators.aggregates import customer_total, hourly_sales
@@ -365,6 +365,14 @@ def test_outputs(spark):
     sinks.console_sink(stream).awaitTermination()
 
 
+def test_scratch_of_one_application(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_scratch_root", lambda _: f"file://{tmp_path}/app")
+    assert session.written(spark.range(3), "numbers").count() == 3
+    assert list(tmp_path.rglob("*.parquet"))
+    session.clear_scratch(spark)
+    assert not list(tmp_path.rglob("*.parquet"))
+
+
 def test_steps(spark):
     variables = spark.sql("select 2 as a")
     assert steps.variable_values(variables) == {"a": 2}

@@ -11,6 +11,10 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Temporary folders of local runs without ``spark.checkpoint.dir``, by application.
+_local_roots: dict[str, str] = {}
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every operator here is written for.
 
@@ -34,18 +38,35 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared ``spark.checkpoint.dir``.
+    """A new folder below the shared ``spark.checkpoint.dir``, under the id of the application.
 
     Written tables and stream checkpoints must outlive any executor, so on a
     cluster the setting is required; a local run without it uses a temporary folder.
+    ``clear_scratch`` removes them all.
+    """
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes what this application wrote below ``spark.checkpoint.dir``.
+
+    DataFrames that still read from there cannot be computed any more, so this is for the
+    end of a job, or for between its steps once their results are stored elsewhere.
     """
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(root, True)
+
+
+def _scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+        application = spark.sparkContext.applicationId
+        if application not in _local_roots:
+            _local_roots[application] = tempfile.mkdtemp(prefix="tidemark-")
+        root = _local_roots[application]
+    return f"{root.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
