@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.words import Batch, pack_sorted, unpack_sorted, words_of
+from tidemark.llm.words import Batch, lean, pack_sorted, unpack_sorted, words_of
 
 #: Bytes of text that a group of documents holds on average, at most.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 #: Bytes of text whose windows a bucket holds on average, at most.
 BUCKET_BYTES = 32 << 20
 
@@ -51,18 +51,28 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35) ->
     ``__group`` replace columns with these names. An empty table gives no rows.
     """
     docs = docs.drop("n_words", "spans", "__group")
+    columns = docs.columns
+
+    def made(table: pa.Table, words: np.ndarray, spans: list[list[dict]]) -> pa.Table:
+        out = {c: table.column(c) for c in columns}
+        out["n_words"] = pa.array(words, pa.int64())
+        out["spans"] = pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
+        return pa.table(out)
+
+    return _with_spans(docs, text_col, window, made, f"{_kinds(docs)}, n_words long, spans array<struct<start: long, stop: long>>")
+
+
+def _kinds(docs: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+
+def _with_spans(docs: DataFrame, text_col: str, window: int, made: Callable, schema: str) -> DataFrame:
+    """What ``made`` gives for each group of documents, their numbers of words and their spans."""
     dealt, buckets = grouped(docs, text_col)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     sent = dealt.groupBy("__group").applyInArrow(_send(text_col, window, buckets), "bucket long, grp long, keys binary")
     answers = sent.groupBy("bucket").applyInArrow(_count, "__group long, bucket long, bits binary")
-    return (
-        dealt.groupBy("__group")
-        .cogroup(answers.groupBy("__group"))
-        .applyInArrow(
-            _cover(text_col, window, buckets, docs.columns),
-            f"{kinds}, n_words long, spans array<struct<start: long, stop: long>>",
-        )
-    )
+    both = dealt.groupBy("__group").cogroup(answers.groupBy("__group"))
+    return both.applyInArrow(_cover(text_col, window, buckets, made), schema)
 
 
 class _Windows:
@@ -100,9 +110,10 @@ def _send(text_col: str, window: int, buckets: int):
             }
         )
 
-    return run
+    return lean(run)
 
 
+@lean
 def _count(key: tuple, table: pa.Table) -> pa.Table:
     """For each group, one bit per key: whether another group has it too."""
     groups = table.column("grp").to_pylist()
@@ -123,7 +134,7 @@ def _count(key: tuple, table: pa.Table) -> pa.Table:
     )
 
 
-def _cover(text_col: str, window: int, buckets: int, columns: list[str]):
+def _cover(text_col: str, window: int, buckets: int, made: Callable):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         bits = dict(zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist()))
         windows = _Windows(table.column(text_col).to_pylist(), window, buckets)
@@ -143,12 +154,9 @@ def _cover(text_col: str, window: int, buckets: int, columns: list[str]):
             step = np.diff(np.concatenate(([0], covered[a:b].view(np.int8), [0])))
             ends = zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist())
             spans.append([{"start": x, "stop": y} for x, y in ends])
-        out = {c: table.column(c) for c in columns}
-        out["n_words"] = pa.array(np.diff(starts), pa.int64())
-        out["spans"] = pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
-        return pa.table(out)
+        return made(table, np.diff(starts), spans)
 
-    return run
+    return lean(run)
 
 
 def kept_words(text: str | None, spans: list[dict]) -> list[bytes]:
@@ -161,40 +169,41 @@ def kept_words(text: str | None, spans: list[dict]) -> list[bytes]:
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
-    """``id_col``, ``n_words``, ``n_removed`` and ``kept_sha256`` of the kept words joined by spaces."""
-    spans = repeated_spans(docs.select(id_col, text_col), text_col, window)
+    """``id_col``, ``n_words``, ``n_removed`` and ``kept_sha256`` of the kept words joined by spaces; see ``repeated_spans``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, cuts = batch.column(text_col).to_pylist(), batch.column("spans").to_pylist()
-            kept = [hashlib.sha256(b" ".join(kept_words(t, s))).hexdigest() for t, s in zip(texts, cuts)]
-            removed = [sum(x["stop"] - x["start"] for x in s) for s in cuts]
-            columns = [batch.column(id_col), batch.column("n_words"), pa.array(removed, pa.int64()), pa.array(kept)]
-            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_words", "n_removed", "kept_sha256"])
+    def made(table: pa.Table, words: np.ndarray, spans: list[list[dict]]) -> pa.Table:
+        pairs = zip(table.column(text_col).to_pylist(), spans)
+        return pa.table(
+            {
+                id_col: table.column(id_col),
+                "n_words": pa.array(words, pa.int64()),
+                "n_removed": pa.array([sum(x["stop"] - x["start"] for x in s) for s in spans], pa.int64()),
+                "kept_sha256": pa.array(
+                    [hashlib.sha256(b" ".join(kept_words(t, s))).hexdigest() for t, s in pairs], pa.string()
+                ),
+            }
+        )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return spans.mapInArrow(run, f"`{id_col}` {kind}, n_words long, n_removed long, kept_sha256 string")
+    schema = f"`{id_col}` {kind}, n_words long, n_removed long, kept_sha256 string"
+    return _with_spans(docs.select(id_col, text_col), text_col, window, made, schema)
 
 
 def without_repeats(docs: DataFrame, text_col: str = "text", window: int = 35) -> DataFrame:
     """``docs`` with the repeated passages cut out of the text; texts without any stay as they are.
 
     Of a text with spans, what lies before, between and after them is kept as it stands,
-    white space included, and the pieces are joined by a newline.
+    white space included, and the pieces are joined by a newline. See ``repeated_spans``.
     """
+    docs = docs.drop("__group")
     columns = docs.columns
-    spans = repeated_spans(docs, text_col, window).select(*columns, "spans")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column(text_col).to_pylist(), batch.column("spans").to_pylist())
-            texts = pa.array([cut(t, s) if s else t for t, s in pairs], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [texts if c == text_col else batch.column(c) for c in columns], names=columns
-            )
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return spans.mapInArrow(run, kinds)
+
+    def made(table: pa.Table, words: np.ndarray, spans: list[list[dict]]) -> pa.Table:
+        pairs = zip(table.column(text_col).to_pylist(), spans)
+        texts = pa.array([cut(t, s) if s else t for t, s in pairs], pa.string())
+        return pa.table({c: texts if c == text_col else table.column(c) for c in columns})
+
+    return _with_spans(docs, text_col, window, made, _kinds(docs))
 
 
 def cut(text: str, spans: list[dict]) -> str:

@@ -6,9 +6,12 @@ A word is a run of bytes other than space and the controls 9 to 13, which is wha
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import ctypes
+import inspect
+from collections.abc import Callable, Iterable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 #: Odd multipliers of the two rolling hashes.
@@ -103,3 +106,34 @@ def pack_sorted(keys: np.ndarray) -> bytes:
 def unpack_sorted(data: bytes) -> np.ndarray:
     planes = np.frombuffer(data, np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).view(">u8").ravel().astype(np.uint64)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, so that a worker waiting for its next task holds little.
+
+    Allocators keep what large arrays once took. Called after each large group or batch;
+    where the system's library has no such call, nothing happens.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def lean(run: Callable) -> Callable:
+    """A function of one or two tables that gives its memory back when it is done."""
+
+    def one(table):
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    def two(first, second):
+        try:
+            return run(first, second)
+        finally:
+            give_back()
+
+    return one if len(inspect.signature(run).parameters) == 1 else two
