@@ -39,15 +39,16 @@ class Laid:
         self.owner = np.repeat(np.arange(len(texts)), self.count)
 
     def repeats(self) -> np.ndarray:
-        """For each half and distance, the share of bytes equal to the byte so far before."""
+        """For each half and distance, the share of bytes equal to the byte so far before, and the largest share."""
         body = self.bytes[: len(self.bytes) - WIDTH]
-        out = np.empty((len(body) // HALF, LAGS), np.float32)
+        out = np.empty((len(body) // HALF, LAGS + 1), np.float32)
         solid = body != 0
         for lag in range(1, LAGS + 1):
             same = np.zeros(len(body), bool)
             np.equal(body[lag:], body[:-lag], out=same[lag:])
             same &= solid
             out[:, lag - 1] = np.bitwise_count(np.packbits(same).view(np.uint32))
+        out[:, LAGS] = out[:, :LAGS].max(axis=1)
         return out / HALF
 
 
@@ -64,7 +65,7 @@ class ByteNetwork:
         self.params = {
             "bytes": draw.normal(0, 0.1, (WIDTH, 256, FILTERS)).astype(np.float32),
             "bias": np.zeros(FILTERS, np.float32),
-            "chunk": draw.normal(0, 0.3, (FILTERS + LAGS, SHAPES)).astype(np.float32),
+            "chunk": draw.normal(0, 0.3, (FILTERS + LAGS + 1, SHAPES)).astype(np.float32),
             "shift": np.zeros(SHAPES, np.float32),
             "out": draw.normal(0, 0.3, 2 * SHAPES).astype(np.float32),
             "last": np.zeros(1, np.float32),
@@ -120,8 +121,12 @@ class ByteNetwork:
     def fit(
         self, texts: list[str], labels: np.ndarray, weights: np.ndarray, rounds: int = 14, rate: float = 0.02, decay: float = 1e-3
     ) -> ByteNetwork:
-        """Adam on the weighted log loss, in batches of 32 texts in a fixed random order."""
+        """Adam on the weighted log loss, in batches of 32 texts in a fixed random order.
+
+        Few texts are gone through more often, for as many steps as ``rounds`` over 1600.
+        """
         draw = np.random.default_rng(11)
+        rounds = max(rounds, min(20 * rounds, rounds * 1600 // max(len(texts), 1)))
         first = {k: np.zeros_like(v) for k, v in self.params.items()}
         second = {k: np.zeros_like(v) for k, v in self.params.items()}
         step = 0
