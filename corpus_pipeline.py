@@ -49,8 +49,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chosen = chosen.union(wordless).select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__row"), F.col("n").alias("__n"))
     same = docs["doc_id"].eqNullSafe(chosen["__id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == chosen["__row"])
     kept = docs.join(chosen, same)
-    once = kept.where("__n = 1").select(*(docs[c] for c in docs.columns))
-    repeated = kept.where("__n > 1").select(*(docs[c] for c in docs.columns)).dropDuplicates(["doc_id", "text"])
+    once = kept.where(chosen["__n"] == 1).select(*(docs[c] for c in docs.columns))
+    repeated = kept.where(chosen["__n"] > 1).select(*(docs[c] for c in docs.columns)).dropDuplicates(["doc_id", "text"])
     return once.union(repeated)
 
 
@@ -58,9 +58,14 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of ``PASSAGE`` words or more that stand more than once in the corpus.
 
     Texts without such passages stay as they are; a text that is nothing else becomes empty.
+    ``n_chars`` counts what is left.
     """
     ship(spark)
-    return without_repeats(docs, "text", PASSAGE)
+    kept = without_repeats(docs, "text", PASSAGE)
+    if "n_chars" not in kept.columns:
+        return kept
+    kind = docs.schema["n_chars"].dataType
+    return kept.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

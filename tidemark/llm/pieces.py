@@ -13,6 +13,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.words import give_back
+
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: What a character without a piece costs below the lowest score of a piece.
@@ -332,6 +334,7 @@ def encoded(docs: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str =
                     names=["id", "rank", "score", "n_pieces", "ids", "exact"],
                 )
                 at = stop
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
