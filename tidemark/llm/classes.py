@@ -11,13 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.words import Batch, pack_sorted, unpack_sorted
+from tidemark.llm.words import Batch, give_back, lean, pack_sorted, unpack_sorted
 from tidemark.session import scratch_dir, written
 
 #: Word classes, the end of a text included; sweeps of the exchange; weight of the class shares in a transition.
 CLASSES, SWEEPS, BLEND = 96, 3, 20.0
 #: Bytes of text per group of documents, and of text per bucket of words.
-GROUP_BYTES, BUCKET_BYTES = 8 << 20, 32 << 20
+GROUP_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
+#: Contexts of words that are weighed together.
+PAIRS = 1 << 15
 #: Class of the end of a text, and the mark of a word that was never learned.
 END, UNKNOWN = 0, 255
 
@@ -95,6 +97,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size >= GROUP_BYTES:
                 yield group()
                 held, size = [], 0
+                give_back()
     if held:
         yield group()
 
@@ -104,17 +107,19 @@ def _kept_by(df: DataFrame, key: str, parts: int, name: str) -> DataFrame:
     spark = df.sparkSession
     table = f"tidemark_{name}_{uuid.uuid4().hex[:12]}"
     df.write.bucketBy(parts, key).option("path", scratch_dir(spark, name)).option("compression", "zstd").saveAsTable(table)
-    return spark.table(table)
+    kept = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only: the files stay, and are read through ``kept``
+    return kept
 
 
 def _asked(corpus: DataFrame, facts: DataFrame, answer: Callable, schema: str) -> DataFrame:
     """``answer(group, facts)`` for every group of documents and what the buckets said about its words."""
 
-    def run(group: pa.Table, said: pa.Table) -> pa.Table | dict:
+    def run(group: pa.Table, said: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         return answer(rows[0]["grp"], Group(rows[0]), said.to_pylist())
 
-    return corpus.groupBy("grp").cogroup(facts.groupBy("grp")).applyInArrow(run, schema)
+    return corpus.groupBy("grp").cogroup(facts.groupBy("grp")).applyInArrow(lean(run), schema)
 
 
 #: What groups send to buckets, and buckets to groups.
@@ -156,6 +161,7 @@ def _count(buckets: int):
                     if y > x
                 ]
                 yield from _sent(rows).to_batches()
+            give_back()
 
     return run
 
@@ -183,7 +189,7 @@ def _total(classes: int):
         )
         return _said(out)
 
-    return run
+    return lean(run)
 
 
 @dataclass
@@ -264,11 +270,13 @@ def _exchange(gain: np.ndarray):
         starts = np.flatnonzero(np.diff(word, prepend=-1))
         total = np.zeros(len(words), np.int64)
         total[word[starts]] = np.add.reduceat(counts, starts) if len(starts) else 0
-        for a in range(0, len(starts), 20_000):
-            some = starts[a : a + 20_000]
-            end = starts[a + 20_000] if a + 20_000 < len(starts) else len(pair)
+        a = 0
+        while a < len(starts):  # words with about PAIRS contexts at a time
+            b = max(a + 1, int(np.searchsorted(starts, starts[a] + PAIRS)))
+            some, end = starts[a:b], starts[b] if b < len(starts) else len(pair)
             worth = gain[pair[some[0] : end] & 255] * counts[some[0] : end, None]
             classes[word[some]] = np.add.reduceat(worth, some - some[0]).argmax(axis=1)
+            a = b
         out, at = [], 0
         for row, mine in zip(rows, own):
             data = classes[number[at : at + len(mine)]].tobytes()
@@ -286,7 +294,7 @@ def _exchange(gain: np.ndarray):
         )
         return _said(out)
 
-    return run
+    return lean(run)
 
 
 @dataclass
@@ -385,7 +393,7 @@ def class_bigram_scores(
     kind = rows.schema["id"].dataType.simpleString()
     size, ends = rows.agg(F.sum(F.octet_length("text")), F.count_if(~F.col("held"))).first()
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(partitions, -(-(size or 0) // BUCKET_BYTES))
+    buckets = max(2 * partitions, -(-(size or 0) // BUCKET_BYTES))
     corpus = rows.mapInArrow(
         _encode, f"docs array<{kind}>, held array<boolean>, sizes array<long>, ids binary, words binary"
     ).withColumn("grp", F.monotonically_increasing_id())
