@@ -79,11 +79,10 @@ def lookup_as_of(
     limit = micros(now) if now is not None else None
 
     seen = None
+    if plan == "auto" and _are_few(history, on):
+        plan = "broadcast"
     if plan in ("auto", "walk"):
         seen = _measure(probes, history, on, parts)
-        few = seen.largest_group <= BROADCAST_VERSIONS_PER_KEY and seen.extra["_bytes"] <= BROADCAST_BYTES
-        if plan == "auto" and few:
-            plan = "broadcast"
     if plan == "broadcast":
         found = _broadcast_lookup(probes, history, on, delay, tries, limit)
     elif seen is None or not seen.heavy:
@@ -110,13 +109,18 @@ def _all_present(columns: list[str]) -> Column:
     return cond
 
 
-def _measure(probes: DataFrame, history: DataFrame, on: list[str], parts: int | None) -> Profile:
-    """One pass over the keys and times of both sides, and the bytes of the versions."""
+def _are_few(history: DataFrame, on: list[str]) -> bool:
+    """Whether the versions, in total and of each key, may be broadcast; the facts are not looked at."""
     size = byte_size(history.schema, ["_version", *on])
-    both = probes.select(*on, "_t", F.lit(0).alias("_bytes")).unionByName(
-        history.select(*on, F.col("_version.t").alias("_t"), size.alias("_bytes"))
-    )
-    return profile(both, on, "_t", parts=parts, group_filter="_bytes > 0", extra=["_bytes"])
+    keys = history.groupBy(*on).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes"))
+    total = keys.agg(F.max("n").alias("n"), F.sum("bytes").alias("bytes")).first()
+    return (total["n"] or 0) <= BROADCAST_VERSIONS_PER_KEY and (total["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def _measure(probes: DataFrame, history: DataFrame, on: list[str], parts: int | None) -> Profile:
+    """The keys and times of both sides."""
+    both = probes.select(*on, "_t").unionByName(history.select(*on, F.col("_version.t").alias("_t")))
+    return profile(both, on, "_t", parts=parts)
 
 
 def _first_hit(seen: list[Column], delay: int, limit: Column | None) -> Column:

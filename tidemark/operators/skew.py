@@ -110,8 +110,6 @@ class Profile:
 
     rows: int
     heavy: list[int]
-    largest_group: int
-    extra: dict[str, object]
     marks: Callable[[], list[int]]
 
     def cells(self) -> Cells:
@@ -125,37 +123,26 @@ def profile(
     order: str | None = None,
     *,
     parts: int | None = None,
-    group_filter: str = "true",
-    extra: Sequence[str] = (),
 ) -> Profile:
     """Counts rows by key and finds the heavy keys.
 
     Counts are combined before the shuffle and no task gathers more than the rows of its
-    keys; the driver gets the ``parts`` largest keys and a few sums. Keys with few rows
-    (``tidemark.heavy.minRows``) are never heavy. ``largest_group`` is the most rows one key
-    has among those of ``group_filter``; columns in ``extra`` are summed. Keys are known by
-    their hash: two sharing one only means that a light key is split too. What is heavy
-    decides how rows are dealt over tasks, never which rows come out.
+    keys; the driver gets the ``parts`` largest keys. Keys with few rows
+    (``tidemark.heavy.minRows``) are never heavy. Keys are known by their hash: two sharing
+    one only means that a light key is split too. What is heavy decides how rows are dealt
+    over tasks, never which rows come out.
     """
     spark = df.sparkSession
     parts = parts or fair_parts(spark)
     least = int(spark.conf.get(MIN_HEAVY_ROWS_CONF, str(MIN_HEAVY_ROWS)))
-    counts = df.withColumn("_h", key_hash(keys)).groupBy("_h").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.expr(group_filter)).alias("_group"),
-        *[F.sum(c).alias(c) for c in extra],
-    )
+    counts = df.select(key_hash(keys).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
     seen = Observation()
-    sums = [F.sum(c).alias(c) for c in ("_n", *extra)]
-    watched = counts.observe(seen, *sums, F.max("_group").alias("_group"))
+    watched = counts.observe(seen, F.sum("_n").alias("_n"))
     largest = watched.filter(F.col("_n") > least).orderBy(F.desc("_n"), "_h").limit(parts).collect()
-    found = seen.get
-    total = found.get("_n") or 0
+    total = seen.get.get("_n") or 0
     return Profile(
         rows=total,
         heavy=[r["_h"] for r in largest if r["_n"] > total / parts],
-        largest_group=found.get("_group") or 0,
-        extra={c: found.get(c) or 0 for c in extra},
         marks=lambda: even_marks(df, order, parts),
     )
 
