@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
+import oracle_check
 from test_texts import plain_groups, plain_removal, plain_words, texts_with_copies
+from tidemark.llm.oracles import ORACLES
 from tidemark.llm.packing import lengths
 
 SMALL = "/root/testdata/sf0.001"
@@ -126,3 +128,9 @@ def test_queries_keep_their_promises(spark, name):
             key, kind = column.split(" ")
             assert kinds[key] == kind
     assert got.count() > 0
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_queries_equal_their_sql(spark, name):
+    problem, rows = oracle_check.compare(spark, name, SMALL)
+    assert problem is None and rows

@@ -11,6 +11,7 @@ from tidemark.llm.classes import class_bigram_scores
 from tidemark.llm.hnsw import nearest_by_cosine
 from tidemark.llm.impact import top_inner_products
 from tidemark.llm.near_copies import near_copy_groups
+from tidemark.llm.oracles import ORACLES
 from tidemark.llm.packing import packed
 from tidemark.llm.pieces import encoded
 from tidemark.llm.quality import judged
@@ -95,4 +96,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_maximal_conversations": chat.SQL}
+    return dict(ORACLES)
