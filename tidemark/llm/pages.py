@@ -303,8 +303,11 @@ def learned(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> B
     that web pages commonly use, each page as it is and in two other templates. Pages of
     more than ``MOST_CHARS`` characters or ``MOST_BLOCKS`` blocks are not learned from.
     """
+    # Of many pages, one in so many is ranked at all: about eight times the sample, wherever they lie.
+    one_in = max(1, pages.count() // (8 * sample))
     short = pages.select(F.col(html_col).cast("string").alias("html")).where(F.length("html").between(1, MOST_CHARS))
-    lowest = short.select("html", F.xxhash64("html").alias("at")).orderBy("at", "html").limit(sample)
+    drawn = short.where(F.pmod(F.xxhash64("html", F.lit(1)), F.lit(one_in)) == 0)
+    lowest = drawn.select("html", F.xxhash64("html").alias("at")).orderBy("at", "html").limit(sample)
     rows = [r["html"] for r in lowest.collect()]
     draw = np.random.default_rng(9)
     texts: list[list[Block]] = []
