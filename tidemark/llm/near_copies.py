@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.graph import components
 from tidemark.llm.superminhash import signatures
-from tidemark.llm.words import BASES, Batch, rolling
+from tidemark.llm.words import BASES, Batch, give_back, lean, rolling
 from tidemark.session import written
 
 #: 40 bands of 6 slots meet for all but 5 in a million pairs at a similarity of 0.8.
 BANDS, ROWS = 40, 6
-#: Texts compared with each other in one step; larger groups are compared block by block.
-BLOCK = 1024
+#: Texts, and shingles of texts, in a block; larger groups are compared block by block.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 
 
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -55,7 +55,7 @@ def near_copy_groups(
        its signature. Texts with one set are one class from here on, however many.
     2. Classes which share a band with others are joined, one link per class and band,
        and the components of these links hold every pair that can be similar.
-    3. Within a component, sets are compared in full, in blocks of at most ``BLOCK``.
+    3. Within a component, sets are compared in full, in blocks of about ``BLOCK`` texts.
        A block returns a spanning forest of its links, never all pairs.
     4. The components of the confirmed links are the groups.
 
@@ -72,13 +72,13 @@ def near_copy_groups(
     described = written(described, "signatures")
     members = described.select("id", "row", "n_shingles", "class")
 
-    classes = described.where("class is not null").groupBy("class").agg(F.first("bands").alias("bands"), F.min("row").alias("row"))
+    classes = described.where("class is not null").groupBy("class").agg(F.first("bands").alias("bands"), F.min("row").alias("row"), F.first("n_shingles").alias("n"))
     keys = classes.select("class", F.explode("bands").alias("band"))
     crowded = keys.groupBy("band").agg(F.min("class").alias("low"), F.count("*").alias("n")).where("n > 1")
     meeting = keys.join(crowded.select("band", "low"), "band").select(F.col("class").alias("a"), F.col("low").alias("b"))
     rough = written(components(meeting.distinct()), "rough")
 
-    standing = rough.join(classes.select(F.col("class").alias("node"), "row"), "node")
+    standing = rough.join(classes.select(F.col("class").alias("node"), "row", "n"), "node")
     links = _confirmed(texts, standing, width, percent)
     roots = components(links)
     grouped = members.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select(
@@ -116,6 +116,7 @@ def _describe(width: int, bands: int, rows: int):
                     ],
                     names=["id", "row", "n_shingles", "class", "bands"],
                 )
+        give_back()
 
     return run
 
@@ -131,9 +132,10 @@ def _class_key(shingles: np.ndarray) -> bytes:
 
 
 def _confirmed(texts: DataFrame, rough: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links ``(a, b)`` between the classes of ``rough`` (node, root, row) that span all similar pairs of a component."""
+    """Links ``(a, b)`` between the classes of ``rough`` (node, root, row, n) that span all similar pairs of a component."""
     spark = texts.sparkSession
-    sizes = rough.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = rough.groupBy("root").agg(blocks.alias("blocks"))
     placed = rough.join(sizes, "root").select(
         "row",
         F.col("node").alias("class"),
@@ -183,7 +185,7 @@ def _compare(percent: int):
                 b += [names[x] for x in others]
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return run
+    return lean(run)
 
 
 def similar(sets: list[np.ndarray], percent: int, left: int | None = None, width: int = 8192) -> np.ndarray:
