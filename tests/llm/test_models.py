@@ -33,6 +33,27 @@ def test_blocks_of_broken_and_odd_markup():
     assert texts_of("<div>" * 3000 + "deep" + "</div>" * 3000) == ["deep"]
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        '<svg class="icon"/>', "<svg/>", "<SVG />", "<math/>", "<math display='block' />", "<svg-icon></svg-icon>", '<svg-icon name="x"/>',
+        "<video-player>", "<button-group></button-group>", "<select-menu>", "<object-view>", "<canvas>", "<button>", "<svg><path d='M0'>",
+        "<svg><text>drawn</text></svg>", "<button>press</button >", "<video><p>none</p></VIDEO x>", "<script>a</script\n>", "<!-->", "<!-- c --!>",
+    ],
+)
+def test_an_article_after_any_element_is_kept(before):
+    html = f"<body><div>{before}</div><article><h1>T</h1><p>u.</p></article></body>"
+    assert texts_of(html) == ["T", "u."]
+    # Nor does it end with a later element of the kind.
+    later = "<p><svg><svg><text>x</text></svg>y</svg>v<button>w</button><canvas></canvas></p></body>"
+    assert texts_of(html.replace("</body>", later)) == ["T", "u.", "v"]
+
+
+def test_text_of_formulas_and_custom_elements_is_kept():
+    assert texts_of("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then</p>") == ["if x=2 then"]
+    assert texts_of("<article-body><p>a <svg-label>b</svg-label> c</p></article-body>") == ["a b c"]
+
+
 def test_blocks_know_their_path():
     block = blocks_of('<body><div class="post-body Main" id=x1><article><header><h1>T</h1></header><p>u</p></article></div>')[0]
     assert [t for t, _ in block.path] == ["body", "div", "article", "header", "h1"]

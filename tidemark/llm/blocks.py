@@ -15,8 +15,9 @@ BLOCK = frozenset(
 )
 #: Elements without an end tag.
 VOID = frozenset("area base basefont br col embed frame hr img input keygen link meta param source track wbr".split())
-#: Elements whose content is never text of the page.
-SKIPPED = "script|style|title|textarea|template|noscript|svg|math|select|button|iframe|object|noembed|noframes|audio|video|canvas"
+#: Elements whose content is never text of the page; those of plain characters reach to the end of the page if unclosed.
+PLAIN = frozenset("script style title textarea noscript iframe noembed noframes".split())
+SKIPPED = PLAIN | frozenset("template svg select button object audio video canvas".split())
 #: Start tags which end an open element of these names.
 ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -26,10 +27,13 @@ ENDS = {
 WALLS = frozenset("article aside body div footer form header html li main nav ol section table td th ul".split())
 
 SCAN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({SKIPPED})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
-    re.DOTALL | re.IGNORECASE,
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
+    re.DOTALL,
 )
+TAGS = {
+    name: re.compile(rf"<(/?){name}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.IGNORECASE) for name in SKIPPED - PLAIN
+}
+ENDS_PLAIN = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in PLAIN}
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 PART = re.compile(r"[A-Za-z]+")
 
@@ -52,13 +56,29 @@ def names_of(attributes: str) -> tuple[str, ...]:
     return tuple(word.lower() for value in found for word in PART.findall(value))
 
 
+def skips_of(html: str, name: str) -> dict[int, int]:
+    """Where the content of every closed element of that name begins, and where the element ends."""
+    skips: dict[int, int] = {}
+    begun: list[int] = []
+    for tag in TAGS[name].finditer(html):
+        if not tag[1]:
+            if name != "svg" or not tag[2].endswith("/"):
+                begun.append(tag.end())
+        elif begun:
+            skips[begun.pop()] = tag.end()
+    return skips
+
+
 def blocks_of(html: str | None) -> list[Block]:
     """The blocks with text of a page in order; none for a null or empty page.
 
     Character references are decoded and white space, line breaks included, becomes one
-    space. Comments, scripts, styles and form controls hold no text. Unclosed and
-    misplaced tags are put up with: an end tag closes the nearest open element of its
-    name, and a start tag of a block closes an open paragraph.
+    space. Comments and the elements of ``SKIPPED`` (scripts, styles, buttons, drawings
+    and the like) hold no text, all others do, formulas and custom elements too. A
+    self-closed drawing is empty; a skipped element that is never closed is skipped only
+    if it is of plain characters. Unclosed and misplaced tags are put up with: an end tag
+    closes the nearest open element of its name, and a start tag of a block closes an
+    open paragraph.
     """
     stack: list[tuple[str, tuple[str, ...]]] = []
     blocks: list[Block] = []
@@ -78,19 +98,31 @@ def blocks_of(html: str | None) -> list[Block]:
         flush()
         del stack[position:]
 
-    anchored = 0
-    for match in SCAN.finditer(html or ""):
-        end, name, attributes, text = match.group(2, 3, 4, 5)
+    html = html or ""
+    skips: dict[str, dict[int, int]] = {}
+    anchored = at = 0
+    while match := SCAN.match(html, at):
+        at = match.end()
+        end, name, attributes, text = match.groups()
         if text is not None:
             pieces.append(text)
             if anchored:
                 linked += len(text)
             continue
         if name is None:
-            if match.group(1) is not None:
-                pieces.append(" ")
             continue
         name = name.lower()
+        if name in SKIPPED and not end:
+            pieces.append(" ")
+            if name in PLAIN:
+                ended = ENDS_PLAIN[name].search(html, at)
+                at = ended.end() if ended else len(html)
+                continue
+            if name not in skips:
+                skips[name] = skips_of(html, name)
+            if at in skips[name]:
+                at = skips[name][at]
+                continue
         if name == "a":
             anchored = 0 if end else 1
         elif name == "br":
