@@ -113,6 +113,41 @@ def test_articles_of_the_given_pages_and_of_other_templates(spark, labeller):
         assert right >= least * total
 
 
+@pytest.mark.parametrize("words", [1, 300])  # 300: pages of more than 60,000 characters
+def test_long_pages_are_learned_from(spark, words):
+    says = lambda i, n: " ".join(f"w{(i * 7 + j) % 50}" for j in range(n)) + "."
+    pages = [
+        '<html><body><nav><ul>' + "".join(f'<li><a href="#">{says(i + j, 2)}</a></li>' for j in range(40)) + "</ul></nav><article>"
+        + "".join(f"<p>{says(i * 3 + j, words * 4 + 4)}</p>" for j in range(70)) + '</article><div class="comments">'
+        + "".join(f"<p>{says(i + j, 9)}</p>" for j in range(30)) + "</div></body></html>"
+        for i in range(40)
+    ]
+    assert (min(map(len, pages)) > web.MOST_CHARS) == (words > 1) and min(len(blocks_of(x)) for x in pages) > web.MOST_BLOCKS
+    df = ship(spark).createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    labeller = web.learned(df)
+    paths, known = web.PathBuckets(), web.WordBuckets()
+    blocks = [blocks_of(x) for x in pages]
+    found = np.concatenate(labeller.labels([web.Described(b, paths, known) for b in blocks]))
+    assert (found == [web.taught(b) for bs in blocks for b in bs]).mean() > 0.98
+
+
+def test_copies_and_pages_without_blocks_do_not_fill_the_sample(spark, monkeypatch):
+    texts = ["<p>" + "word " * (i + 1) + "</p>" for i in range(40)]
+    df = ship(spark).createDataFrame([(x,) for x in texts], "html string")
+    lowest = df.orderBy(F.xxhash64("html")).first()["html"]
+    many = df.union(spark.createDataFrame([(lowest,)] * 200 + [(f"<script>{i}</script>",) for i in range(200)], "html string"))
+    fits = []
+    monkeypatch.setattr(web.BlockLabeller, "fit", lambda self, pages, labels: fits.append(pages) or self)
+    web.learned(many.repartition(3), sample=20)
+    assert len({p.numbers.tobytes() for p in fits[0]}) == 20
+
+
+def test_the_teacher_labels_where_nothing_was_learned(spark):
+    df = ship(spark).createDataFrame([(1, page())], "page_id long, html string")
+    nothing = web.learned(spark.createDataFrame([("<script>x</script>",), (None,), ("",)], "html string"))
+    assert web.main_texts(df, nothing).first()["text"] == "Title & more\nFirst line of text.\nSecond."
+
+
 def test_a_labeller_without_pages(spark):
     empty = ship(spark).createDataFrame([], "page_id long, html string")
     assert web.main_texts(empty, web.learned(empty)).count() == 0

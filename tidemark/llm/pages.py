@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
+from html import escape
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from tidemark.llm.blocks import Block, blocks_of
 #: Buckets and sizes of the path and word vectors, size of each direction's state.
 PATHS, PATH_SIZE, WORDS, WORD_SIZE, STATE = 1024, 16, 1024, 6, 12
 NUMBERS = 5
-#: Pages learned from, and the most blocks and characters of one of them.
+#: Pages learned from, the most blocks of a stretch of one, and the most characters of a page learned from as it stands.
 SAMPLE, MOST_BLOCKS, MOST_CHARS = 400, 60, 60_000
 
 # Names by which the teacher knows parts of a page.
@@ -71,19 +73,24 @@ class PathBuckets(dict):
         return value
 
 
+def numbers_of(blocks: list[Block]) -> np.ndarray:
+    """Size, words, share of links, ending and place of every block of a page."""
+    size = np.array([len(b.text) for b in blocks], np.float32)
+    count = np.array([len(b.text.split()) for b in blocks], np.float32)
+    links = np.array([b.links for b in blocks], np.float32)
+    place = np.arange(len(blocks), dtype=np.float32) / max(len(blocks), 1)
+    ends = np.array([b.text[-1] in ".!?…\"”)" for b in blocks], np.float32)
+    return np.stack([np.log1p(size) / 5, np.log1p(count) / 4, np.minimum(links / size, 1), ends, place], 1)
+
+
 class Described:
-    """What the network reads of the blocks of one page."""
+    """What the network reads of the blocks of one page, or of a stretch of them with the numbers they have in the page."""
 
-    def __init__(self, blocks: list[Block], paths: PathBuckets, words: WordBuckets):
+    def __init__(self, blocks: list[Block], paths: PathBuckets, words: WordBuckets, numbers: np.ndarray | None = None):
         self.paths = [paths[tuple(b.path[-24:])] for b in blocks]
         split = [b.text.split() for b in blocks]
         self.words = [np.fromiter(map(words.__getitem__, w), np.int64, len(w)) for w in split]
-        size = np.array([len(b.text) for b in blocks], np.float32)
-        count = np.array([len(w) for w in split], np.float32)
-        links = np.array([b.links for b in blocks], np.float32)
-        place = np.arange(len(blocks), dtype=np.float32) / max(len(blocks), 1)
-        ends = np.array([b.text[-1] in ".!?…\"”)" for b in blocks], np.float32)
-        self.numbers = np.stack([np.log1p(size) / 5, np.log1p(count) / 4, np.minimum(links / size, 1), ends, place], 1)
+        self.numbers = numbers_of(blocks) if numbers is None else numbers
 
 
 class Direction:
@@ -156,6 +163,7 @@ class BlockLabeller:
         self.ways = (Direction(draw, inputs), Direction(draw, inputs))
         self.out = draw.normal(0, 0.2, 2 * STATE).astype(np.float32)
         self.last = np.zeros(1, np.float32)
+        self.fitted = False
 
     def _params(self) -> dict[str, np.ndarray]:
         a, b = self.ways
@@ -220,6 +228,7 @@ class BlockLabeller:
                     second[name] += 0.001 * (g * g - second[name])
                     scale = np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8
                     value -= (rate * min(1, 2 - 2 * turn / rounds) * first[name] / (1 - 0.9**step) / scale).astype(np.float32)
+        self.fitted = len(pages) > 0
         return self
 
     def _gradients(self, pages: list[Described], labels: list[np.ndarray]) -> dict[str, np.ndarray]:
@@ -296,39 +305,104 @@ def restyled(html: str, donor: list[str], draw: np.random.Generator) -> str:
     return f"<html><head><title>x</title></head><body>{body}</body></html>"
 
 
+def stretches(count: int, at: int) -> list[int]:
+    """Where stretches of ``MOST_BLOCKS`` of so many blocks begin: the first, the last and one by ``at``."""
+    return sorted({0, at % (count - MOST_BLOCKS + 1), count - MOST_BLOCKS}) if count > MOST_BLOCKS else [0]
+
+
+def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with blocks, each text once a task: short ones as they stand, of long ones stretches of blocks.
+
+    The numbers of a stretch's blocks are those in the page; of a block's text the first
+    ``MOST_CHARS / MOST_BLOCKS`` characters are sent.
+    """
+    seen: set[int] = set()
+    for whole in batches:
+        for begin in range(0, whole.num_rows, 64):
+            rows = []
+            for row in whole.slice(begin, 64).to_pylist():
+                if row["at"] in seen:
+                    continue
+                seen.add(row["at"])
+                blocks = blocks_of(row["html"])
+                if not blocks:
+                    continue
+                if len(row["html"]) <= MOST_CHARS:
+                    rows.append((row["at"], row["html"], None))
+                    continue
+                numbers = numbers_of(blocks)
+                parts = []
+                for x in stretches(len(blocks), row["at"]):
+                    some = [(b.text[: MOST_CHARS // MOST_BLOCKS], b.path, b.links) for b in blocks[x : x + MOST_BLOCKS]]
+                    parts.append((some, numbers[x : x + MOST_BLOCKS].tolist()))
+                rows.append((row["at"], None, json.dumps(parts)))
+            at, html, parts = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int64()), pa.array(html, pa.string()), pa.array(parts, pa.string())], names=["at", "html", "parts"]
+            )
+
+
 def learned(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> BlockLabeller:
-    """A labeller fitted to ``sample`` pages at most, those that hash lowest, as a teacher labels their blocks.
+    """A labeller fitted to ``sample`` distinct pages at most, those that hash lowest, as a teacher labels their blocks.
 
     The tables name no true labels, so the teacher goes by the elements and class names
-    that web pages commonly use, each page as it is and in two other templates. Pages of
-    more than ``MOST_CHARS`` characters or ``MOST_BLOCKS`` blocks are not learned from.
+    that web pages commonly use, each page as it is and in two other templates. Only
+    pages without any block are not drawn. Of more than ``MOST_BLOCKS`` blocks, the first,
+    the last and one other stretch of that many are learned from; of a page of more than
+    ``MOST_CHARS`` characters, the other templates hold the article blocks of these. If no
+    page has a block, the labeller is not fitted.
     """
-    # Of many pages, one in so many is ranked at all: about eight times the sample, wherever they lie.
-    one_in = max(1, pages.count() // (8 * sample))
-    short = pages.select(F.col(html_col).cast("string").alias("html")).where(F.length("html").between(1, MOST_CHARS))
-    drawn = short.where(F.pmod(F.xxhash64("html", F.lit(1)), F.lit(one_in)) == 0)
-    lowest = drawn.select("html", F.xxhash64("html").alias("at")).orderBy("at", "html").limit(sample)
-    rows = [r["html"] for r in lowest.collect()]
+    given = pages.select(F.col(html_col).cast("string").alias("html")).where(F.length("html") > 0)
+    given = given.withColumn("at", F.xxhash64("html"))
+    # Of many pages, one in so many is looked at: about eight times the sample, or more if too few of them have blocks.
+    one_in = max(1, given.agg(F.approx_count_distinct("at")).first()[0] // (8 * sample))
+    while True:
+        drawn = given.where(F.pmod(F.xxhash64("html", F.lit(1)), F.lit(one_in)) == 0)
+        usable = drawn.mapInArrow(_usable, "at long, html string, parts string").distinct()
+        rows = usable.orderBy("at").limit(sample).collect()
+        if len(rows) >= sample or one_in == 1:
+            break
+        one_in = max(1, one_in // 8)
     draw = np.random.default_rng(9)
-    texts: list[list[Block]] = []
-    sentences = [[b.text for b in blocks_of(html) if len(b.text) < 400] or ["x"] for html in rows]
-    for i, html in enumerate(rows):
-        donor = sentences[(i + 1) % len(rows)]
-        texts += [blocks_of(x) for x in (html, restyled(html, donor, draw), restyled(html, donor, draw))]
-    texts = [b for b in texts if 0 < len(b) <= MOST_BLOCKS]
-    labeller = BlockLabeller()
-    if not texts:
-        return labeller
+    whole: list[str] = []
     paths, words = PathBuckets(), WordBuckets()
-    labels = [np.array([taught(b) for b in blocks], np.float32) for blocks in texts]
-    return labeller.fit([Described(b, paths, words) for b in texts], labels)
+    described: list[Described] = []
+    labels: list[np.ndarray] = []
+
+    def learn(blocks: list[Block], numbers: np.ndarray) -> None:
+        described.append(Described(blocks, paths, words, numbers))
+        labels.append(np.array([taught(b) for b in blocks], np.float32))
+
+    parts: list[list[tuple[list[Block], np.ndarray]]] = []
+    for row in rows:
+        some = []
+        for blocks, numbers in json.loads(row["parts"] or "[]"):
+            read = [Block(text, [(tag, tuple(names)) for tag, names in path], links) for text, path, links in blocks]
+            some.append((read, np.array(numbers, np.float32)))
+        article = [b for blocks, _ in some for b in blocks if taught(b)]
+        whole.append(row["html"] or f"<article>{''.join(f'<p>{escape(b.text)}</p>' for b in article)}</article>")
+        parts.append(some)
+    sentences = [[b.text for b in blocks_of(html) if len(b.text) < 400] or ["x"] for html in whole]
+    for i, html in enumerate(whole):
+        for blocks, numbers in parts[i]:
+            learn(blocks, numbers)
+        donor = sentences[(i + 1) % len(whole)]
+        styles = [html] if not parts[i] else []
+        if not parts[i] or html != "<article></article>":
+            styles += [restyled(html, donor, draw), restyled(html, donor, draw)]
+        for blocks in map(blocks_of, styles):
+            numbers = numbers_of(blocks) if blocks else None
+            for x in stretches(len(blocks), rows[i]["at"]) if blocks else ():
+                learn(blocks[x : x + MOST_BLOCKS], numbers[x : x + MOST_BLOCKS])
+    return BlockLabeller().fit(described, labels)
 
 
 def main_texts(pages: DataFrame, labeller: BlockLabeller, html_col: str = "html", text_col: str = "text") -> DataFrame:
     """``pages`` with the article text of every page in place of ``html_col``, and ``n_chars``, its code points.
 
     Blocks that the labeller takes for article text, in order, joined by newlines; an
-    empty string where it takes none, and for null and empty pages. Columns named
+    empty string where it takes none, and for null and empty pages. A labeller that was
+    not fitted, since nothing could be learned, leaves it to the teacher. Columns named
     ``text_col`` or ``n_chars`` are replaced, all others stay. Rows stay where they are.
     """
     pages = pages.drop(*(c for c in (text_col, "n_chars") if c != html_col))
@@ -340,7 +414,10 @@ def main_texts(pages: DataFrame, labeller: BlockLabeller, html_col: str = "html"
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 blocks = [blocks_of(html) for html in batch.column(html_col).to_pylist()]
-                found = labeller.labels([Described(b, paths, words) for b in blocks])
+                if labeller.fitted:
+                    found = labeller.labels([Described(b, paths, words) for b in blocks])
+                else:
+                    found = [[taught(b) for b in bs] for bs in blocks]
                 texts = ["\n".join(b.text for b, yes in zip(bs, f) if yes) for bs, f in zip(blocks, found)]
                 columns = [*(batch.column(c) for c in kept), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, text_col, "n_chars"])
