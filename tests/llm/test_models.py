@@ -69,6 +69,17 @@ def page(extra=""):
     )
 
 
+def test_paths_are_whole_at_any_depth():
+    deep = '<body><article class="post">' + '<div class="row"><div>' * 30 + "<p>a" + "<font><b><i>" * 100 + "<p>b</article><p>c"
+    blocks = blocks_of(deep)
+    assert [b.text for b in blocks] == ["a", "b", "c"]
+    assert [web.taught(b) for b in blocks] == [1, 1, 0]
+    near, far = (blocks_of(f"<{tag}>" + "<div>" * 40 + "<p>x")[0] for tag in ("article", "nav"))
+    paths, words = web.PathBuckets(), web.WordBuckets()
+    assert web.Described([near], paths, words).paths[0].tolist() != web.Described([far], paths, words).paths[0].tolist()
+    assert len(blocks_of("<div>x<b>y</u>" * 100_000)) == 100_000
+
+
 @pytest.fixture(scope="module")
 def labeller(spark):
     return web.learned(ship(spark).read.parquet(f"{DATA}/pages.parquet"))
@@ -98,6 +109,14 @@ def test_article_text_of_pages(spark, labeller):
     assert web.main_texts(df.limit(0), labeller).count() == 0
 
 
+def test_articles_in_deep_pages(spark, labeller):
+    html = page().replace("<p>First", "<div>" * 30 + "<p>First").replace("Second.</p>", "Second.</p>" + "</div>" * 30)
+    html = html.replace("<li>", "<li>" + "<div>" * 30).replace('<div class="ad">', '<div class="ad">' + "<div>" * 30 + "<p>")
+    html = html.replace("Buy now.</div>", "Buy now.</p>" + "</div>" * 31).replace("</li>", "</div>" * 30 + "</li>")
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert web.main_texts(df, labeller).first()["text"] == "Title & more\nFirst line of text.\nSecond."
+
+
 def test_articles_of_the_given_pages_and_of_other_templates(spark, labeller):
     rows = [r["html"] for r in spark.read.parquet(f"{DATA}/pages.parquet").select("html").collect()]
     draw = np.random.default_rng(123)

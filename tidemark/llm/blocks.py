@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from collections import Counter
+from dataclasses import dataclass
 from html import unescape
 
 # Element names of HTML by the role they have here.
@@ -40,12 +41,17 @@ PART = re.compile(r"[A-Za-z]+")
 
 @dataclass
 class Block:
-    """A block of text; ``path`` has the tags above it, outermost first, and their class, id and role names."""
+    """A block of text.
+
+    ``path`` has the distinct tags above it, outermost first, with their class, id and role
+    names, however deep the block lies; ``inner`` is the innermost tag.
+    """
 
     text: str
-    path: list[tuple[str, tuple[str, ...]]]
+    path: tuple[tuple[str, tuple[str, ...]], ...]
     links: int = 0
-    rank: int = field(default=0)
+    rank: int = 0
+    inner: str = ""
 
 
 def names_of(attributes: str) -> tuple[str, ...]:
@@ -78,25 +84,51 @@ def blocks_of(html: str | None) -> list[Block]:
     self-closed drawing is empty; a skipped element that is never closed is skipped only
     if it is of plain characters. Unclosed and misplaced tags are put up with: an end tag
     closes the nearest open element of its name, and a start tag of a block closes an
-    open paragraph.
+    open paragraph. Nothing open is forgotten, however deep or unclosed.
     """
     stack: list[tuple[str, tuple[str, ...]]] = []
+    # What is open, counted: paths of distinct tags cost the same at any depth, and blocks share them.
+    above: dict[tuple[str, tuple[str, ...]], int] = {}
+    names: Counter[str] = Counter()
+    path: tuple | None = ()
     blocks: list[Block] = []
     pieces: list[str] = []
     linked = 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, path
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
             if text:
-                blocks.append(Block(text, list(stack), linked, len(blocks)))
+                if path is None:
+                    path = tuple(above)
+                blocks.append(Block(text, path, linked, len(blocks), stack[-1][0] if stack else ""))
             pieces.clear()
         linked = 0
 
+    def enter(tag: str, attributes: str) -> None:
+        nonlocal path
+        item = (tag, names_of(attributes))
+        stack.append(item)
+        names[tag] += 1
+        if item in above:
+            above[item] += 1
+        else:
+            above[item], path = 1, None
+
+    def leave(position: int, end: int) -> None:
+        nonlocal path
+        for item in stack[position:end]:
+            names[item[0]] -= 1
+            above[item] -= 1
+            if not above[item]:
+                del above[item]
+                path = None
+        del stack[position:end]
+
     def close(position: int) -> None:
         flush()
-        del stack[position:]
+        leave(position, len(stack))
 
     html = html or ""
     skips: dict[str, dict[int, int]] = {}
@@ -128,27 +160,25 @@ def blocks_of(html: str | None) -> list[Block]:
         elif name == "br":
             pieces.append(" ")
         elif end:
-            for position in range(len(stack) - 1, -1, -1):
+            for position in range(len(stack) - 1, -1, -1) if names[name] else ():
                 if stack[position][0] == name:
                     if name in BLOCK:
                         close(position)
                     else:
-                        del stack[position]
+                        leave(position, position + 1)
                     break
         elif name in BLOCK:
             flush()
             targets = ENDS.get(name, ()) + (("p",) if name not in ("caption", "option") else ())
-            for position in range(len(stack) - 1, -1, -1):
+            for position in range(len(stack) - 1, -1, -1) if any(names[t] for t in targets) else ():
                 if stack[position][0] in targets:
                     close(position)
                     break
                 if stack[position][0] in WALLS:
                     break
             if name not in VOID:
-                stack.append((name, names_of(attributes)))
+                enter(name, attributes)
         elif name not in VOID and not attributes.endswith("/"):
-            stack.append((name, names_of(attributes)))
-            if len(stack) > 256:  # unclosed inline tags
-                del stack[128:-64]
+            enter(name, attributes)
     flush()
     return blocks

@@ -61,16 +61,20 @@ class WordBuckets(dict):
 
 
 class PathBuckets(dict):
-    def __missing__(self, path: tuple) -> np.ndarray:
-        if len(self) > 1 << 14:
-            self.clear()
-        parts = {f"{tag}" for tag, _ in path} | {f".{n}" for _, names in path for n in names}
-        parts |= {f"{tag}.{n}" for tag, names in path for n in names}
-        if path:
-            parts.add(f"/{path[-1][0]}")
-        hashes = sorted({xxhash.xxh3_64_intdigest(p.encode()) % PATHS for p in parts})
-        value = self[path] = np.array(hashes or [0], np.int64)
-        return value
+    """Buckets of the names in a block's whole path and of its innermost tag, kept by a hash of these."""
+
+    def of(self, block: Block) -> np.ndarray:
+        key = hash((block.path, block.inner))
+        if key not in self:
+            if len(self) > 1 << 14:
+                self.clear()
+            parts = {f"{tag}" for tag, _ in block.path} | {f".{n}" for _, names in block.path for n in names}
+            parts |= {f"{tag}.{n}" for tag, names in block.path for n in names}
+            if block.path:
+                parts.add(f"/{block.inner}")
+            hashes = sorted({xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")) % PATHS for p in parts})
+            self[key] = np.array(hashes or [0], np.int64)
+        return self[key]
 
 
 def numbers_of(blocks: list[Block]) -> np.ndarray:
@@ -87,7 +91,7 @@ class Described:
     """What the network reads of the blocks of one page, or of a stretch of them with the numbers they have in the page."""
 
     def __init__(self, blocks: list[Block], paths: PathBuckets, words: WordBuckets, numbers: np.ndarray | None = None):
-        self.paths = [paths[tuple(b.path[-24:])] for b in blocks]
+        self.paths = [paths.of(b) for b in blocks]
         split = [b.text.split() for b in blocks]
         self.words = [np.fromiter(map(words.__getitem__, w), np.int64, len(w)) for w in split]
         self.numbers = numbers_of(blocks) if numbers is None else numbers
@@ -333,7 +337,7 @@ def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 numbers = numbers_of(blocks)
                 parts = []
                 for x in stretches(len(blocks), row["at"]):
-                    some = [(b.text[: MOST_CHARS // MOST_BLOCKS], b.path, b.links) for b in blocks[x : x + MOST_BLOCKS]]
+                    some = [(b.text[: MOST_CHARS // MOST_BLOCKS], b.path, b.links, b.inner) for b in blocks[x : x + MOST_BLOCKS]]
                     parts.append((some, numbers[x : x + MOST_BLOCKS].tolist()))
                 rows.append((row["at"], None, json.dumps(parts)))
             at, html, parts = zip(*rows) if rows else ((), (), ())
@@ -377,7 +381,9 @@ def learned(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> B
     for row in rows:
         some = []
         for blocks, numbers in json.loads(row["parts"] or "[]"):
-            read = [Block(text, [(tag, tuple(names)) for tag, names in path], links) for text, path, links in blocks]
+            read = [
+                Block(text, tuple((tag, tuple(names)) for tag, names in path), links, inner=inner) for text, path, links, inner in blocks
+            ]
             some.append((read, np.array(numbers, np.float32)))
         article = [b for blocks, _ in some for b in blocks if taught(b)]
         whole.append(row["html"] or f"<article>{''.join(f'<p>{escape(b.text)}</p>' for b in article)}</article>")
