@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from tidemark.llm.blocks import blocks_of
 from tidemark.llm.classes import UNKNOWN, Model, class_bigram_scores
 from tidemark.llm.quality import ByteNetwork, Laid, judged, learned, scored
 from tidemark.llm.ship import ship
+from tidemark.llm.words import pack_sorted
 
 DATA = "/root/testdata/sf0.01"
 
@@ -275,6 +277,17 @@ def some_texts(n=150):
     return rows
 
 
+def test_counts_above_32_bits_come_back_whole():
+    words = pack_sorted(np.array([7, 9], np.uint64))
+    counts = classes_module.planes(np.array([3_000_000_000, 1]))
+    sent = classes_module._sent([(0, group, words, None, None, counts) for group in (0, 1)])
+    said = classes_module._total(8)((pa.scalar(0),), sent).to_pylist()
+    answers = [classes_module.unplanes(r["data"]).tolist() for r in said if r["kind"] == "count"]
+    assert answers == [[6_000_000_000, 2]] * 2
+    for values in ([], [0], [2**32 - 1, 0], [2**32, 5], [2**53]):
+        assert classes_module.unplanes(classes_module.planes(np.array(values, np.int64))).tolist() == values
+
+
 def test_base_scores_equal_brute_force_and_classes_do_better(spark, monkeypatch):
     monkeypatch.setattr(classes_module, "GROUP_BYTES", 3000)
     rows = some_texts() + [(900, None), (901, ""), (None, "North1 new"), (3, "North1\x1cnew É é"), (900, None)]

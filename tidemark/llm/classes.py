@@ -25,12 +25,19 @@ END, UNKNOWN = 0, 255
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Numbers below 2**32, high bytes first and byte by byte, which compresses well."""
-    return np.ascontiguousarray(values.astype(">u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Whole numbers without sign, high bytes first and byte by byte, which compresses well.
+
+    The first byte says how many bytes a number has: four, or eight if one needs them.
+    """
+    width = 8 if len(values) and values.max() >= 1 << 32 else 4
+    laid = values.astype(f">u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + np.ascontiguousarray(laid).tobytes()
 
 
 def unplanes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(">u4").ravel().astype(np.int64)
+    width = data[0]
+    laid = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1).T
+    return np.ascontiguousarray(laid).view(f">u{width}").ravel().astype(np.int64)
 
 
 def held_out(id_col: str) -> F.Column:
@@ -176,7 +183,7 @@ def _total(classes: int):
         total = np.bincount(number, np.concatenate([unplanes(r["counts"]) for r in rows]), len(words)).astype(np.int64)
         out, at = [], 0
         for row, mine in zip(rows, own):
-            data = planes(np.minimum(total[number[at : at + len(mine)]], (1 << 32) - 1))
+            data = planes(total[number[at : at + len(mine)]])
             out.append({"grp": row["grp"], "bucket": bucket, "kind": "count", "data": data})
             at += len(mine)
         best = np.lexsort((words, -total))[:classes]
