@@ -57,9 +57,92 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
 
+SOURCE_DIVERGENCE = r"""
+WITH d AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+    FROM documents),
+kept AS (
+    SELECT lang, t FROM (SELECT lang, unnest(list_distinct(ws)) AS t FROM d) GROUP BY ALL HAVING count(*) >= 30),
+c AS (
+    SELECT lang, source, t, CAST(count(*) AS HUGEINT) AS n
+    FROM (SELECT lang, source, unnest(ws) AS t FROM d) JOIN kept USING (lang, t) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (
+    SELECT lang, source, coalesce(any_value(total), 0) AS total FROM d
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source) GROUP BY ALL),
+p AS (
+    SELECT g.lang, g.source, k.t, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 5) // (g.total + 5 * v.v) AS p
+    FROM g JOIN v USING (lang) JOIN kept k ON k.lang = g.lang
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t),
+q AS (
+    SELECT lang, t, 1 + 1000000000 * (sum(n) + 5) // (any_value(total) + 5 * any_value(v)) AS q
+    FROM c JOIN v USING (lang) JOIN (SELECT lang, sum(n) AS total FROM c GROUP BY lang) USING (lang) GROUP BY lang, t),
+f AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(any_value(s.value), 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (
+        SELECT x.lang, x.source AS one, y.source AS two, sum(abs(x.p - y.p)) AS value
+        FROM p x JOIN p y ON x.lang = y.lang AND x.t = y.t GROUP BY ALL) s
+    ON s.lang = a.lang AND s.one = a.source AND s.two = b.source GROUP BY ALL
+    UNION ALL
+    SELECT lang, source, 'term', t, p - q FROM p JOIN q USING (lang, t) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER w AS INTEGER) AS rank FROM f
+WINDOW w AS (PARTITION BY lang, source, part ORDER BY value DESC, item)
+QUALIFY part = 'pair' OR row_number() OVER w <= 50
+"""
+
+RESAMPLING = r"""
+WITH steps AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
+        xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), b)) AS crc),
+texts AS (
+    SELECT 'd' AS part, row_number() OVER () AS row, doc_id, text FROM documents
+    UNION ALL SELECT 'b', row_number() OVER (), item_id, text FROM benchmark),
+w AS (
+    SELECT part, row, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM texts),
+f AS (
+    SELECT part, row, unnest(ws || list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS feature
+    FROM w),
+hashed AS (
+    SELECT feature, CAST(xor(list_reduce(list_transform(range(octet_length(encode(feature))), lambda i:
+        CAST(('0x' || hex(encode(feature))[2 * i + 1:2 * i + 2]) AS BIGINT)), lambda c, x:
+        xor(c >> 8, crc[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10000 AS INTEGER) AS bucket
+    FROM (SELECT DISTINCT feature FROM f), steps),
+placed AS (SELECT part, row, bucket FROM f JOIN hashed USING (feature)),
+counted AS (
+    SELECT bucket, CAST(count(*) FILTER (part = 'd') AS DOUBLE) AS s, CAST(count(*) FILTER (part = 'b') AS DOUBLE) AS t
+    FROM placed GROUP BY bucket),
+sums AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counted),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000)))) AS BIGINT) AS gain
+    FROM counted, sums),
+weights AS (
+    SELECT row, count(*) AS n_features, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+    FROM placed JOIN gains USING (bucket) WHERE part = 'd' GROUP BY row),
+scored AS (
+    SELECT doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+            (CAST('0x' || sha256('7:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+    FROM w LEFT JOIN weights USING (row) WHERE part = 'd'),
+placed_scores AS (
+    SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+        25 * count(*) OVER (PARTITION BY n_words >= 20) // 100 AS drawn
+    FROM scored)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+    CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank, CAST(n_words AS BIGINT) AS n_words
+FROM placed_scores
+"""
+
 ORACLES = {
     "op1_maximal_conversations": chat.SQL,
     "op2_impact_ordered_topk": TOP_PRODUCTS,
     "op3_superminhash_groups": NEAR_COPIES,
     "op4_repeated_windows": REPEATED_WINDOWS,
+    "op11_iceberg_prefix_divergence": SOURCE_DIVERGENCE,
+    "op12_regex_split_resampling": RESAMPLING,
 }

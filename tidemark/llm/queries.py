@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import chat, pages as web
 from tidemark.llm.classes import class_bigram_scores
+from tidemark.llm.divergence import divergence
 from tidemark.llm.hnsw import nearest_by_cosine
 from tidemark.llm.impact import top_inner_products
+from tidemark.llm.merges import decoded, encoded as merged_ids
 from tidemark.llm.near_copies import near_copy_groups
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.packing import packed
 from tidemark.llm.pieces import encoded
 from tidemark.llm.quality import judged
 from tidemark.llm.repeats import digests
+from tidemark.llm.resample import resampled
 from tidemark.llm.ship import ship
 
 
@@ -80,6 +83,28 @@ def op10_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_iceberg_prefix_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms each source favours."""
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_regex_split_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn by how much they resemble the benchmark texts."""
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_merge_round_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    rows = decoded(merged_ids(table(spark, sf_dir, "documents")))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_maximal_conversations": op1_maximal_conversations,
@@ -92,6 +117,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_recurrent_block_labels": op8_recurrent_block_labels,
         "op9_byte_network_quality": op9_byte_network_quality,
         "op10_power_of_two_packing": op10_power_of_two_packing,
+        "op11_iceberg_prefix_divergence": op11_iceberg_prefix_divergence,
+        "op12_regex_split_resampling": op12_regex_split_resampling,
+        "op13_merge_round_bpe": op13_merge_round_bpe,
     }
 
 
