@@ -2,31 +2,32 @@
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.portions import Numbers, portions, small
+from tidemark.llm.portions import Numbers, portions
 from tidemark.llm.words import give_back
 from tidemark.session import written
 
-#: Letters and all beyond ASCII, once A-Z are small: runs of other bytes than these.
-TERM = re.compile(rb"[^\x00-\x60\x7B-\x7F]+")
+#: What becomes of each byte: letters and all beyond ASCII are terms, A-Z made small; the rest parts them.
+TERM_BYTES = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Ends a complete term; no term holds it.
 END = b"\0"
 #: Bytes of text a task reads at a time, and after which it closes a unit.
 PORTION, UNIT = 1 << 20, 32 << 20
 #: Prefixes of the first level have so many bytes; every level doubles them.
-FIRST = 2
+FIRST = 4
 #: Counts in one group of the comparison of sources, and sources compared in one group with all others.
-CHUNK, BLOCK = 1 << 20, 256
+CHUNK, BLOCK = 1 << 17, 256
 #: Cells of the table of shares that is laid out at a time.
 CELLS = 1 << 22
 
-_UNIT = "lang string, sources array<string>, n_docs long, terms array<binary>, doc binary, term binary, n binary"
+_UNIT = "lang string, sources array<string>, terms binary, ends binary, doc binary, term binary, n binary"
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -48,13 +49,15 @@ class _Unit:
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def add(self, texts: list[bytes], sources: list[str]) -> None:
-        rows = []
+        near = Numbers()  # of this portion: small enough for the processor's memory
+        rows, counts = [], []
         for text in texts:
-            found = TERM.findall(text)
-            rows.append(np.fromiter(map(self.terms.__getitem__, found), np.int64, len(found)))
+            found = Counter(text.translate(TERM_BYTES).split())
+            rows.append(np.fromiter(map(near.__getitem__, found), np.int64, len(found)))
+            counts.append(np.fromiter(found.values(), np.int64, len(found)))
+        numbers = np.fromiter(map(self.terms.__getitem__, near), np.int64, len(near))
         docs = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
-        keys, n = np.unique(docs << 32 | np.concatenate(rows), return_counts=True)
-        self.parts.append(((keys >> 32) + len(self.sources), keys & 0xFFFFFFFF, n))
+        self.parts.append((docs + len(self.sources), numbers[np.concatenate(rows)], np.concatenate(counts)))
         self.sources.extend(sources)
 
     def row(self, lang: str) -> dict:
@@ -63,13 +66,22 @@ class _Unit:
         A text is shorter than 2**31 bytes, so its counts fit the 32 bits they are given.
         """
         doc, term, n = (np.concatenate(x) for x in zip(*self.parts))
-        terms = sorted(self.terms)
+        terms = pa.array(self.terms, pa.large_binary())
+        by_bytes = pc.sort_indices(terms)
+        terms = terms.take(by_bytes)
         place = np.empty(len(terms), np.int64)
-        place[[self.terms[t] for t in terms]] = np.arange(len(terms))
-        order = np.lexsort((place[term], doc))
+        place[by_bytes.to_numpy()] = np.arange(len(terms))
+        keys = doc << 32 | place[term]
+        order = np.argsort(keys)
         columns = {"doc": doc[order], "term": place[term][order], "n": n[order]}
-        packed = {name: _planes(values) for name, values in columns.items()}
-        return {"lang": lang, "sources": self.sources, "n_docs": len(self.sources), "terms": terms, **packed}
+        ends = np.asarray(pc.binary_length(terms)).cumsum()
+        return {
+            "lang": lang,
+            "sources": self.sources,
+            "terms": b"".join(terms.to_pylist()),
+            "ends": _planes(ends),
+            **{name: _planes(values) for name, values in columns.items()},
+        }
 
 
 def term_units(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
@@ -88,7 +100,7 @@ def term_units(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -
             give_back()
 
         for part in portions(batches, "text", PORTION):
-            texts = [small(text) for text in part.column("text").to_pylist()]
+            texts = [text.encode() for text in part.column("text").to_pylist()]
             langs, sources = part.column("lang").to_pylist(), part.column("source").to_pylist()
             for lang in dict.fromkeys(langs):
                 rows = [n for n, other in enumerate(langs) if other == lang]
@@ -110,128 +122,137 @@ def term_units(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -
 
 
 def _arrow_unit() -> pa.Schema:
-    lists = {"sources": pa.list_(pa.string()), "terms": pa.list_(pa.binary())}
-    plain = {"lang": pa.string(), "n_docs": pa.int64(), "doc": pa.binary(), "term": pa.binary(), "n": pa.binary()}
-    names = ["lang", "sources", "n_docs", "terms", "doc", "term", "n"]
-    return pa.schema([(name, (lists | plain)[name]) for name in names])
+    kinds = {"lang": pa.string(), "sources": pa.list_(pa.string())}
+    names = ("lang", "sources", "terms", "ends", "doc", "term", "n")
+    return pa.schema([(name, kinds.get(name, pa.binary())) for name in names])
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Units one by one; the discarded ranges, which are many, stay an array."""
     for batch in batches:
         for n in range(batch.num_rows):
-            yield batch.slice(n, 1).to_pylist()[0]
+            row = {name: batch.column(name)[n].as_py() for name in batch.schema.names if name != "dead"}
+            dead = batch.column("dead")[n].values
+            yield row | {"dead": np.zeros(0, np.int64) if dead is None else dead.to_numpy()}
             give_back()
 
 
-def _alive(terms: list[bytes], dead: list[bytes] | None, widths: list[int]) -> np.ndarray:
-    """Which terms begin with no dead prefix, given the widths at which prefixes were judged."""
-    alive = np.ones(len(terms), bool)
-    fallen = set(dead or ())
-    for width in widths if fallen else ():
-        open_ = np.flatnonzero(alive)
-        alive[open_] = [(terms[n] + END)[:width] not in fallen for n in open_.tolist()]
-    return alive
+def _terms(row: dict) -> pa.Array:
+    ends = np.concatenate(([0], _unplaned(row["ends"])))
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(row["terms"])])
 
 
-def prefix_counts(units: DataFrame, widths: list[int], width: int) -> DataFrame:
-    """In how many documents of a unit each prefix of ``width`` bytes stands: ``lang``, ``unit``, ``prefix``, ``n``.
+def _alive(row: dict, count: int) -> np.ndarray:
+    """Which terms lie in no discarded range: terms are sorted, so those with one prefix are a range."""
+    marks = np.bincount(row["dead"] >> 32, minlength=count + 1) - np.bincount(row["dead"] & 0xFFFFFFFF, minlength=count + 1)
+    return np.cumsum(marks[:-1]) == 0
 
-    Counted are terms that were not complete at the earlier ``widths`` and begin with none of
-    the prefixes in ``dead``; an end mark makes a complete term its own prefix.
-    """
 
-    since = max(widths, default=0)
+def prefix_counts(units: DataFrame, width: int, since: int) -> DataFrame:
+    """In how many documents of a unit each prefix of ``width`` bytes stands.
+
+    Columns ``lang``, ``unit``, ``prefix``, ``n``, and the range ``[first, last)`` of the unit's terms that
+    have it. Counted are terms in no ``dead`` range that were not complete within ``since``
+    bytes; an end mark makes a complete term its own prefix.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            terms = row["terms"]
-            counted = _alive(terms, row["dead"], widths)
-            counted &= np.fromiter((len(t) >= since for t in terms), bool, len(terms))
-            prefixes = [(t + END)[:width] for t in terms]
-            fresh = np.array([a != b for a, b in zip(prefixes, [None, *prefixes])], bool)
-            number = np.cumsum(fresh) - 1
-            doc, term = _unplaned(row["doc"]), _unplaned(row["term"])
-            chosen = counted[term]
-            doc, prefix = doc[chosen], number[term[chosen]]
-            if not len(doc):
+            terms = _terms(row)
+            lengths = np.asarray(pc.binary_length(terms))
+            counted = _alive(row, len(terms)) & (lengths >= since)
+            if not counted.any():
                 continue
+            places = np.flatnonzero(counted)
+            some = terms.take(pa.array(places))
+            whole = pc.binary_join_element_wise(some, pa.scalar(END, pa.large_binary()), pa.scalar(b"", pa.large_binary()))
+            prefixes = pc.if_else(lengths[places] < width, whole, pc.binary_slice(some, 0, width)).dictionary_encode()
+            number = np.full(len(terms), -1)
+            number[places] = prefixes.indices.to_numpy()
+            first = np.full(len(prefixes.dictionary), len(terms))
+            last = np.zeros(len(first), np.int64)
+            np.minimum.at(first, number[places], places)
+            np.maximum.at(last, number[places], places + 1)
+            doc, prefix = _unplaned(row["doc"]), number[_unplaned(row["term"])]
+            doc, prefix = doc[prefix >= 0], prefix[prefix >= 0]
             # A document's terms are sorted, so equal prefixes of one document are neighbours.
             once = np.concatenate(([True], (doc[1:] != doc[:-1]) | (prefix[1:] != prefix[:-1])))
-            counts = np.bincount(prefix[once])
-            found = np.flatnonzero(counts)
-            firsts = np.flatnonzero(fresh)
-            for start in range(0, len(found), 1 << 16):
-                part = found[start : start + (1 << 16)]
+            counts = np.bincount(prefix[once], minlength=len(first))
+            for start in range(0, len(first), 1 << 16):
+                part = slice(start, start + (1 << 16))
+                size = len(first[part])
                 columns = [
-                    pa.array([row["lang"]]).take(pa.array(np.zeros(len(part), np.int64))),
-                    pa.array(np.full(len(part), row["unit"], np.int64)),
-                    pa.array([prefixes[n] for n in firsts[part].tolist()], pa.binary()),
-                    pa.array(counts[part]),
+                    pa.array([row["lang"]]).take(pa.array(np.zeros(size, np.int64))),
+                    pa.array(np.full(size, row["unit"], np.int64)),
+                    prefixes.dictionary[part].cast(pa.binary()),
+                    *(pa.array(values[part]) for values in (counts, first, last)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "unit", "prefix", "n"])
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "unit", "prefix", "n", "first", "last"])
 
-    columns = units.select("unit", "lang", "terms", "doc", "term", "dead")
-    return columns.mapInArrow(run, "lang string, unit long, prefix binary, n long")
+    columns = units.select("unit", "lang", "terms", "ends", "doc", "term", "dead")
+    return columns.mapInArrow(run, "lang string, unit long, prefix binary, n long, first long, last long")
 
 
-def frequent_terms(units: DataFrame, least: int) -> tuple[DataFrame, list[int]]:
-    """``units`` with ``dead``, prefixes by which terms in fewer than ``least`` documents of their language fall out.
+def frequent_terms(units: DataFrame, least: int) -> tuple[DataFrame, int]:
+    """``units`` with ``dead``, the ranges of their terms that fall out: those in fewer than ``least`` documents of the language.
+
+    A range is one number: where it begins times 2**32, plus where it ends.
 
     A prefix stands in at least as many documents as any term that begins with it. Level by
     level, prefixes of twice the bytes are counted for the terms still open, and those below
     ``least`` are discarded. A discarded prefix stands in fewer than ``least`` documents, hence in as
     few units, and only these are told. It ends when every term left is complete. The
-    widths of the levels come second.
+    width of the last level comes second.
     """
-    dead = units.select("unit", F.lit(b"").alias("prefix")).where("false")
-    widths, width = [], FIRST
+    dead = units.select("unit", F.lit(0).cast("long").alias("range")).where("false")
+    since, width = 0, FIRST
     while True:
-        counts = written(prefix_counts(_told(units, dead), widths, width), "prefix-counts")
+        counts = written(prefix_counts(_told(units, dead), width, since), "prefix-counts")
         sums = written(counts.groupBy("lang", "prefix").agg(F.sum("n").alias("n")), "prefixes")
         rare = sums.where(F.col("n") < least).select("lang", "prefix")
-        fallen = counts.where(F.col("n") < least).join(rare, ["lang", "prefix"], "left_semi").select("unit", "prefix")
+        fallen = counts.where(F.col("n") < least).join(rare, ["lang", "prefix"], "left_semi")
+        fallen = fallen.select("unit", (F.shiftleft("first", 32) + F.col("last")).alias("range"))
         dead = written(dead.union(fallen), "dead-prefixes")
-        widths.append(width)
-        width *= 2
         complete = F.substring("prefix", -1, 1) == F.lit(END)
         if sums.where((F.col("n") >= least) & ~complete).isEmpty():
-            return _told(units, dead), widths
+            return _told(units, dead), width
+        since, width = width, 2 * width
 
 
 def _told(units: DataFrame, dead: DataFrame) -> DataFrame:
-    return units.join(dead.groupBy("unit").agg(F.collect_list("prefix").alias("dead")), "unit", "left")
+    return units.join(dead.groupBy("unit").agg(F.collect_list("range").alias("dead")), "unit", "left")
 
 
-def term_counts(units: DataFrame, widths: list[int]) -> DataFrame:
+def term_counts(units: DataFrame) -> DataFrame:
     """How often each term that is left occurs in each source of its language: ``lang``, ``source``, ``term``, ``n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            terms, names = row["terms"], sorted(set(row["sources"]))
-            alive = _alive(terms, row["dead"], widths)
+            terms, names = _terms(row), sorted(set(row["sources"]))
+            alive = _alive(row, len(terms))
+            if not alive.any():
+                continue
             doc, term, n = (_unplaned(row[c]) for c in ("doc", "term", "n"))
             chosen = alive[term]
-            if not chosen.any():
-                continue
             places = {name: at for at, name in enumerate(names)}
             source = np.array([places[name] for name in row["sources"]], np.int64)
             keys = source[doc[chosen]] * len(terms) + term[chosen]
-            order = np.argsort(keys, kind="stable")
+            order = np.argsort(keys)
             keys, n = keys[order], n[chosen][order]
             first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
             pairs, sums = keys[first], np.add.reduceat(n, first)
-            texts, sources = pa.array(terms, pa.binary()).cast(pa.string()), pa.array(names)
+            texts, sources = terms.cast(pa.large_string()), pa.array(names)
             for start in range(0, len(pairs), 1 << 16):
                 part = pairs[start : start + (1 << 16)]
                 columns = [
                     pa.array([row["lang"]]).take(pa.array(np.zeros(len(part), np.int64))),
                     sources.take(pa.array(part // len(terms))),
-                    texts.take(pa.array(part % len(terms))),
+                    texts.take(pa.array(part % len(terms))).cast(pa.string()),
                     pa.array(sums[start : start + (1 << 16)]),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n"])
 
-    columns = units.select("lang", "sources", "terms", "doc", "term", "n", "dead")
+    columns = units.select("lang", "sources", "terms", "ends", "doc", "term", "n", "dead")
     rows = columns.mapInArrow(run, "lang string, source string, term string, n long")
     return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
 
@@ -328,7 +349,7 @@ def divergence(
     Columns: ``lang``, ``source``, ``part``, ``item``, ``value``, ``rank``.
     """
     units = term_units(docs, text_col, lang_col, source_col)
-    counts = written(term_counts(*frequent_terms(units, least)), "term-counts")
+    counts = written(term_counts(frequent_terms(units, least)[0]), "term-counts")
     groups = units.select("lang", F.explode(F.array_distinct("sources")).alias("source")).distinct()
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     in_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
