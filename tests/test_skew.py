@@ -168,6 +168,28 @@ def test_every_fact_gives_a_row_whatever_the_plan(spark, plan, request, monkeypa
         assert len(named[delay]) == several.count() and named[delay] == rows(plain)
 
 
+@pytest.mark.parametrize("plan", ["broadcast", "plain", "walk", "cells", "attempts"])
+def test_facts_that_differ_in_nulls_only(spark, plan, request, monkeypatch):
+    """A null here is not the same as a null there, also without a position."""
+    if plan in ("cells", "attempts"):
+        request.getfixturevalue("split_everything")
+        monkeypatch.setattr(lookup, "MAX_REPEATS", 1000 if plan == "cells" else 0)
+    pairs = [("x", None), (None, "x"), (None, None), ("x", "x"), ("x", None)]
+    seq = [(None if n % 2 else n // 10, n % 4 and 1, a, b) for n in range(40) for a, b in pairs]
+    facts_df = spark.createDataFrame(seq, "seq bigint, k int, a string, b string").withColumn(
+        "at", F.timestamp_seconds(F.lit(4000) + F.coalesce("seq", F.lit(9)))
+    )
+    found = lookup_as_of(
+        facts_df, versions(spark), ["k"], "at", ["name"], retry_delay="200 seconds", max_retries=3,
+        plan=plan if plan in ("broadcast", "plain") else "walk",
+    )
+    assert rows(found.select("seq", "k", "a", "b")) == rows(facts_df.select("seq", "k", "a", "b"))
+    plain = lookup_as_of(
+        facts_df, versions(spark), ["k"], "at", ["name"], retry_delay="200 seconds", max_retries=3, plan="broadcast"
+    )
+    assert rows(found) == rows(plain)
+
+
 def test_even_marks_of_many_input_partitions(spark):
     df = spark.range(0, 40_000, 1, 40).select((F.col("id") * 7919 % 40_000).alias("at"))
     marks = even_marks(df, "at", 20)

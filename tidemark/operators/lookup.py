@@ -17,6 +17,7 @@ from tidemark.operators.skew import (
     last_before,
     profile,
 )
+from tidemark.session import written
 
 BROADCAST_VERSIONS_PER_KEY = 32
 MAX_REPEATS = 4
@@ -29,7 +30,6 @@ def lookup_as_of(
     at: str,
     values: Sequence[str],
     *,
-    row_id: Sequence[str] = ("seq",),
     retry_delay: str | int | None = None,
     max_retries: int = 0,
     now: Column | None = None,
@@ -43,8 +43,7 @@ def lookup_as_of(
     looked up again after each ``retry_delay``, up to ``max_retries`` times; the first
     hit counts, later changes of the version do not. ``now`` bounds the attempts made so
     far: attempts after it are not seen. ``attempt`` names a column for the number
-    of the attempt that hit. ``row_id`` names columns that tell most facts apart; facts may
-    share them or be equal in all columns, and every fact gives one row.
+    of the attempt that hit. Facts may be equal in all columns; every fact gives one row.
 
     All plans give the same rows. Plans, chosen from measured sizes unless ``plan`` names one (a named ``broadcast`` is
     the caller's word that the versions are few):
@@ -63,7 +62,7 @@ def lookup_as_of(
     """
     if plan not in ("auto", "broadcast", "walk", "plain"):
         raise ValueError(f"unknown plan {plan!r}")
-    on, values, row_id = list(on), list(values), list(row_id)
+    on, values = list(on), list(values)
     delay = interval_micros(retry_delay)
     tries = max_retries if delay else 0
     history = versions.filter((F.col("op") != UPDATE_BEFORE) & _all_present(on)).select(
@@ -93,7 +92,7 @@ def lookup_as_of(
         hot = is_heavy(on, seen.heavy)
         light = _walk_lookup(probes.filter(~hot), history.filter(~hot), on, delay, tries, limit)
         split = _attempt_lookup(
-            probes.filter(hot), history.filter(hot), on, row_id, delay, tries, limit, seen.heavy, parts
+            probes.filter(hot), history.filter(hot), on, delay, tries, limit, seen.heavy, parts
         )
         found = light.unionByName(split)
     out = [F.col(f"_hit.version.{v}").alias(v) for v in values]
@@ -182,24 +181,22 @@ def _celled_lookup(probes, history, on, delay, tries, limit, seen) -> DataFrame:
     return _walk(rows, probes.columns, [*on, "_cell"], delay, tries, limit)
 
 
-def _attempt_lookup(probes, history, on, row_id, delay, tries, limit, heavy, parts) -> DataFrame:
+def _attempt_lookup(probes, history, on, delay, tries, limit, heavy, parts) -> DataFrame:
     """Each attempt as a row of its own; only the first carries the columns of the fact.
 
-    Attempts belong together by ``row_id`` and a hash of all columns. Facts that agree in
-    both are copies: they are looked up once and come out as often as they went in.
+    Facts are numbered and written before they are taken apart, so attempts find together
+    by that number whatever the columns hold, nulls and equal rows included.
     """
     columns = probes.columns
-    rest = [c for c in columns if c not in row_id]
-    ids = [*row_id, "_copy"]
     writers = history.select(
         *on, "_version", F.col("_version.t").alias("_at"), F.col("_version.s").alias("_s")
     )
-    reads = probes.withColumn("_copy", F.xxhash64(*columns))
-    reads = reads.withColumn("_attempt", F.explode(F.sequence(F.lit(0), F.lit(tries))))
+    numbered = written(probes.withColumn("_number", F.monotonically_increasing_id()), "lookup-facts")
+    reads = numbered.withColumn("_attempt", F.explode(F.sequence(F.lit(0), F.lit(tries))))
     reads = reads.select(
-        *ids,
-        *[c for c in on if c not in row_id],
-        F.when(F.col("_attempt") == 0, F.struct(*rest)).alias("_row"),
+        "_number",
+        *on,
+        F.when(F.col("_attempt") == 0, F.struct(*columns)).alias("_row"),
         "_attempt",
         (F.col("_t") + F.col("_attempt") * delay).alias("_at"),
     )
@@ -211,10 +208,7 @@ def _attempt_lookup(probes, history, on, row_id, delay, tries, limit, heavy, par
         rows, on, "_at", "_version", "_seen", ties=["_s"], heavy=heavy, parts=parts
     ).filter(F.col("_attempt").isNotNull())
     hit = F.struct(F.col("_attempt").alias("attempt"), F.col("_seen").alias("version"))
-    best = walked.groupBy(*ids).agg(
-        F.first("_row", ignorenulls=True).alias("_row"),
-        F.min(F.when(F.col("_seen.alive"), hit)).alias("_hit"),
-        F.count_if(F.col("_attempt") == 0).alias("_copies"),
+    best = walked.groupBy("_number").agg(
+        F.first("_row", ignorenulls=True).alias("_row"), F.min(F.when(F.col("_seen.alive"), hit)).alias("_hit")
     )
-    best = best.withColumn("_one", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
-    return best.select(*row_id, "_row.*", "_hit").select(*columns, "_hit")
+    return best.select("_row.*", "_hit")
