@@ -41,7 +41,7 @@ def batch(spark, shop):
 def streamed(spark, shop, cuts, end=100_000):
     """Runs the events through the layers, cut after the given times."""
     shop.beat(end)
-    layers = RetailLayers(spark, scratch_dir(spark, "golden"), SPECS, buckets=4, compact_every=3)
+    layers = RetailLayers(spark, scratch_dir(spark, "golden"), SPECS)
     bounds = [*cuts, end + 1]
     low, version = -1, 0
     for high in bounds:
@@ -231,8 +231,8 @@ def test_stream_differs_from_batch_by_the_price_change(spark):
     assert [(r[0], r[2], r[4]) for r in gap.collect()] == [("1", 300, 400)]
 
 
-def in_batches(spark, *batches, buckets=64):
-    layers = RetailLayers(spark, scratch_dir(spark, "late"), SPECS, buckets=buckets, compact_every=2)
+def in_batches(spark, *batches):
+    layers = RetailLayers(spark, scratch_dir(spark, "late"), SPECS)
     for version, events in enumerate(batches):
         layers.process(spark.createDataFrame([(v,) for _, v in events], "value string"), version)
     return enriched_rows(layers.enriched_table(len(batches) - 1))
@@ -281,7 +281,7 @@ def test_layers_run_at_a_commit_interval(spark):
     shop.beat(100_000)
     folder = scratch_dir(spark, "interval")
     spark.createDataFrame([(v,) for _, v in shop.events], "value string").write.text(f"{folder}/events")
-    layers = RetailLayers(spark, f"{folder}/tables", SPECS, buckets=4)
+    layers = RetailLayers(spark, f"{folder}/tables", SPECS)
     running = start_layers(spark.readStream.text(f"{folder}/events"), layers, f"{folder}/checkpoint")
     running.processAllAvailable()
     progress = running.lastProgress
@@ -296,4 +296,4 @@ def test_the_clock_does_not_run_back(spark):
     shop.beat(10_000)
     shop.beat(1)
     order, late, early = shop.events
-    assert in_batches(spark, [late], [order], [early], buckets=4) == {"1": ("1", "1", None, None, None)}
+    assert in_batches(spark, [late], [order], [early]) == {"1": ("1", "1", None, None, None)}

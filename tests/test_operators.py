@@ -14,6 +14,7 @@ from tidemark.operators.aggregates import customer_total, hourly_sales
 from tidemark.operators.changes import apply_changes, changelog_of, diff_states
 from tidemark.operators.joins import join_changes
 from tidemark.operators.repair import repair, result_gap
+from tidemark.operators.travel import history_as_of, snapshot_as_of, validity, write_history
 from tidemark.plans.retail import retail_specs
 from tidemark.sources import envelope, files
 from tidemark.sources.catalog import load_catalog
@@ -39,6 +40,19 @@ def history(spark, seed=7, n=400):
     )
 
 
+def test_history_as_of_equals_the_fold(spark):
+    """At every moment, before the first change and after the last; also where changes share an instant."""
+    for changes in (history(spark), history(spark).withColumn("commit_ts", F.timestamp_seconds(F.floor(F.col("seq") / 7)))):
+        folder = scratch_dir(spark, "history")
+        write_history(validity(changes, LATEST), folder)
+        stored = spark.read.parquet(folder)
+        for second in (-1, 0, 3, 25, 56, 200, 399, 1000):
+            moment = second * 1000
+            assert rows(history_as_of(stored, moment)) == rows(snapshot_as_of(changes, LATEST, moment)), second
+    plan = history_as_of(stored, 25_000)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(valid_from" in plan.split("PushedFilters")[1]
+
+
 @pytest.mark.parametrize("spec", [LATEST, PARTIAL], ids=["latest", "partial"])
 @pytest.mark.parametrize("cuts", [(1,), (50, 51, 300), (399,)])
 def test_merging_batches_equals_one_fold(spark, spec, cuts):
@@ -88,9 +102,31 @@ def test_smallest_and_largest_values(spark):
     whole = merge.current_state(changes, spec).select("name", "low", "high")
     assert rows(whole) == [("a", 3, 9), ("b", 1, 1)]
     first = merge.merge_into(None, changes.filter("seq > 1"), spec)
-    assert rows(merge.merge_into(first, changes.filter("seq = 1"), spec).select(*spec.columns)) == rows(whole)
-    with pytest.raises(Exception, match="taken back"):
-        merge.current_state(changes.withColumn("op", F.lit("-U")), spec).collect()
+    state = merge.merge_into(first, changes.filter("seq = 1"), spec)
+    assert rows(merge.live(state, spec).select(*spec.columns)) == rows(whole)
+
+
+def test_extremes_and_averages_take_rows_back(spark):
+    """Any cut of a history with updates and deletes gives what the rows that are left give."""
+    rules = {"low": "min", "high": "max", "mean": "avg", "total": "sum"}
+    spec = TableSpec(
+        "v", "name string, low bigint, high bigint, mean bigint, total bigint", pk=("name",), merge="aggregation",
+        aggregates=rules,
+    )
+    versions = history(spark)
+    values = {c: F.col("price") for c in rules}
+    log = changelog_of(versions, ["id"], ["name", "price"]).withColumns(values)
+    left = merge.current_state(versions, LATEST).groupBy("name").agg(
+        F.min("price"), F.max("price"), F.avg("price"), F.sum("price"), F.count(F.lit(1))
+    )
+    columns = ["name", *rules, "live_rows"]
+    whole = merge.current_state(log, spec).filter("live_rows > 0").select(columns)
+    assert rows(whole) == rows(left)
+    for cut in (3, 11):
+        state = None
+        for part in range(cut):
+            state = merge.merge_into(state, log.filter(F.col("seq") % cut == cut - 1 - part), spec)
+        assert rows(merge.live(state, spec).filter("live_rows > 0").select(columns)) == rows(left)
 
 
 def test_partial_update_places_late_values(spark):
@@ -391,6 +427,19 @@ def test_two_inserts_into_one_sink(spark):
     assert rows(sinks.union_inserts([first, second])) == [(1, "Hi"), (2, "Hello"), (3, "Hi"), (4, "Hello")]
 
 
+def test_one_pass_feeds_every_sink_whose_condition_holds(spark):
+    folder = scratch_dir(spark, "split")
+    source = spark.range(10).withColumn("half", F.when(F.col("id") != 7, F.col("id") % 2))
+    sinks.write_split(source, {"even": F.col("half") == 0, "low": F.col("id") < 3, "none": F.lit(False)}, folder)
+    stored = spark.read.parquet(folder)
+    assert rows(stored.groupBy("sink").agg(F.sort_array(F.collect_list("id")))) == [
+        ("even", [0, 2, 4, 6, 8]),
+        ("low", [0, 1, 2]),
+    ]
+    with pytest.raises(ValueError, match="column of the source"):
+        sinks.write_split(source, {}, folder, by="id")
+
+
 def test_watermark_is_set_on_streams_only(spark):
     folder = scratch_dir(spark, "marks")
     spark.range(0).write.parquet(folder)

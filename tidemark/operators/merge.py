@@ -26,6 +26,8 @@ from tidemark.specs import TableSpec
 
 ORDER_PREFIX = "_at_"
 LIVE = "live_rows"
+COUNT = "_n_"
+EXTREMES = ("min", "max")
 
 
 def current_state(changelog: DataFrame, spec: TableSpec) -> DataFrame:
@@ -42,7 +44,7 @@ def live(state: DataFrame, spec: TableSpec) -> DataFrame:
     """The rows of a keyed table from its state."""
     if spec.merge == "latest":
         return state.filter(adds()).select(*spec.columns)
-    return state.select(*spec.columns) if spec.merge == "partial-update" else state
+    return state.select(*spec.columns) if spec.merge == "partial-update" else read_counted(state, spec)
 
 
 def fold_latest(changelog: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -84,15 +86,12 @@ def merge_latest(state: DataFrame | None, batch: DataFrame, spec: TableSpec) ->
     return last.select(*spec.pk, "_row.*").select(*rows.columns)
 
 
-def fold_partial_update(
-    changelog: DataFrame, spec: TableSpec, keep_order: bool = False, carry: tuple[str, ...] = ()
-) -> DataFrame:
+def fold_partial_update(changelog: DataFrame, spec: TableSpec, keep_order: bool = False) -> DataFrame:
     """Per key and column, the last value that is not null.
 
     Columns in ``spec.null_overwrites`` take nulls too. With ``keep_order`` the
     position of each value is returned as well, so that a later merge places changes
-    that arrive out of order correctly. Columns in ``carry`` are set in at most one row
-    of a key, and pass through.
+    that arrive out of order correctly.
     """
     if spec.ignore_delete:
         rows = without_retractions(changelog)
@@ -120,7 +119,7 @@ def fold_partial_update(
             order = F.max(F.when(present, F.col(pos)))
         if keep_order:
             aggs.append(order.alias(pos))
-    return rows.groupBy(*spec.pk).agg(*aggs, *_carried(carry))
+    return rows.groupBy(*spec.pk).agg(*aggs)
 
 
 def merge_partial_update(state: DataFrame | None, batch: DataFrame, spec: TableSpec) -> DataFrame:
@@ -130,32 +129,74 @@ def merge_partial_update(state: DataFrame | None, batch: DataFrame, spec: TableS
     return fold_partial_update(stacked, spec, keep_order=True)
 
 
-def fold_aggregation(changelog: DataFrame, spec: TableSpec, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Sums where retractions subtract, smallest and largest values, which cannot take one back; nulls add nothing.
+def fold_aggregation(changelog: DataFrame, spec: TableSpec) -> DataFrame:
+    """Sums, smallest and largest values and averages; retractions take a row back, nulls add nothing.
 
     ``live_rows`` counts the rows behind a key: a sum of 0 may be real, so keys that
-    lost all their rows are told apart by the count, not by the sum.
+    lost all their rows are told apart by the count, not by the sum. Where there is nothing
+    but sums, one aggregation gives them, in a stream too; see ``count_values`` for the rest.
+    """
+    counted = count_values(changelog, spec)
+    return counted if _only_sums(spec) else read_counted(counted, spec)
+
+
+def count_values(changelog: DataFrame, spec: TableSpec) -> DataFrame:
+    """What an aggregated table keeps so that every row can be taken back.
+
+    Sums are signed. Smallest and largest values are a multiset: one row per key and
+    combination of values with the count of the rows behind it, which a retraction lowers. It
+    combines before the shuffle and is as large as the distinct values. Averages keep a sum
+    and a count (``_n_`` and the column) of values that are not null.
     """
     rows = without_retractions(changelog) if spec.ignore_delete else changelog
     weight = F.when(adds(), F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
+    aggs = []
+    for c, rule in spec.aggregates.items():
+        if rule in EXTREMES:
+            continue
+        value = F.col(c).cast("bigint") if is_integral(rows, c) else F.col(c)
+        aggs.append(F.sum(signed(value)).alias(c))
+        if rule == "avg":
+            held = F.when(F.col(c).isNotNull(), weight)
+            if COUNT + c in rows.columns:
+                held = F.coalesce(F.col(COUNT + c), held)
+            aggs.append(F.sum(held).alias(COUNT + c))
     if LIVE in rows.columns:
         weight = F.coalesce(F.col(LIVE), weight)
-    refused = F.raise_error(F.lit(f"{spec.name}: a smallest or largest value cannot be taken back"))
+    return rows.groupBy(*spec.pk, *_extremes(spec)).agg(*aggs, F.sum(weight).alias(LIVE))
+
+
+def read_counted(counted: DataFrame, spec: TableSpec) -> DataFrame:
+    """The aggregated rows from what ``count_values`` keeps."""
+    if _only_sums(spec):
+        return counted
+    there = F.col(LIVE) > 0
 
     def merged(c: str, rule: str) -> Column:
+        if rule in EXTREMES:
+            value = F.when(there, F.col(c))
+            return (F.min(value) if rule == "min" else F.max(value)).alias(c)
         if rule == "sum":
-            return F.sum(signed(F.col(c).cast("bigint") if is_integral(rows, c) else F.col(c))).alias(c)
-        added = F.when(adds(), F.col(c)).otherwise(refused.cast(rows.schema[c].dataType))
-        return (F.min(added) if rule == "min" else F.max(added)).alias(c)
+            return F.sum(c).alias(c)
+        held = F.sum(COUNT + c)
+        return (F.sum(c) / F.when(held != 0, held)).alias(c)
 
     values = [merged(c, rule) for c, rule in spec.aggregates.items()]
-    return rows.groupBy(*spec.pk).agg(*values, F.sum(weight).alias(LIVE), *_carried(carry))
+    return counted.groupBy(*spec.pk).agg(*values, F.sum(LIVE).alias(LIVE))
 
 
 def merge_aggregation(state: DataFrame | None, batch: DataFrame, spec: TableSpec) -> DataFrame:
-    counted = [LIVE] if LIVE in batch.columns else []
+    counted = [c for c in (LIVE, *(COUNT + c for c in spec.aggregates)) if c in batch.columns]
     rows = batch.select("op", "seq", *spec.pk, *spec.aggregates, *counted)
-    return fold_aggregation(_stack(state, rows), spec)
+    return count_values(_stack(state, rows), spec)
+
+
+def _extremes(spec: TableSpec) -> list[str]:
+    return [c for c, rule in spec.aggregates.items() if rule in EXTREMES]
+
+
+def _only_sums(spec: TableSpec) -> bool:
+    return set(spec.aggregates.values()) <= {"sum"}
 
 
 def without_retractions(changelog: DataFrame) -> DataFrame:
@@ -163,10 +204,6 @@ def without_retractions(changelog: DataFrame) -> DataFrame:
     return changelog.filter(adds())
 
 
-def _carried(columns: tuple[str, ...]) -> list[Column]:
-    return [F.first(c, ignorenulls=True).alias(c) for c in columns]
-
-
 def _stack(state: DataFrame | None, batch: DataFrame) -> DataFrame:
     if state is None:
         return batch

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -91,6 +91,18 @@ def run_writes(source: DataFrame, writes: Iterable[Callable[[DataFrame], None]])
         write(source)
 
 
+def write_split(source: DataFrame, sinks: Mapping[str, Column], path: str, by: str = "sink") -> None:
+    """Several sinks fed by one pass: a folder ``by=<name>`` below ``path`` for every sink that gets rows.
+
+    A row goes to each sink whose condition holds, to none if none does. The source is read
+    and computed once, however many sinks there are; a sink is read back by its folder.
+    """
+    if by in source.columns:
+        raise ValueError(f"{by} is a column of the source")
+    names = F.array(*[F.when(condition, F.lit(name)) for name, condition in sinks.items()])
+    source.withColumn(by, F.explode(F.array_compact(names))).write.partitionBy(by).parquet(path)
+
+
 def console_sink(df: DataFrame, rows: int = 20, **trigger) -> StreamingQuery | None:
     """Prints rows, for debugging."""
     if df.isStreaming:

@@ -123,6 +123,20 @@ SELECT "table", outcome, count(*) AS n FROM whole GROUP BY ALL"""
     sql["cdc_route_orders"] = _with(_ORD) + """
 SELECT '+I' AS op, order_id AS seq, order_id, product_id, customer_id, ts AS purchase_timestamp,
        strftime(ts, '%Y-%m-%d') AS dd, CAST(hour(ts) AS INTEGER) AS hh FROM ord"""
+    sql["cdc_route_products"] = _with(_PRD) + """
+SELECT CASE WHEN alive THEN '+I' ELSE '-D' END AS op, seq, date_trunc('millisecond', ts) AS commit_ts,
+       product_id, product_name, sale_price FROM prd"""
+    sql["cdc_route_customers"] = _with(_CUS) + "SELECT '+I' AS op, seq, customer_id, customer_name FROM cus"
+    sql["cdc_route_refused"] = _with("""whole AS (
+  SELECT CASE event_type WHEN 'purchase' THEN 'orders' WHEN 'click' THEN 'customers' WHEN 'view' THEN NULL
+         ELSE 'products' END AS routed, CASE event_type WHEN 'view' THEN 'unknown table' END AS reason
+  FROM ev
+  UNION ALL
+  SELECT CASE WHEN event_id % 10 > 5 THEN 'customers' END,
+         CASE event_id % 10 WHEN 0 THEN 'null key' WHEN 1 THEN 'unknown table' WHEN 2 THEN 'no position'
+              WHEN 3 THEN 'no old image' WHEN 4 THEN 'unknown operation' WHEN 5 THEN 'malformed' END
+  FROM ev WHERE event_type = 'click')""") + """
+SELECT routed, reason, count(*) AS n FROM whole GROUP BY ALL"""
     sql["cdc_row_kinds"] = _with(_ENT, _HISTORY.format(source="ent"), """
 life AS (SELECT *, kind <> 'd' AS alive, coalesce(o_kind <> 'd', FALSE) AS o_alive FROM hist)""") + """
 SELECT CASE WHEN o_alive THEN '+U' ELSE '+I' END AS op, seq, user_id, product_id, price, hh FROM life WHERE alive
@@ -163,6 +177,17 @@ FROM latest_ord o FULL JOIN latest_cus c ON c.customer_id = o.customer_id"""
     sql["merge_sum_retract"] = signed + totals.format(where="")
     sql["merge_sum_live"] = _with(_ENT, _entity_state()) + """
 SELECT product_id, hh, CAST(sum(price) AS BIGINT) AS price, count(*) AS live_rows FROM state GROUP BY product_id, hh"""
+    by_key = "FROM state GROUP BY product_id, hh"
+    sql["merge_min_retract"] = _with(_ENT, _entity_state()) + f"""
+SELECT product_id, hh, min(price) AS lowest, max(price) AS highest, CAST(sum(price) AS BIGINT) AS total,
+       count(*) AS live_rows {by_key}"""
+    sql["merge_avg_retract"] = _with(_ENT, _entity_state()) + f"""
+SELECT product_id, hh, CAST(sum(price) AS DOUBLE) / count(price) AS average, count(*) AS live_rows {by_key}"""
+    sql["state_history"] = _with(_ENT, """
+spans AS (
+  SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY seq) AS until FROM ent)""") + """
+SELECT user_id, product_id, price, hh, ts AS valid_from, until AS valid_to
+FROM spans WHERE kind <> 'd' AND (until IS NULL OR ts < until)"""
     sql["state_diff"] = _with(
         _ENT, _entity_state(f"ts <= {_PAST}", "a"), _entity_state("TRUE", "b"), """
 sides AS (
@@ -225,6 +250,10 @@ SELECT t.*, s.* FROM (SELECT event_type, count(*) AS type_n FROM ev GROUP BY eve
     )
     sql["lookup_duplicates"] = _with(_ORD, _PRD, _lookup(3)) + """
 SELECT product_id, ts AS commit_ts, product_name, sale_price FROM found, range(2)"""
+    sql["lookup_nulls"] = _with(_ORD, _PRD, _lookup(3)) + """
+SELECT product_id, ts AS commit_ts, CASE side WHEN 0 THEN order_id END AS left_id,
+       CASE side WHEN 1 THEN order_id END AS right_id, product_name, sale_price
+FROM found, range(2) AS sides(side)"""
     sql["join_current"] = _with(_ORD, _CUS, _LATEST_CUS) + """
 SELECT order_id, product_id, customer_id, customer_name FROM ord JOIN latest_cus USING (customer_id)"""
     sql["changelog_join"] = _with(_ORD, _CUS, """
@@ -309,7 +338,7 @@ SELECT product_id, CAST(hour(purchase_timestamp) AS BIGINT) AS hh, CAST(sum(sale
        count(*) AS live_rows FROM named GROUP BY ALL"""
     sql["enriched_orders_batch"] = exact + _ENRICHED
     sql["product_sales_by_hour"] = exact.rstrip() + ",\n" + _SALES + "\nSELECT * FROM sales"
-    sql["stream_vs_batch_gap"] = exact.rstrip() + ",\n" + ",\n".join((_SALES, _LATEST_PRD, _BATCH_SALES)) + """
+    sql["stream_vs_batch_gap"] = millis.rstrip() + ",\n" + ",\n".join((_SALES, _LATEST_PRD, _BATCH_SALES)) + """
 SELECT coalesce(s.product_id, b.product_id) AS product_id, coalesce(s.hh, b.hh) AS hh,
        s.sales AS streamed, b.sales AS recomputed
 FROM sales s FULL JOIN batch_sales b ON s.product_id = b.product_id AND s.hh = b.hh

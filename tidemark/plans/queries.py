@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.rowkind import UPDATE_AFTER, adds
 from tidemark.functions.temporal import day_of, hour_of, to_millis
@@ -15,6 +16,7 @@ from tidemark.operators.lookup import lookup_as_of
 from tidemark.operators.skew import last_before
 from tidemark.plans import tables
 from tidemark.plans.retail import (
+    enriched_history,
     customer_half,
     enriched_orders,
     product_half,
@@ -105,13 +107,38 @@ def cdc_quarantine(spark, sf_dir):
     )
 
 
+def _routed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """One of the tables that one pass over all records has written."""
+    records = tables.wire_events(spark, sf_dir).select("value")
+    return envelope.route_written(records, SPECS.sources, scratch_dir(spark, "routed"))[table]
+
+
 @query
 def cdc_route_orders(spark, sf_dir):
-    routed = envelope.route_changes(_wire(spark, sf_dir), SPECS.sources)
-    rows = with_hour_partition(routed["orders"])
+    rows = with_hour_partition(_routed(spark, sf_dir, "orders"))
     return rows.select("op", "seq", *ORDER_VIEW, _plain("purchase_timestamp"), "dd", "hh")
 
 
+@query
+def cdc_route_products(spark, sf_dir):
+    rows = _routed(spark, sf_dir, "products")
+    return rows.select("op", "seq", _plain("commit_ts"), "product_id", "product_name", "sale_price")
+
+
+@query
+def cdc_route_customers(spark, sf_dir):
+    return _routed(spark, sf_dir, "customers").select("op", "seq", "customer_id", "customer_name")
+
+
+@query
+def cdc_route_refused(spark, sf_dir):
+    """What the same pass sets aside, some records being broken."""
+    broken = tables.broken_records(spark, sf_dir).select("value")
+    records = tables.wire_events(spark, sf_dir).select("value").unionByName(broken)
+    rows = envelope.fan_out(records, SPECS.sources)
+    return rows.groupBy("routed", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def cdc_row_kinds(spark, sf_dir):
     """Inserts, updates and deletes as records of their kind, and back."""
@@ -284,6 +311,49 @@ def merge_sum_live(spark, sf_dir):
     return sums.filter(F.col(merge.LIVE) > 0)
 
 
+def _valued(spark: SparkSession, sf_dir: str, rules: dict[str, str]) -> DataFrame:
+    """Prices of entities by product and hour, each column by its rule; keys that lost all rows are left out."""
+    columns = ", ".join(f"{c} bigint" for c in rules)
+    spec = TableSpec(
+        "valued", f"product_id int, hh int, {columns}", pk=("product_id", "hh"), merge="aggregation", aggregates=rules
+    )
+    rows = _retracting(spark, sf_dir).withColumns({c: F.col("price") for c in rules})
+    return merge.current_state(rows, spec).filter(F.col(merge.LIVE) > 0)
+
+
+@query
+def merge_min_retract(spark, sf_dir):
+    """Smallest and largest prices, of which the smallest or largest may be taken back."""
+    return _valued(spark, sf_dir, {"lowest": "min", "highest": "max", "total": "sum"})
+
+
+@query
+def merge_avg_retract(spark, sf_dir):
+    return _valued(spark, sf_dir, {"average": "avg"})
+
+
+@query
+def lookup_nulls(spark, sf_dir):
+    """Facts without a position that differ in where they have a null only."""
+    orders = tables.order_changes(spark, sf_dir).select("product_id", "commit_ts", "order_id")
+    sides = F.explode(F.array(F.lit(1), F.lit(2))).alias("side")
+    halves = orders.select("*", sides).select(
+        "product_id",
+        "commit_ts",
+        F.lit(None).cast("bigint").alias("seq"),
+        *[F.when(F.col("side") == n, F.col("order_id")).alias(c) for n, c in ((1, "left_id"), (2, "right_id"))],
+    )
+    return lookup_as_of(
+        halves,
+        tables.product_changes(spark, sf_dir),
+        ["product_id"],
+        "commit_ts",
+        ["product_name", "sale_price"],
+        retry_delay=RETRY_DELAY,
+        max_retries=MAX_RETRIES,
+    ).select("product_id", _plain("commit_ts"), "left_id", "right_id", "product_name", "sale_price")
+
+
 @query
 def state_diff(spark, sf_dir):
     rows = tables.entity_changes(spark, sf_dir)
@@ -366,14 +436,10 @@ def multi_insert_union(spark, sf_dir):
 def multi_sink_counts(spark, sf_dir):
     """One read of the events feeding three tables."""
     folder = scratch_dir(spark, "sinks")
-
-    def write(kind: str):
-        return lambda df: df.filter(F.col("event_type") == kind).write.parquet(f"{folder}/{kind}")
-
     kinds = ("purchase", "signup", "click")
-    sinks.run_writes(tables.events(spark, sf_dir), [write(k) for k in kinds])
+    sinks.write_split(tables.events(spark, sf_dir), {k: F.col("event_type") == k for k in kinds}, folder)
     return sinks.union_inserts(
-        spark.read.parquet(f"{folder}/{k}").agg(
+        spark.read.parquet(f"{folder}/sink={k}").agg(
             F.lit(k).alias("sink"), F.count(F.lit(1)).alias("n"), F.sum("price").alias("price")
         )
         for k in kinds
@@ -567,16 +633,32 @@ def hourly_sales_as_of(spark, sf_dir):
     return aggregates.hourly_sales(travel.changes_until(orders, _past()), products)
 
 
+def _stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched orders as a stored table of all their versions."""
+    seen = enriched_history(
+        tables.order_changes(spark, sf_dir),
+        tables.product_changes(spark, sf_dir),
+        retry_delay=RETRY_DELAY,
+        max_retries=MAX_RETRIES,
+    )
+    columns = [f for f in SPECS.enriched.schema.fields if f.name != "customer_name"]
+    spec = TableSpec("history", StructType(columns), pk=SPECS.enriched.pk)
+    folder = scratch_dir(spark, "history")
+    travel.write_history(travel.validity(seen, spec), folder)
+    return spark.read.parquet(folder)
+
+
 @query
 def customer_total_as_of(spark, sf_dir):
-    past = {
-        name: travel.changes_until(make(spark, sf_dir), _past())
-        for name, make in (("orders", tables.order_changes), ("products", tables.product_changes))
-    }
-    table = product_half(
-        past["orders"], past["products"], retry_delay=RETRY_DELAY, max_retries=MAX_RETRIES, now=_past()
-    )
-    return aggregates.customer_total(table)
+    """From the stored table, read as of a moment."""
+    return aggregates.customer_total(travel.history_as_of(_stored_history(spark, sf_dir), _past()))
+
+
+@query
+def state_history(spark, sf_dir):
+    """Every row the entity table ever had, and for how long."""
+    rows = travel.validity(tables.entity_changes(spark, sf_dir), ENTITY_SPEC)
+    return rows.select("user_id", *ENTITY_ROW, _plain("valid_from"), _plain("valid_to"))
 
 
 @query
@@ -675,9 +757,7 @@ def _layers(spark: SparkSession, sf_dir: str, records_of: Query, late: str = "fa
     rows = tables.shard_by_time(records_of(spark, sf_dir), SHARDS, span_of=times)
     after = F.when(F.expr(late.replace("source_table", "get_json_object(value, '$.source.table')")), 1).otherwise(0)
     rows = rows.withColumn("shard", F.least(F.col("shard") + after, F.lit(SHARDS - 1)))
-    layers = RetailLayers(
-        spark, f"{folder}/tables", SPECS, retry_delay=RETRY_DELAY, max_retries=MAX_RETRIES, buckets=8
-    )
+    layers = RetailLayers(spark, f"{folder}/tables", SPECS, retry_delay=RETRY_DELAY, max_retries=MAX_RETRIES)
     records = f"{folder}/records"
 
     def run(shard: int) -> None:
@@ -715,7 +795,8 @@ def enriched_feed(spark, sf_dir):
     layers, _ = _layers(spark, sf_dir, tables.wire_events)
     folder = scratch_dir(spark, "feed")
     sinks.write_output(layers.enriched_stream(), f"{folder}/out", checkpoint=f"{folder}/checkpoint").awaitTermination()
-    feed = spark.read.parquet(f"{folder}/out").withColumn("seq", F.col("v").cast("bigint"))
+    seq = F.shiftleft(F.col("v").cast("bigint"), 32) + F.col("b")
+    feed = spark.read.parquet(f"{folder}/out").withColumn("seq", seq)
     spec = TableSpec("feed", SPECS.enriched.schema, pk=SPECS.enriched.pk)
     return merge.current_state(feed, spec)
 
@@ -762,10 +843,11 @@ def product_sales_by_hour(spark, sf_dir):
 
 @query
 def stream_vs_batch_gap(spark, sf_dir):
-    """Where point-in-time prices and latest prices give different sales."""
+    """Where the streamed sales, at the prices of their time, and a batch at the latest prices differ."""
     orders, products, _ = _current(spark, sf_dir)
+    layers, last = _layers(spark, sf_dir, tables.wire_events)
     return repair.result_gap(
-        product_sales_by_hour(spark, sf_dir),
+        layers.sales_table(last).select("product_id", "hh", "sales"),
         aggregates.hourly_sales(orders, products),
         ["product_id", "hh"],
         "sales",

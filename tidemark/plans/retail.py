@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rowkind import adds
-from tidemark.functions.temporal import day_of, hour_of
+from tidemark.functions.temporal import day_of, hour_of, interval_micros, micros
 from tidemark.operators.joins import last_match
 from tidemark.operators.lookup import lookup_as_of
 from tidemark.operators.merge import fold_aggregation, fold_partial_update
@@ -110,13 +110,35 @@ def product_half(
         ["product_id"],
         at,
         PRODUCT_VALUES,
-        row_id=("order_id", "seq"),
         retry_delay=retry_delay,
         max_retries=max_retries,
         **kwargs,
     )
 
 
+def enriched_history(
+    orders: DataFrame,
+    products: DataFrame,
+    *,
+    retry_delay: str | int = RETRY_DELAY,
+    max_retries: int = MAX_RETRIES,
+) -> DataFrame:
+    """The changes of the enriched orders as they became visible, without the customer's name.
+
+    An order shows at once, without a product if that is missing, and again when a retry finds it.
+    """
+    found = product_half(orders, products, retry_delay=retry_delay, max_retries=max_retries, attempt="attempt")
+    later = F.col("attempt") > 0
+    nothing = F.struct(F.lit(0).alias("after"), *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in PRODUCT_VALUES])
+    hit = F.struct(F.coalesce("attempt", F.lit(0)).alias("after"), *PRODUCT_VALUES)
+    seen = found.select(
+        "op", "seq", "commit_ts", *ORDER_COLUMNS, F.inline(F.when(later, F.array(nothing, hit)).otherwise(F.array(hit)))
+    )
+    shown = F.timestamp_micros(micros("commit_ts") + F.col("after") * interval_micros(retry_delay))
+    # Positions stay in the order of the log, and a hit follows its own miss.
+    return seen.withColumns({"commit_ts": shown, "seq": F.col("seq") * (max_retries + 1) + F.col("after")}).drop("after")
+
+
 def customer_half(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """The customer name of each order version."""
     return last_match(orders, customers, ["customer_id"], ["order_id"], ["customer_name"])

@@ -15,11 +15,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.rowkind import DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE
 from tidemark.functions.temporal import from_epoch_millis
-from tidemark.specs import TableSpec
+from tidemark.specs import TableSpec, table_schema
 
 # Operation letters, provenance fields and the timestamp text of events.
 CREATE, READ, UPDATE, REMOVE = "c", "r", "u", "d"
@@ -134,6 +134,79 @@ def route_changes(raw: DataFrame, specs: Mapping[str, TableSpec], value: str = "
     }
 
 
+def fan_out(raw: DataFrame, specs: Mapping[str, TableSpec], value: str = "value") -> DataFrame:
+    """The changes of all tables in one pass: ``routed``, ``op``, ``commit_ts``, ``seq``, ``reason``, ``value``, one struct per table.
+
+    A record is taken apart once and its images are parsed once, with the columns of the
+    table it names; the row lies in the struct of that name, the other structs are null.
+    ``routed`` is that table. A refused record is one row with its text in ``value`` and the
+    ``reason``, and ``routed`` null, so that written by ``routed`` every table and the quarantine
+    have a folder. Heartbeats give nothing.
+    """
+    tagged = _tagged(raw, value).filter(~F.col("source_table").eqNullSafe(HEARTBEAT))
+    table, op = F.col("source_table"), F.col("op")
+    parsed = {
+        f"_{side}_{name}": F.when(table == name, _image(side, spec))
+        for name, spec in specs.items()
+        for side in ("before", "after")
+    }
+    rows = tagged.withColumns(parsed)
+    reason = F.when(table.isNull() | ~F.col("readable"), "malformed").when(~table.isin(*specs), "unknown table")
+    for name, spec in specs.items():
+        reason = reason.when(table == name, _refusal(spec, F.col(f"_before_{name}"), F.col(f"_after_{name}")))
+    rows = rows.withColumn("reason", reason)
+
+    def kind(letter: str, side: str) -> Column:
+        return F.struct(F.lit(letter).alias("kind"), F.lit(side).alias("side"))
+
+    kinds = (
+        F.when(F.col("reason").isNotNull(), F.array(kind(None, None)))
+        .when(op.isin(CREATE, READ), F.array(kind(INSERT, "after")))
+        .when(op == UPDATE, F.array(kind(UPDATE_BEFORE, "before"), kind(UPDATE_AFTER, "after")))
+        .otherwise(F.array(kind(DELETE, "before")))
+    )
+    rows = rows.select("*", F.inline(kinds))
+
+    def image(name: str, spec: TableSpec) -> Column:
+        def plain(side: str) -> Column:
+            return F.struct(*[F.col(f"_{side}_{name}.{f.name}").alias(f.name) for f in source_schema(spec).fields])
+
+        mine = F.col("reason").isNull() & (table == name)
+        return F.when(mine, F.when(F.col("side") == "before", plain("before")).otherwise(plain("after"))).alias(name)
+
+    refused = F.col("reason").isNotNull()
+    return rows.select(
+        F.when(~refused, table).alias("routed"),
+        F.col("kind").alias("op"),
+        "commit_ts",
+        "seq",
+        "reason",
+        F.when(refused, F.col("value")).alias("value"),
+        *[image(name, spec) for name, spec in specs.items()],
+    )
+
+
+def fan_out_schema(specs: Mapping[str, TableSpec]) -> StructType:
+    """The columns of ``fan_out`` as they are read back, ``routed`` last."""
+    meta = table_schema("op string, commit_ts timestamp, seq bigint, reason string, value string")
+    images = [StructField(name, source_schema(spec)) for name, spec in specs.items()]
+    return StructType([*meta.fields, *images, StructField("routed", StringType())])
+
+
+def routed_rows(fanned: DataFrame, table: str) -> DataFrame:
+    """The changelog of one table out of ``fan_out``."""
+    return fanned.filter(F.col("routed") == table).select("op", "commit_ts", "seq", f"{table}.*")
+
+
+def route_written(
+    raw: DataFrame, specs: Mapping[str, TableSpec], folder: str, value: str = "value"
+) -> dict[str, DataFrame]:
+    """One changelog per table, by one pass over the records and one write with a folder per table."""
+    fan_out(raw, specs, value).write.partitionBy("routed").parquet(folder)
+    stored = raw.sparkSession.read.schema(fan_out_schema(specs)).parquet(folder)
+    return {table: routed_rows(stored, table) for table in specs}
+
+
 def judge(raw: DataFrame, specs: Mapping[str, TableSpec], value: str = "value") -> DataFrame:
     """Every record with its ``table`` and the ``reason`` why no table takes it, null for those decoded.
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 MERGE_RULES = ("latest", "partial-update", "aggregation")
-MERGE_AGGREGATES = ("sum", "min", "max")
+MERGE_AGGREGATES = ("sum", "min", "max", "avg")
 
 _PLAIN_TYPES = {
     "string": T.StringType(),

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import partial
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
-from tidemark.functions.rowkind import INSERT, UPDATE_BEFORE, adds
-from tidemark.functions.temporal import from_epoch_millis, interval_micros, micros
-from tidemark.operators.joins import meet, next_position
-from tidemark.operators.merge import ORDER_PREFIX, fold_aggregation, fold_images, fold_partial_update
-from tidemark.operators.skew import MIN_HEAVY_ROWS, heavy_keys
+from tidemark.functions.rowkind import adds
+from tidemark.functions.temporal import interval_micros
+from tidemark.operators.changes import expand_pairs
+from tidemark.operators.merge import LIVE, fold_aggregation
 from tidemark.plans.retail import (
     COMMIT_INTERVAL,
     MAX_RETRIES,
@@ -22,31 +20,35 @@ from tidemark.plans.retail import (
     PRODUCT_VALUES,
     RETRY_DELAY,
     RetailSpecs,
-    as_enriched_changes,
-    product_half,
     sales_changes,
-    with_hour_partition,
 )
-from tidemark.session import run_together
-from tidemark.sources.envelope import quarantine, route_changes, tag_events
-from tidemark.sources.files import changelog_schema
-from tidemark.specs import TableSpec, table_schema
-from tidemark.streaming.keyed_log import KeyedLog
+from tidemark.sources.envelope import fan_out, fan_out_schema, routed_rows, tag_events
+from tidemark.specs import table_schema
+from tidemark.streaming.states import from_json, lookup_when_due, meetings, merged_pairs
+
+#: Where the stateful queries keep their state.
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class RetailLayers:
     """Raw, enriched and summed tables under one folder.
 
-    ``process`` is the body of ``foreachBatch``. Everything it writes goes to folders of
-    its own batch, and it reads folders of earlier batches only, so a batch that is run
-    again after a failure gives the same tables. Results depend on the events and their
-    log order, not on where the stream was cut into batches.
+    ``process`` is the body of ``foreachBatch``. It writes the changes of a batch by table, then
+    lets three streaming queries take what is new, from checkpoints of their own:
+
+    * *lookup*: orders wait in keyed state for their product, until it comes or a timer ends
+      the retries.
+    * *enriched*: orders and customers meet in a stream-stream join; both halves are merged
+      by order in keyed state, which gives out the old image with the new.
+    * *sales*: a streaming aggregation of these changes, where old rows subtract.
 
-    Time is the largest event time seen in this batch or an earlier one. An order that
-    misses its product waits in ``lookup/v=N/resolved=false`` until it hits or its retries
-    are spent. All product versions are kept: those within the retry budget together, older
-    ones by product, so an order that arrives however late finds the version of its own
-    time, as a batch over all events would.
+    State is Spark's: it costs what a batch touches and is restored from its checkpoint. A
+    batch that is run again finds its changes written and no state to move. Results depend
+    on the events and their log order, not on where the stream was cut into batches.
+
+    Time is the largest event time seen in this batch or an earlier one. All product
+    versions are kept, so an order that arrives however late finds the version of its time.
     """
 
     def __init__(
@@ -57,208 +59,139 @@ class RetailLayers:
         *,
         retry_delay: str | int = RETRY_DELAY,
         max_retries: int = MAX_RETRIES,
-        buckets: int = 64,
-        compact_every: int = 16,
+        cells: int = 8,
     ) -> None:
         self.spark = spark
         self.path = path
         self.specs = specs
         self.delay = interval_micros(retry_delay)
         self.retries = max_retries
-        self.horizon = self.delay * max_retries
-
-        def log(name: str, schema: StructType, pk, **kwargs) -> KeyedLog:
-            return KeyedLog(
-                spark, f"{path}/{name}", schema, pk, buckets=buckets, compact_every=compact_every, **kwargs
-            )
-
-        def positioned(spec: TableSpec) -> StructType:
-            return StructType([*spec.schema.fields, StructField("seq", LongType())])
-
-        products = changelog_schema(specs.products)
-        versions = StructType([*positioned(specs.products).fields, products["op"], products["commit_ts"]])
-        placed = StructType(
-            specs.enriched.schema.fields
-            + [StructField(ORDER_PREFIX + c, LongType()) for c in specs.enriched.values]
-        )
-        ids = {f.name: f for f in specs.orders.schema.fields}
-        held = StructType([ids["customer_id"], ids["order_id"], StructField("seq", LongType())])
-        self._name_schema = StructType(
-            [*table_schema("op string, seq bigint").fields, ids["order_id"], specs.customers.schema["customer_name"]]
-        )
-        counted = StructType([*specs.sales.schema.fields, StructField("live_rows", LongType())])
-
-        keys = specs.products.pk
-        self.base_products = log("base_products", versions, [*keys, "seq"], bucket_by=keys)
-        self.customers = log("customers", positioned(specs.customers), specs.customers.pk)
-        self.orders_of = log("orders_of", held, ["customer_id", "order_id"], bucket_by=["customer_id"])
-        self.enriched = log("enriched", placed, specs.enriched.pk)
-        self.sales = log("sales", counted, specs.sales.pk)
+        self.cells = cells
+        self.version = -1
+        image = StructType([f for f in specs.enriched.schema.fields if f.name not in specs.enriched.pk])
+        (pk,) = specs.enriched.pk
+        stored = [specs.enriched.schema[pk], StructField("old", image), StructField("new", image)]
+        batch = table_schema("v int, b int").fields
+        self._pairs = StructType([*stored, *batch])
+        self._sums = StructType([*specs.sales.schema.fields, *table_schema(f"{LIVE} bigint").fields, *batch])
 
     # -- one batch -----------------------------------------------------------
 
     def process(self, events: DataFrame, version: int) -> None:
         """Takes the events of one batch (text column ``value``) through all layers."""
-        events = tag_events(events).persist()
-        try:
-            seen = events.agg(F.max("ts_ms").alias("ms"), F.count(F.lit(1)).alias("n")).first()
-            self._ingest(events, version)
-            latest = self._clock(seen["ms"], version)
-            now = F.lit(None).cast("timestamp") if latest is None else from_epoch_millis(latest)
-            small = seen["n"] < MIN_HEAVY_ROWS
-            run_together(
-                self.spark,
-                *self._look_up(version, now, seen["n"]),
-                *self._meet_customers(version, small),
-                partial(self._set_aside, events, version),
-            )
-        finally:
-            events.unpersist()
-        self._enrich(version)
-        self._sum(version)
-
-    def _clock(self, seen: int | None, version: int) -> int | None:
-        """The largest event time so far, which never runs back."""
-        folder = f"{self.path}/clock/v="
-        if version > 0:
-            earlier = self.spark.read.schema("ms bigint").parquet(f"{folder}{version - 1}").first()["ms"]
-            seen = max((ms for ms in (seen, earlier) if ms is not None), default=None)
-        _replace(self.spark.createDataFrame([(seen,)], "ms bigint"), f"{folder}{version}")
-        return seen
+        self.version = version
+        self._ingest(events, version)
+        with self._state_settings():
+            self._advance("lookup", self._look_up(), "append")
+            self._advance("enriched", self._enrich(), "append")
+            self._advance("sales", self._sum(), "update")
 
     def _ingest(self, events: DataFrame, version: int) -> None:
-        tables = route_changes(events, self.specs.sources)
-        tables["orders"] = with_hour_partition(tables["orders"])
-        writes = [partial(_replace, rows, self._raw_folder(name, version)) for name, rows in tables.items()]
-        run_together(self.spark, *writes)
-
-    def _set_aside(self, events: DataFrame, version: int) -> None:
-        _replace(quarantine(events, self.specs.sources), f"{self.path}/quarantine/v={version}")
-
-    def _look_up(self, version: int, now: Column, events: int) -> list[Callable[[], None]]:
-        facts = self.raw("orders", version).filter(adds()).select("op", "commit_ts", "seq", *ORDER_COLUMNS)
-        recent = self.raw("products", version)
+        """All tables' changes and what is refused, in one pass and one write, unless the batch was written before."""
+        if self._exists(f"{self.path}/clock/v={version}/_SUCCESS"):
+            return
+        seen = Observation()
+        tagged = tag_events(events).observe(seen, F.max("ts_ms").alias("ms"))
+        _replace(fan_out(tagged, self.specs.sources), f"{self.path}/raw/v={version}", "routed")
+        latest = seen.get["ms"]
         if version > 0:
-            waiting = self._read_lookup(version - 1, resolved=False).select(*facts.columns)
-            kept = self._read_recent(version - 1)
-            facts, recent = facts.unionByName(waiting), recent.unionByName(kept)
-            if events < MIN_HEAVY_ROWS:
-                one = F.lit(1).alias("one")
-                events += waiting.select(one).unionByName(kept.select(one)).count()
-        base = self.base_products.state(version - 1, facts.filter("product_id is not null").select("product_id"))
-        versions = recent.unionByName(base)
-        spent = F.coalesce(micros("commit_ts") + self.horizon <= micros(now), F.lit(False))
-        settled = F.coalesce(micros("commit_ts") <= micros(now) - self.horizon, F.lit(False))
-
-        def look_up() -> None:
-            found = product_half(
-                facts,
-                versions,
-                retry_delay=self.delay,
-                max_retries=self.retries,
-                now=now,
-                attempt="attempt",
-                plan="plain" if events < MIN_HEAVY_ROWS else "auto",
-            )
-            done = found.withColumn("resolved", F.col("attempt").isNotNull() | spent)
-            _replace(done, f"{self.path}/lookup/v={version}", "resolved")
-
-        def fold_settled() -> None:
-            base = self.base_products
-            rows = recent.filter(settled & (F.col("op") != UPDATE_BEFORE) & F.col("product_id").isNotNull())
-            kept = rows.groupBy(*base.pk).agg(F.max(F.struct(*base.values)).alias("new"))
-            base.commit(version, kept.withColumn("at", F.col("seq")))
-
-        def keep_recent() -> None:
-            _replace(recent.filter(~settled), f"{self.path}/recent_products/v={version}")
-
-        return [look_up, fold_settled, keep_recent]
-
-    def _meet_customers(self, version: int, small: bool) -> list[Callable[[], None]]:
-        """Names met by the orders that changed, and by all orders of customers that changed."""
-        orders = self.raw("orders", version).select("op", "seq", "order_id", "customer_id")
-        customers = self.raw("customers", version).select("op", "seq", "customer_id", "customer_name")
-        owned = orders.filter(F.col("customer_id").isNotNull())
-        light = () if small else None
-
-        def meet_names() -> None:
-            held = self.orders_of.state(version - 1, customers.select("customer_id"))
-            moves = held.withColumn("op", F.lit(INSERT)).unionByName(orders.filter("op <> '-U'"))
-            spans = next_position(moves, ["order_id"], "_until", heavy=light).filter(adds())
-            near = owned.select("customer_id").unionByName(customers.select("customer_id"))
-            known = self.customers.state(version - 1, near).withColumn("op", F.lit(INSERT))
-            named = known.unionByName(customers.filter("op <> '-U'"))
-            lives = next_position(named, ["customer_id"], "_gone", heavy=light).filter(adds())
-            crowd = held.select("customer_id").unionByName(owned.select("customer_id"))
-            heavy = heavy_keys(crowd, ["customer_id"])
-            met = meet(spans, lives, ["customer_id"], ["order_id"], ["customer_name"], heavy=heavy)
-            _replace(met, f"{self.path}/names/v={version}")
-
-        def move_orders() -> None:
-            log = self.orders_of
-            log.commit(version, fold_images(owned, log.pk, log.values))
-
-        def rename_customers() -> None:
-            log = self.customers
-            log.commit(version, fold_images(customers, log.pk, log.values))
-
-        return [meet_names, move_orders, rename_customers]
-
-    def _enrich(self, version: int) -> None:
-        spec = self.specs.enriched
-        names = self.spark.read.schema(self._name_schema).parquet(f"{self.path}/names/v={version}")
-        first = as_enriched_changes(self._read_lookup(version, resolved=True), spec)
-        changes = first.unionByName(as_enriched_changes(names, spec))
-        earlier = self._as_earlier(self.enriched, version, changes.select("order_id"))
-        merged = fold_partial_update(
-            earlier.unionByName(changes, allowMissingColumns=True), spec, keep_order=True, carry=("old",)
+            folder = f"{self.path}/clock/v={version - 1}"
+            earlier = self.spark.read.schema("ms bigint").parquet(folder).first()["ms"]
+            latest = max((ms for ms in (latest, earlier) if ms is not None), default=None)
+        _replace(self.spark.createDataFrame([(latest,)], "ms bigint").coalesce(1), f"{self.path}/clock/v={version}")
+
+    def _look_up(self) -> DataFrame:
+        """The streaming plan of the lookup: each order version with what its product was, once that is settled."""
+        orders, products = self._raw_stream("orders"), self._raw_stream("products")
+        ticks = self.spark.readStream.schema("ms bigint, v int").parquet(f"{self.path}/clock")
+        placed = orders.withColumn("purchase_timestamp", F.col("purchase_timestamp").cast("timestamp_ntz"))
+        return lookup_when_due(
+            placed.filter(adds()).select("op", "commit_ts", "seq", *ORDER_COLUMNS),
+            products,
+            ticks.select(F.timestamp_millis("ms").alias("clock")),
+            "product_id",
+            "order_id",
+            PRODUCT_VALUES,
+            delay=self.delay,
+            retries=self.retries,
+            cells=self.cells,
         )
-        self.enriched.commit(version, merged.withColumn("new", self.enriched.image(merged)))
 
-    def _sum(self, version: int) -> None:
-        spec = self.specs.sales
-        delta = fold_aggregation(self.enriched_changes(version).transform(sales_changes), spec)
-        earlier = self._as_earlier(self.sales, version, delta.select(*spec.pk))
-        batch = delta.withColumn("op", F.lit(INSERT))
-        merged = fold_aggregation(earlier.unionByName(batch, allowMissingColumns=True), spec, carry=("old",))
-        self.sales.commit(version, merged.withColumn("new", self.sales.image(merged)))
-
-    def _as_earlier(self, log: KeyedLog, version: int, keys: DataFrame) -> DataFrame:
-        """The state before the batch as its oldest changes, each carrying its own image."""
-        state = log.state(version - 1, keys)
-        return state.withColumns(
-            {"op": F.lit(INSERT), "seq": F.lit(-1).cast("bigint"), "old": log.image(state)}
+    def _enrich(self) -> DataFrame:
+        """The streaming plan of the enriched table: its changes as old and new images."""
+        spec = self.specs.enriched
+        (pk,) = spec.pk
+        orders, customers = self._raw_stream("orders"), self._raw_stream("customers")
+        found = self.spark.readStream.schema("seq bigint, row string, v int, b int").parquet(f"{self.path}/lookup")
+        key = from_json("row", StructType([spec.schema[pk]]))[pk]
+        met = meetings(orders, customers, "customer_id", pk, "customer_name")
+        return merged_pairs(found.withColumn(pk, key), orders.select("op", "seq", pk), met, spec, "customer_name")
+
+    def _raw_stream(self, table: str) -> DataFrame:
+        schema = StructType([*fan_out_schema(self.specs.sources).fields, *table_schema("v int").fields])
+        return routed_rows(self.spark.readStream.schema(schema).parquet(f"{self.path}/raw"), table)
+
+    def _sum(self) -> DataFrame:
+        """The streaming plan of the sales table: the sums of the keys a batch changes."""
+        return fold_aggregation(sales_changes(self.enriched_stream()), self.specs.sales)
+
+    def _advance(self, name: str, plan: DataFrame, mode: str) -> None:
+        """Runs a stateful query over what is new, into folders of this version."""
+
+        def store(rows: DataFrame, batch: int) -> None:
+            _replace(rows, f"{self.path}/{name}/v={self.version}/b={batch}")
+
+        running = (
+            plan.writeStream.outputMode(mode)
+            .option("checkpointLocation", f"{self.path}/checkpoints/{name}")
+            .trigger(availableNow=True)
+            .foreachBatch(store)
+            .start()
         )
+        running.awaitTermination()
+
+    @contextmanager
+    def _state_settings(self):
+        before = self.spark.conf.get(STATE_PROVIDER, None)
+        self.spark.conf.set(STATE_PROVIDER, ROCKS_DB)
+        try:
+            yield
+        finally:
+            self.spark.conf.unset(STATE_PROVIDER) if before is None else self.spark.conf.set(STATE_PROVIDER, before)
 
     # -- tables --------------------------------------------------------------
 
     def raw(self, table: str, version: int) -> DataFrame:
         """The changelog of one source table in one batch."""
-        schema = changelog_schema(self.specs.sources[table])
-        return self.spark.read.schema(schema).parquet(self._raw_folder(table, version))
+        return routed_rows(self._raw(version), table)
 
-    def enriched_changes(self, version: int) -> DataFrame:
-        return self.enriched.changes(version, self.specs.enriched.values)
+    def quarantine(self, version: int) -> DataFrame:
+        """The records of one batch that no table takes, with the reason."""
+        return self._raw(version).filter("routed is null").select("value", "reason")
 
     def enriched_table(self, version: int) -> DataFrame:
-        return self.enriched.state(version).select(*self.specs.enriched.columns)
+        spec = self.specs.enriched
+        last = self._last(self._stored("enriched", self._pairs, version), list(spec.pk), ["new"])
+        return last.filter(F.col("new").isNotNull()).select(*spec.pk, "new.*").select(*spec.columns)
 
     def sales_table(self, version: int) -> DataFrame:
-        return self.sales.state(version)
+        spec = self.specs.sales
+        values = [c for c in self._sums.names if c not in (*spec.pk, "v", "b")]
+        return self._last(self._stored("sales", self._sums, version), list(spec.pk), values)
 
     def enriched_stream(self) -> DataFrame:
-        """All changes of the enriched table, old and new rows, as a stream; ``v`` is the batch."""
-        return self.enriched.stream(self.specs.enriched.values)
+        """All changes of the enriched table, old and new rows, as a stream; ``v`` and ``b`` say when they were made."""
+        spec = self.specs.enriched
+        pairs = self.spark.readStream.schema(self._pairs).parquet(f"{self.path}/enriched")
+        return expand_pairs(pairs, ["v", "b", *spec.pk])
 
     def sales_stream(self) -> DataFrame:
-        """All changes of the sales table as a stream; ``v`` is the batch."""
-        return self.sales.stream()
+        """The sums of the sales table as they change, as a stream; ``v`` and ``b`` say when they were made."""
+        return self.spark.readStream.schema(self._sums).parquet(f"{self.path}/sales")
 
     def version_at(self, moment_ms: int) -> int:
         """The last batch committed by ``moment_ms``, in event time; -1 before the first."""
-        clocks = self.spark.read.schema("ms bigint, v int").option("basePath", f"{self.path}/clock").parquet(
-            f"{self.path}/clock/v=*"
-        )
+        clocks = self.spark.read.schema("ms bigint, v int").parquet(f"{self.path}/clock")
         return clocks.filter(F.col("ms") <= moment_ms).agg(F.coalesce(F.max("v"), F.lit(-1)).alias("v")).first()["v"]
 
     def enriched_as_of(self, moment_ms: int) -> DataFrame:
@@ -269,22 +202,21 @@ class RetailLayers:
         """The sales table as it was stored at a moment of event time."""
         return self.sales_table(self.version_at(moment_ms))
 
-    def _raw_folder(self, table: str, version: int) -> str:
-        return f"{self.path}/raw/{table}/v={version}"
-
-    def _read_lookup(self, version: int, resolved: bool) -> DataFrame:
-        orders = changelog_schema(self.specs.orders)
-        products = self.specs.products.schema
-        fields = [orders[c] for c in ("op", "commit_ts", "seq", *ORDER_COLUMNS)]
-        fields += [products[c] for c in PRODUCT_VALUES]
-        fields += table_schema("attempt int, resolved boolean").fields
-        schema = StructType(fields)
-        rows = self.spark.read.schema(schema).parquet(f"{self.path}/lookup/v={version}")
-        return rows.filter(F.col("resolved") == F.lit(resolved)).drop("resolved", "attempt")
-
-    def _read_recent(self, version: int) -> DataFrame:
-        schema = changelog_schema(self.specs.products)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/recent_products/v={version}")
+    def _raw(self, version: int) -> DataFrame:
+        return self.spark.read.schema(fan_out_schema(self.specs.sources)).parquet(f"{self.path}/raw/v={version}")
+
+    def _stored(self, name: str, schema: StructType, version: int) -> DataFrame:
+        if version < 0:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}").filter(F.col("v") <= version)
+
+    def _last(self, rows: DataFrame, pk: list[str], values: list[str]) -> DataFrame:
+        last = rows.groupBy(*pk).agg(F.max_by(F.struct(*values), F.struct("v", "b")).alias("_last"))
+        return last.select(*pk, "_last.*")
+
+    def _exists(self, file: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(file)
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
 
 
 def _replace(rows: DataFrame, folder: str, *partition_by: str) -> None:
