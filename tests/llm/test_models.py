@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -56,6 +57,22 @@ def test_text_of_formulas_and_custom_elements_is_kept():
     assert texts_of("<article-body><p>a <svg-label>b</svg-label> c</p></article-body>") == ["a b c"]
 
 
+@pytest.mark.parametrize("part", ["<p b ", "<p \"", "<a", "<!x", "<svg b ", "<p '\"", "</script", "<script></script", "<p b=\"", "<"])
+@pytest.mark.parametrize("tail", ["", ">", "\"", "'>"])
+def test_a_megabyte_of_unclosed_markup(part, tail):
+    """Neither tags nor quotes without an end are looked through again from every start."""
+    start = time.process_time()
+    blocks_of(part * ((1 << 20) // len(part)) + tail)
+    assert time.process_time() - start < 20
+
+
+def test_tags_end_at_the_first_bracket_outside_quotes():
+    assert texts_of("<p title='a>b' class=\"x>\">one</p><p b=\">two") == ["one", "<p b=\">two"]
+    assert texts_of("<p a=\"1>x</p><p a='2'>y") == ["<p a=\"1>x", "y"]
+    assert texts_of("1 < 2 <p>x</p> <b") == ["1 < 2", "x", "<b"]
+    assert texts_of("x <!doctype a=\"> y <!-- z") == ["x y"]
+
+
 def test_blocks_know_their_path():
     block = blocks_of('<body><div class="post-body Main" id=x1><article><header><h1>T</h1></header><p>u</p></article></div>')[0]
     assert [t for t, _ in block.path] == ["body", "div", "article", "header", "h1"]

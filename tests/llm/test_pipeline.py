@@ -24,6 +24,9 @@ PROMISED = {
     "op8": "page_id bigint, url string, text string, n_chars bigint",
     "op9": "doc_id bigint, held_out boolean, score double, predicted int",
     "op10": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
+    "op11": "lang string, source string, part string, item string, value bigint, rank int",
+    "op12": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
+    "op13": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
 }
 
 
@@ -57,6 +60,17 @@ def test_near_copies_stage_keeps_one_of_each_group(spark):
     assert kept == want
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    """Names the stages work with, as columns of the table."""
+    long = " ".join(f"w{i}" for i in range(60))
+    odd = {c: F.lit(f"own {c}") for c in ("__quality", "quality", "__group", "group", "grp", "n", "kept_id", "kept_n", "score")}
+    docs = documents(spark, [(1, long + " a"), (2, "b " + long), (3, "something else"), (3, "something else")]).withColumns(odd)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SMALL)
+        assert got.columns == docs.columns, name
+        assert got.select(*[F.lit(f"own {c}") == F.col(c) for c in odd]).distinct().collect() == [(True,) * len(odd)], name
+
+
 def plain_rows(rows):
     """(id, shingles, smallest id of the group) in the order of the rows."""
     out = []

@@ -1,6 +1,7 @@
 """Exact and approximate vector search against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import hnsw, impact
@@ -99,6 +100,38 @@ def test_graph_recall_and_stored_form():
     assert [len(set(row[row >= 0])) for row in found] == [(row >= 0).sum() for row in found]
 
 
+@pytest.mark.parametrize("spread, clusters, alone", [(0.001, 20, 200), (0.01, 20, 200), (0.1, 20, 200), (0.1, 4, 800), (0.3, 40, 100)])
+def test_recall_among_clusters_and_outliers(spread, clusters, alone):
+    """The stored index as a query reads it: nine of ten neighbours, of outliers too, and none without any."""
+    draw = np.random.default_rng(7)
+    centres = draw.normal(size=(clusters, 64))
+    rows = [centres[i % clusters] + spread * draw.normal(size=64) for i in range(4000 - alone)]
+    rows = draw.permutation(np.array(rows + list(draw.normal(size=(alone, 64)))))
+    outlier = np.sort(unit(rows) @ unit(rows).T, 1)[:, -6] < 0.7
+    table = pa.table({"id": pa.array(np.arange(4000)), "vector": pa.array(list(rows), pa.list_(pa.float64()))})
+    index = hnsw._build((pa.scalar(64), pa.scalar(0)), table)
+    for asked in (np.flatnonzero(outlier), np.arange(0, 4000, 50)):
+        got = hnsw._search(5, hnsw.SEARCH_BEAM)(index, table.take(pa.array(asked)))
+        found = {}
+        for query, other in zip(got.column("query_id").to_pylist(), got.column("vec_id").to_pylist()):
+            found.setdefault(query, set()).add(other)
+        exact = unit(rows)[asked] @ unit(rows).T
+        exact[np.arange(len(asked)), asked] = -2
+        shares = [len(found[q] & set(np.argsort(-exact[n], kind="stable")[:5].tolist())) / 5 for n, q in enumerate(asked.tolist())]
+        assert np.mean(shares) >= 0.9
+
+
+def test_every_node_is_reached():
+    draw = np.random.default_rng(3)
+    rows = np.concatenate([draw.normal(size=(1, 16)) + 0.0001 * draw.normal(size=(300, 16)) for _ in range(6)])
+    graph = Graph(unit(rows))
+    reached, edge = {0}, [0]
+    while edge:
+        edge = [int(x) for x in np.unique(graph.layers[0][edge]) if x >= 0 and int(x) not in reached]
+        reached.update(edge)
+    assert len(reached) == len(rows)
+
+
 def test_graphs_of_few_nodes():
     for n in (1, 2, 3):
         found = Graph(np.eye(3)[:n]).search(np.eye(3))

@@ -27,14 +27,15 @@ ENDS = {
 #: Elements that no implied end reaches across.
 WALLS = frozenset("article aside body div footer form header html li main nav ol section table td th ul".split())
 
+#: A comment, a declaration, the name of a tag, or text; and the same where no more ``>`` comes.
+SCAN_TAIL = re.compile(r"<!--.*|([^<]+|<)", re.DOTALL)
 SCAN = re.compile(
-    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|(<[!?])|<(/?)([a-zA-Z][^\s/>]*)|([^<]+|<)",
     re.DOTALL,
 )
-TAGS = {
-    name: re.compile(rf"<(/?){name}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.IGNORECASE) for name in SKIPPED - PLAIN
-}
-ENDS_PLAIN = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in PLAIN}
+SPECIAL = re.compile("[>\"']")
+TAGS = {name: re.compile(rf"<(/?){name}(?=[\s/>])", re.IGNORECASE) for name in SKIPPED - PLAIN}
+ENDS_PLAIN = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in PLAIN}
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 PART = re.compile(r"[A-Za-z]+")
 
@@ -62,16 +63,58 @@ def names_of(attributes: str) -> tuple[str, ...]:
     return tuple(word.lower() for value in found for word in PART.findall(value))
 
 
-def skips_of(html: str, name: str) -> dict[int, int]:
+class TagEnds:
+    """Where the tags of a page end, found forward, so that unclosed tags and quotes cost no second look.
+
+    A tag ends at the first ``>`` outside quotes. What a scan without an end has passed has
+    no end for a later scan either, and is remembered by the quotes it opened.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = {c: html.rfind(c) for c in ">\"'"}
+        self.hopeless: set[int] = set()
+        self.since, self.special = 0, -1
+
+    def _next(self, at: int) -> int:
+        """The next ``>`` or quote from ``at`` on; -1 if no tag can end after it."""
+        if at > self.last[">"]:
+            return -1
+        if not self.since <= at <= self.special:
+            self.since, self.special = at, SPECIAL.search(self.html, at).start()
+        return self.special
+
+    def after(self, at: int) -> int:
+        """The position after the tag whose attributes begin at ``at``, or -1 if it has no end."""
+        opened = []
+        while (at := self._next(at)) >= 0:
+            mark = self.html[at]
+            if mark == ">":
+                return at + 1
+            if at in self.hopeless:
+                break
+            opened.append(at)
+            if at == self.last[mark]:
+                break
+            at = self.html.index(mark, at + 1) + 1
+        self.hopeless.update(opened)
+        return -1
+
+
+def skips_of(html: str, name: str, ends: TagEnds) -> dict[int, int]:
     """Where the content of every closed element of that name begins, and where the element ends."""
     skips: dict[int, int] = {}
     begun: list[int] = []
-    for tag in TAGS[name].finditer(html):
-        if not tag[1]:
-            if name != "svg" or not tag[2].endswith("/"):
-                begun.append(tag.end())
+    at = 0
+    while tag := TAGS[name].search(html, at):
+        at = ends.after(tag.end())
+        if at < 0:
+            at = tag.end()
+        elif not tag[1]:
+            if name != "svg" or html[at - 2] != "/":
+                begun.append(at)
         elif begun:
-            skips[begun.pop()] = tag.end()
+            skips[begun.pop()] = at
     return skips
 
 
@@ -132,10 +175,24 @@ def blocks_of(html: str | None) -> list[Block]:
 
     html = html or ""
     skips: dict[str, dict[int, int]] = {}
+    ends = TagEnds(html)
     anchored = at = 0
-    while match := SCAN.match(html, at):
+    while at < len(html):
+        if at > ends.last[">"]:
+            declared = name = None
+            match = SCAN_TAIL.match(html, at)
+            text = match[1]
+        else:
+            match = SCAN.match(html, at)
+            declared, end, name, text = match.groups()
         at = match.end()
-        end, name, attributes, text = match.groups()
+        if declared or name is not None:
+            # Quotes in a declaration mean nothing; a tag without an end is text.
+            stop = (html.find(">", at) + 1 or -1 if at <= ends.last[">"] else -1) if declared else ends.after(at)
+            if stop < 0:
+                name, text, at = None, "<", match.start() + 1
+            else:
+                attributes, at = "" if declared else html[at : stop - 1], stop
         if text is not None:
             pieces.append(text)
             if anchored:
@@ -148,10 +205,12 @@ def blocks_of(html: str | None) -> list[Block]:
             pieces.append(" ")
             if name in PLAIN:
                 ended = ENDS_PLAIN[name].search(html, at)
-                at = ended.end() if ended else len(html)
+                # Whatever stands in an end tag, its first > ends it.
+                stop = html.find(">", ended.end()) if ended else -1
+                at = stop + 1 if stop >= 0 else len(html)
                 continue
             if name not in skips:
-                skips[name] = skips_of(html, name)
+                skips[name] = skips_of(html, name, TagEnds(html))
             if at in skips[name]:
                 at = skips[name][at]
                 continue

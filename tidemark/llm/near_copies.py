@@ -143,8 +143,9 @@ def _confirmed(texts: DataFrame, rough: DataFrame, width: int, percent: int) ->
         "blocks",
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
     )
-    # One text stands for each class; a block meets itself and every other block of its component.
-    chosen = texts.select("row", "text").join(placed, "row").select("class", "text", "root", "blocks", "block")
+    # One text stands for each class, also where its row is repeated; a block meets itself and
+    # every other block of its component.
+    chosen = texts.select("row", "text").join(placed, "row").select("class", "text", "root", "blocks", "block").distinct()
     sets = chosen.mapInArrow(_sets(width), "class binary, shingles binary, root binary, blocks int, block int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     met = sets.select("class", "shingles", "root", "block", other).select(

@@ -23,17 +23,19 @@ _encoders: dict[tuple[str, str], Encoder] = {}
 
 
 class Encoder:
-    """Token ids as ``tokenizers`` gives them for a byte-level BPE file, without special tokens.
+    """Token ids as ``tokenizers`` gives them for a byte-level BPE file when it adds none of its own.
 
     ``tiktoken`` applies the same merges, from the file of ranks, several times faster; the
-    tests compare the two. Texts with characters on which their Unicode tables may differ
-    go to ``tokenizers`` itself. Strings of special tokens are ordinary text.
+    tests compare the two. Texts with characters on which their Unicode tables may differ, or
+    with the string of an added token, go to ``tokenizers`` itself.
     """
 
     def __init__(self, vocabulary: str, ranks: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.exact = Tokenizer.from_file(vocabulary)
-        self.exact.encode_special_tokens = True
+        self.exact.no_truncation()
+        self.exact.no_padding()
+        self.added = [token.content for token in self.exact.get_added_tokens_decoder().values()]
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(
@@ -52,7 +54,7 @@ class Encoder:
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        if UNSURE.search(text):
+        if UNSURE.search(text) or any(token in text for token in self.added):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32, copy=False)
 

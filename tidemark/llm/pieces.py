@@ -67,7 +67,8 @@ class PieceModel:
         Forward, the best score of every beginning of the text is found. Backward from the
         end, partial segmentations are extended in order of their score plus that of the
         best beginning: exact, so each one finished is the next best. Equal scores come in
-        the order in which they are found, which depends on the text alone.
+        the order in which they are finished, which depends on the text alone: among equal
+        partial segmentations the one that has least left goes on, then the latest.
         """
         size, get, longest = len(text), self.scores.get, self.longest
         upto = [0.0] + [-1e300] * size
@@ -85,10 +86,10 @@ class PieceModel:
                 if here + found[1] > upto[j]:
                     upto[j] = here + found[1]
         out: list[tuple[float, tuple[int, ...]]] = []
-        heap: list[tuple] = [(-upto[size], 0, size, 0.0, None)]
+        heap: list[tuple] = [(-upto[size], size, 0, 0.0, None)]
         made = 0
         while heap and len(out) < n:
-            _, _, at, score, rest = heappop(heap)
+            _, at, _, score, rest = heappop(heap)
             if not at:
                 ids: list[int] = []
                 while rest:
@@ -100,9 +101,10 @@ class PieceModel:
                 out.append((score, tuple(ids)))
                 continue
             for start, piece, value in edges[at]:
-                made += 1
+                made -= 1
                 total = score + value
-                heappush(heap, (-total - upto[start], made, start, total, (piece, rest)))
+                # Among equals the one nearest to the beginning goes on, so ties are not all followed at once.
+                heappush(heap, (-total - upto[start], start, made, total, (piece, rest)))
         return out
 
     def all_best(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -182,7 +182,8 @@ def learned(
     drawn = drawn.withColumn("at", F.row_number().over(lowest)).where(F.col("at") <= 2 * sample)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = texts.where(F.length("text").between(1, longest))
-    found = texts.join(F.broadcast(drawn), "id").dropDuplicates(["id"])
+    # Of several texts of one id the smallest counts, whatever the order of the rows.
+    found = texts.join(F.broadcast(drawn), "id").groupBy("id", "label", "at").agg(F.min("text").alias("text"))
     turn = Window.partitionBy("label").orderBy("at")
     rows = found.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= sample)
     rows = sorted(rows.select("label", "turn", "text").collect(), key=lambda r: (r["label"], r["turn"]))

@@ -17,8 +17,15 @@ GROUP_BYTES = 4 << 20
 BUCKET_BYTES = 32 << 20
 
 
-def grouped(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
-    """``docs`` with a column ``__group``, and into how many buckets its groups send.
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as make it no column of ``docs``."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
+def grouped(docs: DataFrame, text_col: str, group: str) -> tuple[DataFrame, int]:
+    """``docs`` with a column ``group``, and into how many buckets its groups send.
 
     Groups grow in number with the text, not in size, and a row's group follows from its
     content, so a task that runs again sees the same rows. Every group sends a row to
@@ -30,7 +37,7 @@ def grouped(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
     groups = max(2 * partitions, -(-total // GROUP_BYTES))
     buckets = max(partitions, -(-total // BUCKET_BYTES))
     key = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map"))), F.lit(groups))
-    return docs.withColumn("__group", key.cast("long")), buckets
+    return docs.withColumn(group, key.cast("long")), buckets
 
 
 def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35) -> DataFrame:
@@ -47,10 +54,10 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", window: int = 35) ->
     what it sees to repeat within itself. Equal windows agree in 64 bits and the bucket.
 
     Null text has no words and no spans. Repeated rows are documents of their own and so
-    cover each other. Other columns stay as they are; ``n_words``, ``spans`` and
-    ``__group`` replace columns with these names. An empty table gives no rows.
+    cover each other. Other columns stay as they are; ``n_words`` and ``spans`` replace
+    columns with these names. An empty table gives no rows.
     """
-    docs = docs.drop("n_words", "spans", "__group")
+    docs = docs.drop("n_words", "spans")
     columns = docs.columns
 
     def made(table: pa.Table, words: np.ndarray, spans: list[list[dict]]) -> pa.Table:
@@ -68,10 +75,11 @@ def _kinds(docs: DataFrame) -> str:
 
 def _with_spans(docs: DataFrame, text_col: str, window: int, made: Callable, schema: str) -> DataFrame:
     """What ``made`` gives for each group of documents, their numbers of words and their spans."""
-    dealt, buckets = grouped(docs, text_col)
-    sent = dealt.groupBy("__group").applyInArrow(_send(text_col, window, buckets), "bucket long, grp long, keys binary")
-    answers = sent.groupBy("bucket").applyInArrow(_count, "__group long, bucket long, bits binary")
-    both = dealt.groupBy("__group").cogroup(answers.groupBy("__group"))
+    group = free_name(docs, "group")
+    dealt, buckets = grouped(docs, text_col, group)
+    sent = dealt.groupBy(group).applyInArrow(_send(text_col, window, buckets), "bucket long, grp long, keys binary")
+    answers = sent.groupBy("bucket").applyInArrow(_count, "grp long, bucket long, bits binary")
+    both = dealt.groupBy(group).cogroup(answers.groupBy("grp"))
     return both.applyInArrow(_cover(text_col, window, buckets, made), schema)
 
 
@@ -127,7 +135,7 @@ def _count(key: tuple, table: pa.Table) -> pa.Table:
             out.append((group, np.packbits(hit).tobytes()))
     return pa.table(
         {
-            "__group": pa.array([x[0] for x in out], pa.int64()),
+            "grp": pa.array([x[0] for x in out], pa.int64()),
             "bucket": pa.array([key[0].as_py()] * len(out), pa.int64()),
             "bits": pa.array([x[1] for x in out], pa.binary()),
         }
@@ -195,7 +203,6 @@ def without_repeats(docs: DataFrame, text_col: str = "text", window: int = 35) -
     Of a text with spans, what lies before, between and after them is kept as it stands,
     white space included, and the pieces are joined by a newline. See ``repeated_spans``.
     """
-    docs = docs.drop("__group")
     columns = docs.columns
 
     def made(table: pa.Table, words: np.ndarray, spans: list[list[dict]]) -> pa.Table:
