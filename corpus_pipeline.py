@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.near_copies import near_copy_groups
 from tidemark.llm.packing import packed
 from tidemark.llm.quality import learned, scored
-from tidemark.llm.repeats import without_repeats
+from tidemark.llm.repeats import free_name, without_repeats
 from tidemark.llm.ship import ship
 from tidemark.session import written
 
@@ -29,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts are scored like others. Repeated rows are judged alike.
     """
     labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet")
-    score = "__quality"
+    score = free_name(docs, "quality")
     kept = scored(docs, learned(docs, labels), score_col=score).where(F.col(score) >= LEAST_QUALITY)
     return kept.select(*docs.columns)
 
@@ -46,11 +46,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     low = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash", "n"))
     chosen = rows.where("group_id is not null").groupBy("group_id").agg(low.alias("low")).select("low.*").drop("none")
     wordless = rows.where("group_id is null").select("doc_id", "row_hash", F.lit(1).cast("long").alias("n"))
-    chosen = chosen.union(wordless).select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__row"), F.col("n").alias("__n"))
-    same = docs["doc_id"].eqNullSafe(chosen["__id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == chosen["__row"])
+    name, row, times = (free_name(docs, c) for c in ("kept_id", "kept_row", "kept_n"))
+    chosen = chosen.union(wordless).toDF(name, row, times)
+    same = docs["doc_id"].eqNullSafe(chosen[name]) & (F.xxhash64(docs["doc_id"], docs["text"]) == chosen[row])
     kept = docs.join(chosen, same)
-    once = kept.where(chosen["__n"] == 1).select(*(docs[c] for c in docs.columns))
-    repeated = kept.where(chosen["__n"] > 1).select(*(docs[c] for c in docs.columns)).dropDuplicates(["doc_id", "text"])
+    once = kept.where(chosen[times] == 1).select(*(docs[c] for c in docs.columns))
+    repeated = kept.where(chosen[times] > 1).select(*(docs[c] for c in docs.columns)).dropDuplicates(["doc_id", "text"])
     return once.union(repeated)
 
 
