@@ -427,6 +427,52 @@ def test_two_inserts_into_one_sink(spark):
     assert rows(sinks.union_inserts([first, second])) == [(1, "Hi"), (2, "Hello"), (3, "Hi"), (4, "Hello")]
 
 
+def files_of(folder):
+    return {str(f.relative_to(folder)): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_a_batch_rewrites_the_partitions_it_touches(spark, tmp_path):
+    """Rows that move between partitions, come late, go, or have no partition; the same batch again changes nothing."""
+    spec = TableSpec("p", "id int, price int, dd string", pk=("id", "dd"), partition_by=("dd",))
+    log = [
+        [("+I", 1, 1, 10, "a"), ("+I", 2, 2, 20, "a"), ("+I", 3, 3, 30, "b"), ("+I", 4, 4, 40, "c"), ("+I", 5, 5, 50, None)],
+        [("-U", 6, 1, 10, "a"), ("+U", 6, 1, 11, "b"), ("-D", 7, 3, 30, "b")],
+        [("+U", 0, 1, 9, "b"), ("-U", 8, 5, 50, None), ("+U", 8, 5, 51, "a")],
+    ]
+    batches = [spark.createDataFrame(rows_, "op string, seq bigint, id int, price int, dd string") for rows_ in log]
+    folder = tmp_path / "table"
+    seen = []
+    for batch in batches:
+        sinks.merge_partitions(batch, spec, str(folder))
+        seen.append(files_of(folder))
+    want = [(1, 11, "b"), (2, 20, "a"), (4, 40, "c"), (5, 51, "a")]
+    assert rows(sinks.read_merged(spark, spec, str(folder))) == want
+    whole = merge.current_state(batches[0].unionByName(batches[1]).unionByName(batches[2]), spec)
+    assert rows(whole.select("id", "price", "dd")) == want
+    kept = {f: at for f, at in seen[0].items() if f.startswith("dd=c")}
+    assert kept and all({f: at for f, at in after.items() if f.startswith("dd=c")} == kept for after in seen)
+    nowhere = {f: at for f, at in seen[0].items() if "HIVE_DEFAULT" in f}
+    assert nowhere and {f: at for f, at in seen[1].items() if "HIVE_DEFAULT" in f} == nowhere
+    sinks.merge_partitions(batches[1], spec, str(folder))
+    assert rows(sinks.read_merged(spark, spec, str(folder))) == want
+
+
+def test_a_stream_begins_with_what_the_table_holds(spark):
+    """Contents once, then each later change once, also after a restart."""
+    folder = scratch_dir(spark, "contents")
+    log = history(spark).select("op", "commit_ts", "seq", *LATEST.columns)
+    bounds = [150, 151, 300, 400]
+    for start, stop in zip([0, *bounds], bounds):
+        log.filter((F.col("seq") >= start) & (F.col("seq") < stop)).write.mode("append").parquet(f"{folder}/log")
+        stream = files.read_with_contents(spark, LATEST, f"{folder}/log", f"{folder}/start")
+        sinks.write_output(stream, f"{folder}/out", checkpoint=f"{folder}/checkpoint").awaitTermination()
+    out = spark.read.parquet(f"{folder}/out")
+    first = merge.current_state(log.filter("seq < 150"), LATEST)
+    assert rows(out.filter("seq < 150").select(*LATEST.columns)) == rows(first)
+    assert rows(out.filter("seq >= 150").select("seq", "op")) == rows(log.filter("seq >= 150").select("seq", "op"))
+    assert rows(merge.current_state(out, LATEST)) == rows(merge.current_state(log, LATEST))
+
+
 def test_one_pass_feeds_every_sink_whose_condition_holds(spark):
     folder = scratch_dir(spark, "split")
     source = spark.range(10).withColumn("half", F.when(F.col("id") != 7, F.col("id") % 2))

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from tidemark.specs import TableSpec
+from tidemark.functions.rowkind import ADDS, RETRACTS
+from tidemark.operators.merge import live, merge_latest
+from tidemark.session import path_exists
+from tidemark.specs import TableSpec, table_schema
 
 SAVE_MODES = ("append", "overwrite", "ignore", "error")
 
@@ -53,6 +59,39 @@ def overwrite_table(df: DataFrame, spec: TableSpec, path: str, *, touched_only:
     writer.parquet(path)
 
 
+def merge_partitions(changes: DataFrame, spec: TableSpec, path: str) -> None:
+    """Merges a batch of changes into a stored last-wins table, rewriting the partitions it touches only.
+
+    A row that moves between partitions is retracted in the old one by its old image and
+    added in the new one, so both are touched. What is stored has ``op`` and ``seq`` (see
+    ``merge_latest``): a removed row stays as a removal, so changes may come in any order, a
+    batch that comes again changes nothing, and a partition never loses its folder.
+    ``read_merged`` gives the rows.
+    """
+    spark = changes.sparkSession
+    keys = list(spec.partition_by)
+    rows = changes.filter(F.col("op").isin(*ADDS, *RETRACTS)).select("op", "seq", *spec.columns)
+    stored = None
+    if path_exists(spark, path):
+        table = spark.read.schema(StructType([*table_schema("op string, seq bigint").fields, *spec.schema.fields])).parquet(path)
+        touched = rows.select(*keys).distinct()
+        unnamed = functools.reduce(operator.or_, [F.col(c).isNull() for c in keys])
+        same = functools.reduce(operator.and_, [table[c].eqNullSafe(touched[c]) for c in keys])
+        # Equal values prune the partitions read; those without a value are compared apart.
+        stored = table.join(touched, keys, "left_semi").unionByName(
+            table.filter(unnamed).join(touched.filter(unnamed), same, "left_semi")
+        )
+    merged = merge_latest(stored, rows, spec).select("op", "seq", *spec.columns)
+    writer = merged.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(path)
+
+
+def read_merged(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
+    """The rows of a table kept by ``merge_partitions``."""
+    schema = StructType([*table_schema("op string, seq bigint").fields, *spec.schema.fields])
+    return live(spark.read.schema(schema).parquet(path), spec)
+
+
 def write_output(
     df: DataFrame, path: str, *, mode: str = "append", checkpoint: str | None = None, **trigger
 ) -> StreamingQuery | None:

@@ -142,6 +142,7 @@ life AS (SELECT *, kind <> 'd' AS alive, coalesce(o_kind <> 'd', FALSE) AS o_ali
 SELECT CASE WHEN o_alive THEN '+U' ELSE '+I' END AS op, seq, user_id, product_id, price, hh FROM life WHERE alive
 UNION ALL SELECT CASE WHEN alive THEN '-U' ELSE '-D' END, seq, user_id, o_product_id, o_price, o_hh FROM life WHERE o_alive"""
     sql["state_latest"] = _with(_ENT, _entity_state()) + "SELECT * FROM state"
+    sql["state_followed"] = sql["state_latest"]
     sql["changes_passthrough"] = _with(_ORD) + """
 SELECT '+I' AS op, order_id AS seq, order_id, product_id, customer_id, date_trunc('millisecond', ts) AS ts,
        strftime(ts, '%Y-%m-%d') AS dd, CAST(hour(ts) AS INTEGER) AS hh FROM ord"""
@@ -333,6 +334,9 @@ WHERE s.total IS DISTINCT FROM f.total OR s.hour_start IS NULL"""
   FROM found f GROUP BY f.customer_id),
 named AS (SELECT m.*, c.customer_name FROM moved m LEFT JOIN latest_cus c ON c.customer_id = m.customer_id)"""
     sql["layered_reorders_dwd"] = millis.rstrip() + ",\n" + moved + "\nSELECT * FROM named"
+    sql["layered_orders"] = millis.rstrip() + ",\n" + moved + """
+SELECT order_id, product_id, customer_id, purchase_timestamp, strftime(purchase_timestamp, '%Y-%m-%d') AS dd,
+       CAST(hour(purchase_timestamp) AS INTEGER) AS hh FROM moved"""
     sql["layered_reorders_dws"] = millis.rstrip() + ",\n" + moved + """
 SELECT product_id, CAST(hour(purchase_timestamp) AS BIGINT) AS hh, CAST(sum(sale_price) AS BIGINT) AS sales,
        count(*) AS live_rows FROM named GROUP BY ALL"""

@@ -159,6 +159,19 @@ def state_latest(spark, sf_dir):
     return merge.current_state(tables.entity_changes(spark, sf_dir), ENTITY)
 
 
+@query
+def state_followed(spark, sf_dir):
+    """The entity table from a stream that begins halfway: what it holds then, and what changes after."""
+    folder = scratch_dir(spark, "followed")
+    middle = tables.events(spark, sf_dir).agg((F.max("event_id") / 2).cast("bigint")).first()[0]
+    log = tables.entity_changes(spark, sf_dir).select("op", "commit_ts", "seq", *ENTITY.columns)
+    for part in (F.col("seq") <= middle, F.col("seq") > middle):
+        log.filter(part).write.mode("append").parquet(f"{folder}/log")
+        stream = files.read_with_contents(spark, ENTITY, f"{folder}/log", f"{folder}/start")
+        sinks.write_output(stream, f"{folder}/out", checkpoint=f"{folder}/checkpoint").awaitTermination()
+    return merge.current_state(spark.read.parquet(f"{folder}/out"), ENTITY)
+
+
 @query
 def changes_passthrough(spark, sf_dir):
     folder = scratch_dir(spark, "feed")
@@ -808,6 +821,13 @@ def layered_reorders_dwd(spark, sf_dir):
     return layers.enriched_table(last)
 
 
+@query
+def layered_orders(spark, sf_dir):
+    """The partitioned order table behind them, each order under the day and hour it has now."""
+    layers, _ = _layers(spark, sf_dir, tables.reorder_records)
+    return layers.orders_table().withColumn("purchase_timestamp", F.col("purchase_timestamp").cast("timestamp_ntz"))
+
+
 @query
 def layered_reorders_dws(spark, sf_dir):
     """Their sales, after all retractions; keys no order is left in are not shown."""

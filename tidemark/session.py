@@ -57,6 +57,12 @@ def clear_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(root, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever file system the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
 def _scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:

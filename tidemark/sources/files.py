@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.rowkind import INSERT
 from tidemark.functions.temporal import from_epoch_millis
+from tidemark.operators.merge import fold_latest
+from tidemark.session import path_exists
 from tidemark.specs import TableSpec, table_schema
 
 
@@ -32,6 +34,31 @@ def read_changelog(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame
     return spec.with_computed(spark.read.schema(changelog_schema(spec)).parquet(path))
 
 
+def read_with_contents(
+    spark: SparkSession, spec: TableSpec, path: str, start: str, *, position: str = "seq"
+) -> DataFrame:
+    """A last-wins table as a stream: the rows it held when the stream first began, then every later change.
+
+    The rows are folded once and written to the folder ``start``, with the ``position`` up to
+    which they go; changes after it follow from the changelog at ``path``, without gap or
+    overlap. A stream that is started again with the same ``start`` goes on from there. Once a
+    position has been read none before it may be written. A row of the start is an insert
+    with the position of its last change.
+    """
+    log = spark.read.schema(changelog_schema(spec)).parquet(path)
+    if not path_exists(spark, f"{start}/upto/_SUCCESS"):
+        upto = log.agg(F.coalesce(F.max(position), F.lit(-1)).cast("bigint").alias("upto")).first()["upto"]
+        held = fold_latest(log.filter(F.col(position) <= upto), spec, keep=("commit_ts", "seq"))
+        rows = held.withColumn("op", F.lit(INSERT)).select("op", "commit_ts", "seq", *spec.columns)
+        rows.write.mode("overwrite").parquet(f"{start}/contents")
+        spark.range(1).select(F.lit(upto).alias("upto")).write.mode("overwrite").parquet(f"{start}/upto")
+    upto = spark.read.schema("upto bigint").parquet(f"{start}/upto").first()["upto"]
+    schema = changelog_schema(spec)
+    contents = spark.readStream.schema(schema).parquet(f"{start}/contents")
+    later = spark.readStream.schema(schema).parquet(path).filter(F.col(position) > upto)
+    return spec.with_computed(contents.unionByName(later))
+
+
 def read_bootstrap(spark: SparkSession, spec: TableSpec, path: str, fmt: str = "csv") -> DataFrame:
     """Initial rows of a table as inserts older than any change.
 

@@ -13,6 +13,7 @@ from tidemark.functions.rowkind import adds
 from tidemark.functions.temporal import interval_micros
 from tidemark.operators.changes import expand_pairs
 from tidemark.operators.merge import LIVE, fold_aggregation
+from tidemark.operators.sinks import merge_partitions, read_merged
 from tidemark.plans.retail import (
     COMMIT_INTERVAL,
     MAX_RETRIES,
@@ -21,7 +22,9 @@ from tidemark.plans.retail import (
     RETRY_DELAY,
     RetailSpecs,
     sales_changes,
+    with_hour_partition,
 )
+from tidemark.session import path_exists
 from tidemark.sources.envelope import fan_out, fan_out_schema, routed_rows, tag_events
 from tidemark.specs import table_schema
 from tidemark.streaming.states import from_json, lookup_when_due, meetings, merged_pairs
@@ -34,8 +37,8 @@ ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 class RetailLayers:
     """Raw, enriched and summed tables under one folder.
 
-    ``process`` is the body of ``foreachBatch``. It writes the changes of a batch by table, then
-    lets three streaming queries take what is new, from checkpoints of their own:
+    ``process`` is the body of ``foreachBatch``. It writes the changes of a batch by table, merges
+    the orders into their partitions, then lets three streaming queries take what is new, from checkpoints of their own:
 
     * *lookup*: orders wait in keyed state for their product, until it comes or a timer ends
       the retries.
@@ -81,6 +84,7 @@ class RetailLayers:
         """Takes the events of one batch (text column ``value``) through all layers."""
         self.version = version
         self._ingest(events, version)
+        merge_partitions(with_hour_partition(self.raw("orders", version)), self.specs.orders, f"{self.path}/orders")
         with self._state_settings():
             self._advance("lookup", self._look_up(), "append")
             self._advance("enriched", self._enrich(), "append")
@@ -88,7 +92,7 @@ class RetailLayers:
 
     def _ingest(self, events: DataFrame, version: int) -> None:
         """All tables' changes and what is refused, in one pass and one write, unless the batch was written before."""
-        if self._exists(f"{self.path}/clock/v={version}/_SUCCESS"):
+        if path_exists(self.spark, f"{self.path}/clock/v={version}/_SUCCESS"):
             return
         seen = Observation()
         tagged = tag_events(events).observe(seen, F.max("ts_ms").alias("ms"))
@@ -165,6 +169,10 @@ class RetailLayers:
         """The changelog of one source table in one batch."""
         return routed_rows(self._raw(version), table)
 
+    def orders_table(self) -> DataFrame:
+        """The orders as they are, kept by day and hour of purchase: a batch rewrites the partitions it touches."""
+        return read_merged(self.spark, self.specs.orders, f"{self.path}/orders")
+
     def quarantine(self, version: int) -> DataFrame:
         """The records of one batch that no table takes, with the reason."""
         return self._raw(version).filter("routed is null").select("value", "reason")
@@ -214,10 +222,6 @@ class RetailLayers:
         last = rows.groupBy(*pk).agg(F.max_by(F.struct(*values), F.struct("v", "b")).alias("_last"))
         return last.select(*pk, "_last.*")
 
-    def _exists(self, file: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(file)
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
-
 
 def _replace(rows: DataFrame, folder: str, *partition_by: str) -> None:
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
