@@ -151,6 +151,27 @@ def test_articles_of_the_given_pages_and_of_other_templates(spark, labeller):
         assert right >= least * total
 
 
+def test_articles_without_any_telling_name(spark, labeller):
+    """Class names and sectioning elements hidden, on the given pages and in templates not learned from."""
+    rows = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").orderBy("page_id").select("html").tail(200)]
+    draw = np.random.default_rng(321)
+    paths, words = web.PathBuckets(), web.WordBuckets()
+    for change in (False, True):
+        found = articles = right = total = 0
+        for i, html in enumerate(rows):
+            donor = [b.text for b in blocks_of(rows[i - 1]) if len(b.text) < 400] or ["x"]
+            blocks = blocks_of(web.restyled(html, donor, draw) if change else html)
+            if not blocks:
+                continue
+            want = np.array([web.taught(b) for b in blocks])
+            bare = web.hidden(blocks)
+            assert not any(names or tag in web.SECTIONS for b in bare for tag, names in b.path)
+            got = labeller.labels([web.Described(bare, paths, words)])[0]
+            found, articles = found + (got & (want == 1)).sum(), articles + want.sum()
+            right, total = right + (got == want).sum(), total + len(want)
+        assert found >= 0.95 * articles and right >= 0.95 * total
+
+
 @pytest.mark.parametrize("words", [1, 300])  # 300: pages of more than 60,000 characters
 def test_long_pages_are_learned_from(spark, words):
     says = lambda i, n: " ".join(f"w{(i * 7 + j) % 50}" for j in range(n)) + "."

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from dataclasses import replace
 from html import escape
 
 import numpy as np
@@ -32,6 +33,8 @@ share social follow comment comments reply replies disqus discussion respond coo
 modal overlay newsletter subscribe signup login search form pagination pager skip toolbar disclaimer legal""".split()
 
 _MAIN, _OTHER = frozenset(MAIN_NAMES), frozenset(OTHER_NAMES)
+#: Elements that say what a part of a page is.
+SECTIONS = frozenset((*MAIN_TAGS, *OTHER_TAGS, "section"))
 
 
 def taught(block: Block) -> int:
@@ -52,6 +55,15 @@ def taught(block: Block) -> int:
     return int(inside)
 
 
+def hidden(blocks: list[Block]) -> list[Block]:
+    """The blocks as a page without class names and sectioning elements would have them: all of these are ``div``."""
+
+    def plain(path: tuple) -> tuple:
+        return tuple(dict.fromkeys(("div" if tag in SECTIONS else tag, ()) for tag, _ in path))
+
+    return [replace(b, path=plain(b.path), inner="div" if b.inner in SECTIONS else b.inner) for b in blocks]
+
+
 class WordBuckets(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > 1 << 18:
@@ -350,7 +362,9 @@ def learned(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> B
     """A labeller fitted to ``sample`` distinct pages at most, those that hash lowest, as a teacher labels their blocks.
 
     The tables name no true labels, so the teacher goes by the elements and class names
-    that web pages commonly use, each page as it is and in two other templates. Only
+    that web pages commonly use, each page as it is and in two other templates. What the
+    teacher goes by is hidden from the network in two more copies, so that it also learns
+    an article by its words, sizes, links and what stands around it. Only
     pages without any block are not drawn. Of more than ``MOST_BLOCKS`` blocks, the first,
     the last and one other stretch of that many are learned from; of a page of more than
     ``MOST_CHARS`` characters, the other templates hold the article blocks of these. If no
@@ -367,15 +381,22 @@ def learned(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> B
         if len(rows) >= sample or one_in == 1:
             break
         one_in = max(1, one_in // 8)
+    return fitted(rows)
+
+
+def fitted(rows: list) -> BlockLabeller:
+    """A labeller fitted to these pages, each with ``at``, and ``html`` or ``parts`` (see ``_usable``)."""
     draw = np.random.default_rng(9)
     whole: list[str] = []
     paths, words = PathBuckets(), WordBuckets()
     described: list[Described] = []
     labels: list[np.ndarray] = []
 
-    def learn(blocks: list[Block], numbers: np.ndarray) -> None:
-        described.append(Described(blocks, paths, words, numbers))
-        labels.append(np.array([taught(b) for b in blocks], np.float32))
+    def learn(blocks: list[Block], numbers: np.ndarray, bare: bool) -> None:
+        label = np.array([taught(b) for b in blocks], np.float32)
+        for shown in (blocks, hidden(blocks)) if bare else (blocks,):
+            described.append(Described(shown, paths, words, numbers))
+            labels.append(label)
 
     parts: list[list[tuple[list[Block], np.ndarray]]] = []
     for row in rows:
@@ -391,15 +412,15 @@ def learned(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> B
     sentences = [[b.text for b in blocks_of(html) if len(b.text) < 400] or ["x"] for html in whole]
     for i, html in enumerate(whole):
         for blocks, numbers in parts[i]:
-            learn(blocks, numbers)
+            learn(blocks, numbers, True)
         donor = sentences[(i + 1) % len(whole)]
         styles = [html] if not parts[i] else []
         if not parts[i] or html != "<article></article>":
             styles += [restyled(html, donor, draw), restyled(html, donor, draw)]
-        for blocks in map(blocks_of, styles):
+        for style, blocks in enumerate(map(blocks_of, styles)):
             numbers = numbers_of(blocks) if blocks else None
             for x in stretches(len(blocks), rows[i]["at"]) if blocks else ():
-                learn(blocks[x : x + MOST_BLOCKS], numbers[x : x + MOST_BLOCKS])
+                learn(blocks[x : x + MOST_BLOCKS], numbers[x : x + MOST_BLOCKS], style < 2)
     return BlockLabeller().fit(described, labels)
 
 
