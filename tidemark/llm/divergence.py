@@ -78,7 +78,7 @@ class _Unit:
         return {
             "lang": lang,
             "sources": self.sources,
-            "terms": b"".join(terms.to_pylist()),
+            "terms": terms.buffers()[2].to_pybytes()[: int(ends[-1]) if len(ends) else 0] if len(terms) else b"",
             "ends": _planes(ends),
             **{name: _planes(values) for name, values in columns.items()},
         }
@@ -208,7 +208,8 @@ def frequent_terms(units: DataFrame, least: int) -> tuple[DataFrame, int]:
     since, width = 0, FIRST
     while True:
         counts = written(prefix_counts(_told(units, dead), width, since), "prefix-counts")
-        sums = written(counts.groupBy("lang", "prefix").agg(F.sum("n").alias("n")), "prefixes")
+        met = counts.select("lang", "prefix", "n").repartition("lang", "prefix")
+        sums = written(met.groupBy("lang", "prefix").agg(F.sum("n").alias("n")), "prefixes")
         rare = sums.where(F.col("n") < least).select("lang", "prefix")
         fallen = counts.where(F.col("n") < least).join(rare, ["lang", "prefix"], "left_semi")
         fallen = fallen.select("unit", (F.shiftleft("first", 32) + F.col("last")).alias("range"))
@@ -254,13 +255,17 @@ def term_counts(units: DataFrame) -> DataFrame:
 
     columns = units.select("lang", "sources", "terms", "ends", "doc", "term", "n", "dead")
     rows = columns.mapInArrow(run, "lang string, source string, term string, n long")
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    # A unit names each of these once, so there is little to combine before the shuffle.
+    keys = ("lang", "source", "term")
+    return rows.repartition(*keys).groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
 def share(n: str, total: str, kept: str, per: int = 1_000_000_000, prior: int = 5):
-    """One and the whole part of ``per`` times a smoothed share, in exact arithmetic."""
+    """One and the whole part of ``per`` times a smoothed share, in exact arithmetic: decimals where 64 bits could overflow."""
     top = f"cast({per} as decimal(38,0)) * (cast({n} as decimal(38,0)) + {prior})"
-    return F.expr(f"1 + ({top}) div (cast({total} as decimal(38,0)) + {prior} * cast({kept} as decimal(38,0)))")
+    wide = F.expr(f"1 + ({top}) div (cast({total} as decimal(38,0)) + {prior} * cast({kept} as decimal(38,0)))")
+    narrow = F.expr(f"1 + ({per}L * (cast({n} as bigint) + {prior})) div ({total} + {prior} * {kept})")
+    return F.when(F.expr(f"cast({n} as bigint)") < (1 << 62) // per, narrow).otherwise(wide)
 
 
 def source_distances(counts: DataFrame, groups: DataFrame, entries: int) -> DataFrame:
