@@ -290,6 +290,30 @@ def test_layers_run_at_a_commit_interval(spark):
     assert enriched_rows(layers.enriched_table(0)) == BASE
 
 
+def test_state_lies_in_the_state_store_and_outlives_the_job(spark):
+    """Each batch by a job of its own, as after a crash; a batch that comes again moves nothing."""
+    shop = busy_shop()
+    shop.beat(100_000)
+    folder = scratch_dir(spark, "restarted")
+    cuts = [-1, 130, 320, 200_000]
+    parts = [[(v,) for t, v in shop.events if low < t <= high] for low, high in zip(cuts, cuts[1:])]
+    for version, again in ((0, False), (1, False), (1, True), (2, False), (2, True)):
+        before = enriched_rows(RetailLayers(spark, folder, SPECS).enriched_table(version)) if again else None
+        RetailLayers(spark, folder, SPECS).process(spark.createDataFrame(parts[version], "value string"), version)
+        if again:
+            assert enriched_rows(RetailLayers(spark, folder, SPECS).enriched_table(version)) == before
+    layers = RetailLayers(spark, folder, SPECS)
+    assert (enriched_rows(layers.enriched_table(2)), sales_rows(layers.sales_table(2).filter("live_rows > 0"))) == batch(spark, shop)
+    current = current_state(changelogs(spark, shop)["orders"], SPECS.orders)
+    assert sorted(map(tuple, layers.orders_table().collect())) == sorted(map(tuple, current.select(*SPECS.orders.columns).collect()))
+    operators = {
+        r["operatorName"]
+        for name in ("lookup", "enriched", "sales")
+        for r in spark.read.format("state-metadata").load(f"{folder}/checkpoints/{name}").collect()
+    }
+    assert operators == {"applyInPandasWithState", "symmetricHashJoin", "stateStoreSave"}
+
+
 def test_the_clock_does_not_run_back(spark):
     shop = scenario.Shop()
     shop.put(0, "orders", "1", "1", "1")

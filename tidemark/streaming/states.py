@@ -1,8 +1,9 @@
 """Stateful streaming operators: lookups that wait for a timer, and merged rows with their old images.
 
-Both are functions for ``applyInPandasWithState``. Rows travel as JSON objects, so that ids,
-numbers and times keep their exact values and nulls stay nulls whatever the columns. The
-functions hold no reference to this package: Spark carries them to the workers whole.
+Both are functions for ``applyInPandasWithState``. Rows travel as JSON objects, so that whole
+numbers and times keep their exact values and nulls stay nulls whatever the columns; numbers
+with a fraction travel as doubles. The functions hold no reference to this package: Spark
+carries them to the workers whole.
 """
 
 from __future__ import annotations
@@ -16,18 +17,19 @@ from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions.rowkind import UPDATE_BEFORE, adds
 from tidemark.functions.temporal import micros
+from tidemark.sources.envelope import TIMESTAMP_TEXT
 from tidemark.specs import TableSpec, table_schema
 
-#: How times without zone are written in JSON.
-_NTZ = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+#: How times are written in JSON, to the microsecond.
+_TIMES = {"timestampFormat": TIMESTAMP_TEXT, "timestampNTZFormat": TIMESTAMP_TEXT.removesuffix("XXX")}
 
 
 def as_json(columns: list[str] | tuple[str, ...]) -> Column:
-    return F.to_json(F.struct(*columns), _NTZ)
+    return F.to_json(F.struct(*columns), _TIMES)
 
 
 def from_json(column: str, schema: StructType) -> Column:
-    return F.from_json(column, schema, _NTZ)
+    return F.from_json(column, schema, _TIMES)
 
 
 def lookup_when_due(
