@@ -1,8 +1,11 @@
 """The shop scenarios: one batch, and the same events cut into micro-batches."""
 
+import random
+
 import pytest
 import scenario
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark import scratch_dir
 from tidemark.operators.aggregates import customer_total, hourly_sales
@@ -12,6 +15,7 @@ from tidemark.operators.travel import changes_until, snapshot_as_of
 from tidemark.plans.retail import enriched_orders, product_sales, retail_specs, with_hour_partition
 from tidemark.sources.envelope import route_changes
 from tidemark.streaming.layered import RetailLayers, start_layers
+from tidemark.streaming.states import change_schema, merged_pairs
 
 SPECS = retail_specs()
 
@@ -321,3 +325,62 @@ def test_the_clock_does_not_run_back(spark):
     shop.beat(1)
     order, late, early = shop.events
     assert in_batches(spark, [late], [order], [early]) == {"1": ("1", "1", None, None, None)}
+
+
+def test_orders_are_merged_without_a_python_state_each(spark):
+    """A group of Python rows per order and batch made the layered job slow."""
+    shop = scenario.with_customer()
+    layers, _ = streamed(spark, shop, ())
+    operators = [r["operatorName"] for r in spark.read.format("state-metadata").load(f"{layers.path}/checkpoints/enriched").collect()]
+    assert operators == ["stateStoreSave"]
+
+
+def merged_by_hand(changes, newest):
+    """Column by column, and meeting by meeting, of the changes up to a batch."""
+    changes = [c for c in changes if c["v"] <= newest]
+    row = {}
+    for column in ("product_id", "sale_price"):
+        held = [(c["seq"], c["image"][column]) for c in changes if c["kind"] == "half" and c["image"][column] is not None]
+        row[column] = max(held)[1] if held else None
+    starts = sorted({c["seq"] for c in changes if c["kind"] == "fact"})
+    row["customer_name"] = None
+    for start, end in zip(starts, [*starts[1:], float("inf")]):
+        lives = sorted((c["met"], c["value"]) for c in changes if c["kind"] == "met" and c["seq"] == start)
+        for (since, found), until in zip(lives, [*[m for m, _ in lives[1:]], float("inf")]):
+            if found is not None and max(start, since) < min(end, until):
+                row["customer_name"] = found
+    return row if any(v is not None for v in row.values()) else None
+
+
+def test_merged_pairs_against_a_merge_by_hand(spark):
+    rng = random.Random(7)
+    changes = {}
+    for order in range(60):
+        key = str(order)
+        facts = rng.sample(range(100), rng.randint(0, 4))
+        own = changes[key] = []
+        for seq in facts:
+            own.append({"kind": "fact", "seq": seq})
+            if rng.random() < 0.7:
+                image = {"product_id": rng.choice([None, "1", "2"]), "sale_price": rng.choice([None, 5, 6])}
+                own.append({"kind": "half", "seq": seq, "image": image})
+            for met in rng.sample(range(100, 130) if rng.random() < 0.2 else range(100), rng.randint(0, 4)):
+                own.append({"kind": "met", "seq": seq, "met": met, "value": rng.choice([None, "ann", "amy", "bob"])})
+        since = {seq: rng.randint(0, 2) for seq in facts}
+        for change in own:  # nothing comes before the fact version it belongs to
+            change["v"] = since[change["seq"]] if change["kind"] == "fact" else rng.randint(since[change["seq"]], 2)
+        own.extend(rng.sample(own, min(len(own), 2)))
+    schema = StructType([*change_schema(SPECS.enriched).fields, StructField("v", IntegerType())])
+    blank = dict.fromkeys(schema.fieldNames())
+    rows = [blank | {"order_id": key, **change} for key, own in changes.items() for change in own]
+    df = spark.createDataFrame(rows, schema)
+    got = {r["order_id"]: (r["old"], r["new"]) for r in merged_pairs(df, SPECS.enriched, "customer_name", "v").collect()}
+    want = {}
+    for key, own in changes.items():
+        newest = max((c["v"] for c in own), default=-1)
+        old, new = merged_by_hand(own, newest - 1), merged_by_hand(own, newest)
+        if old != new:
+            want[key] = (old, new)
+    shown = lambda image: image and {c: image[c] for c in ("product_id", "sale_price", "customer_name")}
+    assert {k: tuple(map(shown, pair)) for k, pair in got.items()} == want
+    assert len(want) > 30
