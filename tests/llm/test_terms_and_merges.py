@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer
@@ -264,3 +265,17 @@ def test_divergence_of_nothing(spark):
     assert divergence(ship(spark).createDataFrame([], DOCS)).count() == 0
     lone = ship(spark).createDataFrame([(1, "word", "en", "a"), (2, "word", "en", "b")], DOCS)
     assert sorted(map(tuple, divergence(lone).collect())) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
+
+
+def test_units_are_read_as_buffers_of_32_bits():
+    """Copies in Python bytes and 64 bits took a task over its memory."""
+    numbers = np.array([0, 7, 2**32 - 1])
+    batch = pa.RecordBatch.from_pydict(
+        {"lang": ["en"], "doc": [terms._planes(numbers)], "dead": [[5]]},
+        schema=pa.schema([("lang", pa.string()), ("doc", pa.binary()), ("dead", pa.list_(pa.int64()))]),
+    )
+    (row,) = terms._rows(iter([batch]))
+    assert isinstance(row["doc"], pa.Buffer)
+    found = terms._unplaned(row["doc"])
+    assert found.dtype.itemsize == 4 and found.tolist() == numbers.tolist()
+    assert row["lang"] == "en" and row["dead"].tolist() == [5]

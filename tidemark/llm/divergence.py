@@ -35,9 +35,10 @@ def _planes(numbers: np.ndarray) -> bytes:
     return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _unplaned(data: bytes) -> np.ndarray:
+def _unplaned(data: bytes | pa.Buffer) -> np.ndarray:
+    """The numbers of ``_planes``, in 32 bits."""
     planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 class _Unit:
@@ -128,17 +129,22 @@ def _arrow_unit() -> pa.Schema:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Units one by one; the discarded ranges, which are many, stay an array."""
+    """Units one by one; the discarded ranges, which are many, stay an array, and binary columns buffers."""
     for batch in batches:
         for n in range(batch.num_rows):
-            row = {name: batch.column(name)[n].as_py() for name in batch.schema.names if name != "dead"}
-            dead = batch.column("dead")[n].values
-            yield row | {"dead": np.zeros(0, np.int64) if dead is None else dead.to_numpy()}
+            row = {}
+            for name in batch.schema.names:
+                value = batch.column(name)[n]
+                if name == "dead":
+                    row[name] = np.zeros(0, np.int64) if value.values is None else value.values.to_numpy()
+                else:
+                    row[name] = value.as_buffer() if pa.types.is_binary(value.type) else value.as_py()
+            yield row
             give_back()
 
 
 def _terms(row: dict) -> pa.Array:
-    ends = np.concatenate(([0], _unplaned(row["ends"])))
+    ends = np.concatenate((np.zeros(1, np.int64), _unplaned(row["ends"])))
     return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(row["terms"])])
 
 
@@ -167,17 +173,19 @@ def prefix_counts(units: DataFrame, width: int, since: int) -> DataFrame:
             some = terms.take(pa.array(places))
             whole = pc.binary_join_element_wise(some, pa.scalar(END, pa.large_binary()), pa.scalar(b"", pa.large_binary()))
             prefixes = pc.if_else(lengths[places] < width, whole, pc.binary_slice(some, 0, width)).dictionary_encode()
-            number = np.full(len(terms), -1)
+            number = np.full(len(terms), -1, np.int32)
             number[places] = prefixes.indices.to_numpy()
             first = np.full(len(prefixes.dictionary), len(terms))
             last = np.zeros(len(first), np.int64)
             np.minimum.at(first, number[places], places)
             np.maximum.at(last, number[places], places + 1)
             doc, prefix = _unplaned(row["doc"]), number[_unplaned(row["term"])]
-            doc, prefix = doc[prefix >= 0], prefix[prefix >= 0]
+            here = prefix >= 0
+            doc, prefix = doc[here], prefix[here]
             # A document's terms are sorted, so equal prefixes of one document are neighbours.
             once = np.concatenate(([True], (doc[1:] != doc[:-1]) | (prefix[1:] != prefix[:-1])))
             counts = np.bincount(prefix[once], minlength=len(first))
+            del doc, prefix, once, here
             for start in range(0, len(first), 1 << 16):
                 part = slice(start, start + (1 << 16))
                 size = len(first[part])
@@ -233,15 +241,21 @@ def term_counts(units: DataFrame) -> DataFrame:
             alive = _alive(row, len(terms))
             if not alive.any():
                 continue
-            doc, term, n = (_unplaned(row[c]) for c in ("doc", "term", "n"))
+            term = _unplaned(row["term"])
             chosen = alive[term]
             places = {name: at for at, name in enumerate(names)}
             source = np.array([places[name] for name in row["sources"]], np.int64)
-            keys = source[doc[chosen]] * len(terms) + term[chosen]
+            # Arrays of a unit's length go as soon as they are used: they are most of what a task holds.
+            keys = source[_unplaned(row["doc"])[chosen]]
+            keys *= len(terms)
+            keys += term[chosen]
+            del term
             order = np.argsort(keys)
-            keys, n = keys[order], n[chosen][order]
+            keys, n = keys[order], _unplaned(row["n"])[chosen][order]
+            del order, chosen
             first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            pairs, sums = keys[first], np.add.reduceat(n, first)
+            pairs, sums = keys[first], np.add.reduceat(n, first, dtype=np.int64)
+            del keys, n, first
             texts, sources = terms.cast(pa.large_string()), pa.array(names)
             for start in range(0, len(pairs), 1 << 16):
                 part = pairs[start : start + (1 << 16)]
