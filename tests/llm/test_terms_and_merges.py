@@ -6,11 +6,14 @@ import random
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyarrow.parquet import ParquetFile
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer
 from tokenizers.pre_tokenizers import Split
@@ -21,6 +24,7 @@ from tidemark.llm.divergence import divergence
 from tidemark.llm.merges import UNSURE, VOCABULARY, MergeRules, decoded, encoded, rules_of
 from tidemark.llm.resample import resampled
 from tidemark.llm.ship import ship
+from tidemark.session import written
 
 DOCS = "doc_id long, text string, lang string, source string"
 
@@ -279,3 +283,50 @@ def test_units_are_read_as_buffers_of_32_bits():
     found = terms._unplaned(row["doc"])
     assert found.dtype.itemsize == 4 and found.tolist() == numbers.tolist()
     assert row["lang"] == "en" and row["dead"].tolist() == [5]
+
+
+def test_a_task_holds_one_unit_at_a_time(spark):
+    """All units of a partition came in one batch, so a task's memory grew with the table."""
+    units = terms.term_units(ship(spark).createDataFrame(corpus(5), DOCS).repartition(6), "text", "lang", "source")
+    told, _ = terms.frequent_terms(units, 5)
+    for rows in (terms.term_counts(told), terms.prefix_counts(told, 8, 4)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroupsInArrow" in plan and "MapInArrow" not in plan.replace("FlatMapGroupsInArrow", "")
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"rows": [sum(batch.num_rows for batch in batches)]})
+
+    found = [row.rows for row in terms._by_unit(units.coalesce(1), sizes, "rows long").collect()]
+    assert found == [1] * units.count() and len(found) > 12
+
+
+def test_numbers_take_only_the_bytes_they_need():
+    """Each entry of a unit took twelve bytes, wherever a unit was held."""
+    for numbers in ([], [0], [1, 255], [256], [65535], [65536, 1], [2**24 - 1], [2**24], [2**32 - 1, 0]):
+        data = terms._planes(np.array(numbers, np.int64))
+        width = max(1, (max(numbers, default=0).bit_length() + 7) // 8)
+        assert len(data) == 1 + width * len(numbers)
+        assert terms._unplaned(data).tolist() == terms._unplaned(pa.py_buffer(data)).tolist() == numbers
+    unit = terms._Unit()
+    unit.add([b"b a b", b"", b"C a"], ["s", "t", "s"])
+    unit.add([b"d " * 300], ["u"])
+    row = unit.row("en")
+    assert terms._terms(row).to_pylist() == [b"a", b"b", b"c", b"d"]
+    assert terms._docs(row).tolist() == [0, 0, 2, 2, 3]
+    assert terms._unplaned(row["term"]).tolist() == [0, 1, 0, 2, 3]
+    assert terms._unplaned(row["n"]).tolist() == [1, 2, 1, 1, 300]
+    assert len(row["term"]) == 6 and len(row["n"]) == 11 and len(row["sizes"]) == 5
+
+
+def test_units_of_a_task_lie_in_several_row_groups(spark, monkeypatch):
+    """The writer looked at its sizes after a hundred rows, so it and readers held all units of a task."""
+    options = []
+    monkeypatch.setattr(terms, "written", lambda df, name, *given: options.append(given) or written(df, name, *given))
+    terms.term_units(ship(spark).createDataFrame(corpus(6, 20), DOCS), "text", "lang", "source")
+    large = random.Random(6)
+    rows = spark.createDataFrame([(n, large.randbytes(3 << 20)) for n in range(8)], "unit long, term binary").coalesce(1)
+    table = written(rows, "units", *options[0])
+    (file,) = table.inputFiles()
+    found = ParquetFile(urlparse(file).path).metadata
+    assert max(found.row_group(n).num_rows for n in range(found.num_row_groups)) < 4
+    assert table.count() == 8

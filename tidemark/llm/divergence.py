@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +27,30 @@ CHUNK, BLOCK = 1 << 17, 256
 #: Cells of the table of shares that is laid out at a time.
 CELLS = 1 << 22
 
-_UNIT = "lang string, sources array<string>, terms binary, ends binary, doc binary, term binary, n binary"
+#: Units are rows of megabytes: the writer looks at its sizes after each, not after a hundred, so that
+#: neither it nor a reader holds all units of a task.
+FEW_ROWS = {
+    "parquet.block.size": str(8 << 20),
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+}
+
+_UNIT = "lang string, sources array<string>, terms binary, widths binary, sizes binary, term binary, n binary"
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**32 byte by byte, which compresses well."""
-    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Numbers below 2**32 byte by byte, which compresses well; before them, how many bytes the largest takes."""
+    width = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T.tobytes()
 
 
 def _unplaned(data: bytes | pa.Buffer) -> np.ndarray:
     """The numbers of ``_planes``, in 32 bits."""
-    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    width = int(np.frombuffer(data, np.uint8, 1)[0])
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    numbers = np.zeros((planes.shape[1], 4), np.uint8)
+    numbers[:, :width] = planes.T
+    return numbers.view("<u4").ravel()
 
 
 class _Unit:
@@ -47,18 +59,19 @@ class _Unit:
     def __init__(self) -> None:
         self.terms = Numbers()
         self.sources: list[str] = []
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.sizes: list[int] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, texts: list[bytes], sources: list[str]) -> None:
         near = Numbers()  # of this portion: small enough for the processor's memory
         rows, counts = [], []
         for text in texts:
             found = Counter(text.translate(TERM_BYTES).split())
-            rows.append(np.fromiter(map(near.__getitem__, found), np.int64, len(found)))
-            counts.append(np.fromiter(found.values(), np.int64, len(found)))
-        numbers = np.fromiter(map(self.terms.__getitem__, near), np.int64, len(near))
-        docs = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
-        self.parts.append((docs + len(self.sources), numbers[np.concatenate(rows)], np.concatenate(counts)))
+            rows.append(np.fromiter(map(near.__getitem__, found), np.int32, len(found)))
+            counts.append(np.fromiter(found.values(), np.int32, len(found)))
+        numbers = np.fromiter(map(self.terms.__getitem__, near), np.int32, len(near))
+        self.parts.append((numbers[np.concatenate(rows)], np.concatenate(counts)))
+        self.sizes.extend(map(len, rows))
         self.sources.extend(sources)
 
     def row(self, lang: str) -> dict:
@@ -66,22 +79,28 @@ class _Unit:
 
         A text is shorter than 2**31 bytes, so its counts fit the 32 bits they are given.
         """
-        doc, term, n = (np.concatenate(x) for x in zip(*self.parts))
+        term, n = (np.concatenate(x) for x in zip(*self.parts))
+        self.parts.clear()
         terms = pa.array(self.terms, pa.large_binary())
+        self.terms.clear()
         by_bytes = pc.sort_indices(terms)
         terms = terms.take(by_bytes)
-        place = np.empty(len(terms), np.int64)
-        place[by_bytes.to_numpy()] = np.arange(len(terms))
-        keys = doc << 32 | place[term]
+        place = np.empty(len(terms), np.int32)
+        place[by_bytes.to_numpy()] = np.arange(len(terms), dtype=np.int32)
+        term = place[term]
+        keys = np.repeat(np.arange(len(self.sizes)) << 32, self.sizes)
+        keys |= term
         order = np.argsort(keys)
-        columns = {"doc": doc[order], "term": place[term][order], "n": n[order]}
-        ends = np.asarray(pc.binary_length(terms)).cumsum()
+        del keys
+        widths = np.asarray(pc.binary_length(terms))
         return {
             "lang": lang,
             "sources": self.sources,
-            "terms": terms.buffers()[2].to_pybytes()[: int(ends[-1]) if len(ends) else 0] if len(terms) else b"",
-            "ends": _planes(ends),
-            **{name: _planes(values) for name, values in columns.items()},
+            "terms": terms.buffers()[2].to_pybytes()[: int(widths.sum())] if len(terms) else b"",
+            "widths": _planes(widths),
+            "sizes": _planes(np.array(self.sizes, np.int64)),
+            "term": _planes(term[order]),
+            "n": _planes(n[order]),
         }
 
 
@@ -119,12 +138,12 @@ def term_units(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -
         column(lang_col).alias("lang"), column(source_col).alias("source"), column(text_col).alias("text")
     )
     units = rows.mapInArrow(run, _UNIT)
-    return written(units.withColumn("unit", F.monotonically_increasing_id()), "term-units")
+    return written(units.withColumn("unit", F.monotonically_increasing_id()), "term-units", FEW_ROWS)
 
 
 def _arrow_unit() -> pa.Schema:
     kinds = {"lang": pa.string(), "sources": pa.list_(pa.string())}
-    names = ("lang", "sources", "terms", "ends", "doc", "term", "n")
+    names = ("lang", "sources", "terms", "widths", "sizes", "term", "n")
     return pa.schema([(name, kinds.get(name, pa.binary())) for name in names])
 
 
@@ -144,16 +163,30 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _terms(row: dict) -> pa.Array:
-    ends = np.concatenate((np.zeros(1, np.int64), _unplaned(row["ends"])))
+    ends = np.concatenate((np.zeros(1, np.int64), _unplaned(row["widths"]).cumsum(dtype=np.int64)))
     return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(row["terms"])])
 
 
+def _docs(row: dict) -> np.ndarray:
+    """For each entry of a unit, which of its documents it is of."""
+    sizes = _unplaned(row["sizes"])
+    return np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+
+
 def _alive(row: dict, count: int) -> np.ndarray:
     """Which terms lie in no discarded range: terms are sorted, so those with one prefix are a range."""
     marks = np.bincount(row["dead"] >> 32, minlength=count + 1) - np.bincount(row["dead"] & 0xFFFFFFFF, minlength=count + 1)
     return np.cumsum(marks[:-1]) == 0
 
 
+def _by_unit(units: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``run`` over units one at a time: a batch of all units of a partition grows with the table.
+
+    Where ``_told`` joins by sorting, its rows lie by unit already and nothing moves again.
+    """
+    return units.groupBy("unit").applyInArrow(run, schema)
+
+
 def prefix_counts(units: DataFrame, width: int, since: int) -> DataFrame:
     """In how many documents of a unit each prefix of ``width`` bytes stands.
 
@@ -179,7 +212,7 @@ def prefix_counts(units: DataFrame, width: int, since: int) -> DataFrame:
             last = np.zeros(len(first), np.int64)
             np.minimum.at(first, number[places], places)
             np.maximum.at(last, number[places], places + 1)
-            doc, prefix = _unplaned(row["doc"]), number[_unplaned(row["term"])]
+            doc, prefix = _docs(row), number[_unplaned(row["term"])]
             here = prefix >= 0
             doc, prefix = doc[here], prefix[here]
             # A document's terms are sorted, so equal prefixes of one document are neighbours.
@@ -197,8 +230,10 @@ def prefix_counts(units: DataFrame, width: int, since: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "unit", "prefix", "n", "first", "last"])
 
-    columns = units.select("unit", "lang", "terms", "ends", "doc", "term", "dead")
-    return columns.mapInArrow(run, "lang string, unit long, prefix binary, n long, first long, last long")
+    columns = units.select("unit", "lang", "terms", "widths", "sizes", "term", "dead")
+    schema = "lang string, unit long, prefix binary, n long, first long, last long"
+    # Nothing is discarded before the first level, so its units are read where they lie.
+    return _by_unit(columns, run, schema) if since else columns.mapInArrow(run, schema)
 
 
 def frequent_terms(units: DataFrame, least: int) -> tuple[DataFrame, int]:
@@ -246,7 +281,7 @@ def term_counts(units: DataFrame) -> DataFrame:
             places = {name: at for at, name in enumerate(names)}
             source = np.array([places[name] for name in row["sources"]], np.int64)
             # Arrays of a unit's length go as soon as they are used: they are most of what a task holds.
-            keys = source[_unplaned(row["doc"])[chosen]]
+            keys = source[_docs(row)[chosen]]
             keys *= len(terms)
             keys += term[chosen]
             del term
@@ -267,8 +302,8 @@ def term_counts(units: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n"])
 
-    columns = units.select("lang", "sources", "terms", "ends", "doc", "term", "n", "dead")
-    rows = columns.mapInArrow(run, "lang string, source string, term string, n long")
+    columns = units.select("unit", "lang", "sources", "terms", "widths", "sizes", "term", "n", "dead")
+    rows = _by_unit(columns, run, "lang string, source string, term string, n long")
     # A unit names each of these once, so there is little to combine before the shuffle.
     keys = ("lang", "source", "term")
     return rows.repartition(*keys).groupBy(*keys).agg(F.sum("n").alias("n"))
